@@ -22,22 +22,24 @@ class Pattern:
 
 @dataclass(frozen=True)
 class Family:
-    """Alternatives of one class. Patterns with the same ``unless`` compile to one expression."""
+    """Alternatives of one class, matched by a single regular expression."""
 
     patterns: tuple[Pattern, ...]
     exact: tuple[str, ...] = ()
 
-    def grouped(self) -> list[Pattern]:
+    def regex(self) -> str:
+        """The family as one Java expression; guards become look-aheads at the start of the text."""
         by_guard: dict[str | None, list[str]] = {}
         for p in self.patterns:
             by_guard.setdefault(p.unless, []).append(p.regex)
-        return [Pattern("|".join(f"(?:{r})" for r in rs), guard) for guard, rs in by_guard.items()]
+        parts = []
+        for guard, regexes in by_guard.items():
+            found = "|".join(f"(?:{r})" for r in regexes)
+            parts.append(rf"\A(?!(?s:.*)(?:{guard}))(?s:.*?)(?:{found})" if guard else found)
+        return "|".join(f"(?:{p})" for p in parts)
 
     def found_in(self, text: Column) -> Column:
-        hit = F.lit(False)
-        for p in self.grouped():
-            one = text.rlike(p.regex)
-            hit = hit | (one & ~text.rlike(p.unless) if p.unless else one)
+        hit = text.rlike(self.regex()) if self.patterns else F.lit(False)
         return hit | text.isin(*self.exact) if self.exact else hit
 
     def with_exact(self, extra: Iterable[str]) -> Family:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from crawlprism.functions.urls import generalize_domain, is_valid_url, parse_rule_name, url_host, url_pattern
 from crawlprism.operators.running import running
+from crawlprism.session import materialize
 
 # Residual patterns folded into one projection.
 PATTERN_BATCH = 100
@@ -64,6 +65,10 @@ def _compiles(pattern: str) -> bool:
         return False
 
 
+def _finds(pattern: str):
+    return lambda origin: origin.rlike(pattern)
+
+
 def _match_residual(sites: DataFrame, rules: DataFrame) -> DataFrame:
     """Hand-written patterns: literal regex tests in one projection per batch, so every pattern is
     compiled once and no site-rule pairs are formed that do not match. Patterns stream through the
@@ -77,7 +82,7 @@ def _match_residual(sites: DataFrame, rules: DataFrame) -> DataFrame:
                 continue  # an invalid pattern matches nothing
             found = F.col("initialUrl").rlike(r.urlPattern) | F.col("finalUrl").rlike(r.urlPattern)
             if r.inFrame:
-                found = found | F.exists("origins", lambda o, p=r.urlPattern: o.rlike(p))
+                found = found | F.exists("origins", _finds(r.urlPattern))
             if r.vendorUrls:
                 found = found | F.col("initialUrl").isin(r.vendorUrls) | F.col("finalUrl").isin(r.vendorUrls)
             tests.append(F.when(found, F.lit(r.name)))
@@ -188,7 +193,7 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, rules: DataFrame, matches
     cands = cands.withColumn("_kept", F.col("_repeat") | F.coalesce("_clicked", F.lit(False))).drop("_clicked", "_repeat")
 
     # Number the open selectors of a site; positions become one integer for the running count.
-    ordered = cands.withColumn("_pos", (F.col("frame") * 1_000_000 + F.col("popup")) * 1_000_000 + F.col("button"))
+    ordered = cands.withColumn("_pos", (F.col("frame").cast("bigint") * 1_000_000 + F.col("popup")) * 1_000_000 + F.col("button"))
     fresh = ~F.col("_kept") & F.col("usable")
     counted = running(ordered, ["file"], "_pos", {"_k": ("sum", fresh.cast("bigint"))}, 10**12)
     slots = matched.filter(in_region).select(
@@ -230,36 +235,40 @@ def resolve_duplicates(decisions: DataFrame) -> DataFrame:
 
 def review_notes(decisions: DataFrame, sites: DataFrame, confirmed: DataFrame) -> DataFrame:
     """H4: notes per site. ``confirmed(file, popups, rejectButtonsInFirst)`` counts confirmed popups."""
-    note = lambda df, text, review, name="ruleName": df.select(
-        "file", F.lit(text).alias("note"), F.lit(review).alias("needsReview"), F.col(name).alias("ruleName")
+    no_rule = F.lit(None).cast("string")
+
+    def note(when, text, review, name=no_rule):
+        return F.when(when, F.struct(F.lit(text).alias("note"), F.lit(review).alias("needsReview"), name.alias("ruleName")))
+
+    def notes_of(df, *notes):
+        return df.select("file", F.explode(F.array_compact(F.array(*notes))).alias("n")).select("file", "n.*")
+
+    kind, rule = F.col("decision"), F.col("ruleName")
+    several = kind.isin("override", "new_extra") & (F.col("regional") > 1)
+    per_button = notes_of(
+        decisions,
+        note(kind == "new", "New rule", False, rule),
+        note(kind == "new_region", "New rule for this region", False, rule),
+        note((kind == "override") & ~F.col("manual"), "Rule overridden", False, rule),
+        note((kind == "override") & F.col("manual"), "Manually edited rule overridden", True, rule),
+        note(several, "Several rules of this region", True, F.col("name")),
+        note(kind == "new_extra", "All rules of this region already overridden, new rule", True, rule),
     )
-    d = decisions
-    override = d.filter("decision = 'override'")
-    per_site = d.filter("decision LIKE 'new%'").groupBy("file").agg(F.count("*").alias("n"), F.lit(None).cast("string").alias("ruleName"))
-    several = confirmed.filter("popups > 1 OR rejectButtonsInFirst > 1").withColumn("ruleName", F.lit(None).cast("string"))
+    made = decisions.groupBy("file").agg(F.count_if(kind.startswith("new")).alias("made"))
     # Hosts are compared with their ports.
-    host = lambda c: F.concat(url_host(F.col(c)), F.regexp_extract(F.col(c), r"^[a-z]+://[^/?#]*?(:[0-9]+)(?:[/?#]|\z)", 1))
-    hosts = confirmed.select("file").join(sites, "file").select(
-        "file", host("initialUrl").alias("a"), host("finalUrl").alias("b"), F.lit(None).cast("string").alias("ruleName")
+    port = r"^[a-z]+://[^/?#]*?(:[0-9]+)(?:[/?#]|\z)"
+    host = lambda c: F.concat(url_host(F.col(c)), F.regexp_extract(F.col(c), port, 1))
+    checked = confirmed.join(sites, "file").join(made, "file", "left").withColumns({"a": host("initialUrl"), "b": host("finalUrl")})
+    a, b = F.col("a"), F.col("b")
+    www = lambda x, y: x == F.concat(F.lit("www."), y)
+    per_site = notes_of(
+        checked,
+        note((F.col("popups") > 1) | (F.col("rejectButtonsInFirst") > 1), "Several popups or reject buttons", False),
+        note(F.col("made") > 1, "Several new rules", True),
+        note((a != b) & ~www(a, b) & ~www(b, a), "Site changed host", True),
+        note(a.isNull() | b.isNull(), "URL cannot be parsed", True),
     )
-    www = lambda x, y: F.col(x) == F.concat(F.lit("www."), F.col(y))
-    moved = hosts.filter((F.col("a") != F.col("b")) & ~www("a", "b") & ~www("b", "a"))
-    parts = [
-        note(several, "Several popups or reject buttons", False),
-        note(d.filter("decision = 'new'"), "New rule", False),
-        note(d.filter("decision = 'new_region'"), "New rule for this region", False),
-        note(override.filter("NOT manual"), "Rule overridden", False),
-        note(override.filter("manual"), "Manually edited rule overridden", True),
-        note(d.filter("decision IN ('override', 'new_extra') AND regional > 1"), "Several rules of this region", True, "name"),
-        note(d.filter("decision = 'new_extra'"), "All rules of this region already overridden, new rule", True),
-        note(per_site.filter("n > 1"), "Several new rules", True),
-        note(moved, "Site changed host", True),
-        note(hosts.filter("a IS NULL OR b IS NULL"), "URL cannot be parsed", True),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return per_button.unionByName(per_site)
 
 
 def site_manifest(
@@ -316,10 +325,13 @@ def rule_summary(files: DataFrame, frames: DataFrame, known: DataFrame, confirme
 def generate_rules(
     sites: DataFrame, frames: DataFrame, cmps: DataFrame, buttons: DataFrame, rules: DataFrame, region: str
 ) -> DataFrame:
-    """The whole chain for a region: sites without a known platform, matched, decided, resolved."""
+    """The whole chain for a region: sites without a known platform, matched, decided, resolved.
+
+    The result feeds the rule files, the notes, the manifest and the summary, so it is written once.
+    """
     table = rule_table(rules)
     open_sites = sites.join(known_cmp(cmps), "file", "left_anti")
-    open_buttons = buttons.join(open_sites.select("file"), "file", "left_semi")
+    open_buttons = materialize(buttons.join(open_sites.select("file"), "file", "left_semi"), "reject-buttons")
     with_popups = open_sites.join(open_buttons.select("file").distinct(), "file", "left_semi")
-    matches = match_rules(with_popups, table, frames)
-    return resolve_duplicates(decide_rules(open_buttons, with_popups, table, matches, region))
+    matches = materialize(match_rules(with_popups, table, frames), "rule-matches")
+    return materialize(resolve_duplicates(decide_rules(open_buttons, with_popups, table, matches, region)), "decisions")

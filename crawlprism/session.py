@@ -51,3 +51,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint behind a size check; a larger side joins by shuffle instead."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes a reused result to the shared folder and reads it back.
+
+    Cuts the lineage and survives the loss of any executor.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
