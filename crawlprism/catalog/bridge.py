@@ -19,6 +19,16 @@ def spark_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(T.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", text))
 
 
+def stream_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """The same over a streaming read of the (single) table."""
+    name = T.search(text)[1]
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    table = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    view = f"stream_{name}"
+    table.createOrReplaceTempView(view)
+    return spark.sql(T.sub(view, text))
+
+
 def oracle(text: str) -> str:
     return T.sub(lambda m: m[1], text)
 
@@ -210,9 +220,9 @@ SELECT {K} AS file, {VALID} AS valid, CASE WHEN {VALID} THEN {INITIAL} END AS in
 FROM $orders"""
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
     """Nested page documents, one per order. A narrow projection: nothing is grouped."""
-    return spark_sql(spark, sf_dir, documents_of_orders())
+    return run(spark, sf_dir, documents_of_orders())
 
 
 def valid_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,17 +265,17 @@ SELECT 'p' || {s('user_id')} AS page, event_id AS seq, {s(RID)} AS "requestId",
     END END AS initiator,
   event_type = 'click' AS redirected,
   CAST(200 + event_id % 4 * 100 AS INT) AS status, '10.0.0.' || {s('event_id % 250')} AS ip, 'v' || {s('event_id')} AS header,
-  event_id % 60 - 5 AS size,
+  event_id % 60 - 5 AS size, CAST(ts AS TIMESTAMP) AS ts,
   CASE WHEN event_id % 2 = 0 THEN 'net::ERR' END AS "errorText"
 FROM $events
 """
 
 
-def net_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat_events = spark_sql(spark, sf_dir, _bt(NET_EVENTS))
+def net_events(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
+    flat_events = run(spark, sf_dir, _bt(NET_EVENTS))
     answer = "named_struct('url', url, 'status', status, 'remoteIPAddress', ip, 'headers', map(' ETag', header, 'X-Other', 'z'))"
     return flat_events.selectExpr(
-        "page", "seq", "kind", "requestId", "url", "method", "type", "time", "initiator",
+        "page", "seq", "ts", "kind", "requestId", "url", "method", "type", "time", "initiator",
         f"CASE WHEN redirected THEN {answer} END AS redirectResponse",
         f"CASE WHEN kind = 'responseReceived' THEN {answer} END AS response",
         "CASE WHEN kind = 'responseReceivedExtraInfo' THEN map('etag', header, 'Pragma', 'x') END AS headers",
@@ -288,8 +298,8 @@ FROM $events
 """
 
 
-def api_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark_sql(spark, sf_dir, API_CALLS).selectExpr("*", "array(arg) AS arguments")
+def api_calls(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
+    return run(spark, sf_dir, API_CALLS).selectExpr("*", "array(arg) AS arguments")
 
 
 # --- consent messages: events --------------------------------------------------------------
@@ -299,18 +309,18 @@ SELECT user_id * 10 + event_id % 10 AS page, event_id AS seq,
   CASE event_type WHEN 'view' THEN 'cmpDetected' WHEN 'click' THEN 'popupFound' WHEN 'signup' THEN 'optOutResult'
     WHEN 'purchase' THEN 'report' ELSE {pick('event_id', ('consentDone', 'selfTestResult', 'consentError'))} END AS type,
   'cmp' || {s('event_id % 3')} AS cmp, value > 10 AS result, 'detail ' || {s('event_id % 5')} AS details,
-  'p' || {s('event_id % 7')} AS pattern, 's' || {s('event_id % 4')} AS snippet,
+  CAST(ts AS TIMESTAMP) AS ts, 'p' || {s('event_id % 7')} AS pattern, 's' || {s('event_id % 4')} AS snippet,
   CASE event_id % 4 WHEN 0 THEN '' ELSE 'https://f' || {s('event_id % 3')} || '.com/x?y=' || {s('event_id')} || '#z' END AS url,
   event_id % 2 = 0 AS "isMainFrame"
 FROM $events
 """
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = spark_sql(spark, sf_dir, _bt(MESSAGES))
+def messages(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
+    m = run(spark, sf_dir, _bt(MESSAGES))
     report = "type = 'report'"
     return m.selectExpr(
-        "page", "seq", "type", "cmp", "result", "details", "url", "isMainFrame",
+        "page", "seq", "ts", "type", "cmp", "result", "details", "url", "isMainFrame",
         f"CASE WHEN {report} THEN array(pattern) END AS heuristicPatterns",
         f"CASE WHEN {report} THEN array(snippet, 'common') END AS heuristicSnippets",
         f"CASE WHEN {report} THEN named_struct('filterCMPs', array(CAST(seq AS DOUBLE))) END AS performance",

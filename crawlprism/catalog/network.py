@@ -306,7 +306,10 @@ full_rows AS (SELECT hd.page, hd."requestId", hd.seq, hd.url, CASE WHEN hd.kind
     CASE WHEN initiator IS NULL THEN '' ELSE {_FLAT_INIT} END AS initiators FROM full_rows WHERE {q.storable('url')}""",
 )
 def assemble_requests(spark, sf):
-    r = req.assemble_requests(b.net_events(spark, sf))
+    return request_rows(req.assemble_requests(b.net_events(spark, sf)))
+
+
+def request_rows(r):
     headers = F.transform(F.map_entries("responseHeaders"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return r.select(
         "page", "requestId", "seq", "url", "method", "type", "status", "remoteIPAddress", "size", "failureReason",

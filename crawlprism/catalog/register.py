@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports every catalogue module once."""
-    from crawlprism.catalog import consent, network, pages  # noqa: F401
+    from crawlprism.catalog import network, pages, consent, storage, streams  # noqa: F401, I001

@@ -12,7 +12,7 @@ from crawlprism.functions.text import leading_int, trim_space
 METADATA_FILE = "metadata.json"
 
 
-def scan_crawl(spark: SparkSession, path: str) -> DataFrame:
+def scan_crawl(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """A1: one row per page file, run metadata excluded. Unparsable files stay as rows with
     ``valid = false``. ``file`` is the file name, which is also the document order."""
     schema = schemas.page_schema().add("_corrupt", "string")
@@ -21,7 +21,7 @@ def scan_crawl(spark: SparkSession, path: str) -> DataFrame:
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .json(path)
     )
     named = raw.withColumn("file", F.col("_metadata.file_name")).filter(F.col("file") != METADATA_FILE)
