@@ -270,7 +270,7 @@ o AS (SELECT *, CAST(sum(CAST(opens AS INT)) OVER w AS BIGINT) AS ord FROM e WIN
 r AS (SELECT *, cont AND ord > 1 AS chained, lead(url) OVER w AS next_url, lead(cont) OVER w AS next_cont, lag(url) OVER w AS prev_url,
       sum(CASE WHEN cont AND ord > 1 THEN 0 ELSE 1 END) OVER w AS chain FROM o WHERE opens WINDOW w AS (PARTITION BY page, "requestId" ORDER BY seq)),
 hd AS (SELECT *, min(seq) OVER (PARTITION BY page, "requestId", chain) AS head_seq FROM r),
-cors AS (SELECT a.page, a.seq, arg_max(p.initiator, p.seq) AS init FROM hd a JOIN hd p ON p.page = a.page AND p.url = a.url AND p.seq < a.seq
+cors AS (SELECT a.page, a.seq, arg_max(struct_pack(v := p.initiator), p.seq).v AS init FROM hd a JOIN hd p ON p.page = a.page AND p.url = a.url AND p.seq < a.seq
       AND p.method = 'OPTIONS' AND p.seq = p.head_seq
       WHERE a.seq = a.head_seq AND coalesce(a.method, '') <> 'OPTIONS' AND json_extract_string(a.initiator, '$.type') = 'parser' GROUP BY a.page, a.seq),
 early AS (SELECT page, "requestId", arg_max(seq, seq) AS seq FROM o WHERE ord = 0 GROUP BY page, "requestId"),
@@ -294,7 +294,7 @@ full_rows AS (SELECT hd.page, hd."requestId", hd.seq, hd.url, CASE WHEN hd.kind
   CASE WHEN ag.size >= 0 THEN ag.size END AS size, ag.failure,
   CASE WHEN xh IS NOT NULL THEN 'etag=' || xh || '|pragma=x' WHEN rh IS NOT NULL THEN 'etag=' || rh END AS headers,
   CASE WHEN hd.next_cont THEN hd.next_url END AS redirected_to, CASE WHEN hd.chained THEN hd.prev_url END AS redirected_from,
-  CASE WHEN hd.kind = 'requestWillBeSent' THEN hd.time END AS t0, ag.t1, coalesce(cors.init, h0.initiator) AS initiator
+  CASE WHEN hd.kind = 'requestWillBeSent' THEN hd.time END AS t0, ag.t1, CASE WHEN cors.seq IS NOT NULL THEN cors.init ELSE h0.initiator END AS initiator
   FROM hd LEFT JOIN ag USING (page, "requestId", ord) JOIN hd h0 ON h0.page = hd.page AND h0.seq = hd.head_seq
   LEFT JOIN cors ON cors.page = hd.page AND cors.seq = hd.head_seq)"""
 
@@ -354,7 +354,7 @@ def unmatched_early(spark, sf):
 
 
 @query("fix_cors_initiator", f"""WITH e AS ({NET}), p AS (SELECT * FROM e WHERE kind = 'requestWillBeSent')
-    SELECT a.page, a.seq, arg_max(x.initiator, x.seq) AS x FROM p a JOIN p x ON x.page = a.page AND x.url = a.url AND x.seq < a.seq AND x.method = 'OPTIONS'
+    SELECT a.page, a.seq, arg_max(struct_pack(v := x.initiator), x.seq).v AS x FROM p a JOIN p x ON x.page = a.page AND x.url = a.url AND x.seq < a.seq AND x.method = 'OPTIONS'
     WHERE a.method <> 'OPTIONS' AND json_extract_string(a.initiator, '$.type') = 'parser' GROUP BY a.page, a.seq""".replace("AS x FROM", "AS initiator FROM"))
 def fix_cors_initiator(spark, sf):
     sent = b.net_events(spark, sf).filter(F.col("kind") == req.REQUEST)

@@ -227,9 +227,13 @@ def fix_cors_initiator(requests: DataFrame, segment: int = SEGMENT) -> DataFrame
 def inherit_initiators(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Chain-head initiators after the CORS fix, for rows of ``fold``."""
     heads = rows.filter("seq = head_seq")
-    fixed = fix_cors_initiator(heads, segment).withColumnsRenamed({"seq": "head_seq", "initiator": "_fixed"})
+    fixed = fix_cors_initiator(heads, segment).select(
+        "page", F.col("seq").alias("head_seq"), F.struct("initiator").alias("_fixed")
+    )
     joined = rows.join(fixed, ["page", "head_seq"], "left")
-    return joined.withColumn("initiator", F.coalesce("_fixed", "initiator")).select(*rows.columns)
+    # The preflight's initiator counts even where it is null.
+    initiator = F.when(F.col("_fixed").isNotNull(), F.col("_fixed.initiator")).otherwise(F.col("initiator"))
+    return joined.withColumn("initiator", initiator).select(*rows.columns)
 
 
 def finish(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import types as T
-from pyspark.sql.types import _parse_datatype_string as ddl  # DDL keeps the nested records readable
 
 _BUTTON = "struct<text:string,selector:string>"
 _POPUP = f"struct<text:string,selector:string,buttons:array<{_BUTTON}>>"
@@ -78,12 +77,12 @@ RULE_DDL = (
 
 
 def page_schema() -> T.StructType:
-    return ddl(PAGE_DDL)
+    return T.StructType.fromDDL(PAGE_DDL)
 
 
 def event_schema() -> T.StructType:
-    return ddl(EVENT_DDL)
+    return T.StructType.fromDDL(EVENT_DDL)
 
 
 def rule_schema() -> T.StructType:
-    return ddl(RULE_DDL)
+    return T.StructType.fromDDL(RULE_DDL)
