@@ -23,6 +23,8 @@ SKIPPED_TAGS = (
     "noframes", "noembed", "audio", "video", "source", "track", "picture", "img", "map",
 )
 _VOID = {"area", "base", "br", "col", "embed", "frame", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# Elements that do not break the text around them.
+_INLINE = {"a", "abbr", "b", "button", "code", "em", "font", "i", "label", "mark", "s", "small", "span", "strong", "sub", "sup", "u"}
 _CONTENT = [t for t in SKIPPED_TAGS if t not in _VOID]
 
 SKIPPED_CONTENT = "(?is)" + "|".join([r"<!--.*?-->", *[rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _CONTENT]])
@@ -86,7 +88,8 @@ class _Node:
             if isinstance(n, str):
                 out.append(n)
             elif n.tag not in SKIPPED_TAGS:
-                todo.extend(reversed(n.parts))
+                edge = [] if n.tag in _INLINE else [" "]
+                todo.extend([*edge, *reversed(n.parts), *edge])
         return " ".join("".join(out).split())
 
 
@@ -174,7 +177,7 @@ def css_path(node: _Node, root: _Node) -> str:
     """Path from ``body``, made more specific until only this element matches."""
     chain = []
     n = node
-    while n.parent is not None and n.parent.tag:
+    while n.parent is not None and n.tag != "html":
         chain.append(n)
         n = n.parent
     chain.reverse()

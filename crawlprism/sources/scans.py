@@ -12,28 +12,28 @@ from crawlprism.functions.text import leading_int, trim_space
 METADATA_FILE = "metadata.json"
 
 
+def _parsed(text: DataFrame, schema) -> DataFrame:
+    """Rows of JSON text as columns plus ``valid``. The whole record is always parsed, so validity does
+    not depend on which columns a query reads."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    keep = [c for c in text.columns if c != "value"]
+    rows = text.select(*keep, F.from_json("value", schema.add("_corrupt", "string"), options).alias("j"))
+    valid = F.col("j").isNotNull() & F.col("j._corrupt").isNull()
+    return rows.select(*keep, "j.*", valid.alias("valid")).drop("_corrupt")
+
+
 def scan_crawl(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """A1: one row per page file, run metadata excluded. Unparsable files stay as rows with
     ``valid = false``. ``file`` is the file name, which is also the document order."""
-    schema = schemas.page_schema().add("_corrupt", "string")
-    raw = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", glob)
-        .json(path)
-    )
+    raw = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     named = raw.withColumn("file", F.col("_metadata.file_name")).filter(F.col("file") != METADATA_FILE)
-    return named.withColumn("valid", F.col("_corrupt").isNull()).drop("_corrupt")
+    return _parsed(named, schemas.page_schema())
 
 
 def scan_page_lines(spark: SparkSession, path: str) -> DataFrame:
     """A1 for packed crawls: JSON lines ``{file, …page}``, splittable at any size (one file per page does not
     scale to billions of pages)."""
-    schema = schemas.page_schema().add("file", "string").add("_corrupt", "string")
-    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.withColumn("valid", F.col("_corrupt").isNull()).drop("_corrupt")
+    return _parsed(spark.read.text(path), schemas.page_schema().add("file", "string"))
 
 
 def scan_url_list(spark: SparkSession, path: str) -> DataFrame:
