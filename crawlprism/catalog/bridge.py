@@ -201,7 +201,8 @@ def documents_of_orders() -> str:
             "llmPopupDetected": f"{K} % 4 = 1", "regexPopupDetected": f"CASE WHEN {K} % 6 = 1 THEN TRUE END",
         }
     )
-    data = _struct(
+    # Each section is its own expression, so a query computes only those it reads.
+    data = _struct({name: f"CASE WHEN {VALID} THEN {x} END" for name, x in
         {
             "requests": _listed(N_REQ, req),
             "cookies": _listed(N_COOKIES, cookie),
@@ -211,12 +212,12 @@ def documents_of_orders() -> str:
             "screenshots": f"CASE WHEN {K} % 5 = 0 THEN base64(CAST('img' || {s(K)} AS BINARY)) END",
             "trace": "CAST(NULL AS STRUCT<traceEvents:ARRAY<STRUCT<name:STRING,cat:STRING,ph:STRING,ts:BIGINT,args:MAP<STRING,STRING>>>>)",
             "cookiepopups": f"CASE WHEN ({N_CMPS}) IS NOT NULL THEN named_struct('cmps', {_listed(N_CMPS, cmp_)}, 'performance', {_listed(N_PERF, perf)}, 'scrapedFrames', array({frame})) END",
-        }
-    )
+        }.items()}
+    )
     return f"""
 SELECT {K} AS file, {VALID} AS valid, CASE WHEN {VALID} THEN {INITIAL} END AS initialUrl, CASE WHEN {VALID} THEN {FINAL} END AS finalUrl,
   {VALID} AND {TIMEOUT} AS timeout, CASE WHEN {VALID} THEN {STARTED} END AS testStarted, CASE WHEN {VALID} THEN {FINISHED} END AS testFinished,
-  CASE WHEN {VALID} THEN {data} END AS data
+  {data} AS data
 FROM $orders"""
 
 

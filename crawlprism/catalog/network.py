@@ -35,12 +35,11 @@ def top_requests(spark, sf):
 
 @query(
     "top_domains",
-    f"SELECT {q.host('url')} AS host, count(DISTINCT file) AS pages FROM ({LINES}) WHERE {q.storable('url')} "
+    f"SELECT coalesce({q.host('url')}, '') AS host, count(DISTINCT file) AS pages FROM ({LINES}) WHERE {q.valid('url')} "
     "GROUP BY 1 ORDER BY pages DESC, host LIMIT 50",
 )
 def top_domains(spark, sf):
-    r = b.requests(spark, sf).filter(urls.is_storable(F.col("url")))
-    return sm.top_domains(r)
+    return sm.top_domains(b.requests(spark, sf))
 
 
 @query(

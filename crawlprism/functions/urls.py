@@ -18,9 +18,17 @@ _VALID = rf"(?i)(?:{_WEB[4:]}|{_OTHER[4:]})"
 _DEFAULT_PORT = r"^(?:(?:http|ws):(0*80)|(?:https|wss):(0*443)|ftp:(0*21)):?\z"
 
 
+# The usual form of a crawled URL. It needs one cheap test; everything else takes the full grammar.
+_USUAL = r"^https?://[a-z0-9][a-z0-9._\-]*(?=[/?#]|\z)"
+_USUAL_HREF = r"^https?://[a-z0-9][a-z0-9._\-]*/[^\x00-\x20]*\z"
+_DATA = r"^[\x00-\x20]*[dD][aA][tT][aA]:"
+
+
 def _tidy(url: Column) -> Column:
     # Tabs and newlines vanish anywhere in a URL.
-    return F.translate(url, "\t\n\r", "")
+    for gone in "\t\n\r":
+        url = F.replace(url, F.lit(gone), F.lit(""))
+    return url
 
 
 def url_scheme(url: Column) -> Column:
@@ -29,7 +37,7 @@ def url_scheme(url: Column) -> Column:
 
 def is_valid_url(url: Column) -> Column:
     """Would a browser's URL parser accept it? Null counts as invalid."""
-    return F.coalesce(_tidy(url).rlike(_VALID), F.lit(False))
+    return F.coalesce(url.rlike(_USUAL) | _tidy(url).rlike(_VALID), F.lit(False))
 
 
 def url_host(url: Column) -> Column:
@@ -37,7 +45,8 @@ def url_host(url: Column) -> Column:
     u = _tidy(url)
     # Group 3 is the host of a web URL, group 6 that of any other scheme.
     host = F.regexp_replace(u, rf"(?s){_VALID}.*\z", "$3$6")
-    return F.when(u.rlike(_VALID), F.lower(host))
+    usual = F.substring_index(F.regexp_substr(url, F.lit(_USUAL)), "/", -1)
+    return F.coalesce(usual, F.when(u.rlike(_VALID), F.lower(host)))
 
 
 def href(url: Column) -> Column:
@@ -52,7 +61,8 @@ def href(url: Column) -> Column:
     rest = F.regexp_replace(u, _WEB, "")
     path = F.concat(F.when(rest.startswith("/"), "").otherwise("/"), F.replace(rest, F.lit(" "), F.lit("%20")))
     origin = F.concat(scheme, F.lit("://"), F.regexp_extract(u, _WEB, 2), F.lower(F.regexp_extract(u, _WEB, 3)))
-    return F.when(u.rlike(_WEB), F.concat(origin, F.when(usual, "").otherwise(F.concat(F.lit(":"), port)), path)).otherwise(u)
+    full = F.when(u.rlike(_WEB), F.concat(origin, F.when(usual, "").otherwise(F.concat(F.lit(":"), port)), path)).otherwise(u)
+    return F.when(url.rlike(_USUAL_HREF), url).otherwise(full)
 
 
 def page_id(url: Column) -> Column:
@@ -62,7 +72,8 @@ def page_id(url: Column) -> Column:
 
 def is_storable(url: Column) -> Column:
     """D3: valid and not an inlined ``data:`` resource."""
-    return is_valid_url(url) & (url_scheme(url) != "data")
+    u = _tidy(url)
+    return F.coalesce(url.rlike(_USUAL) | (u.rlike(_VALID) & ~u.rlike(_DATA)), F.lit(False))
 
 
 def normalize_frame_url(url: Column) -> Column:

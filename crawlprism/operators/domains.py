@@ -62,8 +62,9 @@ def with_registrable_domain(df: DataFrame, host: Column, out: str, rules: Suffix
     IP addresses and bare suffixes give null.
     """
     h, n = f"_host_{out}", f"_labels_{out}"
-    base = df.withColumn(h, F.when(~host.rlike(r"^(\[.*|[0-9]+(\.[0-9]+){3})$") & (host != ""), host))
-    base = base.withColumn(n, F.size(F.split(h, r"\.")))
+    base = df.withColumn(h, host)
+    base = base.withColumn(h, F.when(F.col(h).rlike(r"[^0-9.]") & ~F.col(h).startswith("["), F.col(h)))
+    base = base.withColumn(n, F.length(h) - F.length(F.replace(h, F.lit("."), F.lit(""))) + 1)
     hits = []
     for k in range(1, rules.depth + 1):
         key, flags = f"_suffix{k}_{out}", f"_rule{k}_{out}"
@@ -74,7 +75,7 @@ def with_registrable_domain(df: DataFrame, host: Column, out: str, rules: Suffix
     exception = F.greatest(F.lit(-1), *[F.when(f["exception"], F.lit(k - 1)) for k, f in hits])
     match = F.greatest(
         F.lit(1),
-        F.lit(1),
+        F.lit(1),  # greatest needs two arguments
         *[F.when(f["plain"], F.lit(k)) for k, f in hits],
         *[F.when(f["wildcard"] & (F.col(n) > k), F.lit(k + 1)) for k, f in hits],
     )

@@ -26,24 +26,18 @@ def _number(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
         return
     row, head_seq, head_init = state.get if state.exists else (0, None, None)
     # A micro-batch may split a group into several frames in any order.
-    events = pd.concat(list(batches)).sort_values("seq", ignore_index=True)
-    events["row"] = row + events["opens"].cumsum()
-    starts = events["opens"] & (~events["continues"] | ((events["row"] == 1) & (head_seq is None)))
-    events["head_seq"] = events["seq"].where(starts).astype("Int64")
-    events["head_initiator"] = events["initiator"].where(starts)
-    group = starts.cumsum()
-    events["head_seq"] = events.groupby(group)["head_seq"].transform("first")
-    first_initiator = events.groupby(group)["head_initiator"].transform(lambda s: s.iloc[0])
-    carried = group == 0
-    events["head_seq"] = events["head_seq"].where(~carried, head_seq)
-    events["head_initiator"] = first_initiator.where(~carried, head_init)
-    last = events.iloc[-1]
-    none = lambda x: None if pd.isna(x) else x
-    last_seq = none(last["head_seq"])
-    state.update((int(last["row"]), None if last_seq is None else int(last_seq), none(last["head_initiator"])))
+    columns = ("seq", "opens", "continues", "initiator", "event")
+    events = sorted((e for b in batches for e in zip(*(b[c].tolist() for c in columns), strict=True)), key=lambda e: e[0])
+    out = []
+    for seq, opens, continues, initiator, event in events:
+        row += opens
+        if opens and (not continues or row == 1):
+            head_seq, head_init = seq, initiator
+        out.append((key[0], key[1], seq, row, head_seq, head_init, event))
+    state.update((int(row), head_seq, head_init))
     state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + page_limit_ms())
-    out = events[["page", "requestId", "seq", "row", "head_seq", "head_initiator", "event"]]
-    yield out.astype({"head_seq": "Int64"})
+    frame = pd.DataFrame(out, columns=["page", "requestId", "seq", "row", "head_seq", "head_initiator", "event"])
+    yield frame.astype({"head_seq": "Int64"})
 
 
 def stream_requests(events: DataFrame, delay: str = "180 seconds") -> DataFrame:
