@@ -151,7 +151,7 @@ def to_frames(spark, sf):
 
 @query("to_popups", f'SELECT page, frame, popup, istop AS "isTop", origin, text, selector FROM ({b.O_POPUPS})')
 def to_popups(spark, sf):
-    return _long(popups(spark, sf))
+    return _long(popups(spark, sf)).drop("buttons")
 
 
 @query("to_buttons", f'SELECT page, frame, popup, button, istop AS "isTop", origin, text, selector FROM ({b.O_BUTTONS})')
@@ -236,7 +236,7 @@ def classify_popups(spark, sf):
 
 
 def labelled(spark, sf):
-    return det.label_popup_buttons(buttons(spark, sf), classified_popups(spark, sf), button_verdicts(spark, sf))
+    return det.label_popup_buttons(classified_popups(spark, sf), button_verdicts(spark, sf))
 
 
 @query(

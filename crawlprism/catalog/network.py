@@ -269,8 +269,8 @@ o AS (SELECT *, CAST(sum(CAST(opens AS INT)) OVER w AS BIGINT) AS ord FROM e WIN
 r AS (SELECT *, cont AND ord > 1 AS chained, lead(url) OVER w AS next_url, lead(cont) OVER w AS next_cont, lag(url) OVER w AS prev_url,
       sum(CASE WHEN cont AND ord > 1 THEN 0 ELSE 1 END) OVER w AS chain FROM o WHERE opens WINDOW w AS (PARTITION BY page, "requestId" ORDER BY seq)),
 hd AS (SELECT *, min(seq) OVER (PARTITION BY page, "requestId", chain) AS head_seq FROM r),
-cors AS (SELECT a.page, a.seq, arg_max(struct_pack(v := p.initiator), p.seq).v AS init FROM hd a JOIN hd p ON p.page = a.page AND p.url = a.url AND p.seq < a.seq
-      AND p.method = 'OPTIONS' AND p.seq = p.head_seq
+cors AS (SELECT a.page, a.seq, arg_max(struct_pack(v := h.initiator), p.seq).v AS init FROM hd a JOIN hd p ON p.page = a.page AND p.url = a.url AND p.seq < a.seq
+      AND p.method = 'OPTIONS' JOIN hd h ON h.page = p.page AND h.seq = p.head_seq
       WHERE a.seq = a.head_seq AND coalesce(a.method, '') <> 'OPTIONS' AND json_extract_string(a.initiator, '$.type') = 'parser' GROUP BY a.page, a.seq),
 early AS (SELECT page, "requestId", arg_max(seq, seq) AS seq FROM o WHERE ord = 0 GROUP BY page, "requestId"),
 slot AS (SELECT page, "requestId", min(ord) AS ord FROM r WHERE kind = 'requestWillBeSent' GROUP BY page, "requestId"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlprism.functions.text import clean_button_text, trim_space
+from crawlprism.operators.shred import unnest_buttons
 from crawlprism.patterns import Family, PatternSet, default_patterns
 
 POPUP_KEY = ["page", "frame", "popup"]
@@ -106,13 +107,14 @@ def classify_popups(popups: DataFrame, verdicts: DataFrame, patterns: PatternSet
 
 
 def label_popup_buttons(
-    buttons: DataFrame, popups: DataFrame, verdicts: DataFrame, patterns: PatternSet | None = None
+    popups: DataFrame, verdicts: DataFrame, patterns: PatternSet | None = None, key: str = "page"
 ) -> DataFrame:
-    """Buttons with their popup's verdicts; both classes are set only where the popup matched."""
-    flags = popups.select(*POPUP_KEY, "regexMatch", "llmMatch")
-    joined = judge_buttons(with_reject_flag(buttons, patterns).join(flags, POPUP_KEY), verdicts)
+    """Buttons of classified popups with their popup's flags; both classes are set only where the
+    popup matched. The buttons travel inside the popup rows, so they never need a join back."""
+    buttons = unnest_buttons(popups, key, "regexMatch", "llmMatch")
+    judged = judge_buttons(with_reject_flag(buttons, patterns), verdicts)
     matched = F.col("regexMatch") | F.col("llmMatch")
-    return joined.withColumn("llmClassification", F.when(matched, F.col("llmClassification"))).withColumn(
+    return judged.withColumn("llmClassification", F.when(matched, F.col("llmClassification"))).withColumn(
         "regexClassification", F.when(matched, classify_label(F.col("label"), patterns))
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlprism.functions.urls import url_host
-from crawlprism.session import broadcast_if_small
+from crawlprism.session import BROADCAST_ROWS, broadcast_if_small
 
 # A starter rule set in the public-suffix format. Pass the full list to
 # ``SuffixRules.read`` for production crawls.
@@ -19,13 +19,32 @@ STARTER_RULES = (
 )
 
 
+_RULE_DDL = "suffix string, plain boolean, wildcard boolean, exception boolean"
+
+
 class SuffixRules:
     """Public-suffix rules as a lookup table: one row per suffix with its three kinds of rule.
 
     ``depth`` is the longest rule in labels; a host is looked up once per depth.
     """
 
-    def __init__(self, rules: DataFrame):
+    def __init__(self, table: DataFrame, depth: int):
+        self.table, self.depth = table, depth
+
+    @classmethod
+    def of(cls, spark: SparkSession, rules: Iterable[str] = STARTER_RULES) -> SuffixRules:
+        """From a list; the size is known, so nothing runs."""
+        kinds: dict[str, list[bool]] = {}
+        for rule in rules:
+            kind = 2 if rule.startswith("!") else 1 if rule.startswith("*.") else 0
+            kinds.setdefault(rule.removeprefix("!").removeprefix("*."), [False] * 3)[kind] = True
+        table = spark.createDataFrame([(s, *k) for s, k in kinds.items()], _RULE_DDL)
+        depth = max((s.count(".") + 1 for s in kinds), default=1)
+        return cls(F.broadcast(table) if len(kinds) <= BROADCAST_ROWS else table, depth)
+
+    @classmethod
+    def of_table(cls, rules: DataFrame) -> SuffixRules:
+        """From a table with one column ``rule``; broadcast only after its size was checked."""
         text = F.trim(F.col("rule"))
         kind = F.when(text.startswith("!"), "exception").when(text.startswith("*."), "wildcard").otherwise("plain")
         table = (
@@ -34,12 +53,8 @@ class SuffixRules:
             .groupBy("suffix")
             .agg(*[F.bool_or(F.col("kind") == k).alias(k) for k in ("plain", "wildcard", "exception")])
         )
-        self.depth = table.agg(F.max(F.size(F.split("suffix", r"\.")))).first()[0] or 1
-        self.table = broadcast_if_small(table)
-
-    @classmethod
-    def of(cls, spark: SparkSession, rules: Iterable[str] = STARTER_RULES) -> SuffixRules:
-        return cls(spark.createDataFrame([(r,) for r in rules], "rule string"))
+        depth = table.agg(F.max(F.size(F.split("suffix", r"\.")))).first()[0] or 1
+        return cls(broadcast_if_small(table), depth)
 
     @classmethod
     def read(cls, spark: SparkSession, path: str, private: bool = False) -> SuffixRules:
@@ -50,7 +65,7 @@ class SuffixRules:
         body = F.col("parts") if private else F.slice("parts", 1, 1)
         rules = lines.select(F.explode(F.split(F.array_join(body, "\n"), "\n")).alias("rule"))
         first = F.regexp_extract("rule", r"^(\S+)", 1)
-        return cls(rules.select(F.lower(first).alias("rule")).filter("rule <> '' AND NOT startswith(rule, '//')"))
+        return cls.of_table(rules.select(F.lower(first).alias("rule")).filter("rule <> '' AND NOT startswith(rule, '//')"))
 
 
 def with_registrable_domain(df: DataFrame, host: Column, out: str, rules: SuffixRules) -> DataFrame:

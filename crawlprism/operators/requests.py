@@ -1,17 +1,21 @@
 """Network debug events to request rows.
 
-Two steps, shared by batch and streaming:
+The steps, shared by batch and streaming:
 
-``route``  decides, from running counts per request id, which request row each event
-           belongs to, and sends every event there (a redirect also to its predecessor);
-``fold``   aggregates what arrived at each row with mergeable aggregates.
+``number_rows``  finds, from running counts per request id, which request row each event belongs to;
+``deliver``      sends every event to its row (a redirect also to its predecessor);
+``fold``         aggregates what arrived at each row.
+
+A batch is first split by page size. Ordinary pages are partitioned by page once; every window
+and aggregation then finds its keys in place, so the log is shuffled a single time. Pages with
+more events than one task should order take a path in which no task holds a whole page.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlprism.functions.network import (
@@ -24,7 +28,8 @@ from crawlprism.functions.network import (
     request_time,
 )
 from crawlprism.functions.urls import is_storable
-from crawlprism.operators.running import SEGMENT, running
+from crawlprism.operators.running import HOT_GROUP, SEGMENT, running, running_segments, split_hot
+from crawlprism.session import materialize
 
 REQUEST, SOCKET = "requestWillBeSent", "webSocketCreated"
 RESPONSE, EXTRA = "responseReceived", "responseReceivedExtraInfo"
@@ -41,24 +46,29 @@ def mark(events: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """Adds ``row`` (request rows of this id so far) and the event that started the redirect chain."""
+def _numbering() -> dict[str, tuple[str, Column]]:
     opened = F.when(F.col("opens"), F.struct("seq", "initiator"))
     started = F.when(F.col("opens") & ~F.col("continues"), F.struct("seq", "initiator"))
-    counted = running(
-        mark(events),
-        ["page", "requestId"],
-        "seq",
-        {
-            "row": ("sum", F.col("opens").cast("bigint")),
-            "_first": ("min", opened),
-            "_head": ("max", started),
-        },
-        segment,
-    )
+    return {"row": ("sum", F.col("opens").cast("bigint")), "_first": ("min", opened), "_head": ("max", started)}
+
+
+def _with_head(counted: DataFrame) -> DataFrame:
     return counted.withColumn("head", F.coalesce("_head", "_first")).drop("_first", "_head")
 
 
+def number_rows(events: DataFrame) -> DataFrame:
+    """Adds ``row`` (request rows of this id so far) and ``head``, the event that began the redirect chain."""
+    w = Window.partitionBy("page", "requestId").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    agg = {"sum": F.sum, "min": F.min, "max": F.max}
+    marked = mark(events)
+    return _with_head(marked.select("*", *[agg[kind](x).over(w).alias(n) for n, (kind, x) in _numbering().items()]))
+
+
+def number_rows_wide(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """The same for pages of any size."""
+    return _with_head(running_segments(mark(events), ["page", "requestId"], "seq", _numbering(), segment))
+
+
 def part_columns() -> list[Column]:
     """Event fields in the shape ``fold`` expects, whatever the event kind."""
     kind = F.col("kind")
@@ -116,13 +126,27 @@ def deliver(numbered: DataFrame) -> DataFrame:
     )
 
 
-def route(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    return deliver(number_rows(events, segment))
-
-
-def place_early(parts: DataFrame) -> DataFrame:
+def settle_early(parts: DataFrame) -> DataFrame:
     """F8: of the events ahead of every request with their id only the latest counts; it belongs
     to the first request row of that id that is not a socket."""
+    w = Window.partitionBy("page", "requestId")
+    own = F.col("role") == "own"
+    latest = F.max(F.when(own & (F.col("row") == 0), F.col("seq"))).over(w)
+    slot = F.min(F.when(own & (F.col("kind") == REQUEST), F.col("row"))).over(w)
+    seen = parts.select("*", latest.alias("_latest"), slot.alias("_slot"))
+    early = own & (F.col("row") == 0)
+    kept = seen.filter((F.col("row") > 0) | (early & (F.col("seq") == F.col("_latest")) & F.col("_slot").isNotNull()))
+    return kept.select(
+        "page",
+        "requestId",
+        F.when(early, F.col("_slot")).otherwise(F.col("row")).alias("row"),
+        F.when(early, "early").otherwise(F.col("role")).alias("role"),
+        *[c for c in parts.columns if c not in (*ROW, "role")],
+    )
+
+
+def settle_early_wide(parts: DataFrame) -> DataFrame:
+    """The same with mergeable aggregates and a join, for pages of any size."""
     own = F.col("role") == "own"
     slots = (
         parts.filter(own)
@@ -140,16 +164,18 @@ def place_early(parts: DataFrame) -> DataFrame:
     return parts.filter("row > 0").unionByName(placed)
 
 
-def unmatched_early(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def unmatched_early(events: DataFrame) -> DataFrame:
     """F8: per page, how many ids had early events and never saw a request."""
-    seen = number_rows(events, segment).groupBy("page", "requestId").agg(
-        F.bool_or(F.col("row") == 0).alias("early"), F.bool_or(F.col("kind") == REQUEST).alias("sent")
+    opens = F.col("opens")
+    seen = mark(events).groupBy("page", "requestId").agg(
+        (F.min(F.when(~opens, F.col("seq"))) < F.coalesce(F.min(F.when(opens, F.col("seq"))), F.lit(2**62))).alias("early"),
+        F.bool_or(F.col("kind") == REQUEST).alias("sent"),
     )
     return seen.groupBy("page").agg(F.count_if(F.col("early") & ~F.col("sent")).alias("unmatched"))
 
 
-def fold(parts: DataFrame) -> DataFrame:
-    """One request row per (page, requestId, row). Every aggregate merges map-side."""
+def fold(settled: DataFrame) -> DataFrame:
+    """One request row per (page, requestId, row), from parts with settled early events."""
     role, kind, seq = F.col("role"), F.col("kind"), F.col("seq")
     opener = (role == "own") & kind.isin(REQUEST, SOCKET)
     event = role.isin("own", "early")
@@ -161,8 +187,7 @@ def fold(parts: DataFrame) -> DataFrame:
     named = typed & (F.coalesce("type", F.lit("")) != "")
 
     rows = (
-        place_early(parts)
-        .groupBy(*ROW)
+        settled.groupBy(*ROW)
         .agg(
             F.max_by(
                 F.struct("seq", "kind", "url", "method", "type", "initiator", "continues", "time", "head"),
@@ -207,43 +232,85 @@ def fold(parts: DataFrame) -> DataFrame:
     )
 
 
-def fix_cors_initiator(requests: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def _preflight() -> Column:
+    return F.col("method") == "OPTIONS"
+
+
+def _misattributed() -> Column:
+    """Requests said to come from the HTML parser; a preflight of theirs knows better."""
+    parser = F.coalesce(F.get_json_object("initiator", "$.type") == "parser", F.lit(False))
+    return parser & ~F.coalesce(_preflight(), F.lit(False))
+
+
+def fix_cors_initiator(requests: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
     """(page, seq, initiator) for requests whose initiator is the HTML parser although an earlier
-    OPTIONS request to the same URL on the page knows the real one.
+    OPTIONS request to the same URL on the page has the real one.
 
     Expects ``page, seq, url, method, initiator``. Only OPTIONS and parser rows take part.
     """
-    preflight = F.col("method") == "OPTIONS"
-    parser = F.coalesce(F.get_json_object("initiator", "$.type") == "parser", F.lit(False))
-    pool = requests.select("page", "seq", "url", "method", "initiator").filter(preflight | parser)
-    found = running(
-        pool, ["page", "url"], "seq", {"_options": ("max", F.when(preflight, F.struct("seq", "initiator")))}, segment
-    )
-    return found.filter(~preflight & F.col("_options").isNotNull()).select(
+    pool = requests.select("page", "seq", "url", "method", "initiator").filter(_preflight() | _misattributed())
+    aggs = {"_options": ("max", F.when(_preflight(), F.struct("seq", "initiator")))}
+    found = running(pool, ["page", "url"], "seq", aggs, limit, segment)
+    return found.filter(_misattributed() & F.col("_options").isNotNull()).select(
         "page", "seq", F.col("_options.initiator").alias("initiator")
     )
 
 
-def inherit_initiators(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def inherit_initiators(rows: DataFrame) -> DataFrame:
     """Chain-head initiators after the CORS fix, for rows of ``fold``."""
-    heads = rows.filter("seq = head_seq")
-    fixed = fix_cors_initiator(heads, segment).select(
+    earlier = Window.partitionBy("page", "url").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    chain = Window.partitionBy("page", "head_seq").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    options = F.max(F.when(_preflight(), F.struct("seq", "initiator"))).over(earlier)
+    # A preflight's initiator counts even where it is null.
+    fixed = F.when(_misattributed() & F.col("_options").isNotNull(), F.col("_options.initiator")).otherwise(F.col("initiator"))
+    seen = rows.withColumn("_options", options).withColumn("_own", F.struct(fixed.alias("v")))
+    return seen.withColumn("initiator", F.first("_own").over(chain)["v"]).select(*rows.columns)
+
+
+def inherit_initiators_wide(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """The same with joins, for pages of any size."""
+    fixed = fix_cors_initiator(rows, 0, segment).select(
         "page", F.col("seq").alias("head_seq"), F.struct("initiator").alias("_fixed")
     )
     joined = rows.join(fixed, ["page", "head_seq"], "left")
-    # The preflight's initiator counts even where it is null.
     initiator = F.when(F.col("_fixed").isNotNull(), F.col("_fixed.initiator")).otherwise(F.col("initiator"))
     return joined.withColumn("initiator", initiator).select(*rows.columns)
 
 
+def request_rows(events: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
+    """F5-F8 over a batch: request rows with their final initiators, before URL and header filters."""
+    usual, hot = split_hot(events, ["page"], limit)
+    rows = _rows_of_pages(deliver(number_rows(usual.repartition("page"))))
+    if hot is None:
+        return rows
+    numbered = materialize(number_rows_wide(hot, segment), "numbered-events")
+    return rows.unionByName(_rows_of_hot_pages(deliver(numbered), segment))
+
+
+def rows_of_parts(parts: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
+    """Request rows from stored parts (``deliver``), as a stream leaves them."""
+    usual, hot = split_hot(parts, ["page"], limit)
+    rows = _rows_of_pages(usual.repartition("page"))
+    return rows if hot is None else rows.unionByName(_rows_of_hot_pages(hot, segment))
+
+
+def _rows_of_pages(parts: DataFrame) -> DataFrame:
+    return inherit_initiators(fold(settle_early(parts)))
+
+
+def _rows_of_hot_pages(parts: DataFrame, segment: int) -> DataFrame:
+    # The rows are read twice by the initiator join, so they are written once.
+    rows = materialize(fold(settle_early_wide(parts)), "request-rows")
+    return inherit_initiators_wide(rows, segment)
+
+
 def finish(
     rows: DataFrame,
     safelist: Sequence[str] = SAVED_HEADERS,
     url_filter: Callable[[Column, Column], Column] | None = None,
-    segment: int = SEGMENT,
 ) -> DataFrame:
     """Final request records: storable URLs only, clean sizes, safelisted headers, flat initiators."""
-    kept = inherit_initiators(rows, segment).filter(is_storable(F.col("url")))
+    kept = rows.filter(is_storable(F.col("url")))
     if url_filter is not None:
         kept = kept.filter(url_filter(F.col("page"), F.col("url")))
     headers = filter_headers(normalize_headers(F.col("headers")), safelist)
@@ -271,27 +338,26 @@ def assemble_requests(
     events: DataFrame,
     safelist: Sequence[str] = SAVED_HEADERS,
     url_filter: Callable[[Column, Column], Column] | None = None,
+    limit: int = HOT_GROUP,
     segment: int = SEGMENT,
 ) -> DataFrame:
     """The full request table of an event log."""
-    return finish(fold(route(events, segment)), safelist, url_filter, segment)
+    return finish(request_rows(events, limit, segment), safelist, url_filter)
 
 
-def stitch_redirects(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def stitch_redirects(events: DataFrame) -> DataFrame:
     """request rows with their redirect edges only."""
-    return fold(route(events, segment)).select(
-        "page", "requestId", "seq", "url", "status", "redirectedFrom", "redirectedTo"
-    )
+    return request_rows(events).select("page", "requestId", "seq", "url", "status", "redirectedFrom", "redirectedTo")
 
 
-def attach_responses(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def attach_responses(events: DataFrame) -> DataFrame:
     """request rows with what their responses, failures and completions say."""
-    return fold(route(events, segment)).select(
+    return request_rows(events).select(
         "page", "requestId", "seq", "type", "status", "remoteIPAddress", "size", "failureReason", "start", "end"
     )
 
 
-def merge_early_events(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def merge_early_events(events: DataFrame) -> DataFrame:
     """F8: the early event each request row received, if any."""
-    placed = place_early(route(events, segment)).filter("role = 'early'")
-    return placed.select("page", "requestId", "row", "kind", F.col("seq").alias("early_seq"))
+    settled = settle_early(deliver(number_rows(events.repartition("page")))).filter("role = 'early'")
+    return settled.select("page", "requestId", "row", "kind", F.col("seq").alias("early_seq"))

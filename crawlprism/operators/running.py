@@ -7,14 +7,61 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawlprism.session import broadcast_if_small, materialize
+
 # Width of one segment of the ordering column. A group is never held by fewer
 # tasks than it has segments, however large it grows.
 SEGMENT = 100_000
 
+# Rows a group may have and still be ordered by a single task.
+HOT_GROUP = 1_000_000
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP) -> DataFrame | None:
+    """Keys of groups with more than ``limit`` rows, or None when there are none.
+
+    The count reads only the key columns and combines map-side. At most one key per ``limit``
+    input rows can come back.
+    """
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
+    hot = materialize(hot, "hot-groups")
+    return None if hot.isEmpty() else hot
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups or None)."""
+    hot = hot_groups(df, keys, limit)
+    if hot is None:
+        return df, None
+    hot = broadcast_if_small(hot)
+    return df.join(hot, list(keys), "left_anti"), materialize(df.join(hot, list(keys), "left_semi"), "hot-rows")
+
+
 def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    aggs: Mapping[str, tuple[str, Column]],
+    limit: int = HOT_GROUP,
+    segment: int = SEGMENT,
+) -> DataFrame:
+    """Adds running ``sum``/``max``/``min`` columns per ``keys`` in ``order`` (current row included).
+
+    Ordinary groups use a window. Groups with more than ``limit`` rows are cut into segments.
+    """
+    usual, hot = split_hot(df, keys, limit)
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    cols = [
+        (F.coalesce(F.sum(x).over(w), F.lit(0)) if kind == "sum" else _AGG[kind](x).over(w)).alias(name)
+        for name, (kind, x) in aggs.items()
+    ]
+    out = usual.select(*df.columns, *cols)
+    return out if hot is None else out.unionByName(running_segments(hot, keys, order, aggs, segment))
+
+
+def running_segments(
     df: DataFrame,
     keys: Sequence[str],
     order: str,

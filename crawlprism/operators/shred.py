@@ -1,6 +1,6 @@
 """Nested page records to fact tables. All narrow: one pass, no shuffle.
 
-Input is a page table (``schemas.PAGE_DDL``); every output row carries ``pageId``.
+Input is a page table (``schemas.PAGE_DDL``) from ``loadable``; every output row carries ``pageId``.
 ``crawlId`` is a constant column that becomes the storage partition.
 """
 
@@ -36,14 +36,23 @@ def _list(c: str | Column) -> Column:
 
 
 def loadable(pages: DataFrame, crawl_id: str) -> DataFrame:
-    """Pages that can be stored (they have an initial URL), with their ids."""
-    kept = pages.filter(F.coalesce("initialUrl", F.lit("")) != "")
-    return kept.withColumn("crawlId", F.lit(crawl_id)).withColumn("pageId", page_id(F.col("initialUrl")))
+    """Pages that can be stored: they have an initial URL."""
+    return pages.filter(F.coalesce("initialUrl", F.lit("")) != "").withColumn("crawlId", F.lit(crawl_id))
+
+
+def _keyed(p: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns with the page key. The key is computed behind the projection, so that a
+    columnar scan reads nothing of the document but these columns."""
+    return p.select("crawlId", "initialUrl", *columns).withColumn("pageId", page_id(F.col("initialUrl")))
+
+
+def _section(p: DataFrame, path: str, *columns: str) -> DataFrame:
+    return _keyed(p, *columns, F.col(f"data.{path}").alias("section")).filter("section IS NOT NULL")
 
 
 def to_pages(p: DataFrame) -> DataFrame:
     """C1."""
-    return p.select(
+    return _keyed(p, "testStarted", "testFinished", "finalUrl", "timeout").select(
         "crawlId",
         "pageId",
         F.timestamp_millis("testStarted").alias("testStarted"),
@@ -56,7 +65,7 @@ def to_pages(p: DataFrame) -> DataFrame:
 
 def to_requests(p: DataFrame) -> DataFrame:
     """``requestId`` is the position in the document."""
-    r = p.select("crawlId", "pageId", F.posexplode("data.requests").alias("requestId", "r"))
+    r = _section(p, "requests").select("crawlId", "pageId", F.posexplode("section").alias("requestId", "r"))
     headers = F.coalesce(F.to_json("r.responseHeaders"), F.lit("{}"))
     return r.select(
         "crawlId",
@@ -80,21 +89,18 @@ def to_requests(p: DataFrame) -> DataFrame:
 
 def to_elements(p: DataFrame) -> DataFrame:
     """C3."""
-    return p.filter("data.elements IS NOT NULL").select(
-        "crawlId", "pageId", _list("data.elements.present").alias("present"), _list("data.elements.visible").alias("visible")
+    return _section(p, "elements").select(
+        "crawlId", "pageId", _list("section.present").alias("present"), _list("section.visible").alias("visible")
     )
 
 
 def to_cmps(p: DataFrame) -> DataFrame:
     """C4: popup flags hold for the page when any of its frames has them."""
-    frames = F.col("data.cookiepopups.scrapedFrames")
-    any_frame = lambda f: F.coalesce(F.exists(frames, lambda x: F.coalesce(x[f], F.lit(False))), F.lit(False))
-    rows = p.select(
-        "crawlId",
-        "pageId",
-        any_frame("llmPopupDetected").alias("llmPopupDetected"),
-        any_frame("regexPopupDetected").alias("regexPopupDetected"),
-        F.explode("data.cookiepopups.cmps").alias("c"),
+    flags = [F.col(f"data.cookiepopups.scrapedFrames.{f}").alias(f) for f in ("llmPopupDetected", "regexPopupDetected")]
+    any_frame = lambda f: F.coalesce(F.array_contains(f, True), F.lit(False)).alias(f)
+    pages = _keyed(p, *flags, F.col("data.cookiepopups.cmps").alias("section"))
+    rows = pages.select(
+        "crawlId", "pageId", any_frame("llmPopupDetected"), any_frame("regexPopupDetected"), F.explode("section").alias("c")
     )
     return rows.select(
         "crawlId",
@@ -110,7 +116,8 @@ def to_cmps(p: DataFrame) -> DataFrame:
 
 def to_performance(p: DataFrame) -> DataFrame:
     """One row per frame and timed phase; missing phases count as (0, 0)."""
-    entry = p.select("crawlId", "pageId", "finalUrl", "initialUrl", F.explode("data.cookiepopups.performance").alias("e"))
+    pages = _section(p, "cookiepopups.performance", "finalUrl")
+    entry = pages.select("crawlId", "pageId", "finalUrl", "initialUrl", F.explode("section").alias("e"))
     phases = F.explode(F.array(*[F.struct(F.lit(m).alias("measurement"), F.col(f"e.{m}").alias("values")) for m in MEASURES]))
     blank = lambda c: F.nullif(F.col(c), F.lit(""))
     rows = entry.select(
@@ -134,13 +141,13 @@ def to_performance(p: DataFrame) -> DataFrame:
 
 def to_api_call_stats(p: DataFrame) -> DataFrame:
     """C6."""
-    rows = p.select("crawlId", "pageId", F.explode("data.apis.callStats").alias("source", "calls"))
+    rows = _section(p, "apis.callStats").select("crawlId", "pageId", F.explode("section").alias("source", "calls"))
     return rows.select("crawlId", "pageId", "source", F.to_json("calls").alias("stats"))
 
 
 def to_api_saved_calls(p: DataFrame) -> DataFrame:
     """Arguments may be an array or a JSON string holding one."""
-    rows = p.select("crawlId", "pageId", F.posexplode("data.apis.savedCalls").alias("callId", "c"))
+    rows = _section(p, "apis.savedCalls").select("crawlId", "pageId", F.posexplode("section").alias("callId", "c"))
     raw = F.col("c.arguments")
     unwrapped = F.when(raw.startswith('"'), F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>")[0])
     args = F.from_json(F.coalesce(unwrapped, raw), "array<string>")
@@ -151,13 +158,13 @@ def to_api_saved_calls(p: DataFrame) -> DataFrame:
 
 def to_cookies(p: DataFrame) -> DataFrame:
     """C8."""
-    rows = p.select("crawlId", "pageId", F.posexplode("data.cookies").alias("cookieId", "c"))
+    rows = _section(p, "cookies").select("crawlId", "pageId", F.posexplode("section").alias("cookieId", "c"))
     return rows.select("crawlId", "pageId", "cookieId", F.to_json("c").alias("cookie"))
 
 
 def to_targets(p: DataFrame) -> DataFrame:
     """C9."""
-    rows = p.select("crawlId", "pageId", F.posexplode("data.targets").alias("targetId", "t"))
+    rows = _section(p, "targets").select("crawlId", "pageId", F.posexplode("section").alias("targetId", "t"))
     return rows.select("crawlId", "pageId", "targetId", "t.url", "t.type")
 
 
@@ -188,24 +195,33 @@ def keep_frames(frames: Column) -> Column:
     )
 
 
+def _frames(pages: DataFrame, key: str) -> DataFrame:
+    frames = pages.select(key, F.col("data.cookiepopups.scrapedFrames").alias("section"))
+    return frames.select(key, F.posexplode("section").alias("frame", "f"))
+
+
 def to_frames(pages: DataFrame, key: str = "page") -> DataFrame:
     """Scraped frames with their position."""
-    rows = pages.select(key, F.posexplode("data.cookiepopups.scrapedFrames").alias("frame", "f"))
+    rows = _frames(pages, key)
     return rows.select(
         key, "frame", "f.isTop", "f.origin", "f.cleanedText", F.coalesce(F.size("f.buttons"), F.lit(0)).alias("buttonCount")
     )
 
 
 def to_popups(pages: DataFrame, key: str = "page") -> DataFrame:
-    """Popup elements with frame and popup positions."""
-    rows = pages.select(key, F.posexplode("data.cookiepopups.scrapedFrames").alias("frame", "f"))
+    """Popup elements with frame and popup positions; their buttons stay nested."""
+    rows = _frames(pages, key)
     rows = rows.select(key, "frame", "f.isTop", "f.origin", F.posexplode("f.potentialPopups").alias("popup", "p"))
-    return rows.select(key, "frame", "isTop", "origin", "popup", "p.text", "p.selector")
+    return rows.select(key, "frame", "isTop", "origin", "popup", "p.text", "p.selector", "p.buttons")
 
 
 def to_buttons(pages: DataFrame, key: str = "page") -> DataFrame:
     """Popup buttons with frame, popup and button positions."""
-    rows = pages.select(key, F.posexplode("data.cookiepopups.scrapedFrames").alias("frame", "f"))
-    rows = rows.select(key, "frame", "f.isTop", "f.origin", F.posexplode("f.potentialPopups").alias("popup", "p"))
-    rows = rows.select(key, "frame", "isTop", "origin", "popup", F.posexplode("p.buttons").alias("button", "b"))
-    return rows.select(key, "frame", "isTop", "origin", "popup", "button", "b.text", "b.selector")
+    return unnest_buttons(to_popups(pages, key), key)
+
+
+def unnest_buttons(popups: DataFrame, key: str = "page", *carry: str) -> DataFrame:
+    """One row per button of a popup table; ``carry`` columns of the popup come along."""
+    place = [key, "frame", "isTop", "origin", "popup", *carry]
+    rows = popups.select(*place, F.posexplode("buttons").alias("button", "b"))
+    return rows.select(*place, "button", "b.text", "b.selector")

@@ -9,6 +9,7 @@ several sites are then resolved to the first file.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import islice
 
 from pyspark.sql import DataFrame, Window
@@ -65,38 +66,41 @@ def _compiles(pattern: str) -> bool:
         return False
 
 
-def _finds(pattern: str):
-    return lambda origin: origin.rlike(pattern)
-
-
-def _match_residual(sites: DataFrame, rules: DataFrame) -> DataFrame:
+def _match_residual(sites: DataFrame, frames: DataFrame | None, rules: DataFrame) -> DataFrame:
     """Hand-written patterns: literal regex tests in one projection per batch, so every pattern is
     compiled once and no site-rule pairs are formed that do not match. Patterns stream through the
     driver a batch at a time; all batches run, however many there are."""
-    hits = None
+    hits = []
+
+    def collect(rows: DataFrame, tests: list) -> None:
+        if tests:
+            hits.append(rows.select("file", F.explode(F.array_compact(F.array(*tests))).alias("name")))
+
     stream = rules.select("name", "urlPattern", "inFrame", "vendorUrls").toLocalIterator()
-    while batch := [r for r in islice(stream, PATTERN_BATCH)]:
-        tests = []
+    while batch := list(islice(stream, PATTERN_BATCH)):
+        # An invalid pattern matches nothing.
+        batch = [r for r in batch if _compiles(r.urlPattern)]
+        on_site, on_frame = [], []
         for r in batch:
-            if not _compiles(r.urlPattern):
-                continue  # an invalid pattern matches nothing
             found = F.col("initialUrl").rlike(r.urlPattern) | F.col("finalUrl").rlike(r.urlPattern)
-            if r.inFrame:
-                found = found | F.exists("origins", _finds(r.urlPattern))
             if r.vendorUrls:
                 found = found | F.col("initialUrl").isin(r.vendorUrls) | F.col("finalUrl").isin(r.vendorUrls)
-            tests.append(F.when(found, F.lit(r.name)))
-        if tests:
-            part = sites.select("file", F.explode(F.array_compact(F.array(*tests))).alias("name"))
-            hits = part if hits is None else hits.unionByName(part)
-    return hits if hits is not None else sites.select("file", F.lit(None).cast("string").alias("name")).limit(0)
+            on_site.append(F.when(found, F.lit(r.name)))
+            if r.inFrame:
+                on_frame.append(F.when(F.col("origin").rlike(r.urlPattern), F.lit(r.name)))
+        collect(sites, on_site)
+        if frames is not None:
+            collect(frames, on_frame)
+    none = sites.select("file", F.lit(None).cast("string").alias("name")).limit(0)
+    return reduce(DataFrame.unionByName, hits) if hits else none
 
 
 def match_rules(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = None) -> DataFrame:
     """(file, name) of rules that match a site, from ``rule_table`` rows with a URL pattern.
 
     Generated patterns are an equi-join on the host, vendor URLs one on the URL; only
-    hand-written patterns are tested as regular expressions.
+    hand-written patterns are tested as regular expressions. ``frames(file, origin)`` must belong
+    to the given sites.
     """
     usable = rules.filter(F.coalesce("urlPattern", F.lit("")) != "")
     by_host = (
@@ -110,13 +114,7 @@ def match_rules(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = N
         .join(usable.filter("host IS NOT NULL").select("name", F.explode(F.array_distinct("vendorUrls")).alias("vendorUrl")), "vendorUrl")
         .select("file", "name")
     )
-    origins = (
-        frames.groupBy("file").agg(F.collect_set("origin").alias("origins"))
-        if frames is not None
-        else sites.select("file", F.array().cast("array<string>").alias("origins"))
-    )
-    with_origins = sites.join(origins, "file", "left")
-    by_pattern = _match_residual(with_origins, usable.filter("host IS NULL"))
+    by_pattern = _match_residual(sites, frames, usable.filter("host IS NULL"))
     return by_host.unionByName(by_vendor).unionByName(by_pattern).distinct()
 
 
@@ -195,7 +193,7 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, rules: DataFrame, matches
     # Number the open selectors of a site; positions become one integer for the running count.
     ordered = cands.withColumn("_pos", (F.col("frame").cast("bigint") * 1_000_000 + F.col("popup")) * 1_000_000 + F.col("button"))
     fresh = ~F.col("_kept") & F.col("usable")
-    counted = running(ordered, ["file"], "_pos", {"_k": ("sum", fresh.cast("bigint"))}, 10**12)
+    counted = running(ordered, ["file"], "_pos", {"_k": ("sum", fresh.cast("bigint"))}, segment=10**12)
     slots = matched.filter(in_region).select(
         "file",
         F.row_number().over(Window.partitionBy("file").orderBy("name")).cast("bigint").alias("_k"),
@@ -333,5 +331,6 @@ def generate_rules(
     open_sites = sites.join(known_cmp(cmps), "file", "left_anti")
     open_buttons = materialize(buttons.join(open_sites.select("file"), "file", "left_semi"), "reject-buttons")
     with_popups = open_sites.join(open_buttons.select("file").distinct(), "file", "left_semi")
-    matches = materialize(match_rules(with_popups, table, frames), "rule-matches")
+    open_frames = frames.join(with_popups.select("file"), "file", "left_semi")
+    matches = materialize(match_rules(with_popups, table, open_frames), "rule-matches")
     return materialize(resolve_duplicates(decide_rules(open_buttons, with_popups, table, matches, region)), "decisions")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from crawlprism.functions.urls import is_valid_url, url_host
 from crawlprism.operators.domains import SuffixRules, cookie_host, is_third_party, with_registrable_domain
 from crawlprism.schemas import ARRAY_SECTIONS, SECTIONS
+from crawlprism.session import materialize
 
 # Fixed value: length of the top lists.
 TOP = 50
@@ -39,11 +40,13 @@ def section_sizes(docs: DataFrame) -> DataFrame:
     callers that keep the raw key list pass it as ``sections``.
     """
     has_keys = "sections" in docs.columns
-    entry = lambda s: F.struct(
-        F.lit(s).alias("section"),
-        F.col(f"data.{s}").isNull().alias("failed"),
-        (F.size(f"data.{s}") if s in ARRAY_SECTIONS else F.lit(None)).cast("bigint").alias("entries"),
-    )
+
+    def entry(s: str):
+        # The length of a list shows in its smallest field, so only that is read.
+        here = F.col(f"data.{s}.{ARRAY_SECTIONS[s]}" if s in ARRAY_SECTIONS else f"data.{s}")
+        entries = (F.size(here) if s in ARRAY_SECTIONS else F.lit(None)).cast("bigint")
+        return F.struct(F.lit(s).alias("section"), here.isNull().alias("failed"), entries.alias("entries"))
+
     rows = docs.select("file", "finalUrl", *(["sections"] if has_keys else []), F.explode(F.array(*[entry(s) for s in SECTIONS])).alias("s"))
     if has_keys:
         rows = rows.filter(F.array_contains("sections", F.col("s.section")))
@@ -177,12 +180,19 @@ def page_rows(docs: DataFrame) -> DataFrame:
 
 
 def crawl_summary(docs: DataFrame, rules: SuffixRules) -> dict[str, DataFrame]:
-    """All reports over a scanned crawl (``scan_crawl``), keyed by their name in the summary document."""
+    """All reports over a crawl, keyed by their name in the summary document.
+
+    Pass a staged crawl (``stage_crawl``): each report then reads its own columns only.
+    """
     ok = docs.filter("valid")
-    entries = lambda s: ok.select("file", "finalUrl", F.explode(f"data.{s}").alias("e")).select(
-        "file", "finalUrl", "e.*"
-    )
-    requests, cookies, sizes = entries("requests"), entries("cookies"), section_sizes(ok)
+
+    def entries(s: str) -> DataFrame:
+        section = ok.select("file", "finalUrl", F.col(f"data.{s}").alias("s"))
+        return section.select("file", "finalUrl", F.explode("s").alias("e")).select("file", "finalUrl", "e.*")
+
+    requests, cookies = entries("requests"), entries("cookies")
+    # Three reports read the sizes, which take a pass over all sections.
+    sizes = materialize(section_sizes(ok), "section-sizes")
     overall = global_stats(page_rows(docs))
     return {
         "global": overall,

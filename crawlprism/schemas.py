@@ -51,7 +51,8 @@ SECTIONS = {
         f"struct<cmps:array<{_CMP}>,performance:array<{_PERFORMANCE}>,scrapedFrames:array<{_FRAME}>>"
     ),
 }
-ARRAY_SECTIONS = ("requests", "cookies", "targets")
+# Sections that are lists, with their smallest field.
+ARRAY_SECTIONS = {"requests": "method", "cookies": "session", "targets": "type"}
 
 PAGE_DDL = (
     "initialUrl string, finalUrl string, timeout boolean, testStarted bigint, testFinished bigint, "

@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlprism.operators.shred import FACT_TABLES
+from crawlprism.operators.shred import FACT_TABLES, shred
+from crawlprism.session import materialize
+from crawlprism.sources.scans import scan_crawl
 
 
 def write_crawl_tables(tables: Mapping[str, DataFrame], root: str, sort: bool = True) -> None:
@@ -26,6 +28,17 @@ def create_crawl(spark: SparkSession, root: str, crawl_id: str, name: str = "",
     row.withColumn("startedOn", F.current_date()).write.partitionBy("crawlId").mode("append").parquet(f"{root}/crawls")
 
 
+def stage_crawl(spark: SparkSession, folder: str) -> DataFrame:
+    """Page files parsed once into Parquet. Reports and fact tables then read single columns of it."""
+    return materialize(scan_crawl(spark, folder), "parsed-pages")
+
+
+def load_crawl(spark: SparkSession, folder: str, root: str, crawl_id: str, name: str = "", region: str = "") -> None:
+    """Page files to stored tables, by way of a staged copy of which each fact table reads its section."""
+    create_crawl(spark, root, crawl_id, name, region)
+    write_crawl_tables(shred(stage_crawl(spark, folder).filter("valid"), crawl_id), root)
+
+
 def default_crawl_id(started_iso: str, host: str) -> str:
     return f"{started_iso}-{host}"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,50 +12,65 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from crawlprism.operators.apis import attributed_calls
 from crawlprism.operators.consent import DETECTED
-from crawlprism.operators.requests import deliver, finish, fold, mark
+from crawlprism.operators.requests import deliver, finish, mark, rows_of_parts
 from crawlprism.operators.shred import shred
 from crawlprism.plans.progress import page_limit_ms
 
-# State of one (page, requestId): rows opened so far and where the current chain began.
-_STATE = "row bigint, head_seq bigint, head_initiator string"
+# State of one slice of a page, as JSON: request id -> [rows opened so far, where the current chain began].
+_STATE = "ids string"
+# Slices per page. A page is short, but a page that floods the stream is still spread over tasks.
+PAGE_SLICES = 4
+_EVENT = ("requestId", "seq", "at_ms", "opens", "continues", "initiator", "event")
+_NUMBERED = ["page", "requestId", "seq", "row", "head_seq", "head_initiator", "event"]
 
 
 def _number(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Running row number and chain head of one request id, continued from its state."""
+    """Running row number and chain head per request id, continued from the state."""
     if state.hasTimedOut:
         state.remove()
         return
-    row, head_seq, head_init = state.get if state.exists else (0, None, None)
+    ids = json.loads(state.get[0]) if state.exists else {}
     # A micro-batch may split a group into several frames in any order.
-    columns = ("seq", "opens", "continues", "initiator", "event")
-    events = sorted((e for b in batches for e in zip(*(b[c].tolist() for c in columns), strict=True)), key=lambda e: e[0])
-    out = []
-    for seq, opens, continues, initiator, event in events:
-        row += opens
+    events = sorted((e for b in batches for e in zip(*(b[c].tolist() for c in _EVENT), strict=True)), key=lambda e: e[1])
+    out, last_ms = [], 0
+    for rid, seq, at_ms, opens, continues, initiator, event in events:
+        row, head_seq, head_init = ids.get(rid, (0, None, None))
+        row += bool(opens)
         if opens and (not continues or row == 1):
             head_seq, head_init = seq, initiator
-        out.append((key[0], key[1], seq, row, head_seq, head_init, event))
-    state.update((int(row), head_seq, head_init))
-    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + page_limit_ms())
-    frame = pd.DataFrame(out, columns=["page", "requestId", "seq", "row", "head_seq", "head_initiator", "event"])
-    yield frame.astype({"head_seq": "Int64"})
+        ids[rid] = (row, head_seq, head_init)
+        last_ms = max(last_ms, at_ms)
+        out.append((key[0], rid, seq, row, head_seq, head_init, event))
+    state.update((json.dumps(ids),))
+    state.setTimeoutTimestamp(max(last_ms + page_limit_ms(), state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame(out, columns=_NUMBERED).astype({"head_seq": "Int64"})
 
 
-def stream_requests(events: DataFrame, delay: str = "180 seconds") -> DataFrame:
-    """Event stream to request parts (the input of ``fold``), appended as events arrive.
+def stream_requests(events: DataFrame, delay: str = "180 seconds", slices: int = PAGE_SLICES) -> DataFrame:
+    """Event stream to request parts, appended as events arrive; ``requests_of`` turns the parts
+    written so far into requests.
 
     State per request id is three values, whatever the number of events; it expires once the
-    page can no longer send any. ``requests_of`` turns the parts written so far into requests.
-    The delay is the longest a page may take (I6); later events are dropped.
+    page can no longer send any. The delay is the longest a page may take (I6); later events
+    are dropped.
     """
     fields = [c for c in events.columns if c not in ("page", "requestId", "seq", "ts")]
     slim = mark(events.withWatermark("ts", delay)).select(
-        "page", "requestId", "seq", "ts", "opens", "continues", "initiator", F.to_json(F.struct(*fields)).alias("event")
+        "page",
+        F.pmod(F.xxhash64("requestId"), F.lit(slices)).alias("slice"),
+        "requestId",
+        "seq",
+        "ts",
+        F.unix_millis("ts").alias("at_ms"),
+        "opens",
+        "continues",
+        "initiator",
+        F.to_json(F.struct(*fields)).alias("event"),
     )
     schema = (
         "page string, requestId string, seq bigint, row bigint, head_seq bigint, head_initiator string, event string"
     )
-    numbered = slim.groupBy("page", "requestId").applyInPandasWithState(
+    numbered = slim.groupBy("page", "slice").applyInPandasWithState(
         _number, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema if f.name in fields)
@@ -67,7 +83,7 @@ def stream_requests(events: DataFrame, delay: str = "180 seconds") -> DataFrame:
 
 def requests_of(parts: DataFrame, **kwargs) -> DataFrame:
     """Request records from stored parts; equal to the batch result over the same events."""
-    return finish(fold(parts), **kwargs)
+    return finish(rows_of_parts(parts), **kwargs)
 
 
 def stream_call_stats(calls: DataFrame) -> DataFrame:

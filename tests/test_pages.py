@@ -119,6 +119,25 @@ def test_tables_create_and_delete(spark, crawl, tmp_path):
     assert sinks.delete_crawl(spark, root, "absent") == []
 
 
+def test_load_reads_each_section_alone(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for name, doc in DOCS.items():
+        (folder / name).write_text(json.dumps(doc))
+    sinks.load_crawl(spark, str(folder), root, "k", region="GB")
+    assert spark.read.parquet(f"{root}/requests").count() == 5
+    docs = scans.scan_crawl(spark, str(folder))
+    docs.write.parquet(str(tmp_path / "parsed"))
+    back = spark.read.parquet(str(tmp_path / "parsed"))
+    own = {"requests": "requests", "cmps": "cookiepopups", "apiSavedCalls": "apis", "apiCallStats": "apis", "cookies": "cookies",
+           "targets": "targets", "elements": "elements", "consentPerformance": "cookiepopups"}
+    for table, df in shred.shred(back, "k").items():
+        schema = df._jdf.queryExecution().executedPlan().collectLeaves().head().requiredSchema().json()
+        read = {f["name"]: f["type"] for f in json.loads(schema)["fields"]}
+        sections = [f["name"] for f in read["data"]["fields"]] if "data" in read else []
+        assert sections == ([own[table]] if table in own else []), table
+
+
 def test_screenshots_move_out(spark, crawl, tmp_path):
     images = sinks.write_page_json(crawl.filter("valid"), str(tmp_path))
     assert [bytes(r.content) for r in images.collect()] == [b"img"]
@@ -157,7 +176,8 @@ def test_suffix_file(spark, tmp_path):
 def test_large_rule_sets_join_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr("crawlprism.operators.domains.broadcast_if_small", lambda df: df)
     df = spark.createDataFrame([("a.b.co.uk",)], "h string")
-    assert dom.with_registrable_domain(df, F.col("h"), "d", dom.SuffixRules.of(spark, RULES)).first().d == "b.co.uk"
+    table = spark.createDataFrame([(r,) for r in RULES], "rule string")
+    assert dom.with_registrable_domain(df, F.col("h"), "d", dom.SuffixRules.of_table(table)).first().d == "b.co.uk"
 
 
 def test_third_party(spark):

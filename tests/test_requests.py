@@ -143,8 +143,10 @@ def random_events(seed, pages=4, ids=5, n=600):
         if kind in (req.REQUEST, req.SOCKET):
             e |= {"url": f"https://u{rnd.randrange(3)}.com/", "initiator": f'{{"type":"script","url":"https://i{seq}.com/"}}'}
         if kind == req.REQUEST:
-            e |= {"method": "GET", "type": rnd.choice(["Script", "Image"])}
+            e |= {"method": rnd.choice(["GET", "GET", "OPTIONS"]), "type": rnd.choice(["Script", "Image"])}
             if rnd.random() < 0.4:
+                e["initiator"] = e["initiator"].replace("script", "parser")
+            if rnd.random() < 0.4 and e["method"] == "GET":
                 e["redirectResponse"] = answer(300 + seq % 9, f"ip{seq}", {"etag": f"r{seq}"})
         if kind == req.RESPONSE:
             e |= {"type": rnd.choice([None, "Document"]), "response": answer(200 + seq % 9, f"ip{seq}", {"etag": f"s{seq}"})}
@@ -179,8 +181,11 @@ def replay(events):
     for e in events:
         k = e["kind"]
         if k == req.REQUEST:
-            new = {"page": e["page"], "id": e["requestId"], "seq": e["seq"], "url": e["url"], "method": "GET", "type": e["type"],
+            new = {"page": e["page"], "id": e["requestId"], "seq": e["seq"], "url": e["url"], "method": e["method"], "type": e["type"],
                    "start": e["time"], "init": e["initiator"]}
+            if e["method"] != "OPTIONS" and "parser" in e["initiator"]:
+                seen = [r for r in rows if r["page"] == e["page"] and r.get("method") == "OPTIONS" and r["url"] == e["url"]]
+                new["init"] = seen[-1]["init"] if seen else e["initiator"]
             prev = last(e)
             if e.get("redirectResponse") and prev is not None:
                 respond(prev, e["type"], e["redirectResponse"])
@@ -236,11 +241,16 @@ def table(df):
     }
 
 
-@pytest.mark.parametrize("segment", [7, 100_000])
-def test_random_logs(spark, segment):
-    """Tiny segments force groups to be cut, as a huge group would be."""
+@pytest.mark.parametrize("limit", [10_000, 150, 0])
+def test_random_logs(spark, limit):
+    """No page, the hot page, and every page over the size limit; tiny segments cut every group."""
     events = random_events(11)
-    assert table(req.assemble_requests(frame(spark, events), segment=segment)) == replay_with_slots(events)
+    assert table(req.assemble_requests(frame(spark, events), limit=limit, segment=7)) == replay_with_slots(events)
+
+
+def test_ordinary_pages_are_shuffled_once(spark):
+    plan = req.assemble_requests(frame(spark, random_events(1)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_stream_equals_batch(spark, tmp_path):
