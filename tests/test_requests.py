@@ -257,7 +257,7 @@ def test_stream_equals_batch(spark, tmp_path):
     """The log arrives in several micro-batches; state carries numbering across them."""
     events = random_events(5, n=400)
     for n in range(4):
-        part = frame(spark, events[n * 100 : (n + 1) * 100]).withColumn("ts", F.timestamp_seconds(F.col("seq")))
+        part = frame(spark, events[n * 100 : (n + 1) * 100]).withColumn("ts", F.timestamp_seconds(F.col("seq") + 1_700_000_000))
         part.coalesce(1).write.parquet(str(tmp_path / "log" / f"part{n}"))
     stream = (
         spark.readStream.schema(schemas.event_schema())
