@@ -50,7 +50,7 @@ def stream_progress(spark, sf):
 @query("stream_load", _TABLE_COUNTS)
 def stream_load(spark, sf):
     root, checkpoint = shared_dir(spark, "loaded"), shared_dir(spark, "load-checkpoint")
-    docs = b.documents(spark, sf, b.stream_sql).filter("valid")
+    docs = b.document_source(spark, sf, b.stream_sql).filter("valid")
     jobs.stream_load(docs, root, "c1", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return _count_tables(spark, root)
 

@@ -26,8 +26,7 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP) -> Da
     input rows can come back.
     """
     hot = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
-    hot = materialize(hot, "hot-groups")
-    return None if hot.isEmpty() else hot
+    return None if hot.isEmpty() else materialize(hot, "hot-groups")
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP) -> tuple[DataFrame, DataFrame | None]:

@@ -47,7 +47,7 @@ def _keyed(p: DataFrame, *columns: str | Column) -> DataFrame:
 
 
 def _section(p: DataFrame, path: str, *columns: str) -> DataFrame:
-    return _keyed(p, *columns, F.col(f"data.{path}").alias("section")).filter("section IS NOT NULL")
+    return _keyed(p, *columns, F.col(f"data.{path}").alias("section"))
 
 
 def to_pages(p: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def to_requests(p: DataFrame) -> DataFrame:
 
 def to_elements(p: DataFrame) -> DataFrame:
     """C3."""
-    return _section(p, "elements").select(
+    return _section(p, "elements").filter("section IS NOT NULL").select(
         "crawlId", "pageId", _list("section.present").alias("present"), _list("section.visible").alias("visible")
     )
 
