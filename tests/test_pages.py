@@ -216,7 +216,7 @@ def test_url_list_and_corpus_files(spark, tmp_path):
 
 
 def test_api_calls(spark):
-    S = "https://e.com/bad.js", "https://e.com/different.js", "https://static.zdassets.com/ekr/snippet.js"
+    S = "https://e.com/bad.js", "https://e.com/different.js", "https://cdn.example/snippet.js"
     rows = [
         (0, "window.devicePixelRatio", S[0], []), (1, "window.devicePixelRatio", S[0], []), (2, "Navigator.prototype.userAgent", S[1], []),
         (3, "Document.cookie setter", S[1], ["uuid=123"]), (4, "Navigator.prototype.userAgent", S[2], []), (5, "nobody.knows", S[2], []),
