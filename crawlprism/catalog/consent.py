@@ -572,14 +572,14 @@ _CONF = f"""SELECT page AS file, count(*) AS popups, arg_min(coalesce(n, 0), fra
   LEFT JOIN (SELECT page, frame, popup, count(*) AS n FROM ({O_LABELLED}) WHERE llmmatch AND isreject GROUP BY page, frame, popup) USING (page, frame, popup) GROUP BY page"""
 _WWW = "regexp_replace({}, '^www[.]', '')"
 _NOTES = f"""cf AS ({_CONF}), hs AS (SELECT cf.file, {_HOST('initialurl')} AS a, {_HOST('finalurl')} AS b FROM cf JOIN ({_SITES}) s USING (file)),
-no AS (SELECT file, 'Several popups or reject buttons' AS note, FALSE AS review FROM cf WHERE popups > 1 OR infirst > 1
- UNION ALL SELECT file, 'New rule', FALSE FROM rs WHERE resolved = 'new'
- UNION ALL SELECT file, 'New rule for this region', FALSE FROM rs WHERE resolved = 'new_region'
- UNION ALL SELECT file, CASE WHEN manual THEN 'Manually edited rule overridden' ELSE 'Rule overridden' END, manual FROM rs WHERE resolved = 'override'
- UNION ALL SELECT file, 'Several rules of this region', TRUE FROM rs WHERE resolved IN ('override', 'new_extra') AND regional > 1
- UNION ALL SELECT file, 'All rules of this region already overridden, new rule', TRUE FROM rs WHERE resolved = 'new_extra'
- UNION ALL SELECT file, 'Several new rules', TRUE FROM rs WHERE resolved LIKE 'new%' GROUP BY file HAVING count(*) > 1
- UNION ALL SELECT file, 'Site changed host', TRUE FROM hs WHERE a <> b AND a <> 'www.' || b AND b <> 'www.' || a)"""
+no AS (SELECT file, 'Multiple popups or reject buttons found' AS note, FALSE AS review FROM cf WHERE popups > 1 OR infirst > 1
+ UNION ALL SELECT file, 'New rule added', FALSE FROM rs WHERE resolved = 'new'
+ UNION ALL SELECT file, 'New region-specific popup', FALSE FROM rs WHERE resolved = 'new_region'
+ UNION ALL SELECT file, CASE WHEN manual THEN 'Updated rule that has been manually edited before' ELSE 'Overriding existing rule' END, manual FROM rs WHERE resolved = 'override'
+ UNION ALL SELECT file, 'Multiple existing rules with the same region found, consider removing all but one', TRUE FROM rs WHERE resolved IN ('override', 'new_extra') AND regional > 1
+ UNION ALL SELECT file, 'Already overridden all existing rules, creating a new one', TRUE FROM rs WHERE resolved = 'new_extra'
+ UNION ALL SELECT file, 'Multiple new rules generated', TRUE FROM rs WHERE resolved LIKE 'new%' GROUP BY file HAVING count(*) > 1
+ UNION ALL SELECT file, 'Site changed host: `' || a || '` -> `' || b || '`', TRUE FROM hs WHERE a <> b AND a <> 'www.' || b AND b <> 'www.' || a)"""
 
 
 def notes(spark, sf, done=None):

@@ -387,6 +387,29 @@ def resolve_script_url(spark, sf):
     return api_ops.resolve_script_url(frames, parsed).select("seq", "scriptUrl")
 
 
+@query(
+    "paused_call_sources",
+    f"""SELECT seq, CASE WHEN seq % 5 = 0 THEN 'https://s' || CAST(seq % 9 AS STRING) || '.com/b.js' WHEN seq % 5 = 1 THEN 'https://script3.com/'
+      WHEN seq % 5 = 2 THEN 'https://up.com/p.js' ELSE 'https://main.com/null' END AS source FROM ({CALLS})""",
+)
+def paused_call_sources(spark, sf):
+    """Three frames per call: its own, one of the page itself, one async parent."""
+    c = b.api_calls(spark, sf).select("page", "seq", (F.col("seq") % 5).alias("k"))
+    url = F.when(F.col("k") == 0, F.concat(F.lit("https://s"), (F.col("seq") % 9).cast("string"), F.lit(".com/b.js"))).otherwise("")
+    frame = lambda depth, pos, u, script: F.struct(
+        F.lit(depth).alias("depth"), F.lit(pos).alias("pos"), u.alias("url"), F.lit(None).cast("bigint").alias("functionScriptId"), script.alias("scriptId")
+    )
+    stack = F.array(
+        frame(0, 0, F.lit("https://main.com/a"), F.lit(None).cast("bigint")),
+        frame(0, 1, url, F.when(F.col("k") == 1, F.lit(3)).cast("bigint")),
+        frame(1, 0, F.when(F.col("k") == 2, "https://up.com/p.js"), F.lit(9).cast("bigint")),
+    )
+    frames = c.select("page", F.lit("t").alias("target"), "seq", F.explode(stack).alias("f")).select("page", "target", "seq", "f.*")
+    pages = c.select("page").distinct().withColumn("mainUrl", F.lit("https://main.com/a"))
+    known = pages.select("page", F.lit("t").alias("target"), F.lit(3).cast("bigint").alias("scriptId"), F.lit("https://script3.com/").alias("scriptUrl"))
+    return api_ops.paused_call_sources(frames, known, pages).select("seq", "source")
+
+
 @query(
     "call_stats",
     f"SELECT page, source, description, count(*) AS calls FROM ({CALLS}) WHERE description IN {_KNOWN} AND {q.storable('source')} GROUP BY ALL",

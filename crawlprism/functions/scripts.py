@@ -27,8 +27,8 @@ def frame_source(frame_urls: Column, parent_urls: Column, main_url: Column, unat
     ahead of its script-id URL. Unattributed calls resolve to ``…/null`` beside the page
     (what resolving the text ``null`` against it gives) or to the page with ``'main'``.
     """
-    own = F.coalesce(frame_urls, F.array().cast("array<string>"))
-    up = F.coalesce(parent_urls, F.array().cast("array<string>"))
+    own = F.coalesce(frame_urls.cast("array<string>"), F.array().cast("array<string>"))
+    up = F.coalesce(parent_urls.cast("array<string>"), F.array().cast("array<string>"))
     hits = F.filter(F.concat(own, up), lambda u: u.isNotNull() & u.rlike("(?i)^https?://") & (u != main_url))
     found = F.try_element_at(hits, F.lit(1))
     if unattributed == "main":

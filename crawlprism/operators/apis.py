@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlprism.functions.scripts import frame_source
 from crawlprism.functions.urls import is_storable
 
 # Probed object -> members, as they appear in call descriptions.
@@ -93,6 +94,28 @@ def resolve_script_url(frames: DataFrame, scripts: DataFrame) -> DataFrame:
     return frames.join(scripts.select("page", "target", "scriptId", "scriptUrl"), ["page", "target", "scriptId"], "left")
 
 
+def paused_call_sources(frames: DataFrame, scripts: DataFrame, pages: DataFrame, unattributed: str = "null_path") -> DataFrame:
+    """D15/F4 over frame rows: the source of each paused call, ``page, target, seq, source``.
+
+    ``frames(page, target, seq, depth, pos, url, functionScriptId, scriptId)``: depth 0 is the call
+    stack, higher depths its async parents. ``scripts(page, target, scriptId, scriptUrl)`` and
+    ``pages(page, mainUrl)``. The first URL in stack order is a running minimum, so deep stacks
+    are never collected.
+    """
+    ids = scripts.select("page", "target", "scriptId", "scriptUrl")
+    by_function = ids.withColumnsRenamed({"scriptId": "functionScriptId", "scriptUrl": "_functionUrl"})
+    named = frames.join(by_function, ["page", "target", "functionScriptId"], "left")
+    named = resolve_script_url(named, ids).join(pages.select("page", "mainUrl"), "page")
+    place = lambda n, c: F.struct("depth", "pos", F.lit(n).alias("n"), F.col(c).alias("url"))
+    options = named.select(
+        "page", "target", "seq", "mainUrl", F.explode(F.array(place(0, "url"), place(1, "_functionUrl"), place(2, "scriptUrl"))).alias("o")
+    )
+    usable = F.col("o.url").rlike("(?i)^https?://") & (F.col("o.url") != F.col("mainUrl"))
+    first = options.groupBy("page", "target", "seq", "mainUrl").agg(F.min(F.when(usable, F.col("o"))).alias("o"))
+    found = F.when(F.col("o").isNotNull(), F.array("o.url"))
+    return first.select("page", "target", "seq", frame_source(found, F.lit(None), F.col("mainUrl"), unattributed).alias("source"))
+
+
 def attributed_calls(
     calls: DataFrame, url_filter: Callable[[Column, Column], Column] | None = None
 ) -> DataFrame:

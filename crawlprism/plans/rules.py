@@ -23,6 +23,18 @@ from crawlprism.session import materialize
 PATTERN_BATCH = 100
 _GENERATED = r"^\^https\?://\(www\\\.\)\?((?:[a-zA-Z0-9_-]|\\\.)+)/$"
 
+# Texts of the review notes.
+NOTE_SEVERAL_POPUPS = "Multiple popups or reject buttons found"
+NOTE_NEW = "New rule added"
+NOTE_NEW_REGION = "New region-specific popup"
+NOTE_OVERRIDE = "Overriding existing rule"
+NOTE_OVERRIDE_MANUAL = "Updated rule that has been manually edited before"
+NOTE_SAME_REGION = "Multiple existing rules with the same region found, consider removing all but one"
+NOTE_ALL_TAKEN = "Already overridden all existing rules, creating a new one"
+NOTE_SEVERAL_NEW = "Multiple new rules generated"
+NOTE_HOST = "Site changed host: `{}` -> `{}`"
+NOTE_URL = "Failed to parse URL for `{}` or `{}`"
+
 BUTTON_POS = ["frame", "popup", "button"]
 
 
@@ -236,7 +248,12 @@ def review_notes(decisions: DataFrame, sites: DataFrame, confirmed: DataFrame) -
     no_rule = F.lit(None).cast("string")
 
     def note(when, text, review, name=no_rule):
-        return F.when(when, F.struct(F.lit(text).alias("note"), F.lit(review).alias("needsReview"), name.alias("ruleName")))
+        text = F.lit(text) if isinstance(text, str) else text
+        return F.when(when, F.struct(text.alias("note"), F.lit(review).alias("needsReview"), name.alias("ruleName")))
+
+    def filled(text, *values):
+        first, second, third = text.split("{}")
+        return F.concat(F.lit(first), values[0], F.lit(second), values[1], F.lit(third))
 
     def notes_of(df, *notes):
         return df.select("file", F.explode(F.array_compact(F.array(*notes))).alias("n")).select("file", "n.*")
@@ -245,12 +262,12 @@ def review_notes(decisions: DataFrame, sites: DataFrame, confirmed: DataFrame) -
     several = kind.isin("override", "new_extra") & (F.col("regional") > 1)
     per_button = notes_of(
         decisions,
-        note(kind == "new", "New rule", False, rule),
-        note(kind == "new_region", "New rule for this region", False, rule),
-        note((kind == "override") & ~F.col("manual"), "Rule overridden", False, rule),
-        note((kind == "override") & F.col("manual"), "Manually edited rule overridden", True, rule),
-        note(several, "Several rules of this region", True, F.col("name")),
-        note(kind == "new_extra", "All rules of this region already overridden, new rule", True, rule),
+        note(kind == "new", NOTE_NEW, False, rule),
+        note(kind == "new_region", NOTE_NEW_REGION, False, rule),
+        note((kind == "override") & ~F.col("manual"), NOTE_OVERRIDE, False, rule),
+        note((kind == "override") & F.col("manual"), NOTE_OVERRIDE_MANUAL, True, rule),
+        note(several, NOTE_SAME_REGION, True, F.col("name")),
+        note(kind == "new_extra", NOTE_ALL_TAKEN, True, rule),
     )
     made = decisions.groupBy("file").agg(F.count_if(kind.startswith("new")).alias("made"))
     # Hosts are compared with their ports.
@@ -261,10 +278,10 @@ def review_notes(decisions: DataFrame, sites: DataFrame, confirmed: DataFrame) -
     www = lambda x, y: x == F.concat(F.lit("www."), y)
     per_site = notes_of(
         checked,
-        note((F.col("popups") > 1) | (F.col("rejectButtonsInFirst") > 1), "Several popups or reject buttons", False),
-        note(F.col("made") > 1, "Several new rules", True),
-        note((a != b) & ~www(a, b) & ~www(b, a), "Site changed host", True),
-        note(a.isNull() | b.isNull(), "URL cannot be parsed", True),
+        note((F.col("popups") > 1) | (F.col("rejectButtonsInFirst") > 1), NOTE_SEVERAL_POPUPS, False),
+        note(F.col("made") > 1, NOTE_SEVERAL_NEW, True),
+        note((a != b) & ~www(a, b) & ~www(b, a), filled(NOTE_HOST, a, b), True),
+        note(a.isNull() | b.isNull(), filled(NOTE_URL, F.col("initialUrl"), F.col("finalUrl")), True),
     )
     return per_button.unionByName(per_site)
 

@@ -125,3 +125,22 @@ def stream_in_time(events: DataFrame, max_load_ms: int = 60_000, extra_ms: int =
     """The page limit as watermark delay; events behind it are late and leave stateful operators."""
     return events.withWatermark("ts", f"{page_limit_ms(max_load_ms, extra_ms)} milliseconds")
 
+
+
+def stream_outcomes(events: DataFrame, max_load_ms: int = 60_000, extra_ms: int = 60_000) -> DataFrame:
+    """One row per page once it can send no more events, with ``failed`` for pages that did not close
+    in time. ``events(page, ts, kind)``; a page is a session whose gap is the page limit."""
+    limit = page_limit_ms(max_load_ms, extra_ms)
+    kind, at = F.col("kind"), F.unix_millis("ts")
+    per = stream_in_time(events, max_load_ms, extra_ms).groupBy("page", F.session_window("ts", f"{limit} milliseconds")).agg(
+        F.min(at).alias("started"),
+        F.min(F.when(kind == "pageLoaded", at)).alias("loaded"),
+        F.max(F.when(kind == "pageClosed", at)).alias("closed"),
+    )
+    return per.select(
+        "page",
+        "started",
+        "closed",
+        F.coalesce(F.col("closed") - F.col("started") > limit, F.lit(True)).alias("failed"),
+        F.coalesce(F.col("loaded") - F.col("started") > max_load_ms, F.lit(True)).alias("timeout"),
+    )

@@ -312,3 +312,30 @@ def test_outcomes(spark):
     out = progress.page_outcomes(e)
     assert {(r.page, r.failed, r.timeout) for r in out.collect()} == {("ok", False, False), ("open", True, True), ("slow", True, True)}
     assert progress.events_in_time(e, out).count() == 3
+
+
+def test_stream_outcomes(spark, tmp_path):
+    from crawlprism.streaming import jobs
+
+    t0 = 1_700_000_000
+    rows = [("ok", 0, "x"), ("ok", 5, "pageLoaded"), ("ok", 20, "pageClosed"), ("open", 0, "x"), ("open", 100, "pageLoaded"), ("later", 9999, "x")]
+    e = spark.createDataFrame(rows, "page string, s bigint, kind string").select("page", F.timestamp_seconds(F.col("s") + t0).alias("ts"), "kind")
+    e.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    q = jobs.stream_outcomes(stream).writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+    q.format("parquet").start(str(tmp_path / "out")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.page, r.failed, r.timeout) for r in out} == {("ok", False, False), ("open", True, True)}
+
+
+def test_stream_load_replays_without_duplicates(spark, crawl, tmp_path):
+    """The same micro-batch written twice leaves one copy."""
+    from crawlprism.streaming import jobs
+
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    crawl.filter("valid").write.parquet(folder)
+    for attempt in ("cp1", "cp2"):
+        stream = spark.readStream.schema(crawl.schema).parquet(folder)
+        jobs.stream_load(stream, root, "k", str(tmp_path / attempt)).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(f"{root}/requests").count() == 5
+    assert spark.read.parquet(f"{root}/pages").count() == 3

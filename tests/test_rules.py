@@ -113,17 +113,18 @@ def notes_of(spark, buttons, rules, sites=None, popups=1, first=1):
 
 
 def test_notes(spark):
-    assert notes_of(spark, [button("x")], []) == {("New rule", False)}
+    assert notes_of(spark, [button("x")], []) == {(ru.NOTE_NEW, False)}
     assert notes_of(spark, [button("x"), button("y", 1)], [], first=2) == {
-        ("New rule", False), ("Several popups or reject buttons", False), ("Several new rules", True),
+        (ru.NOTE_NEW, False), (ru.NOTE_SEVERAL_POPUPS, False), (ru.NOTE_SEVERAL_NEW, True),
     }
-    assert notes_of(spark, [button("x")], [rule("auto_GB_a.com_1", "y", manual=True)]) == {("Manually edited rule overridden", True)}
+    assert notes_of(spark, [button("x")], [rule("auto_GB_a.com_1", "y", manual=True)]) == {(ru.NOTE_OVERRIDE_MANUAL, True)}
     two = [rule("auto_GB_a.com_1", "y"), rule("auto_GB_a.com_2", "z")]
-    assert notes_of(spark, [button("x")], two) == {("Rule overridden", False), ("Several rules of this region", True)}
-    assert notes_of(spark, [button("x")], [], [site(final="https://www.a.com/")]) == {("New rule", False)}
-    assert ("Site changed host", True) in notes_of(spark, [button("x")], [], [site(final="https://b.com/")])
-    assert ("Site changed host", True) in notes_of(spark, [button("x")], [], [site(final="https://a.com:8443/")])
-    assert ("URL cannot be parsed", True) in notes_of(spark, [button("x")], [], [site(final="nowhere")])
+    assert notes_of(spark, [button("x")], two) == {(ru.NOTE_OVERRIDE, False), (ru.NOTE_SAME_REGION, True)}
+    assert notes_of(spark, [button("x")], [], [site(final="https://www.a.com/")]) == {(ru.NOTE_NEW, False)}
+    moved = lambda final: notes_of(spark, [button("x")], [], [site(final=final)])
+    assert (ru.NOTE_HOST.format("a.com", "b.com"), True) in moved("https://b.com/")
+    assert (ru.NOTE_HOST.format("a.com", "a.com:8443"), True) in moved("https://a.com:8443/")
+    assert (ru.NOTE_URL.format("https://a.com/", "nowhere"), True) in moved("nowhere")
 
 
 def test_equal_rules_of_two_sites(spark):
