@@ -25,12 +25,17 @@ def popup_text_match(text: Column, patterns: PatternSet | None = None) -> Column
     Each group of patterns runs only on texts that contain its anchor word, so ordinary
     pages cost a few substring searches.
     """
-    low = F.lower(text)
-    hit = F.lit(False)
-    for anchor, group in (patterns or default_patterns()).notices.items():
-        found = low.rlike("|".join(f"(?:{p})" for p in group))
-        hit = hit | (F.contains(low, F.lit(anchor)) & found if anchor else found)
-    return F.coalesce(hit, F.lit(False))
+
+
+    def found(low: Column) -> Column:
+        hit = F.lit(False)
+        for anchor, group in (patterns or default_patterns()).notices.items():
+            regex = low.rlike("|".join(f"(?:{p})" for p in group))
+            hit = hit | (F.contains(low, F.lit(anchor)) & regex if anchor else regex)
+        return hit
+
+    # Bound as a lambda variable, a long text is lower-cased once rather than once per anchor.
+    return F.coalesce(F.exists(F.array(F.lower(text)), found), F.lit(False))
 
 
 def match_patterns(text: Column, match: Family, never: Family) -> Column:
@@ -66,7 +71,9 @@ def classify_button(df: DataFrame, text: str, out: str = "regexClassification",
 
 def with_reject_flag(buttons: DataFrame, patterns: PatternSet | None = None) -> DataFrame:
     """E5 as a flag: ``isReject`` splits a button table into reject and other buttons."""
-    return buttons.withColumn("isReject", is_reject_button(F.col("text"), patterns))
+    classed = classify_button(buttons, "text", "_class", patterns)
+    # Reject comes first among the classes, so it holds exactly the reject buttons.
+    return classed.withColumn("isReject", F.col("_class") == "reject").drop("_class")
 
 
 def split_reject_buttons(buttons: Column, patterns: PatternSet | None = None) -> Column:
@@ -111,11 +118,14 @@ def label_popup_buttons(
 ) -> DataFrame:
     """Buttons of classified popups with their popup's flags; both classes are set only where the
     popup matched. The buttons travel inside the popup rows, so they never need a join back."""
-    buttons = unnest_buttons(popups, key, "regexMatch", "llmMatch")
-    judged = judge_buttons(with_reject_flag(buttons, patterns), verdicts)
+    judged = judge_buttons(unnest_buttons(popups, key, "regexMatch", "llmMatch"), verdicts)
+    classed = judged.withColumn("_class", classify_label(F.col("label"), patterns))
     matched = F.col("regexMatch") | F.col("llmMatch")
-    return judged.withColumn("llmClassification", F.when(matched, F.col("llmClassification"))).withColumn(
-        "regexClassification", F.when(matched, classify_label(F.col("label"), patterns))
+    return classed.select(
+        *[c for c in judged.columns if c != "llmClassification"],
+        F.when(matched, F.col("llmClassification")).alias("llmClassification"),
+        F.when(matched, F.col("_class")).alias("regexClassification"),
+        (F.col("_class") == "reject").alias("isReject"),
     )
 
 

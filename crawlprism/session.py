@@ -53,22 +53,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-# Inputs below this size are read as they come, in however few splits.
-SPREAD_BYTES = 1_000_000
-
-
 def spread_hint(df: DataFrame) -> str:
     """A repartition hint for a file input with fewer splits than there are cores, else ''.
 
     One small file with a single row group would keep one core busy with all the parsing that
     follows. Inputs of cluster size have splits enough and are never moved.
     """
-    plan = df._jdf.queryExecution()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
-    if size < SPREAD_BYTES or plan.toRdd().getNumPartitions() >= cores:
-        return ""
-    return f"/*+ REPARTITION({cores}) */"
+    return "" if df.rdd.getNumPartitions() >= cores else f"/*+ REPARTITION({cores}) */"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

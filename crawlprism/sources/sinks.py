@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +49,15 @@ def delete_crawl(spark: SparkSession, root: str, crawl_id: str) -> list[str]:
 
     Only partition folders are dropped, no data is rewritten.
     """
-    jvm = spark._jvm
-    removed = []
+    path_of, removed = spark._jvm.org.apache.hadoop.fs.Path, []
     for table in (*FACT_TABLES, "crawls"):
-        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(crawl_id)
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/crawlId={escaped}")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(path) and fs.delete(path, True):
-            removed.append(table)
+        folder = path_of(f"{root}/{table}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        partitions = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        for p in partitions:
+            # Special characters of partition values are percent-encoded in folder names.
+            if unquote(p.getName()) == f"crawlId={crawl_id}" and fs.delete(p, True):
+                removed.append(table)
     return removed
 
 
