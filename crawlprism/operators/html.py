@@ -30,7 +30,14 @@ _CONTENT = [t for t in SKIPPED_TAGS if t not in _VOID]
 SKIPPED_CONTENT = "(?is)" + "|".join([r"<!--.*?-->", *[rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _CONTENT]])
 HEAD = r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>"
 TAG = r"(?s)<[^>]*>"
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Entities decoded in text, the ampersand last.
+ENTITIES = (
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
+    ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"), ("&reg;", "®"), ("&euro;", "€"),
+    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&auml;", "ä"), ("&ouml;", "ö"),
+    ("&uuml;", "ü"), ("&szlig;", "ß"), ("&amp;", "&"),
+)
 LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
 BUTTON = r"(?is)<(?:button|a)(?:\s[^>]*)?>([^<]*)</(?:button|a)\s*>"
 

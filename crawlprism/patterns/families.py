@@ -98,7 +98,7 @@ def accept_family(words: Iterable[v.Words]) -> Family:
     out = []
     for w in words:
         if w.accept and w.objects:
-            lead, tail = _some([w.objects], 4), _some([w.objects], 6)
+            lead, tail = _some([w.objects], 4), _some([w.objects], 8)
             out.append(_whole(rf"{lead}(?:{w.accept}){END}{tail}", v.NOT_ACCEPT))
         if w.accept_whole:
             out.append(_whole(w.accept_whole, v.NOT_ACCEPT))

@@ -26,6 +26,8 @@ def build_session(app: str = "crawlprism", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed join even where a later step then needs one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }

@@ -165,6 +165,40 @@ def test_registrable_domain(spark, host, want):
     assert dom.with_registrable_domain(df, F.col("h"), "d", dom.SuffixRules.of(spark, RULES)).first().d == want
 
 
+def test_registrable_domain_against_brute_force(spark):
+    """Random hosts and rules: the longest matching rule wins, exceptions first."""
+    import random
+
+    rnd = random.Random(3)
+    label = lambda: rnd.choice("abc")
+    name = lambda n: ".".join(label() for _ in range(n))
+    rules = {name(rnd.randint(1, 3)) for _ in range(8)} | {"*." + name(rnd.randint(1, 2)) for _ in range(4)} | {"!" + name(3) for _ in range(3)}
+
+    def want(host):
+        labels = host.split(".")
+        tails = {n: ".".join(labels[-n:]) for n in range(1, len(labels) + 1)}
+        exceptions = [n - 1 for n, t in tails.items() if "!" + t in rules]
+        matches = [n for n, t in tails.items() if t in rules or (n > 1 and "*." + tails[n - 1] in rules)]
+        size = max(exceptions) if exceptions else max([1, *matches])
+        return tails.get(size + 1)
+
+    hosts = sorted({name(rnd.randint(1, 5)) for _ in range(300)})
+    df = dom.with_registrable_domain(spark.createDataFrame([(h,) for h in hosts], "h string"), F.col("h"), "d", dom.SuffixRules.of(spark, sorted(rules)))
+    assert {r.h: r.d for r in df.collect()} == {h: want(h) for h in hosts}
+
+
+def test_event_log_streams(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    line = {"page": "p", "seq": 0, "kind": "requestWillBeSent", "requestId": "1", "url": "https://a.com/", "redirectResponse": {"status": 301, "headers": {"etag": "x"}}}
+    (tmp_path / "in" / "1.json").write_text(json.dumps(line) + "\n")
+    stream = scans.scan_event_log(spark, str(tmp_path / "in"), streaming=True)
+    q = stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).format("parquet")
+    q.start(str(tmp_path / "out")).awaitTermination()
+    row = spark.read.parquet(str(tmp_path / "out")).first()
+    assert (row.requestId, row.redirectResponse.status, row.redirectResponse.headers) == ("1", 301, {"etag": "x"})
+    assert scans.scan_event_log(spark, str(tmp_path / "in")).count() == 1
+
+
 def test_suffix_file(spark, tmp_path):
     (tmp_path / "list.dat").write_text("// comment\n\ncom\n*.ck\n!www.ck\n// ===BEGIN PRIVATE DOMAINS===\nblogspot.com\n")
     path = str(tmp_path / "list.dat")
