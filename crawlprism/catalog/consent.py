@@ -472,6 +472,12 @@ def matches(spark, sf):
     return ru.match_rules(sites(spark, sf), b.rules(spark, sf), site_frames(spark, sf))
 
 
+def groups(spark, sf):
+    # Read several times by the decisions.
+    site_groups, group_rules = ru.match_groups(sites(spark, sf), b.rules(spark, sf), site_frames(spark, sf))
+    return materialize(site_groups, "site-groups"), materialize(group_rules, "group-rules")
+
+
 @query("known_cmp", f"SELECT DISTINCT file FROM ({_OCMPS}) WHERE trim(name) <> '' AND NOT starts_with(trim(name), 'auto_')")
 def known_cmp(spark, sf):
     return ru.known_cmp(site_cmps(spark, sf))
@@ -487,7 +493,7 @@ def match_rules(spark, sf):
     f"""SELECT file, frame, popup, button FROM ({_OBUTTONS}) x WHERE EXISTS (SELECT 1 FROM ({_MATCH}) m JOIN ({b.O_RULES}) r USING (name) WHERE m.file = x.file AND r.selector = x.selector)""",
 )
 def rule_has_button(spark, sf):
-    found = ru.rule_has_button(reject_buttons(spark, sf), matches(spark, sf), b.rules(spark, sf))
+    found = ru.rule_has_button(reject_buttons(spark, sf), groups(spark, sf))
     return _long(found).select("file", *POS)
 
 
@@ -521,24 +527,24 @@ def candidate_rules(spark, sf):
     return _long(c).select("file", *POS, "usable", "frameDomain", stem.alias("name_stem"), "urlPattern", "selector")
 
 
-_DEC = f"""mt AS ({_MATCH}), ru AS ({b.O_RULES}), md AS (SELECT mt.file, ru.* FROM mt JOIN ru USING (name)),
+_DEC = f"""mt AS ({_MATCH}), ru AS ({b.O_RULES}), md AS (SELECT mt.file, ru.*, CASE WHEN ru.name LIKE 'auto_%' AND (regexp_matches(s.initialurl, ru.pattern) OR regexp_matches(s.finalurl, ru.pattern))
+  THEN regexp_extract(replace(ru.pattern, '\', ''), '^.*[?](.*)/$', 1) ELSE '~' || ru.name END AS grp FROM mt JOIN ru USING (name) JOIN (__SITES__) s ON s.file = mt.file),
 cl AS (SELECT DISTINCT file, selector FROM md), st AS (SELECT file, count(*) AS matched, count(*) FILTER (region = 'GB') AS regional FROM md GROUP BY file),
 c AS (SELECT *, frame * 1000000 + popup * 1000 + button AS pos FROM ({_CANDS})),
 fp AS (SELECT *, min(pos) FILTER (usable) OVER (PARTITION BY file, selector) AS first FROM c),
 kp AS (SELECT fp.*, coalesce(pos > first, FALSE) OR cl.file IS NOT NULL AS kept, coalesce(st.matched, 0) AS matched, coalesce(st.regional, 0) AS regional
   FROM fp LEFT JOIN cl USING (file, selector) LEFT JOIN st USING (file)),
 nu AS (SELECT *, CASE WHEN NOT kept AND usable THEN sum(CASE WHEN NOT kept AND usable THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY pos) END AS k FROM kp),
-sl AS (SELECT file, name AS existing, manual, row_number() OVER (PARTITION BY file ORDER BY name) AS k FROM md WHERE region = 'GB'),
+sl AS (SELECT file, name AS existing, manual, row_number() OVER (PARTITION BY file ORDER BY grp, name) AS k FROM md WHERE region = 'GB'),
 de AS (SELECT nu.*, existing, coalesce(sl.manual, FALSE) AS manual, CASE WHEN kept THEN 'kept' WHEN matched = 0 THEN 'new' WHEN existing IS NOT NULL THEN 'override'
   WHEN regional = 0 THEN 'new_region' ELSE 'new_extra' END AS decision FROM nu LEFT JOIN sl ON sl.file = nu.file AND sl.k = nu.k WHERE kept OR usable),
 ow AS (SELECT framedomain, selector, min(file) AS owner FROM de WHERE decision LIKE 'new%' GROUP BY framedomain, selector),
-rs AS (SELECT de.*, CASE WHEN decision LIKE 'new%' AND file <> owner THEN 'kept' ELSE decision END AS resolved FROM de LEFT JOIN ow USING (framedomain, selector))"""
+rs AS (SELECT de.*, CASE WHEN decision LIKE 'new%' AND file <> owner THEN 'kept' ELSE decision END AS resolved FROM de LEFT JOIN ow USING (framedomain, selector))""".replace("__SITES__", _SITES)
 
 
 def decisions(spark, sf):
-    # Buttons and matches are read several times.
-    found, made = materialize(reject_buttons(spark, sf), "buttons"), materialize(matches(spark, sf), "matches")
-    return ru.decide_rules(found, sites(spark, sf), b.rules(spark, sf), made, REGION)
+    found = materialize(reject_buttons(spark, sf), "buttons")
+    return ru.decide_rules(found, sites(spark, sf), groups(spark, sf), REGION)
 
 
 def resolved(spark, sf):

@@ -107,33 +107,56 @@ def _match_residual(sites: DataFrame, frames: DataFrame | None, rules: DataFrame
     return reduce(DataFrame.unionByName, hits) if hits else none
 
 
-def match_rules(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = None) -> DataFrame:
-    """(file, name) of rules that match a site, from ``rule_table`` rows with a URL pattern.
+def match_groups(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """F10, factorised: ``(site_groups(file, group), group_rules(group, name, region, selector, manual))``.
+
+    All rules of one host form a group and a site points to it, so a host with very many sites and
+    rules is never multiplied out. A rule that matches by vendor URL or by a hand-written pattern
+    is a group of its own. No site gets the same rule twice.
 
     Generated patterns are an equi-join on the host, vendor URLs one on the URL; only
     hand-written patterns are tested as regular expressions. ``frames(file, origin)`` must belong
     to the given sites.
     """
     usable = rules.filter(F.coalesce("urlPattern", F.lit("")) != "")
-    by_host = (
-        sites.select("file", F.explode(F.array_union(_host_keys(F.col("initialUrl")), _host_keys(F.col("finalUrl")))).alias("host"))
-        .filter("host <> ''")
-        .join(usable.filter("host IS NOT NULL").select("host", "name"), "host")
-        .select("file", "name")
+    generated = usable.filter("host IS NOT NULL")
+    keys = F.array_union(_host_keys(F.col("initialUrl")), _host_keys(F.col("finalUrl")))
+    keyed = sites.select("file", "initialUrl", "finalUrl", keys.alias("keys"))
+
+    by_host = keyed.select("file", F.explode("keys").alias("group")).join(
+        generated.select(F.col("host").alias("group")).distinct(), "group", "left_semi"
     )
+    vendors = generated.select("name", "host", F.explode(F.array_distinct("vendorUrls")).alias("vendorUrl"))
     by_vendor = (
-        sites.select("file", F.explode(F.array_distinct(F.array("initialUrl", "finalUrl"))).alias("vendorUrl"))
-        .join(usable.filter("host IS NOT NULL").select("name", F.explode(F.array_distinct("vendorUrls")).alias("vendorUrl")), "vendorUrl")
+        keyed.select("file", "keys", F.explode(F.array_distinct(F.array("initialUrl", "finalUrl"))).alias("vendorUrl"))
+        .join(vendors, "vendorUrl")
+        .filter(~F.array_contains("keys", F.col("host")))
         .select("file", "name")
     )
-    by_pattern = _match_residual(sites, frames, usable.filter("host IS NULL"))
-    return by_host.unionByName(by_vendor).unionByName(by_pattern).distinct()
+    single = by_vendor.unionByName(_match_residual(sites, frames, usable.filter("host IS NULL"))).distinct()
+
+    own = F.concat(F.lit("~"), F.col("name"))
+    columns = ["name", "region", "selector", "manual"]
+    group_rules = generated.select(F.col("host").alias("group"), *columns).unionByName(usable.select(own.alias("group"), *columns))
+    return by_host.select("file", "group").unionByName(single.select("file", own.alias("group"))), group_rules
+
 
+def match_rules(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+    """(file, name) of rules that match a site, from ``rule_table`` rows with a URL pattern."""
+    site_groups, group_rules = match_groups(sites, rules, frames)
+    return site_groups.join(group_rules.select("group", "name"), "group").select("file", "name")
+
+
+def _clicked(buttons: DataFrame, site_groups: DataFrame, group_rules: DataFrame) -> DataFrame:
+    """(file, selector) of buttons that a matched rule clicks. Starts from the buttons, so neither the
+    rules of a group nor its sites are listed against each other."""
+    wanted = buttons.select("file", "selector").distinct().join(site_groups, "file")
+    return wanted.join(group_rules.select("group", "selector"), ["group", "selector"], "left_semi").select("file", "selector").distinct()
 
-def rule_has_button(buttons: DataFrame, matches: DataFrame, rules: DataFrame) -> DataFrame:
+
+def rule_has_button(buttons: DataFrame, groups: tuple[DataFrame, DataFrame]) -> DataFrame:
     """buttons whose selector is the click target of a rule matched on their site."""
-    clicks = matches.join(rules.select("name", "selector"), "name").select("file", "selector").distinct()
-    return buttons.join(clicks, ["file", "selector"], "left_semi")
+    return buttons.join(_clicked(buttons, *groups), ["file", "selector"], "left_semi")
 
 
 def candidate_rules(buttons: DataFrame, sites: DataFrame, region: str) -> DataFrame:
@@ -178,8 +201,8 @@ def rule_records(c: DataFrame) -> DataFrame:
     )
 
 
-def decide_rules(buttons: DataFrame, sites: DataFrame, rules: DataFrame, matches: DataFrame, region: str) -> DataFrame:
-    """H3: one decision per reject button.
+def decide_rules(buttons: DataFrame, sites: DataFrame, groups: tuple[DataFrame, DataFrame], region: str) -> DataFrame:
+    """H3: one decision per reject button, against the rules of ``match_groups``.
 
     ``kept``: a matched rule, or an earlier button of the site, already clicks this selector;
     ``new``: the site matched no rule; ``override``: the k-th new selector of the site replaces
@@ -193,12 +216,14 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, rules: DataFrame, matches
     repeat = F.coalesce(pos > F.col("_first"), F.lit(False))
     cands = cands.join(first, ["file", "selector"]).withColumn("_repeat", repeat).drop("_first")
 
-    matched = matches.join(rules.select("name", "region", "selector", "manual"), "name")
-    clicks = matched.select("file", "selector").distinct().withColumn("_clicked", F.lit(True))
-    in_region = F.col("region") == region
-    per_site = matched.groupBy("file").agg(
-        F.count("*").alias("matched"), F.count_if(F.coalesce(in_region, F.lit(False))).alias("regional")
-    )
+    site_groups, group_rules = groups
+    in_region = F.coalesce(F.col("region") == region, F.lit(False))
+    sizes = group_rules.groupBy("group").agg(F.count("*").alias("n"), F.count_if(in_region).alias("r"))
+    # A site points to a handful of groups; its regional rules are numbered through them.
+    before = Window.partitionBy("file").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    sized = site_groups.join(sizes, "group").withColumn("_offset", F.coalesce(F.sum("r").over(before), F.lit(0)))
+    per_site = sized.groupBy("file").agg(F.sum("n").alias("matched"), F.sum("r").alias("regional"))
+    clicks = _clicked(buttons, site_groups, group_rules).withColumn("_clicked", F.lit(True))
     cands = cands.join(clicks, ["file", "selector"], "left").join(per_site, "file", "left")
     cands = cands.withColumn("_kept", F.col("_repeat") | F.coalesce("_clicked", F.lit(False))).drop("_clicked", "_repeat")
 
@@ -206,14 +231,14 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, rules: DataFrame, matches
     ordered = cands.withColumn("_pos", (F.col("frame").cast("bigint") * 1_000_000 + F.col("popup")) * 1_000_000 + F.col("button"))
     fresh = ~F.col("_kept") & F.col("usable")
     counted = running(ordered, ["file"], "_pos", {"_k": ("sum", fresh.cast("bigint"))}, segment=10**12)
-    slots = matched.filter(in_region).select(
-        "file",
-        F.row_number().over(Window.partitionBy("file").orderBy("name")).cast("bigint").alias("_k"),
-        F.col("name").alias("existing"),
-        "manual",
-    )
-    open_slot = F.when(fresh, F.col("_k"))
-    decided = counted.withColumn("_k", open_slot).join(slots, ["file", "_k"], "left")
+    open_slot = F.when(fresh & (F.col("_k") <= F.coalesce("regional", F.lit(0))), F.col("_k"))
+    numbered = counted.withColumn("_k", open_slot)
+    ranges = sized.filter("r > 0").select(F.col("file").alias("_site"), "group", "_offset", "r")
+    within = (F.col("_k") > F.col("_offset")) & (F.col("_k") <= F.col("_offset") + F.col("r"))
+    placed = numbered.join(ranges, (F.col("file") == F.col("_site")) & within, "left")
+    by_name = F.row_number().over(Window.partitionBy("group").orderBy("name")).cast("bigint")
+    slots = group_rules.filter(in_region).select("group", by_name.alias("_n"), F.col("name").alias("existing"), "manual")
+    decided = placed.withColumn("_n", F.col("_k") - F.col("_offset")).join(slots, ["group", "_n"], "left")
     decision = (
         F.when(F.col("_kept"), "kept")
         .when(F.coalesce("matched", F.lit(0)) == 0, "new")
@@ -349,5 +374,6 @@ def generate_rules(
     open_buttons = materialize(buttons.join(open_sites.select("file"), "file", "left_semi"), "reject-buttons")
     with_popups = open_sites.join(open_buttons.select("file").distinct(), "file", "left_semi")
     open_frames = frames.join(with_popups.select("file"), "file", "left_semi")
-    matches = materialize(match_rules(with_popups, table, open_frames), "rule-matches")
-    return materialize(resolve_duplicates(decide_rules(open_buttons, with_popups, table, matches, region)), "decisions")
+    site_groups, group_rules = match_groups(with_popups, table, open_frames)
+    groups = materialize(site_groups, "site-groups"), materialize(group_rules, "group-rules")
+    return materialize(resolve_duplicates(decide_rules(open_buttons, with_popups, groups, region)), "decisions")

@@ -26,7 +26,7 @@ def button(selector, n=0, f="f", origin="https://www.a.com", frame=0):
 def decide(spark, buttons, rules, sites=None):
     s = spark.createDataFrame(sites or [site()], SITE)
     r, b = spark.createDataFrame(rules, RULE), spark.createDataFrame(buttons, BUTTON)
-    d = ru.decide_rules(b, s, r, ru.match_rules(s, r), "GB")
+    d = ru.decide_rules(b, s, ru.match_groups(s, r), "GB")
     return s, d
 
 
@@ -146,6 +146,26 @@ def test_whole_chain(spark):
     assert (total.files, total.sitesWithPopups, total.detected, total.handled, total.unhandled, total.newRules, total.newSites) == (2, 2, 2, 1, 1, 1, 1)
 
 
+def test_rules_of_two_hosts_are_numbered_through(spark):
+    """The site's two hosts have one rule each; a vendor match comes last, and no rule counts twice."""
+    sites = [site("f", "https://a.com/", "https://b.com/")]
+    rules = [rule("auto_GB_b_1", "r1", host="b.com", vendorUrls=["https://a.com/"]), rule("auto_GB_z_9", "r2"), rule("auto_GB_v_0", "r3", host="v.com", vendorUrls=["https://b.com/"])]
+    _, d = decide(spark, [button(f"s{n}", n) for n in range(4)], rules, sites)
+    assert outcome(d) == [("override", "auto_GB_z_9"), ("override", "auto_GB_b_1"), ("override", "auto_GB_v_0"), ("new_extra", None)]
+    assert d.first().matched == 3
+
+
+def test_hot_host_is_not_multiplied_out(spark):
+    """Many sites and many rules on one host: the factorised match stays linear."""
+    sites = spark.createDataFrame([site(f"f{n:03d}", f"https://a.com/{n}", f"https://a.com/{n}") for n in range(200)], SITE)
+    rules = spark.createDataFrame([rule(f"auto_GB_a.com_{n:03d}", f"r{n}") for n in range(100)], RULE)
+    site_groups, group_rules = ru.match_groups(sites, rules)
+    assert (site_groups.count(), group_rules.count()) == (200, 200)
+    buttons = spark.createDataFrame([button("x", f=f"f{n:03d}") for n in range(200)], BUTTON)
+    d = ru.decide_rules(buttons, sites, (site_groups, group_rules), "GB")
+    assert d.filter("decision = 'override' AND ruleName = 'auto_GB_a.com_000' AND matched = 100").count() == 200
+
+
 def test_hot_site(spark):
     """One site owns most buttons; every distinct selector is decided exactly once."""
     buttons = [button(f"s{n % 40}", n % 10, frame=n // 10) for n in range(400)]
