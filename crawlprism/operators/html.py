@@ -238,7 +238,8 @@ def _scrape(html: str, is_top: bool) -> tuple[list[dict], list[dict]]:
     root = _Tree(html).root
     if is_top:
         styled = [n for n in root.walk() if _FLOATS.search(n.attrs.get("style", "")) and n.tag != "body"]
-        popups = _innermost([n for n in styled if not _HIDDEN.search(n.attrs["style"])])
+        # Innermost elements come last to first, as buttons do.
+        popups = _innermost([n for n in styled if not _HIDDEN.search(n.attrs["style"])])[::-1]
     else:
         popups = [n for n in root.walk() if n.tag == "body"][:1]
     return _buttons(root, root), [

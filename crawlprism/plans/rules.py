@@ -316,7 +316,10 @@ def site_manifest(
 ) -> DataFrame:
     """H5: one record per file with at least one frame. Lists are the document's own."""
     with_frames = sites.join(frames.select("file").distinct(), "file", "left_semi")
-    matched = cmps.filter(F.trim("name") != "").groupBy("file").agg(F.sort_array(F.collect_list(F.trim("name"))).alias("matchedRules"))
+    # In document order where the platform rows carry their position.
+    place = F.col("pos") if "pos" in cmps.columns else F.lit(0)
+    named = F.array_sort(F.collect_list(F.struct(place.alias("pos"), F.trim("name").alias("name"))))
+    matched = cmps.filter(F.trim("name") != "").groupBy("file").agg(named["name"].alias("matchedRules"))
     shown = popups.filter("llmMatch").groupBy("file").agg(
         F.array_sort(F.collect_list(F.struct("frame", "popup", "text", "selector"))).alias("llmConfirmedPopups")
     )

@@ -46,19 +46,14 @@ def read_button_corpus(spark: SparkSession, path: str) -> DataFrame:
 
     Short rows get an empty label, surplus fields are ignored.
     """
-    raw = (
-        spark.read.schema("button_text string, occurences string, label string")
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", True)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    raw = reader.csv(path)
+    # Columns go by their header; a file may have no labels yet.
+    label = F.col("label") if "label" in raw.columns else F.lit(None).cast("string")
     rows = raw.select(
         trim_space(F.col("button_text")).alias("button_text"),
         leading_int(F.col("occurences")).alias("occurences"),
-        trim_space(F.coalesce("label", F.lit(""))).alias("label"),
+        trim_space(F.coalesce(label, F.lit(""))).alias("label"),
     )
     return rows.filter("button_text <> '' AND occurences IS NOT NULL")
 

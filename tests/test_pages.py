@@ -245,6 +245,8 @@ def test_url_list_and_corpus_files(spark, tmp_path):
     (tmp_path / "urls.txt").write_text(" a.com \n\n\t\nb.com")
     assert [r.url for r in scans.scan_url_list(spark, str(tmp_path / "urls.txt")).collect()] == ["a.com", "b.com"]
     (tmp_path / "c.csv").write_text('button_text,occurences,label\n ok , 3 ,accept\n"a ""q"", b",2x\n,5,x\nbad,n,x\nmulti,1,l,extra\n"two\nlines",1,\n')
+    (tmp_path / "d.csv").write_text("occurences,button_text\n4,ok\n")
+    assert [tuple(r) for r in scans.read_button_corpus(spark, str(tmp_path / "d.csv")).collect()] == [("ok", 4, "")]
     rows = scans.read_button_corpus(spark, str(tmp_path / "c.csv")).collect()
     assert {tuple(r) for r in rows} == {("ok", 3, "accept"), ('a "q", b', 2, ""), ("multi", 1, "l"), ("two\nlines", 1, "")}
 
@@ -303,6 +305,12 @@ def test_css_path_becomes_unique(spark):
     assert paths[0] == "body:nth-child(1) > div:nth-child(1):not([id]) > i:nth-child(1):not([id])"
 
 
+def test_popups_come_last_to_first(spark):
+    doc = "<body><div style='position:fixed'>one</div><div style='position:sticky'><p style='position:fixed'>two</p></div></body>"
+    pages = spark.createDataFrame([(1, doc)], "page_id bigint, html string")
+    assert [p.text for p in html.extract_elements(pages).first().popups] == ["two", "one"]
+
+
 def test_links(spark):
     pages = spark.createDataFrame([(1, "u", HTML)], "page_id bigint, url string, html string")
     assert [r.href for r in html.page_links(pages).orderBy("pos").collect()] == ["/one", "/two", "#"]
