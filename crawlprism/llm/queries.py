@@ -25,3 +25,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlprism.llm import quality
 
     return quality.verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    from crawlprism.llm import bagminhash
+
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
