@@ -33,3 +33,11 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from crawlprism.llm import bagminhash
 
     return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its text freed of passages that occur earlier in the corpus."""
+    from crawlprism.llm import linedup
+
+    return linedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed", "words_removed")
