@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crawlprism.llm import bagminhash, linedup, mixing, quality
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,22 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality features and verdict of every document."""
-    from crawlprism.llm import quality
-
     return quality.verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 @query
 def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
-    from crawlprism.llm import bagminhash
-
     return bagminhash.classes(table(spark, sf_dir, "documents"))
 
 
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text freed of passages that occur earlier in the corpus."""
-    from crawlprism.llm import linedup
-
     return linedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed", "words_removed")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix to target weights takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_mixing"] = mixing.oracle()
