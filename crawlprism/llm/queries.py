@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, linedup, mixing, quality
+from crawlprism.llm import bagminhash, decontam, linedup, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_mixing"] = mixing.oracle()
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items found in documents, as they are or with other numbers, names and units."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
