@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, decontam, linedup, mixing, quality
+from crawlprism.llm import bagminhash, decontam, htmltext, linedup, mixing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,15 @@ ORACLES["op6_mixing"] = mixing.oracle()
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items found in documents, as they are or with other numbers, names and units."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
