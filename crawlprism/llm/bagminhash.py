@@ -162,6 +162,7 @@ def classes(documents: DataFrame) -> DataFrame:
 
     ``copy_of`` is the least ``doc_id`` with the same shingle multiset, ``class_id`` the least of the component.
     """
+    textio.small_batches(documents.sparkSession)
     signed = materialize(sign(documents), "signed")
     nodes = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")

@@ -11,7 +11,7 @@ elsewhere, once all its occurrences have proved equal byte by byte. Runs of mark
 ``LEAST_WORDS`` words or more; shorter ones (titles, licence lines) stay.
 
 Null and empty texts have no units and stay as they are. A row whose ``doc_id`` is null comes after all others.
-Rows that share a ``doc_id`` are told apart by a hash of their text; a repeated row is kept like its first.
+Rows that share a ``doc_id`` are one place: none loses what it shares with another of them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,24 +94,39 @@ def keys(words: np.ndarray, hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.n
 
 
 def _row_names(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return textio.span_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
+    return (textio.span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(33)).astype(np.int32)
 
 
 def _occurrences(documents: DataFrame) -> DataFrame:
-    """``(doc_id, row, key, a, b)``: each key of each text with its first unit and the one after its last."""
+    """``(doc_id, row, key, a, b, again)``: each key of each text with its first unit and the one after its last.
+
+    ``again``: the text held the key before.
+    """
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):
             _, _, words, hashes, first = units(data, offsets)
             key, a, b = keys(words, hashes, chunks(words, hashes, first))
+            order = np.argsort(a, kind="stable")
+            key, a, b = key[order], a[order], b[order]
             text = np.searchsorted(first, a, "right") - 1
+            own = textio.mix(key + textio.mix(text.astype(np.uint64) + _STEP))
+            order = np.argsort(own, kind="stable")
+            again = np.zeros(len(key), bool)
+            again[order[1:]] = own[order][1:] == own[order][:-1]
             base = first[text]
-            ids = batch.column("doc_id").take(pa.array(text))
-            columns = [ids, pa.array(_row_names(data, offsets)[text]), pa.array(key.view(np.int64)), pa.array(a - base, pa.int32()), pa.array(b - base, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "key", "a", "b"])
+            columns = [
+                batch.column("doc_id").take(pa.array(text)),
+                pa.array(_row_names(data, offsets)[text]),
+                pa.array(key.view(np.int64)),
+                pa.array((a - base).astype(np.int32)),
+                pa.array((b - base).astype(np.int32)),
+                pa.array(again),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "key", "a", "b", "again"])
 
     own = documents.select("doc_id", "text")
-    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, row bigint, key bigint, a int, b int")
+    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, row int, key bigint, a int, b int, again boolean")
 
 
 def _named(documents: DataFrame) -> DataFrame:
@@ -122,25 +138,40 @@ def _named(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_row_names(data, offsets))], [*names, "_row"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(rows_of, f"{types}, _row bigint")
+    return documents.mapInArrow(rows_of, f"{types}, _row int")
 
 
 def _spans(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """The column ``spans`` flat: text index, key, first unit, unit after the last, whether to remove."""
-    lists = batch.column("spans")
-    flat = lists.flatten()
-    text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()) if not lists.null_count else np.array([len(x) if x is not None else 0 for x in lists.to_pylist()], int))
+    sizes = np.array([0 if x is None else x for x in pc.list_value_length(batch.column("spans")).to_pylist()], int)
+    flat = batch.column("spans").flatten()
     part = lambda name: flat.field(name).to_numpy(zero_copy_only=False)
-    return text, part("key"), part("a").astype(np.int64), part("b").astype(np.int64), part("cut").astype(bool)
+    return np.repeat(np.arange(batch.num_rows), sizes), part("key"), part("a").astype(np.int64), part("b").astype(np.int64), part("cut").astype(bool)
+
+
+def _widest(spans: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Which spans to compare: those that stay, and those to remove that lie in no other to remove."""
+    text, _, a, b, cut = spans
+    on = ~cut
+    at = np.flatnonzero(cut)
+    at = at[np.lexsort((-b[at], a[at], text[at]))]
+    reach, last = -1, -1
+    for k in at:
+        if text[k] != last:
+            last, reach = text[k], -1
+        if b[k] > reach:
+            on[k], reach = True, b[k]
+    return on
 
 
 def _bytes_of_keys(rows: DataFrame) -> DataFrame:
-    """``(key, body)``: the bytes of each marked span, the units joined as their text has them."""
+    """``(key, body)``: the bytes of the spans, their units joined by line breaks."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):
             s, e, _, _, first = units(data, offsets)
-            text, key, a, b, _ = _spans(batch)
+            spans = _spans(batch)
+            text, key, a, b, _ = (x[_widest(spans)] for x in spans)
             raw = data.tobytes()
             body = [b"\n".join(raw[i:j] for i, j in zip(s[u:v], e[u:v], strict=True)) for u, v in zip(first[text] + a, first[text] + b, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(body, pa.binary())], ["key", "body"])
@@ -178,12 +209,11 @@ def remove(data: np.ndarray, offsets: np.ndarray, spans: tuple[np.ndarray, ...])
 
 
 def repeated(documents: DataFrame) -> DataFrame:
-    """``(doc_id, row, spans)``: for each text the spans whose bytes occur elsewhere; ``cut`` where that is earlier."""
+    """``(doc_id, row, spans)``: for each text the spans that occur elsewhere; ``cut`` where that is earlier."""
     found = _occurrences(documents)
-    # (no id, id, row, unit): the order of places.
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row", "a")
-    first = found.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("uses")).filter("uses > 1").select("key", "first")
-    spans = found.join(first, "key").withColumn("cut", place > F.col("first"))
+    first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("uses")).filter("uses > 1").select("key", "first")
+    later = F.col("again") | F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
+    spans = found.join(first, "key").withColumn("cut", later)
     by_text = spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("key", "a", "b", "cut")).alias("spans"))
     return materialize(by_text, "spans")
 
@@ -192,13 +222,14 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     """All rows with ``text`` freed of repeated passages, and ``n_removed`` units and ``words_removed``."""
     keep = [c for c in documents.columns if c.lower() not in {"n_removed", "words_removed", "spans", "_row", "_id", "_name"}]
     documents = documents.select(*keep)
+    textio.small_batches(documents.sparkSession)
     spans = repeated(documents).withColumnsRenamed({"doc_id": "_id", "row": "_name"})
     ids = broadcast_if_small(spans.select("_id").distinct())
     own = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = _named(documents.join(ids, own, "left_semi"))
     same = own & (F.col("_row") == F.col("_name"))
     bodies = _bytes_of_keys(rows.join(spans, same))
-    differ = bodies.groupBy("key").agg(F.min("body").alias("least"), F.max("body").alias("most")).filter("least != most").select("key")
+    differ = bodies.distinct().groupBy("key").agg(F.count("*").alias("bodies")).filter("bodies > 1").select("key")
     false = materialize(differ, "collisions")
     if not false.isEmpty():
         flat = spans.select("_id", "_name", F.inline("spans")).join(false, "key", "left_anti")

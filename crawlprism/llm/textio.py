@@ -24,6 +24,20 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _CODES = np.random.RandomState(7).randint(1, 1 << 62, 256).astype(np.uint64) | np.uint64(1)
 
 
+# Rows of text that Spark hands to a task at once; its own default fits numbers.
+BATCH_ROWS = 256
+
+
+def small_batches(spark) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows in this session, unless it asks for fewer.
+
+    Without that a task may have to hold ten thousand long texts, twice on either side.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit integers (the splitmix64 finaliser)."""
     x = x ^ (x >> np.uint64(30))
