@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, decontam, htmltext, linedup, mixing, quality, warc
+from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, mixing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,12 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back."""
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted with its loss mask, and what is read back from that."""
+    return chat.digests(chat.with_planted(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op8_chat_formatting"] = chat.oracle()
