@@ -6,8 +6,8 @@ in ascending order and each goes to one of ``SLOTS`` places, which keeps its lea
 point exceeds all that its text keeps. Two texts agree at a place with the probability of their similarity.
 
 ``SLOTS / BAND`` bands make the candidates: at similarity 0.8 a pair meets in none with probability 5e-6.
-Each bucket is tested against its least member; texts of a bucket that are still apart are then tested against
-each other, so no link that a bucket holds is lost. Every link is an exact multiset overlap.
+Each bucket is tested against its lead; texts of a bucket that are still apart are then tested against each other,
+so no link that a bucket holds is lost. Every link is an exact multiset overlap.
 
 Texts with equal shingle multisets are one node. Texts of fewer than five words have one shingle, all their words;
 texts without words, null ones among them, are near nothing and are classes of their own.
@@ -32,6 +32,8 @@ SLOTS = 240
 BAND = 6
 # Similarity of 0.8 or more, as a ratio of integers.
 NEAR = (4, 5)
+# At similarity 0.8 a pair agrees in 192 of the 240 places, and in fewer than these with probability 5e-6.
+LEAST_AGREED = 164
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD1B54A32D192ED03)
@@ -68,13 +70,15 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
         shells.append((text[at], textio.mix(element[at] + np.array([lo], np.uint64) * _OTHER), weight[at], np.full(at.sum(), lo), np.full(at.sum(), lo)))
         lo *= 2
     text, seed, weight, low, width = (np.concatenate(x) for x in zip(*shells, strict=True))
-    x, j = np.zeros(len(text)), np.uint64(0)
+    # Sums of whole steps of 2 ** -44 are the same in whatever pieces they are added up.
+    x, j = np.zeros(len(text), np.int64), np.uint64(0)
     partial = low + width > weight
     while len(text):
         steps = int(min(64, max(1, 65536 // len(text))))
         r = textio.mix(seed[:, None] + (j + np.arange(1, steps + 1, dtype=np.uint64)) * _STEP)
         gaps = -np.log1p(-((r >> np.uint64(11)).astype(float) * 2.0**-53))
-        points = x[:, None] + np.cumsum(gaps, axis=1) / (SLOTS * width)[:, None]
+        sums = x[:, None] + np.cumsum((gaps * 2.0**44).astype(np.int64), axis=1)
+        points = sums / (SLOTS * width)[:, None]
         r = textio.mix(r ^ _OTHER)
         slot = ((r & np.uint64(0xFFFFFFFF)) * np.uint64(SLOTS)) >> np.uint64(32)
         place = text[:, None] * SLOTS + slot.astype(np.int64)
@@ -87,8 +91,8 @@ def signatures(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int
         own = np.unique(text)
         most = np.empty(n)
         most[own] = least.reshape(n, SLOTS)[own].max(axis=1)
-        x, j = points[:, -1], j + np.uint64(steps)
-        on = x < most[text]
+        x, j = sums[:, -1], j + np.uint64(steps)
+        on = points[:, -1] < most[text]
         text, seed, weight, low, width, partial, x = (v[on] for v in (text, seed, weight, low, width, partial, x))
     return least.reshape(n, SLOTS)
 
@@ -105,13 +109,15 @@ def _nodes(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int) ->
 
 
 def sign(documents: DataFrame) -> DataFrame:
-    """``(doc_id, node, n, bands)`` of all rows; ``n`` is the number of shingles, with repeats."""
+    """``(doc_id, node, n, bands, sketch)`` of all rows: number of shingles with repeats, hashes of the bands, a byte of each place."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):
             n = batch.num_rows
             text, element, weight = shingles(data, offsets)
-            bits = signatures(text, element, weight, n).view(np.uint64).reshape(n, SLOTS // BAND, BAND)
+            bits = signatures(text, element, weight, n).view(np.uint64)
+            sketch = (textio.mix(bits) >> np.uint64(56)).astype(np.uint8).view(np.int8)
+            bits = bits.reshape(n, SLOTS // BAND, BAND)
             bands = np.tile(np.arange(1, SLOTS // BAND + 1, dtype=np.uint64), (n, 1))
             for k in range(BAND):
                 bands = textio.mix(bands * _STEP + bits[:, :, k])
@@ -122,12 +128,13 @@ def sign(documents: DataFrame) -> DataFrame:
                     pa.array(_nodes(text, element, weight, n), pa.binary()),
                     pa.array(np.bincount(text, weights=weight, minlength=n).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.view(np.int64).ravel())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SLOTS), pa.array(sketch.ravel())),
                 ],
-                ["doc_id", "node", "n", "bands"],
+                ["doc_id", "node", "n", "bands", "sketch"],
             )
 
     own = documents.select("doc_id", "text")
-    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, node binary, n bigint, bands array<bigint>")
+    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, node binary, n bigint, bands array<bigint>, sketch array<tinyint>")
 
 
 def elements(documents: DataFrame) -> DataFrame:
@@ -157,6 +164,21 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(NEAR[1] * shared >= NEAR[0] * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
+def _overlappable(sets: DataFrame, part: DataFrame) -> DataFrame:
+    """``(node, most)`` of the nodes of ``part`` that can be near another of them at all.
+
+    What no other node holds can't be shared: ``most`` items are the rest. Edited copies, however many, that are far
+    from each other have much of their own and drop out here, before any pair is made.
+    """
+    nodes = part.select("node").distinct()
+    held = sets.join(nodes, "node", "left_semi").select("node", F.explode("items").alias("item"))
+    alone = held.groupBy("item").agg(F.count("*").alias("uses"), F.min("node").alias("of")).filter("uses = 1")
+    alone = alone.groupBy(F.col("of").alias("node")).agg(F.count("*").alias("alone"))
+    known = sets.select("node", "n").join(nodes, "node", "left_semi").join(alone, "node", "left")
+    most = F.col("n") - F.coalesce("alone", F.lit(0))
+    return known.filter(NEAR[1] * most >= NEAR[0] * F.col("n")).select("node", most.alias("most"))
+
+
 def classes(documents: DataFrame) -> DataFrame:
     """``(doc_id, class_id, copy_of)`` of all rows.
 
@@ -164,11 +186,16 @@ def classes(documents: DataFrame) -> DataFrame:
     """
     textio.small_batches(documents.sparkSession)
     signed = materialize(sign(documents), "signed")
-    nodes = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    nodes = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     nodes = materialize(nodes, "nodes")
     banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("lead")).filter("size > 1").select("band", "lead")
-    members = materialize(banded.join(buckets, "band"), "members")
+    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    members = materialize(banded.join(sizes, "band"), "members")
+    # The lead of a bucket is the member that shares the most buckets with the most others, so that of a text and
+    # its edited copies the text itself leads.
+    fame = members.groupBy("node").agg(F.sum("size").alias("fame"))
+    leads = members.join(fame, "node").groupBy("band").agg(F.max(F.struct("fame", "node"))["node"].alias("lead"))
+    members = materialize(members.select("band", "node", "n").join(leads, "band"), "led")
     wanted = members.select("node").distinct().join(nodes.select("node", "first"), "node")
     ids = wanted.select(F.col("first").alias("_first")).distinct()
     sets = elements(documents.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi"))
@@ -181,9 +208,18 @@ def classes(documents: DataFrame) -> DataFrame:
     part = members.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("part"))
     parts = part.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q").select("band")
     part = materialize(part.join(parts, "band"), "apart")
-    one = lambda s: part.select("band", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("part").alias(f"p{s}"))
-    close = (NEAR[1] * F.least("na", "nb") >= NEAR[0] * F.greatest("na", "nb")) & (F.col("pa") < F.col("pb"))
-    rest = one("a").join(one("b"), "band").filter(close).select("a", "b").distinct()
+    part = materialize(part.join(_overlappable(sets, part), "node"), "open")
+    part = part.join(nodes.select("node", "bands", "sketch"), "node")
+    one = lambda s: part.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "most", "part", "bands", "sketch")))
+    reach = F.least("most_a", "most_b")
+    close = (
+        (F.col("part_a") < F.col("part_b"))
+        & (NEAR[1] * reach >= NEAR[0] * (F.col("n_a") + F.col("n_b") - reach))
+        # Each pair once, in the first of the buckets that it shares.
+        & (F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b")))
+        & (F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda x: x)) >= LEAST_AGREED)
+    )
+    rest = one("a").join(one("b"), ["band"]).filter(close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     tested = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = materialize(_near(rest.join(tested, ["a", "b"], "left_anti"), sets), "links")
     if not more.isEmpty():
