@@ -1,8 +1,8 @@
 """Removal of passages that repeat across the corpus, by content-defined chunks of lines.
 
 A text's lines are split after sentence ends into units. A unit closes a chunk if it has ``LONG`` words or more,
-or if it has ``LEAST_KEY`` words or more and the rolling hash over it says so (three times in four). That depends
-on nothing outside the unit: an inserted or lost line moves no boundary but its own. Where a shared passage begins
+or if the rolling hash over it says so (three times in four if it has ``LEAST_KEY`` words or more, else once in
+sixteen). That depends on nothing outside the unit: an inserted or lost line moves no boundary but its own. Where a shared passage begins
 or ends inside a chunk, the other texts share only the tail or head of that chunk, so a chunk's heads and tails
 count as chunks too.
 
@@ -31,6 +31,8 @@ LONG = 25
 LEAST_WORDS = 25
 # Heads and tails shorter than this are no evidence of a shared passage.
 LEAST_KEY = 8
+# Longest chunk.
+MOST_UNITS = 16
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ENDS = np.zeros(256, bool)
@@ -59,7 +61,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 def chunks(words: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each unit the index of its chunk's first unit."""
     close = (words >= LEAST_KEY) & ((textio.mix(hashes + _STEP) & np.uint64(3)) != 0)
-    close |= words >= LONG
+    close |= (words >= LONG) | ((textio.mix(hashes + _STEP) & np.uint64(15)) == 0)
     begins = np.zeros(len(hashes) + 1, bool)
     begins[1:] = close
     total = np.concatenate([[0], np.cumsum(words)])
@@ -70,7 +72,9 @@ def chunks(words: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarr
     begins[last[(last < end) & (total[end] - total[last] < LEAST_KEY)]] = False
     begins[first] = True
     at = np.flatnonzero(begins[:-1])
-    return np.repeat(at, np.diff(np.concatenate([at, [len(hashes)]])))
+    chunk = np.repeat(at, np.diff(np.concatenate([at, [len(hashes)]])))
+    # Where no unit of many closes a chunk, one ends all the same, so that heads and tails stay in proportion.
+    return chunk + (np.arange(len(chunk)) - chunk) // MOST_UNITS * MOST_UNITS
 
 
 def keys(words: np.ndarray, hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
