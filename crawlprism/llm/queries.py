@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, mixing, quality, warc
+from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, mixing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,9 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_chat_formatting"] = chat.oracle()
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
