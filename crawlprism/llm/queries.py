@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, mixing, quality, toxicity, warc
+from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, lm, mixing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,9 @@ ORACLES["op8_chat_formatting"] = chat.oracle()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return lm.score(table(spark, sf_dir, "documents"))
