@@ -47,7 +47,7 @@ def linear_messages(conversations: DataFrame) -> DataFrame:
 
 
 def branches(messages: DataFrame, most: int = 1) -> DataFrame:
-    """``(conv, leaf, place, node)``: the ``most`` best branches of each conversation, ``place`` 0 for the root.
+    """``(conv, leaf, node, below)``: the ``most`` best branches of each conversation, ``below`` 0 for the leaf.
 
     ``messages`` has ``conv, node, parent, score``; a parent's ``node`` is below its replies'.
     """
@@ -56,19 +56,27 @@ def branches(messages: DataFrame, most: int = 1) -> DataFrame:
     known = known.withColumn("_c", F.struct("_c").cast(own.schema["conv"].dataType))
     good = (F.col("conv") == F.col("_c")) & (F.col("parent") == F.col("_p")) & (F.col("parent") < F.col("node"))
     tree = materialize(own.join(known, good, "left").select("conv", "node", F.col("_p").alias("up"), F.coalesce("score", F.lit(0.0)).alias("gain")), "tree")
-    jumps = [tree]
-    while not jumps[-1].filter("up IS NOT NULL").isEmpty():
+    # jumps[k]: of the messages with that many above them, the one 2 ** k up and the score from the message to below it.
+    jumps = [tree.filter("up IS NOT NULL")]
+    while not jumps[-1].isEmpty():
         last = jumps[-1]
         above = last.select(F.col("conv").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("far"), F.col("gain").alias("more"))
-        step = last.join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")), "left")
-        jumps.append(materialize(step.select("conv", "node", F.col("far").alias("up"), (F.col("gain") + F.coalesce("more", F.lit(0.0))).alias("gain")), "jump"))
+        step = last.join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")))
+        jumps.append(materialize(step.select("conv", "node", F.col("far").alias("up"), (F.col("gain") + F.col("more")).alias("gain")), "jump"))
+    jumps = jumps[:-1]
     parents = tree.filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
-    leaves = jumps[-1].join(parents, ["conv", "node"], "left_anti")
-    rank = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("gain"), F.desc("node")))
-    rows = leaves.withColumn("rank", rank).filter(F.col("rank") <= most).select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("below"))
-    for k in range(len(jumps) - 2, -1, -1):
-        above = jumps[k].filter("up IS NOT NULL").select("conv", "node", "up")
-        further = rows.join(above, ["conv", "node"]).select("conv", "leaf", F.col("up").alias("node"), (F.col("below") + (1 << k)).alias("below"))
+    leaves = tree.join(parents, ["conv", "node"], "left_anti").select("conv", F.col("node").alias("leaf"), "node", F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("length"))
+    for k in range(len(jumps) - 1, -1, -1):
+        leaves = leaves.join(jumps[k], ["conv", "node"], "left")
+        gone = F.when(F.col("up").isNotNull(), 1 << k).otherwise(0)
+        leaves = leaves.select("conv", "leaf", F.coalesce("up", "node").alias("node"), (F.col("sum") + F.coalesce("gain", F.lit(0.0))).alias("sum"), (F.col("length") + gone).alias("length"))
+    roots = tree.select("conv", "node", "gain")
+    leaves = leaves.join(roots, ["conv", "node"]).withColumn("score", F.col("sum") + F.col("gain"))
+    rank = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("score"), F.desc("length"), "leaf"))
+    chosen = leaves.withColumn("rank", rank).filter(F.col("rank") <= most)
+    rows = materialize(chosen.select("conv", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("below")), "chosen")
+    for k in range(len(jumps) - 1, -1, -1):
+        further = rows.join(jumps[k], ["conv", "node"]).select("conv", "leaf", F.col("up").alias("node"), (F.col("below") + (1 << k)).alias("below"))
         rows = materialize(rows.union(further), "branches")
     return rows
 
