@@ -1,6 +1,6 @@
 """The corpus pipeline: quality rules, line dedup, near-duplicates, decontamination, mixing.
 
-Each stage reads what the one before has written.
+Each stage works on all that the one before has kept, written as Parquet and read again.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import quality
+from crawlprism.llm import bagminhash, decontam, linedup, mixing, quality
 from crawlprism.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,17 +20,41 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur earlier in the corpus; those that consist of such passages go."""
+    return linedup.keep_texts(docs)
 
-# Perplexity, content-defined chunks and weighted minima are not expressible in SQL.
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return bagminhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix to target weights takes of each document."""
+    return mixing.taken(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+]
+
+# Perplexity, content-defined chunks and weighted minima can't be expressed in SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each result is written and read again."""
+    """Applies the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
