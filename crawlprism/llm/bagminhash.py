@@ -11,7 +11,8 @@ so no link that a bucket holds is lost. Every link is an exact multiset overlap.
 
 Texts with equal shingle multisets are one node. Texts of fewer than five words have one shingle, all their words;
 texts without words, null ones among them, are near nothing and are classes of their own.
-Rows that share a ``doc_id`` share its name but are judged by their own texts.
+Rows that share a ``doc_id``, null too, share its name but are judged by their own texts; where one document of each
+class is kept, rows that share the kept name and differ in text all stay.
 """
 
 from __future__ import annotations

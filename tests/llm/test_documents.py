@@ -1,0 +1,275 @@
+"""Operators on documents: awkward inputs, and small brute-force versions."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from crawlprism.llm import bagminhash, decontam, linedup, lm, mixing, quality, textio, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, spans string, _row int, size string, band string"
+LONG = " ".join(f"word{i % 977} the of number{i}" for i in range(30000))
+BASE = " ".join(f"tok{i} and so" for i in range(60)) + "."
+ROWS = [
+    (1, None, None, None, None),
+    (None, "hello world", None, "s", 1),
+    (2, "", "en", "s", 0),
+    (3, "   \n ", "en", None, 0),
+    (4, LONG, "en", "s", 5),
+    (5, BASE, "en", "t", 1),
+    (5, BASE, "en", "t", 1),
+    (6, BASE, "de", "t", 1),
+    (7, BASE + " extra words here", "en", "t", 1),
+    (8, "é ü", "fr", "s", 3),
+]
+ITEMS = [(1, BASE[:300]), (2, None), (3, ""), (None, "one two three four five six seven eight nine ten")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(*r, "x", "y", 1, "z", "b") for r in ROWS], SCHEMA).repartition(3, "text").cache()
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_words_and_hashes():
+    texts = ["a bb\tccc", "", "  x ", "né 日本 q", "a bb"]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    starts, ends, first = textio.words(data, offsets)
+    found = [data[s:e].tobytes().decode() for s, e in zip(starts, ends, strict=True)]
+    assert found == [w for t in texts for w in words(t)]
+    assert list(np.diff(first)) == [len(words(t)) for t in texts]
+    hashes = textio.span_hashes(data, starts, ends)
+    same = {}
+    for w, h in zip(found, hashes, strict=True):
+        assert same.setdefault(w, h) == h
+    assert len(set(same.values())) == len(same)
+
+
+def test_quality_base_rules(docs):
+    got = sorted(map(tuple, quality.verdicts(docs, ["doc_id"]).drop("kept", "log_ppl").collect()), key=str)
+
+    def base(i, text):
+        w, t = words(text), text or ""
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if words(line):
+                dup += line in seen
+                seen.add(line)
+        runs = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        inside = {k + j for k in range(len(w) - 2) if runs[tuple(w[k : k + 3])] > 1 for j in range(3)}
+        return i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(inside), len(w) < 50 or 100 * len(inside) > 50 * len(w)
+
+    assert got == sorted((base(r[0], r[1]) for r in ROWS), key=str)
+
+
+def test_quality_counts_lines_and_repeats(spark):
+    text = "a b c d\na b c d\n\n  \nx # y\n#| <\nx # y"
+    row = quality.verdicts(spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string"), ["doc_id"]).first()
+    assert (row.n_dup_lines, row.n_symbols, row.n_repeat_words, row.kept) == (2, 5, 14, False)
+
+
+def test_kneser_ney_sums_to_one(docs):
+    model = quality.kneser_ney(quality.gram_counts(docs))
+    for context in (0, 5 << 10, (27 << 10) | (1 << 5) | 2):
+        grams = (np.int64(context) << 5) + np.arange(32)
+        assert math.isclose((10 ** quality.log_probabilities(model, grams)).sum(), 1, rel_tol=1e-9)
+
+
+def test_quality_rejects_another_kind_of_text(spark):
+    plain = [(i, " ".join(f"the cat number {'abcdefghij'[(i * k) % 10]} sat on a mat of {'klmnopqrst'[(i + k) % 10]} wool" for k in range(1, 30)), "en") for i in range(1, 60)]
+    odd = (0, " ".join(f"~{chr(91 + k % 6)}^{k}=`{{}}" for k in range(80)), "en")
+    rows = {r.doc_id: r.kept for r in quality.verdicts(spark.createDataFrame([odd, *plain], "doc_id long, text string, lang string"), ["doc_id"]).filter("not base_failed").collect()}
+    assert not rows[0] and all(v for k, v in rows.items() if k)
+
+
+def test_quality_keeps_columns(docs):
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} <= {4, 5, 6, 7}
+
+
+def passages(n, seed):
+    draw = np.random.RandomState(seed)
+    return [" ".join("w" + str(draw.randint(10**6)) for _ in range(12)) + "." for _ in range(n)]
+
+
+def test_line_dedup_removes_shared_passages(spark):
+    shared = "\n".join(passages(7, 1))
+    texts = {i: "\n".join([*passages(4, 100 + i), shared, *passages(3, 200 + i)]) for i in range(6)}
+    texts[9] = texts[3]
+    texts[10] = "Title here\n" + "\n".join(passages(5, 300))
+    texts[11] = "Title here\n" + "\n".join(passages(5, 301))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in linedup.dedup_lines(rows.repartition(4)).collect()}
+    assert got[0].text == texts[0]
+    for i in range(1, 6):
+        assert shared.split("\n")[3] not in got[i].text
+        assert set(texts[i].split("\n")) - set(shared.split("\n")) <= set(got[i].text.split("\n"))
+    assert got[9].text == "" and got[9].n_removed == 14
+    assert got[10].text == texts[10] and got[11].text == texts[11]
+    kept = {r.doc_id for r in linedup.keep_texts(rows).collect()}
+    assert kept == set(texts) - {9}
+
+
+def test_line_dedup_awkward(docs):
+    got = linedup.keep_texts(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id for r in got.collect()), key=str) == sorted([1, None, 2, 3, 4, 5, 5, 7, 8], key=str)
+
+
+def test_near_duplicates_brute_force(spark):
+    draw = np.random.RandomState(3)
+    texts = []
+    for g in range(12):
+        w = [f"g{g}x{draw.randint(400)}" for _ in range(80)]
+        for _ in range(8):
+            v = list(w)
+            for _ in range(draw.randint(0, 5)):
+                v[draw.randint(80)] = f"e{draw.randint(10**6)}"
+            texts.append(" ".join(v))
+    texts += ["a b", "a b", "a  b", "", "", "x " * 50, "x " * 55, "x " * 90]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+
+    def bag(t):
+        w = words(t)
+        return Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) > 4 else Counter([tuple(w)] if w else [])
+
+    bags, least = [bag(t) for t in texts], list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i, a in enumerate(bags):
+        for j in range(i):
+            shared = sum((a & bags[j]).values())
+            if a and 5 * shared >= 4 * (a.total() + bags[j].total() - shared):
+                x, y = sorted((root(i), root(j)))
+                least[y] = x
+    assert got == {i: root(i) for i in range(len(texts))}
+
+
+def test_signatures_estimate_weighted_similarity():
+    element = np.arange(1, 41, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    a, b = np.full(40, 3), np.full(40, 3)
+    b[:10] = 6
+    text = np.repeat([0, 1], 40)
+    s = bagminhash.signatures(text, np.tile(element, 2), np.concatenate([a, b]), 2)
+    agreed = (s[0] == s[1]).mean()
+    assert abs(agreed - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.12
+    alone = bagminhash.signatures(np.zeros(40, int), element, a, 1)
+    assert (alone[0] == s[0]).all()
+
+
+def test_near_duplicates_awkward(docs):
+    got = {(r.doc_id, r.class_id) for r in bagminhash.classes(docs).collect()}
+    assert got == {(1, 1), (None, None), (2, 2), (3, 3), (4, 4), (5, 5), (6, 5), (7, 5), (8, 8)}
+    assert bagminhash.keep_one(docs).columns == docs.columns
+
+
+def test_decontamination(spark, docs):
+    item = "Once Bob ran 12 km to see Alice and then Bob ate 3 apples in the old town hall today."
+    texts = [
+        (1, "Before it. " + item + " After it."),
+        (2, item.replace("Bob", "Tom").replace("12 km", "15 miles").replace("Alice", "Mary")),
+        (3, "Once Tom ran 15 miles to see Mary and then Ann ate 3 apples in the old town hall today."),
+        (4, "ONCE, bob ran nowhere at all and the old town hall was shut."),
+        (5, None),
+    ]
+    found = decontam.leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 9), (2, 9)}
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    clean = decontam.without_leaks(docs, items)
+    assert clean.columns == docs.columns
+    assert decontam.leaks(docs.limit(0), items).isEmpty() and decontam.leaks(docs, items.limit(0)).isEmpty()
+
+
+def test_mixing(docs):
+    rows = mixing.taken(docs).collect()
+    sizes = Counter()
+    for r in ROWS:
+        sizes[r[3]] += len(words(r[1]))
+    assert sorted((r.size for r in rows)) == sorted(len(words(r[1])) for r in ROWS)
+    by_target = {}
+    for r in rows:
+        assert 0 <= r.taken <= 3 * r.size and r.target <= 3 * r.source_size
+        by_target.setdefault((r.source_size, r.target), []).append(r.taken)
+    for (_, target), taken in by_target.items():
+        assert abs(sum(taken) - target) <= 4 * mixing.BLOCK
+    assert sorted(rows, key=str) == sorted(mixing.taken(docs).collect(), key=str)
+    assert mixing.taken(docs.limit(0)).isEmpty()
+
+
+def test_lm_base_and_normalisation(spark, docs):
+    got = lm.score(docs).collect()
+    table = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    tokens = {i: [*(t or "").encode().translate(table).split(), None] for i, t, *_ in ROWS if i is not None}
+    counts = Counter()
+    for i, t, *_ in ROWS:
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            counts.update([*(t or "").encode().translate(table).split(), None])
+    n, norm = counts.total(), counts.total() + 0.1 * (len(counts) + 1)
+    assert len(got) == len(ROWS)
+    for r in got:
+        assert r.train_tokens == n
+        if r.doc_id is not None:
+            own = tokens[r.doc_id]
+            assert r.n_tokens == len(own) and r.n_known == sum(counts[w] > 0 for w in own)
+            assert math.isclose(r.base_score, sum(math.log10((counts[w] + 0.1) / norm) for w in own), rel_tol=1e-9)
+    model, _ = lm.train(docs.select("doc_id", "text", F.lit(False).alias("held_out")))
+    t = lm.Tokens(np.frombuffer(b"the of tok1", np.uint8), np.array([0, 11]))
+    for at in range(4):
+        f = np.repeat(t.features(at, at + 1), lm.SLOTS, axis=0)
+        slots = np.arange(lm.SLOTS)
+        a, b = lm._rows(f, slots)
+        p = lm._softmax(model["weights"][0], a)[slots, slots // 16] * lm._softmax(model["weights"][1], b)[slots, slots % 16]
+        assert math.isclose(p.sum(), 1, rel_tol=1e-5)
+    for slot in np.flatnonzero(model["size"]):
+        known = model["size"][slot] - lm.DISCOUNT * model["kinds"][slot]
+        assert math.isclose(known / model["size"][slot] + 10 ** lm.log_in_slot(model, np.array([slot]), np.array([0]))[0], 1, rel_tol=1e-9)
+    assert lm.score(docs.limit(0)).isEmpty()
+
+
+def test_lm_learns_order(spark):
+    texts = [(i, "alpha beta gamma delta " * (20 + i % 5)) for i in range(200)] + [(1000, "delta gamma beta alpha " * 20), (1001, "alpha beta gamma delta " * 20)]
+    rows = {r.doc_id: r for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert rows[1001].score > rows[1000].score + 10
+    held = [r for r in rows.values() if r.held_out and r.doc_id < 1000]
+    assert held and all(r.score > r.base_score for r in held)
+
+
+def test_toxicity_held_out(spark):
+    draw = np.random.RandomState(5)
+    plain = [f"{a}{b}{c}" for a in ("mi", "ta", "lo", "ve") for b in ("ran", "sil", "dor", "kem") for c in ("a", "ing", "ed")]
+    bad = ["zqvulk", "frogzak", "muxxelt"]
+    texts, labels = [], []
+    for i in range(500):
+        w = list(draw.choice(plain, 60))
+        if i % 4 == 0:
+            for k in draw.randint(0, 60, 3):
+                w[k] = bad[draw.randint(3)]
+        texts.append((i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    texts += [(900, None), (901, "")]
+    rows = toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r for r in rows if r.held_out and r.doc_id < 500]
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+    assert all(0 <= r.score <= 1 and not math.isnan(r.score) for r in rows) and len(rows) == 502
+
+
+def test_toxicity_without_labels(spark, docs):
+    none = spark.createDataFrame([(5, 0), (6, None)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
+    assert {r.score for r in toxicity.score(docs, none.limit(0)).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), none).isEmpty()
