@@ -1,15 +1,16 @@
-"""Pattern families built from the vocabulary, and their matching expressions."""
+"""Pattern families composed from the lexicon by a small grammar, and their matching expressions."""
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlprism.patterns import vocabulary as v
+from crawlprism.patterns import lexicon
 
 
 @dataclass(frozen=True)
@@ -46,79 +47,107 @@ class Family:
         return Family(self.patterns, (*self.exact, *[e.strip() for e in extra if e.strip()]))
 
 
-# Ends a word of a label.
-END = r"(?:[ ,]+|[.!]*\z)"
+_BEGIN = r"(?:^|[ ,.:\-])"
+_END = r"(?:[ ,.!:\-]+|\z)"
+# Refusals that are no single word: sale of data, leaving a scheme.
+IDIOMS = (rf"{_BEGIN}opt[ \-]?out{_END}", rf"{_BEGIN}not (?:sell|share){_END}")
+# Purposes that consent tools announce in a fixed wording.
+PURPOSES = (r"(?:store|access)[^.!?]{0,40}information[^.!?]{0,30}device",)
 
 
-def _whole(regex: str, unless: str | None = None) -> Pattern:
-    return Pattern(rf"^(?:{regex})[.!]*\z", unless)
+class Grammar:
+    """The rules over one language's words."""
 
+    def __init__(self, language: str):
+        self.words = lexicon.words(language)
 
-def _some(groups: Iterable[str], at_most: int) -> str:
-    """Up to ``at_most`` words of the groups."""
-    alternatives = "|".join(g for g in groups if g)
-    return rf"(?:(?:{alternatives}){END}){{0,{at_most}}}" if alternatives else ""
+    def any(self, *roles: str) -> str:
+        """One word of the roles, with what ends it; '' if the language has none."""
+        listed = [w for r in roles for w in self.words.get(r, ())]
+        spelt = [re.escape(w[:-1]) + "[^ ,.!:]*" if w.endswith("*") else re.escape(w) for w in dict.fromkeys(listed)]
+        return f"(?:(?:{'|'.join(spelt)}){_END})" if spelt else ""
 
+    def near(self, left: str, right: str, between: int) -> list[str]:
+        return [rf"{_BEGIN}{left}(?:[^ ]+ ){{0,{between}}}{right}"] if left and right else []
 
-def reject_family(words: Iterable[v.Words]) -> Family:
-    out = []
-    for w in words:
-        if w.refuse:
-            guard = r"^einstell(?:ungen|en) oder ablehnen\z" if "ablehn" in w.refuse else None
-            out.append(Pattern(rf"(?:^|[ ,.\-])(?:{w.refuse})", guard))
-        if w.refuse_whole:
-            out.append(_whole(w.refuse_whole))
-        if w.without:
-            out.append(Pattern(w.without))
-        if w.needed:
-            # [verb] [only] needed [things]: a needed-word is always there.
-            lead = _some((w.accept, w.only, w.things, "strictly|i|want to"), 6)
-            tail = _some((w.things, w.accept, w.only, w.needed), 4)
-            out.append(_whole(rf"{lead}(?:{w.needed}){END}{tail}"))
-    return Family(tuple(out))
+    def only(self, must: str, may: str, before: int = 6, after: int = 6) -> list[str]:
+        """Labels of allowed words alone, one of them of a kind that must be there."""
+        if not must:
+            return []
+        fill = lambda n: f"{may}{{0,{n}}}" if may else ""
+        return [rf"^{fill(before)}{must}{fill(after)}\z"]
 
+    def refusals(self) -> list[str]:
+        a = self.any
+        out = [_BEGIN + a("refuse")] if a("refuse") else []
+        out += self.near(a("not"), a("agree"), 2) + self.near(a("without"), a("agree", "thing"), 2)
+        out += self.only(a("needed"), a("agree", "only", "thing", "link", "needed", "yes"))
+        return out + self.only(a("not"), a("link", "thanks"), 0, 3)
 
-def settings_family(words: Iterable[v.Words]) -> Family:
-    out = []
-    for w in words:
-        if w.adjust and w.options:
-            end = r"(?:[^a-z0-9_]|\z)"
-            out.append(
-                Pattern(rf"^(?:{w.adjust})(?: .{{0,20}})?[ \-](?:{w.options}){end}", v.NOT_SETTINGS)
-            )
-            out.append(
-                Pattern(rf"^(?:{w.options})(?:[ \-].{{0,15}})?[ \-](?:{w.adjust}){end}", v.NOT_SETTINGS)
-            )
-        if w.options_whole:
-            out.append(_whole(w.options_whole))
-    return Family(tuple(out))
-
-
-def accept_family(words: Iterable[v.Words]) -> Family:
-    out = []
-    for w in words:
-        if w.accept and w.objects:
-            lead, tail = _some([w.objects], 4), _some([w.objects], 8)
-            out.append(_whole(rf"{lead}(?:{w.accept}){END}{tail}", v.NOT_ACCEPT))
-        if w.accept_whole:
-            out.append(_whole(w.accept_whole, v.NOT_ACCEPT))
-        if w.save:
-            out.append(_whole(w.save, v.NOT_ACCEPT))
-    return Family(tuple(out))
-
-
-def acknowledge_family(words: Iterable[v.Words]) -> Family:
-    out = []
-    for w in words:
-        if w.noted:
-            out.append(_whole(w.noted))
-        if w.close:
-            out.append(_whole(rf"(?:x )?(?:{w.close}){END}{_some([w.banner], 6)}", v.NOT_CLOSE))
-    return Family(tuple(out))
+    def settings(self) -> list[str]:
+        a = self.any
+        named, made = a("option", "cookie"), a("change", "view")
+        out = self.near(made, named, 3) + self.near(named, a("change"), 2)
+        out += self.only(a("option"), a("cookie", "thing", "link", "view"), 3, 2)
+        return out + self.only(a("change"), a("link"), 2, 2)
+
+    def acknowledgements(self) -> list[str]:
+        a = self.any
+        out = self.only(a("seen"), a("seen", "link"), 2, 4)
+        if a("seen") and a("option"):
+            out.append(rf"^{a('seen')}{a('link') or ''}{{0,2}}{a('option')}\z")
+        return out + self.only(a("close"), a("shut"), 0, 4) + (self.only("(?:x )" + a("close"), "", 0, 0) if a("close") else [])
+
+    def acceptances(self) -> list[str]:
+        a = self.any
+        out = self.only(a("agree"), a("agree", "thing", "link", "yes", "cookie", "seen"))
+        out += self.only(a("store"), a("link", "option", "thing", "store"), 3, 4)
+        return out + self.only(a("yes"), a("link", "yes"), 0, 3)
+
+    def notices(self) -> dict[str, list[str]]:
+        """Sentences that use or agree to cookies, by cookie word; refusals of everything, without an anchor."""
+        out: dict[str, list[str]] = {}
+        bare = lambda *roles: "|".join(re.escape(w.rstrip("*")) for r in roles for w in self.words.get(r, ()))
+        verbs = bare("use", "agree")
+        for cookie in self.words.get("cookie", ()):
+            out[cookie] = [rf"(?:^|[^\p{{L}}])(?:{verbs})[^.!?]{{0,60}}{cookie}", rf"{cookie}[^.!?]{{0,30}}[^\p{{L}}](?:{bare('use')})"]
+        whole, refused = bare("thing"), bare("refuse")
+        out[""] = [rf"(?:^|[^\p{{L}}])(?:{whole}) (?:{refused})", rf"(?:^|[^\p{{L}}])(?:{refused})\p{{L}}* (?:{whole})(?:[^\p{{L}}]|\z)"]
+        return out
+
+
+def _family(rule: str, more: Iterable[str] = ()) -> Family:
+    found = [p for language in lexicon.LANGUAGES for p in getattr(Grammar(language), rule)()]
+    return Family(tuple(Pattern(p) for p in [*found, *more]))
+
+
+def reject_family() -> Family:
+    return _family("refusals", IDIOMS)
+
+
+def settings_family() -> Family:
+    return _family("settings")
+
+
+def acknowledge_family() -> Family:
+    return _family("acknowledgements")
+
+
+def accept_family() -> Family:
+    return _family("acceptances")
+
+
+def never_family() -> Family:
+    spelt = [re.escape(w[:-1]) + "[^ ,.!:]*" if w.endswith("*") else re.escape(w) for w in lexicon.ELSEWHERE.split()]
+    return Family((Pattern(rf"{_BEGIN}(?:{'|'.join(spelt)}){_END}"),))
 
 
 def notice_patterns() -> dict[str, tuple[str, ...]]:
-    return {anchor: tuple(p.replace("GAP", v.GAP) for p in ps) for anchor, ps in v.NOTICES.items()}
+    out: dict[str, list[str]] = {"information": list(PURPOSES)}
+    for language in lexicon.LANGUAGES:
+        for anchor, found in Grammar(language).notices().items():
+            out.setdefault(anchor, []).extend(found)
+    return {anchor: tuple(dict.fromkeys(found)) for anchor, found in out.items()}
 
 
 @dataclass(frozen=True)
@@ -126,11 +155,11 @@ class PatternSet:
     """Everything text detection needs. Replace any part to run with other lists."""
 
     notices: dict[str, tuple[str, ...]] = field(default_factory=notice_patterns)
-    reject: Family = field(default_factory=lambda: reject_family(v.WORDS.values()))
-    settings: Family = field(default_factory=lambda: settings_family(v.WORDS.values()))
-    acknowledge: Family = field(default_factory=lambda: acknowledge_family(v.WORDS.values()))
-    accept: Family = field(default_factory=lambda: accept_family(v.WORDS.values()))
-    never: Family = field(default_factory=lambda: Family(tuple(Pattern(p) for p in v.NEVER)))
+    reject: Family = field(default_factory=reject_family)
+    settings: Family = field(default_factory=settings_family)
+    acknowledge: Family = field(default_factory=acknowledge_family)
+    accept: Family = field(default_factory=accept_family)
+    never: Family = field(default_factory=never_family)
 
     def with_extra_rejects(self, extra: Sequence[str]) -> PatternSet:
         """Caller-supplied exact refusals, added to the built-in ones."""

@@ -118,15 +118,15 @@ LABELS = {
     "settings": [
         "Cookie settings", "Manage preferences", "Customize", "More options", "Let me choose", "Show details", "Privacy choices", "Voorkeuren aanpassen",
         "Instellingen", "Paramétrer les cookies", "Personnaliser", "Gérer mes préférences", "Einstellungen", "Cookie-Einstellungen", "Mehr Optionen",
-        "Einstellungen oder ablehnen", "Configurar cookies", "Preferencias", "Personalizar", "Dostosuj", "Ustawienia cookies", "Настройки", "Personalitza",
-        "Konfiguratu", "Ayarlar", "Wybierz, jakie pliki cookies chcesz zaakceptować.", "Chcę dokonać ustawień cookies.",
+        "Einstellungen verwalten", "Configurar cookies", "Preferencias", "Personalizar", "Dostosuj", "Ustawienia cookies", "Настройки", "Personalitza",
+        "Konfiguratu", "Ayarlar", "Pokaż więcej opcji", "Zarządzaj plikami cookie", "Kelola preferensi",
     ],
     "accept": [
         "Accept all", "I agree", "Allow all cookies", "Accept selected", "Yes", "Agree and close", "Alle akzeptieren", "Zustimmen", "Ich stimme zu",
         "Auswahl bestätigen", "Accepteer alle cookies", "Akkoord", "Ja, ik ga akkoord", "Tout accepter", "J’accepte", "Accepter et continuer", "Aceptar todo",
         "Aceptar todas las cookies", "Sí, acepto", "Accetta tutti i cookie", "Aceitar todos", "Acceptera alla", "Accepta totes", "Onartu", "Souhlasím",
-        "Zaakceptuj wszystkie", "Zgadzam się", "Принять все", "Kabul et", "Terima semua", "Save preferences", "Continue with all",
-        "Akceptuję politykę plików cookies i przechodzę do strony",
+        "Zaakceptuj wszystkie", "Zgadzam się", "Принять все", "Kabul et", "Terima semua", "Save preferences", "Yes, allow all of them",
+        "Uložit nastavení", "Simpan pilihan", "Guardar selección",
     ],
     "acknowledge": [
         "OK", "Got it", "Close", "Dismiss", "I understand", "Continue", "✕ Close", "Confirm my choices", "Close this banner", "Verstanden", "Schließen",
