@@ -1,8 +1,8 @@
 """Removal of passages that repeat across the corpus, by content-defined chunks of lines.
 
 A text's lines are split after sentence ends into units. A unit closes a chunk if it has ``LONG`` words or more,
-or if the rolling hash over it says so (three times in four if it has ``LEAST_KEY`` words or more, else once in
-sixteen). That depends on nothing outside the unit: an inserted or lost line moves no boundary but its own. Where a shared passage begins
+or if the rolling hash over it says so (15 times in 16 if it has ``LEAST_KEY`` words or more, else once in 16).
+That depends on nothing outside the unit: an inserted or lost line moves no boundary but its own. Where a shared passage begins
 or ends inside a chunk, the other texts share only the tail or head of that chunk, so a chunk's heads and tails
 count as chunks too.
 
@@ -60,7 +60,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def chunks(words: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each unit the index of its chunk's first unit."""
-    close = (words >= LEAST_KEY) & ((textio.mix(hashes + _STEP) & np.uint64(3)) != 0)
+    close = (words >= LEAST_KEY) & ((textio.mix(hashes + _STEP) & np.uint64(15)) != 0)
     close |= (words >= LONG) | ((textio.mix(hashes + _STEP) & np.uint64(15)) == 0)
     begins = np.zeros(len(hashes) + 1, bool)
     begins[1:] = close
