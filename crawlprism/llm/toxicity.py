@@ -5,8 +5,8 @@ after both; ordinary text takes the same space either way, so what the toxic dic
 text's savings the largest, the means of the largest and of all, and the shares above thresholds are weighed by
 logistic regression.
 
-The training sample is bounded: ``SAMPLE`` labelled texts of each class at most, those first by a hash of the text,
-none of the held-out rows. What is learnt is a dictionary and a few weights; every text is scored whole. The toxic
+The training sample is bounded: ``SAMPLE`` labelled texts of each class at most, drawn by a hash, none of the held-out
+rows. What is learnt is a dictionary and a few weights; every text is scored whole. The toxic
 dictionary is trained on the words that the sampled toxic texts hold in excess of the ordinary ones, as often as texts
 hold them. Without labels of both classes every score is the share of toxic labels, or 0.
 
@@ -23,12 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlprism.llm import textio
 
-#: Labelled texts of each class, and bytes of each, that the dictionaries and weights are learnt from.
+#: Labelled texts of each class that the dictionaries and weights are learnt from.
 SAMPLE = 3000
 WINDOW = 8
 LEVEL = 6
@@ -44,7 +44,7 @@ _PAD = b"\n" * 8
 Model = tuple[bytes, bytes, np.ndarray]
 
 
-def held_out(doc_id, of: int):
+def held_out(doc_id: Column, of: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % of == 0, F.lit(False))
 
 
@@ -129,15 +129,15 @@ def learn(sample: list[tuple[bytes, int]]) -> Model | float:
 
 
 def training_sample(documents: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
-    """At most ``SAMPLE`` texts of each class, the first by hash; repeats of a text count once."""
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    rows = documents.filter(~held_out(F.col("doc_id"), HELD_OUT_OF)).join(known, F.col("doc_id") == F.col("_id")).filter("text != ''")
-    rows = rows.select("text", "toxic", F.xxhash64("text").alias("draw"))
-    out = []
-    for label in (0, 1):
-        part = rows.filter(F.col("toxic") == label).orderBy("draw", "text").select("text").limit(SAMPLE).toArrow()["text"].to_pylist()
-        out += [(t.encode(), label) for t in dict.fromkeys(part)]
-    return out
+    """At most ``SAMPLE`` texts of each class, drawn by a hash; repeats of a text count once."""
+    known = labels.filter(~held_out(F.col("doc_id"), HELD_OUT_OF)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = known.filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    drawn = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for k in (0, 1)]
+    ids = drawn[0].union(drawn[1]).withColumnRenamed("doc_id", "_id")
+    # The draw has 2 * SAMPLE rows at most, so it can be broadcast.
+    rows = documents.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter("text != ''").select("text", "toxic").toArrow()
+    pairs = dict.fromkeys(zip(rows["text"].to_pylist(), rows["toxic"].to_pylist(), strict=True))
+    return [(t.encode(), k) for t, k in pairs]
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
