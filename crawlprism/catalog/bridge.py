@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.session import materialize, spread_hint
+from crawlprism.session import materialize
 
 T = re.compile(r"\$(\w+)")
 
@@ -20,9 +20,19 @@ T = re.compile(r"\$(\w+)")
 PARSED = ("lineitem", "orders", "events", "documents", "pages")
 
 
+def _spread_hint(df: DataFrame) -> str:
+    """A repartition hint for a file input with fewer splits than there are cores, else ''.
+
+    One small file with a single row group would keep one core busy with all the parsing that
+    follows. The benchmark tables are such files; crawls are not.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return "" if df.rdd.getNumPartitions() >= cores else f"/*+ REPARTITION({cores}) */"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> str:
     path = f"{sf_dir}/{name}.parquet"
-    hint = spread_hint(spark.read.parquet(path)) if name in PARSED else ""
+    hint = _spread_hint(spark.read.parquet(path)) if name in PARSED else ""
     return f"(SELECT {hint} * FROM parquet.`{path}`)" if hint else f"parquet.`{path}`"
 
 

@@ -174,11 +174,11 @@ def clean_button_text(spark, sf):
     return _long(buttons(spark, sf)).select("page", *POS, tx.clean_button_text(F.col("text")).alias("label"))
 
 
-@query("popup_text_match", f"SELECT doc_id, {q.noticed('lower(text)', P)} AS plain, {q.noticed('lower(cleanedtext)', P)} AS seeded FROM documents JOIN ({b.O_FRAMES}) ON page = doc_id AND frame = 0")
+@query("popup_text_match", f"SELECT doc_id, {q.noticed('lower(text)', P)} AS plain, {q.noticed('lower(cleanedtext)', P)} AS seeded FROM documents LEFT JOIN ({b.O_FRAMES}) ON page = doc_id AND frame = 0")
 def popup_text_match(spark, sf):
     docs = b.spark_sql(spark, sf, "SELECT doc_id, text FROM $documents")
     top = b.scraped(spark, sf).select(F.col("page").alias("doc_id"), F.try_element_at("data.cookiepopups.scrapedFrames", F.lit(1))["cleanedText"].alias("t"))
-    both = docs.join(top.filter("t IS NOT NULL"), "doc_id")
+    both = docs.join(top.filter("t IS NOT NULL"), "doc_id", "left")
     return both.select("doc_id", det.popup_text_match(F.col("text")).alias("plain"), det.popup_text_match(F.col("t")).alias("seeded"))
 
 
@@ -530,7 +530,7 @@ def candidate_rules(spark, sf):
 _DEC = f"""mt AS ({_MATCH}), ru AS ({b.O_RULES}), md AS (SELECT mt.file, ru.*, CASE WHEN ru.name LIKE 'auto_%' AND (regexp_matches(s.initialurl, ru.pattern) OR regexp_matches(s.finalurl, ru.pattern))
   THEN regexp_extract(replace(ru.pattern, '\', ''), '^.*[?](.*)/$', 1) ELSE '~' || ru.name END AS grp FROM mt JOIN ru USING (name) JOIN (__SITES__) s ON s.file = mt.file),
 cl AS (SELECT DISTINCT file, selector FROM md), st AS (SELECT file, count(*) AS matched, count(*) FILTER (region = 'GB') AS regional FROM md GROUP BY file),
-c AS (SELECT *, frame * 1000000 + popup * 1000 + button AS pos FROM ({_CANDS})),
+c AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY frame, popup, button) AS pos FROM ({_CANDS})),
 fp AS (SELECT *, min(pos) FILTER (usable) OVER (PARTITION BY file, selector) AS first FROM c),
 kp AS (SELECT fp.*, coalesce(pos > first, FALSE) OR cl.file IS NOT NULL AS kept, coalesce(st.matched, 0) AS matched, coalesce(st.regional, 0) AS regional
   FROM fp LEFT JOIN cl USING (file, selector) LEFT JOIN st USING (file)),

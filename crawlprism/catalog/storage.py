@@ -67,7 +67,7 @@ def rules_roundtrip(spark, sf):
     folder = shared_dir(spark, "rules")
     fresh = cq.resolved(spark, sf).filter("decision LIKE 'new%'")
     sinks.write_rules(ru.rule_records(fresh), folder)
-    parts = spark.read.text(folder, wholetext=True).select(F.from_json("value", scans.schemas.rule_schema()).alias("r"))
+    parts = scans.read_rules(spark, folder).select(F.struct("*").alias("r"))
     click = F.col("r.optOut")[1]
     return parts.select(
         "r.runContext.urlPattern", click["waitForThenClick"].alias("selector"), click["comment"].alias("comment"), "r.runContext.main",
@@ -135,6 +135,20 @@ def write_summary(spark, sf):
     return doc.select(F.get_json_object("value", "$.global[0].validFiles").cast("bigint").alias("validFiles"))
 
 
+_RANKED = "row_number() OVER (ORDER BY n_orders DESC, clerk) - 1"
+
+
+@query("write_summary_ranks", f"SELECT CAST({_RANKED} AS BIGINT) AS pos, clerk, n_orders FROM (SELECT o_custkey AS clerk, count(*) AS n_orders FROM orders GROUP BY 1) QUALIFY {_RANKED} < 50")
+def write_summary_ranks(spark, sf):
+    """A ranked report keeps its order in the summary document."""
+    path = shared_dir(spark, "summary")
+    top = b.spark_sql(spark, sf, "SELECT o_custkey AS clerk, count(*) AS n_orders FROM $orders GROUP BY 1 ORDER BY n_orders DESC, clerk LIMIT 50")
+    sinks.write_summary({"top": top, "total": top.agg(F.count("*").alias("n"))}, path)
+    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", "top array<struct<clerk:bigint,n_orders:bigint>>").alias("d"))
+    rows = doc.select(F.posexplode("d.top").alias("pos", "r"))
+    return rows.select(F.col("pos").cast("bigint").alias("pos"), "r.clerk", "r.n_orders")
+
+
 @query(
     "write_distinct_texts",
     f"SELECT DISTINCT CASE WHEN isreject THEN 'reject' ELSE 'other' END AS kind, replace(text, chr(10), '\\n') AS text FROM ({cq.O_LABELLED}) WHERE llmmatch",

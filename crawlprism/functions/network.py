@@ -34,8 +34,8 @@ SKIPPED_TARGETS = (
     "browser_ui",
 )
 
-# Async call stacks are recorded this deep.
-STACK_DEPTH = 32
+# Levels of an async call stack that one parse reads.
+STACK_STEP = 32
 
 
 def normalize_headers(headers: Column) -> Column:
@@ -82,29 +82,42 @@ def body_hash(body: Column, is_base64: Column) -> Column:
     return F.sha2(F.when(is_base64, text).otherwise(body), 256)
 
 
-def _stack_schema() -> T.StructType:
+def _stack_type() -> T.StructType:
+    """``STACK_STEP`` levels of a call stack; what lies above them stays JSON text."""
     frames = T.StructField("callFrames", T.ArrayType(T.StructType([T.StructField("url", T.StringType())])))
-    stack = T.StructType([frames])
-    for _ in range(STACK_DEPTH):
+    stack: T.DataType = T.StringType()
+    for _ in range(STACK_STEP):
         stack = T.StructType([frames, T.StructField("parent", stack)])
-    return T.StructType(
-        [T.StructField("url", T.StringType()), T.StructField("type", T.StringType()), T.StructField("stack", stack)]
-    )
+    return stack
+
+
+def _levels(stack: Column) -> tuple[Column, Column]:
+    """Call-frame URLs of the levels of a parsed stack, outwards, and the JSON of the level after."""
+    urls, node = [], stack
+    for _ in range(STACK_STEP):
+        urls.append(F.coalesce(node["callFrames"]["url"], F.array().cast("array<string>")))
+        node = node["parent"]
+    return F.concat(*urls), node
 
 
 def flatten_initiators(initiator_json: Column) -> Column:
     """Initiator URL, then call-frame URLs outwards through the parents; distinct, in order.
 
-    The JSON is parsed once into a fixed-depth struct; each level is then a plain field path.
+    The JSON is parsed once into ``STACK_STEP`` levels, each a plain field path. The rare deeper stack is parsed on
+    from there, as often as it has parents for, so no depth is left out.
     """
-    parsed = F.from_json(initiator_json, _stack_schema())
-    empty = F.array().cast("array<string>")
-    levels, node = [], parsed["stack"]
-    for depth in range(STACK_DEPTH + 1):
-        levels.append(F.coalesce(node["callFrames"]["url"], empty))
-        if depth < STACK_DEPTH:
-            node = node["parent"]
-    urls = F.concat(F.array(parsed["url"]), *levels)
+    parsed = F.from_json(initiator_json, T.StructType([T.StructField("url", T.StringType()), T.StructField("stack", _stack_type())]))
+    near, rest = _levels(parsed["stack"])
+    rounds = F.sequence(F.lit(1), F.ceil(F.regexp_count(rest, F.lit('"parent"')) / STACK_STEP).cast("int") + 1)
+
+    def further(done: Column, _: Column) -> Column:
+        urls, after = _levels(F.from_json(done["rest"], _stack_type()))
+        return F.struct(F.concat(done["urls"], urls).alias("urls"), after.alias("rest"))
+
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("urls"), rest.alias("rest"))
+    far = F.when(rest.isNull(), none).otherwise(F.aggregate(rounds, start, further, lambda done: done["urls"]))
+    urls = F.concat(F.array(parsed["url"]), near, F.coalesce(far, none))
     return F.array_distinct(F.filter(urls, lambda u: u.isNotNull() & (u != "")))
 
 

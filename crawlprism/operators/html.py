@@ -1,277 +1,84 @@
-"""Frames, buttons and selectors from stored HTML.
-
-Text, links and flat buttons are native expressions. Only nesting (innermost elements and
-unique CSS paths) needs a parse tree, built per document inside ``mapInPandas``.
-"""
+"""Text, links and buttons of stored HTML, by native expressions."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlprism.functions.text import SPACE, TEXT_LIMIT, limit_text, trim_space
-from crawlprism.functions.urls import url_host, url_scheme
+from crawlprism.functions.text import SPACE, trim_space
 
 # Elements whose content is not text.
 SKIPPED_TAGS = (
     "script", "style", "noscript", "template", "meta", "link", "svg", "canvas", "iframe", "frame", "frameset",
     "noframes", "noembed", "audio", "video", "source", "track", "picture", "img", "map",
 )
-_VOID = {"area", "base", "br", "col", "embed", "frame", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-# Elements that do not break the text around them.
-_INLINE = {"a", "abbr", "b", "button", "code", "em", "font", "i", "label", "mark", "s", "small", "span", "strong", "sub", "sup", "u"}
+_VOID = {"frame", "img", "link", "meta", "source", "track"}
 _CONTENT = [t for t in SKIPPED_TAGS if t not in _VOID]
 
-SKIPPED_CONTENT = "(?is)" + "|".join([r"<!--.*?-->", *[rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _CONTENT]])
-HEAD = r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>"
-TAG = r"(?s)<[^>]*>"
-# Entities decoded in text, the ampersand last.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-    ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"), ("&reg;", "®"), ("&euro;", "€"),
-    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&auml;", "ä"), ("&ouml;", "ö"),
-    ("&uuml;", "ü"), ("&szlig;", "ß"), ("&amp;", "&"),
-)
-LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
-BUTTON = r"(?is)<(?:button|a)(?:\s[^>]*)?>([^<]*)</(?:button|a)\s*>"
-
-FRAME_DDL = (
-    "page_id bigint, buttons array<struct<text:string,selector:string>>, "
-    "popups array<struct<text:string,selector:string,buttons:array<struct<text:string,selector:string>>>>"
-)
-
-
-def _decode(c: Column) -> Column:
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
-
-
-def page_text(html: Column) -> Column:
-    """Readable text of a document, whole, with runs of white space collapsed."""
-    body = F.regexp_replace(F.regexp_replace(html, SKIPPED_CONTENT, " "), HEAD, " ")
-    text = _decode(F.regexp_replace(body, TAG, " "))
-    return trim_space(F.regexp_replace(text, SPACE + "+", " "))
-
-
-def page_links(pages: DataFrame) -> DataFrame:
-    """Link targets in document order."""
-    found = F.regexp_extract_all("html", F.lit(LINK), F.lit(1))
-    return pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
-
-
-def flat_buttons(pages: DataFrame) -> DataFrame:
-    """Texts of buttons and links that hold nothing but text."""
-    found = F.regexp_extract_all("html", F.lit(BUTTON), F.lit(1))
-    rows = pages.select("page_id", F.posexplode(found).alias("pos", "raw"))
-    return rows.select("page_id", "pos", trim_space(_decode(F.col("raw"))).alias("text")).filter("text <> ''")
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "parts")
-
-    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children: list[_Node] = []
-        self.parts: list[object] = []
-
-    def walk(self) -> Iterator[_Node]:
-        todo = [self]
-        while todo:
-            n = todo.pop()
-            yield n
-            todo.extend(reversed(n.children))
-
-    def text(self) -> str:
-        out, todo = [], [self]
-        while todo:
-            n = todo.pop()
-            if isinstance(n, str):
-                out.append(n)
-            elif n.tag not in SKIPPED_TAGS:
-                edge = [] if n.tag in _INLINE else [" "]
-                todo.extend([*edge, *reversed(n.parts), *edge])
-        return " ".join("".join(out).split())
+# What stands in a tag: quoted values may hold a ``>``.
+_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+SKIPPED_CONTENT = "(?is)" + "|".join([r"<!--.*?-->", *[rf"<{t}(?:\s{_INSIDE})?>.*?</{t}\s*>" for t in _CONTENT]])
+HEAD = rf"(?is)<head(?:\s{_INSIDE})?>.*?</head\s*>"
+# Well-formed tags first, then what a stray quote has left.
+TAG = rf"(?s)</?[a-zA-Z!?]{_INSIDE}>|</?[a-zA-Z!?][^>]*>"
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+LINK = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+BUTTON = rf"(?is)<button(?:\s{_INSIDE})?>.*?</button\s*>|<a(?:\s{_INSIDE})?>.*?</a\s*>|<input\s{_INSIDE}>"
+INPUT_KIND = r"""(?i)\stype\s*=\s*["']?(?:button|submit)"""
+INPUT_TEXT = r"""(?is)\svalue\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
-class _Tree(HTMLParser):
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = _Node("", {}, None)
-        self.feed(html)
-        self.close()
+def _character(reference: Column, names: Column) -> Column:
+    """The character of a reference's name; null if there is none."""
+    digits = F.when(reference.rlike("^#[xX]"), F.conv(F.substr(reference, F.lit(3)), 16, 10)).otherwise(F.substr(reference, F.lit(2)))
+    code = F.when(reference.startswith("#"), digits.cast("bigint")).otherwise(F.try_element_at(names, reference))
+    real = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: v or "" for k, v in attrs}, self.here)
-        self.here.children.append(node)
-        self.here.parts.append(node)
-        if tag not in _VOID:
-            self.here = node
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
+def decode_references(text: Column) -> Column:
+    """Character references as characters, once: the ampersand comes last. Unknown ones stay."""
+    names = F.create_map(*(F.lit(x) for name, code in name2codepoint.items() for x in (name, code)))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
+    late = F.array(F.lit("amp"), F.lit("#38"), F.lit("#x26"))
+    ordered = F.concat(F.array_except(found, late), F.array_intersect(found, late))
 
-    def handle_endtag(self, tag):
-        n = self.here
-        while n.parent is not None and n.tag != tag:
-            n = n.parent
-        if n.parent is not None:
-            self.here = n.parent
+    def put(done: Column, name: Column) -> Column:
+        return F.coalesce(F.replace(done, F.concat(F.lit("&"), name, F.lit(";")), _character(name, names)), done)
 
-    def handle_data(self, data):
-        self.here.parts.append(data)
+    return F.when(F.contains(text, F.lit("&")), F.aggregate(ordered, text, put)).otherwise(text)
 
 
-def _escape(s: str) -> str:
-    s = re.sub(r"([^\w\-\u0080-\U0010ffff])", r"\\\1", s)
-    return re.sub(r"^(-?)(\d)", lambda m: f"{m[1]}\\{ord(m[2]):x} ", s)
+def _visible(html: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(html, SKIPPED_CONTENT, " "), HEAD, " ")
 
 
-# Which details a path step carries, weakest first; classes are the last but one resort.
-_LEVELS = (
-    {"order", "ids", "testid"},
-    {"order", "ids", "testid", "data"},
-    {"order", "ids", "testid", "data", "classes"},
-    {"order", "ids", "testid", "data", "classes", "absolute"},
-)
-
-
-def _step(n: _Node, level: set[str]) -> tuple[str, tuple]:
-    """(CSS text, constraint) of one element on a path."""
-    siblings, css, need = n.parent.children, n.tag, [("tag", n.tag)]
-    movable = n.parent.tag in ("body", "html")  # order right under <body> is unstable
-    if "absolute" in level or (len(siblings) > 1 and not movable):
-        nth = next(i for i, s in enumerate(siblings, 1) if s is n)
-        css, need = css + f":nth-child({nth})", [*need, ("nth", nth)]
-    if n.tag != "body":
-        if n.attrs.get("id"):
-            css, need = css + "#" + _escape(n.attrs["id"]), [*need, ("attr", "id", n.attrs["id"])]
-        elif "id" not in n.attrs:
-            css, need = css + ":not([id])", [*need, ("no", "id")]
-    named = [a for a in n.attrs if a.startswith("data-")] if "data" in level else ["data-testid"]
-    for a in named:
-        if n.attrs.get(a) or (a in n.attrs and "data" in level):
-            css, need = css + f'[{a}="{_escape(n.attrs[a])}"]', [*need, ("attr", a, n.attrs[a])]
-    if "classes" in level and n.attrs.get("class", "").split():
-        for c in n.attrs["class"].split():
-            css, need = css + "." + _escape(c), [*need, ("class", c)]
-    return css, tuple(need)
-
-
-def _meets(n: _Node, pos: int, need: tuple) -> bool:
-    for what, *args in need:
-        ok = {
-            "tag": lambda: n.tag == args[0],
-            "nth": lambda: pos == args[0],
-            "attr": lambda: n.attrs.get(args[0]) == args[1],
-            "no": lambda: args[0] not in n.attrs,
-            "class": lambda: args[0] in n.attrs.get("class", "").split(),
-        }[what]()
-        if not ok:
-            return False
-    return True
-
-
-def css_path(node: _Node, root: _Node) -> str:
-    """Path from ``body``, made more specific until only this element matches."""
-    chain = []
-    n = node
-    while n.parent is not None and n.tag != "html":
-        chain.append(n)
-        n = n.parent
-    chain.reverse()
-    css = ""
-    for level in _LEVELS:
-        steps = [_step(c, level) for c in chain]
-        css = " > ".join(s for s, _ in steps)
-        found = [n]
-        for _, need in steps:
-            found = [c for f in found for i, c in enumerate(f.children, 1) if _meets(c, i, need)]
-        if len(found) <= 1:
-            break
-    return css
-
-
-def _is_button(n: _Node) -> bool:
-    kind = n.attrs.get("type", "").lower()
-    return (
-        n.tag in ("button", "a")
-        or (n.tag == "input" and kind in ("button", "submit"))
-        or n.attrs.get("role") == "button"
-        or "button" in n.attrs.get("class", "")
-    )
-
-
-def _innermost(nodes: list[_Node]) -> list[_Node]:
-    outer = set()
-    for n in nodes:
-        p = n.parent
-        while p is not None and id(p) not in outer:
-            outer.add(id(p))
-            p = p.parent
-    return [n for n in nodes if id(n) not in outer]
-
-
-def _buttons(scope: _Node, root: _Node) -> list[dict]:
-    out = []
-    for n in reversed(_innermost([x for x in scope.walk() if x is not scope and x.tag and _is_button(x)])):
-        text = n.text()
-        shown = text or (n.attrs.get("value", "").strip() if n.tag == "input" else "")
-        if shown and "disabled" not in n.attrs:
-            out.append({"text": text, "selector": css_path(n, root)})
-    return out
-
-
-_FLOATS = re.compile(r"position\s*:\s*(?:fixed|sticky)", re.I)
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden|opacity\s*:\s*0(?![.\d])", re.I)
-
+def _plain(html: Column) -> Column:
+    text = decode_references(F.regexp_replace(html, TAG, " "))
+    return trim_space(F.regexp_replace(text, SPACE + "+", " "))
 
-def _scrape(html: str, is_top: bool) -> tuple[list[dict], list[dict]]:
-    root = _Tree(html).root
-    if is_top:
-        styled = [n for n in root.walk() if _FLOATS.search(n.attrs.get("style", "")) and n.tag != "body"]
-        # Innermost elements come last to first, as buttons do.
-        popups = _innermost([n for n in styled if not _HIDDEN.search(n.attrs["style"])])[::-1]
-    else:
-        popups = [n for n in root.walk() if n.tag == "body"][:1]
-    return _buttons(root, root), [
-        {"text": p.text(), "selector": css_path(p, root), "buttons": _buttons(p, root)} for p in popups if p.text()
-    ]
 
+def _unquoted(value: Column) -> Column:
+    return F.regexp_replace(value, """^["']|["']$""", "")
 
-def _scrape_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        scraped = [_scrape(h, t) for h, t in zip(b["html"], b["isTop"], strict=True)]
-        yield pd.DataFrame(
-            {"page_id": b["page_id"], "buttons": [s[0] for s in scraped], "popups": [s[1] for s in scraped]}
-        )
 
+def page_text(html: Column) -> Column:
+    """Readable text of a document, whole, with runs of white space collapsed."""
+    return _plain(_visible(html))
 
-def extract_elements(pages: DataFrame) -> DataFrame:
-    """Buttons and popup candidates with unique selectors. ``pages(page_id, html[, isTop])``.
 
-    Without a layout engine, popups are elements styled inline as fixed or sticky; a sub-frame is its
-    own popup.
-    """
-    top = F.col("isTop") if "isTop" in pages.columns else F.lit(True)
-    return pages.select("page_id", F.coalesce("html", F.lit("")).alias("html"), top.alias("isTop")).mapInPandas(
-        _scrape_batches, FRAME_DDL
-    )
+def page_links(pages: DataFrame) -> DataFrame:
+    """Link targets in document order, quoted or not."""
+    found = F.regexp_extract_all("html", F.lit(LINK), F.lit(1))
+    return pages.select("page_id", "url", F.posexplode(found).alias("pos", "raw")).select("page_id", "url", "pos", _unquoted(F.col("raw")).alias("href"))
 
 
-def extract_frames(pages: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
-    """Stored HTML to scraped-frame records. Text is native; elements are joined by page."""
-    top = F.col("isTop") if "isTop" in pages.columns else F.lit(True)
-    origin = F.concat(url_scheme(F.col("url")), F.lit("://"), url_host(F.col("url")))
-    texts = pages.select(
-        "page_id", "url", top.alias("isTop"), origin.alias("origin"), limit_text(page_text(F.col("html")), limit).alias("cleanedText")
-    )
-    return texts.join(extract_elements(pages), "page_id").withColumnRenamed("popups", "potentialPopups")
+def flat_buttons(pages: DataFrame) -> DataFrame:
+    """Texts of buttons, links and input buttons, whatever they hold, in document order."""
+    found = F.regexp_extract_all(_visible(F.col("html")), F.lit(BUTTON), F.lit(0))
+    rows = pages.select("page_id", F.posexplode(found).alias("pos", "raw"))
+    of_input = F.when(F.col("raw").rlike(INPUT_KIND), decode_references(_unquoted(F.regexp_extract("raw", INPUT_TEXT, 1))))
+    text = F.when(F.col("raw").rlike("(?i)^<input"), of_input).otherwise(_plain(F.col("raw")))
+    return rows.select("page_id", "pos", trim_space(text).alias("text")).filter("text <> ''")

@@ -12,11 +12,11 @@ import re
 from functools import reduce
 from itertools import islice
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crawlprism.functions.urls import generalize_domain, is_valid_url, parse_rule_name, url_host, url_pattern
-from crawlprism.operators.running import running
 from crawlprism.session import materialize
 
 # Residual patterns folded into one projection.
@@ -67,15 +67,26 @@ def known_cmp(cmps: DataFrame) -> DataFrame:
 def _host_keys(url):
     """Hosts for which a generated pattern finds this URL: as written, and without one ``www.``."""
     raw = F.regexp_extract(url, "^https?://([^/]+)/", 1)
-    return F.array_distinct(F.array(raw, generalize_domain(raw)))
+    return F.array_distinct(F.array_compact(F.array(raw, generalize_domain(raw))))
 
 
-def _compiles(pattern: str) -> bool:
-    try:
-        re.compile(pattern)
-        return True
-    except re.error:
-        return False
+# Named groups as browsers, and some other dialects, write them.
+_NAMED = re.compile(r"\(\?P?<([A-Za-z][A-Za-z0-9_]*)>")
+
+
+def java_pattern(spark: SparkSession, pattern: str) -> str | None:
+    """A browser pattern as one that Spark's regular expressions take, or None if it is none.
+
+    The JVM's own compiler decides. Names of groups, which matching does not need, may hold characters that it
+    refuses; they are dropped.
+    """
+    for form in dict.fromkeys((pattern, _NAMED.sub("(", pattern))):
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(form)
+        except IllegalArgumentException:
+            continue
+        return form
+    return None
 
 
 def _match_residual(sites: DataFrame, frames: DataFrame | None, rules: DataFrame) -> DataFrame:
@@ -91,7 +102,8 @@ def _match_residual(sites: DataFrame, frames: DataFrame | None, rules: DataFrame
     stream = rules.select("name", "urlPattern", "inFrame", "vendorUrls").toLocalIterator()
     while batch := list(islice(stream, PATTERN_BATCH)):
         # An invalid pattern matches nothing.
-        batch = [r for r in batch if _compiles(r.urlPattern)]
+        compiled = [(r, java_pattern(sites.sparkSession, r.urlPattern)) for r in batch]
+        batch = [Row(**{**r.asDict(), "urlPattern": p}) for r, p in compiled if p is not None]
         on_site, on_frame = [], []
         for r in batch:
             found = F.col("initialUrl").rlike(r.urlPattern) | F.col("finalUrl").rlike(r.urlPattern)
@@ -120,7 +132,7 @@ def match_groups(sites: DataFrame, rules: DataFrame, frames: DataFrame | None =
     """
     usable = rules.filter(F.coalesce("urlPattern", F.lit("")) != "")
     generated = usable.filter("host IS NOT NULL")
-    keys = F.array_union(_host_keys(F.col("initialUrl")), _host_keys(F.col("finalUrl")))
+    keys = F.array_union(_host_keys(F.coalesce("initialUrl", F.lit(""))), _host_keys(F.coalesce("finalUrl", F.lit(""))))
     keyed = sites.select("file", "initialUrl", "finalUrl", keys.alias("keys"))
 
     by_host = keyed.select("file", F.explode("keys").alias("group")).join(
@@ -128,9 +140,9 @@ def match_groups(sites: DataFrame, rules: DataFrame, frames: DataFrame | None =
     )
     vendors = generated.select("name", "host", F.explode(F.array_distinct("vendorUrls")).alias("vendorUrl"))
     by_vendor = (
-        keyed.select("file", "keys", F.explode(F.array_distinct(F.array("initialUrl", "finalUrl"))).alias("vendorUrl"))
+        keyed.select("file", "keys", F.explode(F.array_distinct(F.array_compact(F.array("initialUrl", "finalUrl")))).alias("vendorUrl"))
         .join(vendors, "vendorUrl")
-        .filter(~F.array_contains("keys", F.col("host")))
+        .filter(~F.coalesce(F.array_contains("keys", F.col("host")), F.lit(False)))
         .select("file", "name")
     )
     single = by_vendor.unionByName(_match_residual(sites, frames, usable.filter("host IS NULL"))).distinct()
@@ -227,10 +239,10 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, groups: tuple[DataFrame,
     cands = cands.join(clicks, ["file", "selector"], "left").join(per_site, "file", "left")
     cands = cands.withColumn("_kept", F.col("_repeat") | F.coalesce("_clicked", F.lit(False))).drop("_clicked", "_repeat")
 
-    # Number the open selectors of a site; positions become one integer for the running count.
-    ordered = cands.withColumn("_pos", (F.col("frame").cast("bigint") * 1_000_000 + F.col("popup")) * 1_000_000 + F.col("button"))
+    # Number the open selectors of a site, in document order. A window holds one document's buttons.
     fresh = ~F.col("_kept") & F.col("usable")
-    counted = running(ordered, ["file"], "_pos", {"_k": ("sum", fresh.cast("bigint"))}, segment=10**12)
+    so_far = Window.partitionBy("file").orderBy(*BUTTON_POS).rowsBetween(Window.unboundedPreceding, 0)
+    counted = cands.withColumn("_k", F.sum(fresh.cast("bigint")).over(so_far))
     open_slot = F.when(fresh & (F.col("_k") <= F.coalesce("regional", F.lit(0))), F.col("_k"))
     numbered = counted.withColumn("_k", open_slot)
     ranges = sized.filter("r > 0").select(F.col("file").alias("_site"), "group", "_offset", "r")

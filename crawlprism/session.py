@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="crawlprism-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
@@ -55,16 +58,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def spread_hint(df: DataFrame) -> str:
-    """A repartition hint for a file input with fewer splits than there are cores, else ''.
-
-    One small file with a single row group would keep one core busy with all the parsing that
-    follows. Inputs of cluster size have splits enough and are never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return "" if df.rdd.getNumPartitions() >= cores else f"/*+ REPARTITION({cores}) */"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a reused result to the shared folder and reads it back.
 

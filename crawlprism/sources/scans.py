@@ -59,16 +59,17 @@ def read_button_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """A4: consent rules, one JSON document per file; unparsable files are left out."""
+    """A4: consent rules as ``write_rules`` leaves them, JSON lines; lines that are no rule are left out."""
     schema = schemas.rule_schema().add("_corrupt", "string")
-    raw = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    return raw.filter("_corrupt IS NULL AND name IS NOT NULL").drop("_corrupt")
+
+
+def read_rule_files(spark: SparkSession, path: str) -> DataFrame:
+    """A4 for a folder tree of one JSON document per rule; unparsable files are left out."""
+    schema = schemas.rule_schema().add("_corrupt", "string")
+    reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
+    raw = reader.option("pathGlobFilter", "*.json").option("columnNameOfCorruptRecord", "_corrupt").json(path)
     return raw.filter("_corrupt IS NULL AND name IS NOT NULL").drop("_corrupt")
 
 

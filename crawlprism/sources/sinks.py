@@ -1,4 +1,4 @@
-"""Writers. Appends are partitioned by crawl; nothing passes through the driver."""
+"""Writers. Crawls are partitions; nothing passes through the driver."""
 
 from __future__ import annotations
 
@@ -13,20 +13,25 @@ from crawlprism.session import materialize
 from crawlprism.sources.scans import scan_crawl
 
 
+def _replace_crawl(df: DataFrame, path: str) -> None:
+    """Writes the partitions of the crawls in ``df`` and leaves the others; a retry does not double a crawl."""
+    df.write.partitionBy("crawlId").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
 def write_crawl_tables(tables: Mapping[str, DataFrame], root: str, sort: bool = True) -> None:
-    """B1: appends the fact tables of a crawl below ``root/<table>/crawlId=…``.
+    """B1: stores the fact tables of a crawl below ``root/<table>/crawlId=…``.
 
     Rows are ordered by page inside each file, so page look-ups skip row groups.
     """
     for name, df in tables.items():
         out = df.sortWithinPartitions("pageId") if sort and "pageId" in df.columns else df
-        out.write.partitionBy("crawlId").mode("append").parquet(f"{root}/{name}")
+        _replace_crawl(out, f"{root}/{name}")
 
 
 def create_crawl(spark: SparkSession, root: str, crawl_id: str, name: str = "", region: str = "") -> None:
     """B2: registers a crawl; the start date is today."""
     row = spark.createDataFrame([(crawl_id, name, region)], "crawlId string, name string, region string")
-    row.withColumn("startedOn", F.current_date()).write.partitionBy("crawlId").mode("append").parquet(f"{root}/crawls")
+    _replace_crawl(row.withColumn("startedOn", F.current_date()), f"{root}/crawls")
 
 
 def stage_crawl(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,12 +93,13 @@ def write_button_corpus(corpus: DataFrame, path: str) -> None:
 
 
 def write_summary(reports: Mapping[str, DataFrame], path: str) -> None:
-    """The summary document. Each report becomes one JSON field; reports are top lists or totals,
-    except ``popularity``, which has one row per dictionary API."""
+    """The summary document. Each report becomes one JSON field, its rows in the report's order; reports are
+    top lists or totals, except ``popularity``, which has one row per dictionary API."""
     parts = None
     for name, df in reports.items():
-        rows = df.select(F.to_json(F.struct("*")).alias("j"))
-        one = rows.agg(F.sort_array(F.collect_list("j")).alias("rows")).select(F.lit(name).alias("report"), "rows")
+        # Sorted reports come in ordered partitions, which these numbers follow.
+        rows = df.select(F.monotonically_increasing_id().alias("o"), F.to_json(F.struct("*")).alias("j"))
+        one = rows.agg(F.sort_array(F.collect_list(F.struct("o", "j")))["j"].alias("rows")).select(F.lit(name).alias("report"), "rows")
         parts = one if parts is None else parts.unionByName(one)
     doc = parts.select(F.concat(F.lit('"'), "report", F.lit('":['), F.array_join("rows", ","), F.lit("]")).alias("f"))
     text = doc.agg(F.sort_array(F.collect_list("f")).alias("fs")).select(
@@ -109,10 +115,8 @@ def write_distinct_texts(texts: DataFrame, folder: str) -> None:
 
 
 def write_rules(rules: DataFrame, folder: str) -> None:
-    """One JSON document per rule, in a folder named after it."""
-    rules.select("name", F.to_json(F.struct(*rules.columns)).alias("value")).write.mode("overwrite").partitionBy(
-        "name"
-    ).text(folder)
+    """One JSON document per rule, a line each; ``read_rules`` reads them back."""
+    rules.write.mode("overwrite").json(folder)
 
 
 def write_manifest(manifest: DataFrame, folder: str) -> None:

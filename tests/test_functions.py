@@ -110,11 +110,11 @@ def test_initiators_in_order(spark):
 
 
 def test_initiators_deep_stack(spark):
-    inner = '{"callFrames":[{"url":"32.js"}]}'
-    for n in range(31, -1, -1):
+    inner = '{"callFrames":[{"url":"100.js"}]}'
+    for n in range(99, -1, -1):
         inner = f'{{"callFrames":[{{"url":"{n}.js"}}],"parent":{inner}}}'
     got = one(spark, net.flatten_initiators(F.col("j")), j=f'{{"stack":{inner}}}')
-    assert got == [f"{n}.js" for n in range(33)]
+    assert got == [f"{n}.js" for n in range(101)]
 
 
 def test_initiators_of_nothing(spark):

@@ -281,34 +281,19 @@ HTML = """<html><head><title>t</title><style>p{}</style></head><body>
 <div style="position:sticky;display:none">hidden</div></body></html>"""
 
 
-def test_html_frames(spark):
-    pages = spark.createDataFrame([(1, "https://e.com/a", HTML)], "page_id bigint, url string, html string")
-    f = html.extract_frames(pages).first()
-    assert (f.origin, f.isTop) == ("https://e.com", True)
-    assert f.cleanedText.startswith("Hello & bye One Two We use cookies Accept all No")
-    assert "hidden" in f.cleanedText  # layout is unknown
-    assert {b.text for b in f.buttons} == {"One", "Accept all", "No", "", "Inner"}
-    (popup,) = f.potentialPopups
-    assert popup.text == "We use cookies Accept all No Inner"
-    assert popup.selector == "body > div:not([id])" or popup.selector.startswith("body > div")
-    selectors = [b.selector for b in f.buttons]
-    assert len(set(selectors)) == len(selectors)
-    assert [b.selector for b in f.buttons if b.text == "One"] == ["body > div#x > a:nth-child(2):not([id])"]
-
-
-def test_css_path_becomes_unique(spark):
-    doc = "<body><div><i>a</i></div><div><i>b</i></div><div class='k'><i>c</i></div></body>"
-    root = html._Tree(doc).root
-    nodes = [n for n in root.walk() if n.tag == "i"]
-    paths = [html.css_path(n, root) for n in nodes]
-    assert len(set(paths)) == 3
-    assert paths[0] == "body:nth-child(1) > div:nth-child(1):not([id]) > i:nth-child(1):not([id])"
-
-
-def test_popups_come_last_to_first(spark):
-    doc = "<body><div style='position:fixed'>one</div><div style='position:sticky'><p style='position:fixed'>two</p></div></body>"
-    pages = spark.createDataFrame([(1, doc)], "page_id bigint, html string")
-    assert [p.text for p in html.extract_elements(pages).first().popups] == ["two", "one"]
+def test_html_text_and_buttons(spark):
+    pages = spark.createDataFrame([(1, "https://e.com/a", HTML), (2, "u", None)], "page_id bigint, url string, html string")
+    text = {r.page_id: r.t for r in pages.select("page_id", html.page_text(F.col("html")).alias("t")).collect()}
+    assert text[1].startswith("Hello & bye One Two We use cookies Accept all No") and text[2] is None
+    assert [r.text for r in html.flat_buttons(pages).orderBy("pos").collect()] == ["One", "Two", "Send", "Inner"]
+
+
+def test_html_references_and_quotes(spark):
+    doc = """<p title='a > b'>caf&#233; &#x1F600; &amp;lt; &unknown; &eacute;</p><button><span>Reject</span> all</button><a href=/x>y</a><b title="open>z"""
+    row = spark.createDataFrame([(1, "u", doc)], "page_id bigint, url string, html string")
+    assert row.select(html.page_text(F.col("html"))).first()[0] == "café 😀 &lt; &unknown; é Reject all y z"
+    assert [r.href for r in html.page_links(row).collect()] == ["/x"]
+    assert [r.text for r in html.flat_buttons(row).orderBy("pos").collect()] == ["Reject all", "y"]
 
 
 def test_links(spark):
