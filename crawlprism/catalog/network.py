@@ -206,6 +206,15 @@ def flatten_initiators(spark, sf):
     return e.select("seq", F.coalesce(joined(net.flatten_initiators(F.col("initiator"))), F.lit("")).alias("initiators"))
 
 
+@query("flatten_initiators_deep", "SELECT c_custkey AS k, 100 AS n, 'https://s' || c_custkey || '.com/1.js' AS first, 'https://s' || c_custkey || '.com/100.js' AS last FROM customer")
+def flatten_initiators_deep(spark, sf):
+    """Stacks with a hundred parents."""
+    level = """concat('{"callFrames":[{"url":"https://s', c_custkey, '.com/', i, '.js"}],"parent":')"""
+    stack = f"""concat('{{"stack":', array_join(transform(sequence(1, 100), i -> {level}), ''), '{{"callFrames":[]}}', repeat('}}', 101))"""
+    urls = b.spark_sql(spark, sf, f"SELECT c_custkey AS k, {stack} AS j FROM $customer").select("k", net.flatten_initiators(F.col("j")).alias("u"))
+    return urls.select("k", F.size("u").alias("n"), F.element_at("u", 1).alias("first"), F.element_at("u", -1).alias("last"))
+
+
 @query("stack_source", f"SELECT seq, 'https://s' || CAST(seq % 9 AS STRING) || '.com/a.js?q=1' AS source FROM ({CALLS})")
 def stack_source(spark, sf):
     return b.api_calls(spark, sf).select("seq", scripts.stack_source(F.col("stack")).alias("source"))

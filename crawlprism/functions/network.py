@@ -111,8 +111,12 @@ def flatten_initiators(initiator_json: Column) -> Column:
     rounds = F.sequence(F.lit(1), F.ceil(F.regexp_count(rest, F.lit('"parent"')) / STACK_STEP).cast("int") + 1)
 
     def further(done: Column, _: Column) -> Column:
-        urls, after = _levels(F.from_json(done["rest"], _stack_type()))
-        return F.struct(F.concat(done["urls"], urls).alias("urls"), after.alias("rest"))
+        def read(stack: Column) -> Column:
+            urls, after = _levels(stack)
+            return F.struct(F.concat(done["urls"], urls).alias("urls"), after.alias("rest"))
+
+        # Bound as a lambda variable, the stack is parsed once rather than once per level.
+        return F.transform(F.array(F.from_json(done["rest"], _stack_type())), read)[0]
 
     none = F.array().cast("array<string>")
     start = F.struct(none.alias("urls"), rest.alias("rest"))

@@ -79,6 +79,41 @@ def test_matching(spark):
     assert got == {("plain", "g"), ("www", "g"), ("vendor", "g"), ("final", "g"), ("hand", "h"), ("frame", "fr"), ("hv", "h")}
 
 
+def test_browser_patterns_and_missing_urls(spark):
+    sites = spark.createDataFrame([site("named", "https://shop7.com/", "https://shop7.com/"), site("null", "https://v.com/", None), site("none", None, None)], SITE)
+    rules = spark.createDataFrame(
+        [
+            rule("named", "s", host=None, urlPattern="^https://(?<host_name>shop[0-9])"), rule("other", "s", host=None, urlPattern="(?P<n>shop7)"),
+            rule("bad", "s", host=None, urlPattern="(?<"), rule("vendor", "s", vendorUrls=["https://v.com/"]),
+        ],
+        RULE,
+    )
+    assert {tuple(r) for r in ru.match_rules(sites, rules).collect()} == {("named", "named"), ("named", "other"), ("null", "vendor")}
+
+
+def test_rules_are_read_back(spark, tmp_path):
+    from crawlprism.schemas import rule_schema
+    from crawlprism.sources import scans, sinks
+
+    recs = [{"name": f"auto_GB_a{k}.com_x", "_metadata": {"vendorUrl": "https://a.com/"}, "optOut": [{"wait": 500}]} for k in range(5)]
+    rules = spark.createDataFrame(recs, rule_schema())
+    sinks.write_rules(rules, str(tmp_path / "rules"))
+    back = scans.read_rules(spark, str(tmp_path / "rules"))
+    assert back.exceptAll(rules.select(back.columns)).isEmpty() and back.count() == 5
+
+
+def test_crawls_are_registered_once(spark, tmp_path):
+    from crawlprism.sources import sinks
+
+    root = str(tmp_path / "tables")
+    for _ in range(2):
+        sinks.create_crawl(spark, root, "c1", "first", "GB")
+    sinks.create_crawl(spark, root, "c2", "second", "DE")
+    rows = {(r.crawlId, r.name, r.region) for r in spark.read.parquet(f"{root}/crawls").collect()}
+    assert rows == {("c1", "first", "GB"), ("c2", "second", "DE")} and spark.read.parquet(f"{root}/crawls").count() == 2
+    assert sinks.delete_crawl(spark, root, "c2") == ["crawls"]
+
+
 def test_many_hand_patterns_run_in_batches(spark, monkeypatch):
     monkeypatch.setattr(ru, "PATTERN_BATCH", 3)
     sites = spark.createDataFrame([site(f"f{n}", f"https://s{n}x.com/", f"https://s{n}x.com/") for n in range(10)], SITE)
