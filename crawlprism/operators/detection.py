@@ -88,7 +88,9 @@ def attach_verdicts(df: DataFrame, verdicts: DataFrame, text: str, out: str, def
     """joins judged texts. ``verdicts(text, verdict)`` holds each distinct text once; unjudged texts
     get ``default``. A text shared by a large part of the rows is split by AQE's skew join."""
     side = verdicts.select(F.col("text").alias("_key"), F.col("verdict").alias(out))
-    joined = df.join(side, df[text] == F.col("_key"), "left").drop("_key")
+    # Rows without a text have no verdict; keys of their own keep them from meeting in one task.
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    joined = df.withColumn("_ask_key", F.coalesce(F.col(text), apart)).join(side, F.col("_ask_key") == F.col("_key"), "left").drop("_key", "_ask_key")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
 
 
