@@ -286,9 +286,13 @@ def skip_existing(spark, sf):
 # --- stored HTML ------------------------------------------------------------------------------------------
 
 
+def _regex(java: str) -> str:
+    """The checking engine has no possessive quantifiers and needs none."""
+    return q.lit(java.replace("++", "+").replace("*+", "*"))
+
+
 def _strip(html: str) -> str:
-    text = f"regexp_replace(regexp_replace({html}, {q.lit(h.SKIPPED_CONTENT)}, ' ', 'g'), {q.lit(h.HEAD)}, ' ', 'g')"
-    return text
+    return f"regexp_replace(regexp_replace({html}, {_regex(h.SKIPPED_CONTENT)}, ' ', 'g'), {_regex(h.HEAD)}, ' ', 'g')"
 
 
 # References that occur in the tables.
@@ -302,7 +306,7 @@ def _decoded(text: str) -> str:
 
 
 def _plain(html: str) -> str:
-    tags = f"regexp_replace({html}, {q.lit(h.TAG)}, ' ', 'g')"
+    tags = f"regexp_replace({html}, {_regex(h.TAG)}, ' ', 'g')"
     return q.trim(f"regexp_replace({_decoded(tags)}, {q.lit(q.SPACE + '+')}, ' ', 'g')")
 
 
@@ -320,7 +324,7 @@ def page_text(spark, sf):
     return _odd_pages(spark, sf).select("page_id", h.page_text(F.col("html")).alias("text"))
 
 
-@query("page_links", f"""SELECT page_id, url, regexp_replace(unnest(l), '^["'']|["'']$', '', 'g') AS href, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, {q.lit(h.LINK)}, 1) AS l FROM {_PAGES})""")
+@query("page_links", f"""SELECT page_id, url, regexp_replace(unnest(l), '^["'']|["'']$', '', 'g') AS href, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, {_regex(h.LINK)}, 1) AS l FROM {_PAGES})""")
 def page_links(spark, sf):
     return h.page_links(_odd_pages(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -329,7 +333,7 @@ def page_links(spark, sf):
     "flat_buttons",
     f"""SELECT * FROM (SELECT page_id, pos, CASE WHEN starts_with(raw, '<input') THEN CASE WHEN raw LIKE '%type=submit%' THEN 'Send it' END ELSE {_plain('raw')} END AS text
     FROM (SELECT page_id, unnest(l) AS raw, CAST(unnest(range(0, len(l))) AS BIGINT) AS pos
-    FROM (SELECT page_id, regexp_extract_all({_strip('html')}, {q.lit(h.BUTTON)}, 0) AS l FROM {_PAGES}))) WHERE text <> ''""",
+    FROM (SELECT page_id, regexp_extract_all({_strip('html')}, {_regex(h.BUTTON)}, 0) AS l FROM {_PAGES}))) WHERE text <> ''""",
 )
 def flat_buttons(spark, sf):
     return h.flat_buttons(_odd_pages(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))

@@ -17,8 +17,8 @@ SKIPPED_TAGS = (
 _VOID = {"frame", "img", "link", "meta", "source", "track"}
 _CONTENT = [t for t in SKIPPED_TAGS if t not in _VOID]
 
-# What stands in a tag: quoted values may hold a ``>``.
-_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+# What stands in a tag: quoted values may hold a ``>``. Possessive, so a tag without an end costs one pass.
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 SKIPPED_CONTENT = "(?is)" + "|".join([r"<!--.*?-->", *[rf"<{t}(?:\s{_INSIDE})?>.*?</{t}\s*>" for t in _CONTENT]])
 HEAD = rf"(?is)<head(?:\s{_INSIDE})?>.*?</head\s*>"
 # Well-formed tags first, then what a stray quote has left.

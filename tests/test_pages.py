@@ -296,6 +296,13 @@ def test_html_references_and_quotes(spark):
     assert [r.text for r in html.flat_buttons(row).orderBy("pos").collect()] == ["Reject all", "y"]
 
 
+def test_html_of_any_length(spark):
+    docs = ["<a " + "x" * 200_000, "<p " + 'k="v" ' * 500 + ">in</p>", "<i>" * 20_000 + "deep", '<b t="' + "q" * 200_000 + '">z</b>']
+    rows = spark.createDataFrame(list(enumerate(docs)), "page_id long, html string").select("page_id", html.page_text(F.col("html")).alias("t")).collect()
+    got = {r.page_id: r.t for r in rows}
+    assert (got[1], got[2], got[3]) == ("in", "deep", "z") and len(got[0]) > 100_000
+
+
 def test_links(spark):
     pages = spark.createDataFrame([(1, "u", HTML)], "page_id bigint, url string, html string")
     assert [r.href for r in html.page_links(pages).orderBy("pos").collect()] == ["/one", "/two", "#"]
