@@ -2,9 +2,13 @@
 
 Numbers, names (capitals inside a sentence) and units after numbers become typed placeholders; the other words are
 lower-cased without punctuation. Windows of ``WINDOW`` template words of the benchmark are joined with those of the
-documents by hash. An item is found in a document if ``LEAST_SHARE`` of its windows are, and if the slots agree:
-equal values of the item must have become equal values of the document wherever windows match. A copy agrees
-trivially; so does a question with other numbers or names. Texts that only share a phrase pattern don't.
+documents by hash. An item is found in a document if some occurrence of it has ``LEAST_SHARE`` of its windows and
+agreeing slots: equal values of the item must have become equal values of the document wherever windows match. A copy
+agrees trivially; so does a question with other numbers or names. Texts that only share a phrase pattern don't.
+
+A hit's origin is the place in the document where the item would begin. Occurrences are the hits of one origin, those
+of origins less than half an item apart (words put in or left out), and those of the whole text (an item in parts far
+from each other). So a copy counts whatever else the text holds of the same item. The largest occurrence is reported.
 
 Windows with fewer than ``LITERALS`` plain words are not used. An item shorter than a window is one window; items of
 fewer than ``LITERALS`` plain words can't be told from chance and are never found. Null texts count as empty. Rows
@@ -53,25 +57,25 @@ def _starts(words: Column, width: Column | int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, name, at, width, hash, words, raws)``, ``name`` telling items of one id apart; ``windows`` of each item in all."""
+    """``(item_id, name, at, width, length, hash, words, raws)``, ``name`` telling items of one id apart; ``windows`` of each item in all."""
     both = F.filter(F.arrays_zip(template(F.col("text")).alias("t"), pieces(F.col("text")).alias("w")), lambda x: x["t"] != "")
     items = benchmark.select("item_id", F.xxhash64("text").alias("name"), both.alias("both")).distinct()
     items = items.withColumn("width", F.least(F.lit(WINDOW), F.size("both"))).filter("width > 0")
-    rows = items.select("item_id", "name", "width", "both", F.explode(_starts(F.col("both"), F.col("width"))).alias("at"))
+    rows = items.select("item_id", "name", "width", F.size("both").alias("length"), "both", F.explode(_starts(F.col("both"), F.col("width"))).alias("at"))
     part = F.slice("both", F.col("at") + 1, F.col("width"))
-    rows = rows.select("item_id", "name", "at", "width", F.transform(part, lambda x: x["t"]).alias("words"), F.transform(part, lambda x: x["w"]).alias("raws"))
+    rows = rows.select("item_id", "name", "at", "width", "length", F.transform(part, lambda x: x["t"]).alias("words"), F.transform(part, lambda x: x["w"]).alias("raws"))
     rows = rows.filter(F.size(F.filter("words", lambda t: ~_slot(t))) >= LITERALS).withColumn("hash", F.xxhash64("words"))
     every = rows.groupBy("item_id", "name").agg(F.count("*").alias("windows")).withColumnsRenamed({"item_id": "_i", "name": "_n"})
     return rows.join(every, F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("name") == F.col("_n"))).drop("_i", "_n")
 
 
 def _slices(widths: list[int], **arrays: Column) -> Column:
-    """All windows of the given widths as structs: ``hash`` of the first array's slice, and the slices by name."""
+    """All windows of the given widths as structs: ``hash`` of the first array's slice, its place ``pos``, and the slices by name."""
 
     def of(width: int) -> Column:
         def window(i: Column) -> Column:
             parts = [F.slice(x, i + 1, width).alias(n) for n, x in arrays.items()]
-            return F.struct(F.xxhash64(parts[0]).alias("hash"), *parts)
+            return F.struct(F.xxhash64(parts[0]).alias("hash"), i.alias("pos"), *parts)
 
         return F.transform(_starts(next(iter(arrays.values())), width), window)
 
@@ -98,13 +102,20 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     value = lambda w: F.regexp_replace(w, r"^[^\p{L}\p{Nd}]+|[^\p{L}\p{Nd}]+$", "")
     pairs = F.transform(F.arrays_zip("words", "raws", "d_raws"), lambda x: F.struct(_slot(x["words"]).alias("s"), value(x["raws"]).alias("i"), value(x["d_raws"]).alias("d")))
     pairs = F.transform(F.filter(pairs, lambda x: x["s"]), lambda x: F.struct(x["i"].alias("i"), x["d"].alias("d")))
+    origin, half = F.col("pos") - F.col("at"), F.greatest(F.lit(1), F.floor(F.col("length") / 2))
+    # Spans of two halves that overlap by one hold origins up to half an item apart, but no two items side by side.
+    near = F.floor(origin / half)
+    place = lambda kind, k: F.struct(F.lit(kind).alias("kind"), k.cast("long").alias("k"))
+    places = F.array(place("run", origin), place("near", near), place("near", near - 1), place("text", F.lit(0)))
+    hits = hits.select("doc_id", "doc", "item_id", "name", "windows", "at", pairs.alias("pairs"), F.explode(places).alias("place"))
     # An item has few windows, so these sets are small however often the item occurs.
-    hits = hits.groupBy("doc_id", "doc", "item_id", "name", "windows").agg(
-        F.size(F.collect_set("at")).alias("matched"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    hits = hits.groupBy("doc_id", "doc", "item_id", "name", "windows", "place").agg(
+        F.size(F.collect_set("at")).alias("matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     slots = F.size(F.array_distinct(F.transform("pairs", lambda x: x["i"])))
     good = (F.col("matched") >= LEAST_SHARE * F.col("windows")) & (slots == F.size("pairs"))
-    return hits.filter(good).select("doc_id", "item_id", "matched", "windows", slots.alias("slots")).distinct()
+    best = F.max(F.struct("matched", "windows", slots.alias("slots"))).alias("best")
+    return hits.filter(good).groupBy("doc_id", "doc", "item_id", "name").agg(best).select("doc_id", "item_id", "best.*").distinct()
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -197,6 +197,26 @@ def test_decontamination(spark, docs):
     assert decontam.leaks(docs.limit(0), items).isEmpty() and decontam.leaks(docs, items.limit(0)).isEmpty()
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    item = "Once Bob ran 12 km to see Alice and then Bob ate 3 apples in the old town hall today."
+    item += " All of the people there had been waiting for a long time, and so Bob said that it was over at last and went home."
+    other = item.replace("Bob ate", "Tom ate").replace("12 km", "15 miles")
+    longer = item.replace("then Bob", "then very slowly Bob")
+    filler = "nothing of this kind was ever said in here. " * 5
+    texts = [
+        (1, f"{item} {other}"),
+        (2, f"{other} {item}"),
+        (3, f"{item} {filler} Once Ann ran 99 km to see Kim and then went home."),
+        (4, f"{other} {longer} {other}"),
+        (5, f"{other} {filler} {other}"),
+        (6, item.replace("and then", f"and {filler} then")),
+    ]
+    rows, items = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string")
+    found = decontam.leaks(rows, items).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 3, 4, 6]
+    assert {r.doc_id for r in decontam.without_leaks(rows, items).collect()} == {5}
+
+
 def test_mixing(docs):
     rows = mixing.taken(docs).collect()
     sizes = Counter()
