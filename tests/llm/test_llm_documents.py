@@ -217,6 +217,30 @@ def test_decontamination_judges_each_occurrence(spark):
     assert {r.doc_id for r in decontam.without_leaks(rows, items).collect()} == {5}
 
 
+def test_decontamination_finds_exact_copies(spark):
+    items = [
+        (1, "What is 12 + 45 - 7 * 3?"),
+        (2, "Ann, Bob, Kim, Lou, Max, Ned, Pia, Roy or Sue: 1910, 1920, 1930 or 1940?"),
+        (3, "小明有三个苹果，又买了五个，请问他一共有几个苹果？"),
+        (4, "แมวกินปลาทุกวัน"),
+        (5, "Paris"),
+    ]
+    texts = [
+        (1, 'He asked: "What is 12 + 45 - 7 * 3?" Nobody knew.'),
+        (2, "Read on. " + items[1][1] + " So it was."),
+        (3, "题目如下：" + items[2][1] + "答案是八个。"),
+        (4, "เมื่อวาน" + items[3][1] + "มาก"),
+        (5, " paris.\n"),
+        (11, "What is 12 + 45 - 7 * 4?"),
+        (12, items[1][1].replace("Ned", "Tim")),
+        (13, "小明有三个苹果，又买了六个，请问他一共有几个苹果？"),
+        (15, "Paris is a town."),
+    ]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = decontam.leaks(rows, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k) for k in range(1, 6)}
+
+
 def test_mixing(docs):
     rows = mixing.taken(docs).collect()
     sizes = Counter()
