@@ -2,9 +2,10 @@
 
 A scanner cuts a page into blocks of text with their length, share of stop words and share of link text, and notes
 whether they lie in page furniture (navigation, footers, sidebars, notices, adverts, forms, comments; by element,
-role or class) or in the article element. The first pass decides what it can: furniture and link lists are bad, the
-article's own blocks and long blocks with enough stop words are good. The second gives each undecided block, the
-short ones mostly, the label of its nearest decided neighbours.
+role or class) or in an article element. The first pass decides what it can: furniture and link lists are bad, long
+blocks with enough stop words are good, in an article or not. Long blocks of an article are good too, and its short
+ones if articles hold ``LEAST_ARTICLE`` of the page's text, so a teaser doesn't pass for the article. The second gives
+each undecided block, the short ones mostly, the label of its nearest decided neighbours.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a line break.
 A null or empty page has an empty text. A page on which nothing is decided keeps all its blocks.
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame
 SHORT = 70
 LEAST_STOP_WORDS = 0.15
 MOST_LINK_TEXT = 0.5
-# An article element counts as such from this many characters of its own text.
-LEAST_ARTICLE = 1
+# Short blocks of article elements are good by themselves from this share of the text outside furniture and link lists.
+LEAST_ARTICLE = 0.5
 
 # Function words of the languages that pages are expected in.
 STOP_WORDS = frozenset(
@@ -190,15 +191,19 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
 
 def _first_pass(found: list[tuple[str, int, bool, bool]]) -> list[bool | None]:
     """True: text, False: not, None: undecided."""
-    article = sum(len(t) for t, _, bad, inside in found if inside and not bad) >= LEAST_ARTICLE
+    def listed(text: str, linked: int, inside: bool) -> bool:
+        return linked > MOST_LINK_TEXT * len(text) and not (inside and len(text) >= SHORT)
+
+    own = [(len(t), inside) for t, linked, bad, inside in found if not bad and not listed(t, linked, inside)]
+    article = sum(n for n, inside in own if inside) >= LEAST_ARTICLE * sum(n for n, _ in own)
     labels: list[bool | None] = []
     for text, linked, bad, inside in found:
-        if bad or (linked > MOST_LINK_TEXT * len(text) and not (inside and len(text) >= SHORT)):
+        if bad or listed(text, linked, inside):
             labels.append(False)
-        elif article:
-            labels.append(inside)
         elif len(text) < SHORT:
-            labels.append(None)
+            labels.append(True if inside and article else None)
+        elif inside:
+            labels.append(True)
         else:
             words = _WORD.findall(text.lower())
             stops = sum(w in STOP_WORDS for w in words)

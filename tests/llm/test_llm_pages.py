@@ -34,6 +34,14 @@ def test_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+def test_main_text_outside_an_article():
+    card = "<article><h3>Next</h3><p>A card.</p></article>"
+    got = htmltext.main_text(f"<nav>n</nav><div><p>{PARAGRAPH}</p><p>Short.</p><p>{PARAGRAPH}</p></div><ul><li><a href=x>One</a></ul>{card}<footer>f</footer>")
+    assert got.startswith(f"{PARAGRAPH}\nShort.\n{PARAGRAPH}")
+    lead = f"<div><p>{PARAGRAPH}</p></div><article><h1>T</h1><p>{PARAGRAPH}</p><p>s</p></article>"
+    assert htmltext.main_text(lead) == f"{PARAGRAPH}\nT\n{PARAGRAPH}\ns"
+
+
 def test_main_text_of_deep_and_broken_pages():
     assert htmltext.main_text("<div>" * 50000 + "x" + "</p></span>" * 50000) == "x"
     assert htmltext.main_text("<p>" + "a" * 10**6 + "</p><" + "b" * 10) .startswith("aaa")
