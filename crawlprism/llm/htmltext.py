@@ -7,6 +7,10 @@ blocks with enough stop words are good, in an article or not. Long blocks of an
 ones if articles hold ``LEAST_ARTICLE`` of the page's text, so a teaser doesn't pass for the article. The second gives
 each undecided block, the short ones mostly, the label of its nearest decided neighbours.
 
+The stop words are those of four languages. On a page none of whose long blocks has enough of them, long blocks are
+good without. Elsewhere a long block with few (a table, code, another language) stays, as furniture says nothing about
+it, but doesn't vouch for short neighbours. Characters of dense scripts count ``DENSE`` times in lengths.
+
 Character references are decoded, white space in a block becomes one space, blocks are joined by a line break.
 A null or empty page has an empty text. A page on which nothing is decided keeps all its blocks.
 """
@@ -24,6 +28,8 @@ from pyspark.sql import DataFrame
 # Blocks below this many characters say too little by themselves.
 SHORT = 70
 LEAST_STOP_WORDS = 0.15
+# A character of Chinese, Japanese or Korean says about as much as so many letters.
+DENSE = 3
 MOST_LINK_TEXT = 0.5
 # Short blocks of article elements are good by themselves from this share of the text outside furniture and link lists.
 LEAST_ARTICLE = 0.5
@@ -72,6 +78,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
+_DENSE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -189,25 +196,34 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
+def _long(text: str) -> bool:
+    return len(text) >= SHORT or not text.isascii() and len(text) + (DENSE - 1) * len(_DENSE.findall(text)) >= SHORT
+
+
 def _first_pass(found: list[tuple[str, int, bool, bool]]) -> list[bool | None]:
     """True: text, False: not, None: undecided."""
     def listed(text: str, linked: int, inside: bool) -> bool:
-        return linked > MOST_LINK_TEXT * len(text) and not (inside and len(text) >= SHORT)
+        return linked > MOST_LINK_TEXT * len(text) and not (inside and _long(text))
 
     own = [(len(t), inside) for t, linked, bad, inside in found if not bad and not listed(t, linked, inside)]
     article = sum(n for n, inside in own if inside) >= LEAST_ARTICLE * sum(n for n, _ in own)
     labels: list[bool | None] = []
+    known, weak = False, []
     for text, linked, bad, inside in found:
         if bad or listed(text, linked, inside):
             labels.append(False)
-        elif len(text) < SHORT:
+        elif not _long(text):
             labels.append(True if inside and article else None)
         elif inside:
             labels.append(True)
         else:
             words = _WORD.findall(text.lower())
             stops = sum(w in STOP_WORDS for w in words)
-            labels.append(True if stops >= LEAST_STOP_WORDS * len(words) else None)
+            known |= bool(words) and stops >= LEAST_STOP_WORDS * len(words)
+            weak += [len(labels)] if stops < LEAST_STOP_WORDS * len(words) else []
+            labels.append(True)
+    for k in weak if known else []:
+        labels[k] = None
     return labels
 
 
@@ -225,7 +241,8 @@ def classify(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
             after = (k, labels[k])
             out.append(labels[k])
             continue
-        near = [x for x in (before[k], after) if x]
+        # Bad neighbours don't decide a long block.
+        near = [x for x in (before[k], after) if x and (x[1] or not _long(found[k][0]))]
         # Of two that differ the nearer counts, at equal distance the good one; with none, the block stays.
         out.append(min(near, key=lambda x: (abs(x[0] - k), not x[1]))[1] if near else True)
     return out[::-1]

@@ -42,6 +42,19 @@ def test_main_text_outside_an_article():
     assert htmltext.main_text(lead) == f"{PARAGRAPH}\nT\n{PARAGRAPH}\ns"
 
 
+@pytest.mark.parametrize(
+    "texts",
+    [
+        ["Kot siedzi na macie i długo tam leżał, razem ze wszystkim, co mieliśmy wtedy w naszym starym domu.", "Krótko.", "Potem przyszła zima, a śnieg zasypał drogę, więc nikt już nie wychodził przed świtem z chaty."],
+        ["小明今天早上去了学校，他在路上看见了一只小猫，于是停下来看了一会儿。", "後で。", "それから彼は家に帰り、母と一緒に夕ご飯を食べて、早く寝ることにした。"],
+        [PARAGRAPH, " ".join(f"row{k} {k * 7} ok" for k in range(12))],
+    ],
+)
+def test_main_text_without_stop_words(texts):
+    body = "".join(f"<p>{t}</p>" for t in texts)
+    assert htmltext.main_text(f"<nav>n</nav><ul><li><a href=x>One</a></ul><div>{body}</div><footer>f</footer>") == "\n".join(texts)
+
+
 def test_main_text_of_deep_and_broken_pages():
     assert htmltext.main_text("<div>" * 50000 + "x" + "</p></span>" * 50000) == "x"
     assert htmltext.main_text("<p>" + "a" * 10**6 + "</p><" + "b" * 10) .startswith("aaa")
