@@ -1,14 +1,18 @@
 """Removal of passages that repeat across the corpus, by content-defined chunks of lines.
 
 A text's lines are split after sentence ends into units. A unit closes a chunk if it has ``LONG`` words or more,
-or if the rolling hash over it says so (15 times in 16 if it has ``LEAST_KEY`` words or more, else once in 16).
-That depends on nothing outside the unit: an inserted or lost line moves no boundary but its own. Where a shared passage begins
+or if its own hash says so (15 times in 16 if it has ``LEAST_KEY`` words or more, else once in 16). There is no rolling
+hash over several units, so most chunks are one sentence. Those boundaries depend on nothing outside the unit: an
+inserted or lost line moves no boundary but its own. The split after ``MOST_UNITS`` units does move with lines before
+it, and a passage of short units with no boundary inside, between other short units, matches no key. Where a shared passage begins
 or ends inside a chunk, the other texts share only the tail or head of that chunk, so a chunk's heads and tails
 count as chunks too.
 
 A chunk that occurs more than once stays at its first place, in order of ``doc_id`` and position, and is marked
 elsewhere, once all its occurrences have proved equal byte by byte. Runs of marked units are removed if they have
-``LEAST_WORDS`` words or more; shorter ones (titles, licence lines) stay.
+``LEAST_WORDS`` words or more; shorter ones (titles, licence lines) stay. The units of a run may occur in different
+places: no one earlier text need hold the run as a whole. Sizes are in words between white space and sentence ends are
+``.!?`` only, so repeats in scripts without spaces, or inside a long line without such ends, are not found.
 
 Null and empty texts have no units and stay as they are. A row whose ``doc_id`` is null comes after all others.
 Rows that share a ``doc_id`` are one place: none loses what it shares with another of them.
