@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, lm, mixing, quality, toxicity, warc
+from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, lm, mixing, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of every document."""
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
