@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, lm, mixing, quality, sharding, toxicity, warc
+from crawlprism.llm import bagminhash, chat, decontam, htmltext, linedup, lm, mixing, quality, sharding, toxicity, trie, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,18 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of every document."""
     return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = trie.oracle()
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
