@@ -10,8 +10,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crawlprism.session import materialize
+from crawlprism.session import materialize, shared_dir
 
 T = re.compile(r"\$(\w+)")
 
@@ -72,7 +73,7 @@ def suffix(expr: str) -> str:
     return pick(expr, SUFFIXES)
 
 
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], object] = {}
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -322,6 +323,62 @@ def net_events(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
     )
 
 
+# --- page visits with arrival order: events -------------------------------------------------
+
+# Blocks of 40 events, two seconds apart, are shared by three visits. Some close early, some too late, some never.
+V_BLOCK = "CAST(floor(seq / 40) AS BIGINT)"
+V_EPOCH, V_STEP, V_LENGTH = 1_700_000_000, 2, 80
+VISIT = f"({V_BLOCK} * 3 + CAST(substr(page, 2) AS BIGINT) % 3)"
+V_NEVER, V_SLOW = "visit % 7 = 3", "(visit % 13 = 4 OR visit % 11 = 5)"
+V_OPENED = f"(CAST(floor(visit / 3) AS BIGINT) * {V_LENGTH})"
+V_CLOSED = f"({V_OPENED} + {V_LENGTH - 2} + CASE WHEN visit % 11 = 5 THEN 130 WHEN visit % 5 = 2 THEN -20 ELSE 0 END)"
+V_LOADED = f"({V_OPENED} + CASE WHEN {V_SLOW} THEN 70 ELSE 10 END)"
+# The log arrives in two parts and a third with what was held up; a heartbeat comes last.
+V_PARTS, V_LATE = 2, "seq % 97 = 0 AND seq * 8 < n"
+V_TWICE = "seq % 50 = 7"
+VISIT_EVENTS = f"""
+SELECT 'v' || {s(VISIT)} AS page, {VISIT} AS visit, seq, seq * {V_STEP} AS at_s, {V_LATE} AS late, {V_TWICE} AS twice
+FROM (SELECT seq, page, (SELECT count(*) FROM $events) AS n FROM ({NET_EVENTS}) x) y
+"""
+VISIT_STEPS = f"""
+SELECT 'v' || {s('visit')} AS page, visit, kind,
+  CASE kind WHEN 'pageOpened' THEN {V_OPENED} WHEN 'pageLoaded' THEN {V_LOADED} ELSE {V_CLOSED} END AS at_s, seq
+FROM (SELECT CAST(floor(event_id / 40) AS BIGINT) * 3 + k AS visit, kind, event_id AS seq
+      FROM $events, (VALUES (0), (1), (2)) a(k), (VALUES ('pageOpened'), ('pageLoaded'), ('pageClosed')) b(kind) WHERE event_id % 40 = 39) z
+WHERE NOT (kind = 'pageClosed' AND {V_NEVER})
+"""
+
+
+def _visit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Network events and page steps of all visits, with the part of the log that each arrives in."""
+    extra = spark_sql(spark, sf_dir, _bt(VISIT_EVENTS)).select("seq", F.col("page").alias("visit_page"), "at_s", "late", "twice")
+    net = net_events(spark, sf_dir).join(extra, "seq").drop("page").withColumnRenamed("visit_page", "page").drop("ts")
+    net = net.withColumn("copy", F.explode(F.when(F.col("twice"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    steps = spark_sql(spark, sf_dir, _bt(VISIT_STEPS)).select("page", "kind", "at_s", "seq", F.lit(False).alias("late"), F.lit(0).alias("copy"))
+    log = net.drop("twice").unionByName(steps, allowMissingColumns=True)
+    n = F.lit(spark_sql(spark, sf_dir, "SELECT * FROM $events").count())
+    part = F.when(F.col("late"), V_PARTS).otherwise(F.floor(F.col("seq") * V_PARTS / n)).cast("int")
+    log = log.withColumn("part", part).withColumn("ts", F.timestamp_seconds(F.col("at_s") + V_EPOCH))
+    beat = spark.range(1).select(
+        F.lit("heartbeat").alias("page"), F.lit("heartbeat").alias("kind"), F.lit(0).alias("copy"), F.lit(V_PARTS + 1).alias("part"),
+        F.lit(-1).cast("bigint").alias("seq"), F.expr("TIMESTAMP '2100-01-01'").alias("ts"),
+    )
+    return log.unionByName(beat, allowMissingColumns=True).drop("late", "at_s")
+
+
+def visit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visit log as a stream that takes one part after the other: each part is a file, newer than the one before."""
+    log = staged(spark, sf_dir, "visit-log", _visit_log)
+    key = (spark.sparkContext.applicationId, sf_dir, "visit-parts")
+    if key not in _STAGED:
+        folder = shared_dir(spark, "visit-parts")
+        for part in range(V_PARTS + 2):
+            log.filter(F.col("part") == part).repartition(1).write.mode("append").parquet(folder)
+        _STAGED[key] = (folder, log.schema)
+    folder, schema = _STAGED[key]
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 # --- script-API calls: events --------------------------------------------------------------
 
 API_CALLS = f"""

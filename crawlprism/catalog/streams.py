@@ -27,10 +27,49 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-@query("stream_requests", ORACLES["assemble_requests"])
+# What the stream must leave out: late events, pages that never closed or too late, events after a page closed.
+_LIMIT_S = 180
+_VISITS = f"SELECT * FROM ({b.oracle(b.VISIT_EVENTS)}) WHERE NOT late"
+_IN_TIME = f"""SELECT x.* REPLACE (v.page AS page) FROM ({nq.NET}) x JOIN ({_VISITS}) v USING (seq)
+    WHERE NOT ({b.V_NEVER}) AND {b.V_CLOSED} - {b.V_OPENED} <= {_LIMIT_S} AND at_s <= {b.V_CLOSED}
+      AND EXISTS (SELECT 1 FROM ({b.oracle(b.VISIT_STEPS)}) c WHERE c.visit = v.visit)"""
+
+
+@query("stream_requests", ORACLES["assemble_requests"].replace(nq.NET, _IN_TIME))
 def stream_requests(spark, sf):
-    parts = drain(jobs.stream_requests(b.net_events(spark, sf, b.stream_sql), "400 days"), "request-parts")
-    return nq.request_rows(jobs.requests_of(parts))
+    """Requests as the stream itself writes them, page by page."""
+    log = b.visit_stream(spark, sf).filter("copy = 0")
+    net = log.filter("kind NOT LIKE 'page%' AND kind <> 'heartbeat'").drop("part", "copy")
+    beat = log.filter("kind = 'heartbeat'")
+    opened = F.timestamp_seconds(F.floor(F.substring("page", F.lit(2), F.lit(20)).cast("bigint") / 3) * b.V_LENGTH + b.V_EPOCH)
+    closed = b.visit_stream(spark, sf).filter("kind IN ('pageClosed', 'heartbeat')").select("page", F.when(F.col("kind") == "heartbeat", F.col("ts")).otherwise(opened).alias("startedAt"), F.col("ts").alias("finishedAt"))
+    out, checkpoint = shared_dir(spark, "requests"), shared_dir(spark, "requests-checkpoint")
+    save = lambda rows, batch: nq.request_rows(rows).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    jobs.stream_requests(net.unionByName(beat.drop("part", "copy")), closed, save, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+_STEPS = f"""SELECT page, visit, kind, at_s FROM ({b.oracle(b.VISIT_STEPS)})
+    UNION ALL SELECT page, visit, 'event', at_s FROM ({_VISITS})"""
+
+
+@query(
+    "stream_outcomes",
+    f"""SELECT page, started, closed, coalesce(closed - started > {_LIMIT_S}000, true) AS failed, coalesce(loaded - started > 60000, true) AS timeout FROM (
+      SELECT page, min(at_s + {b.V_EPOCH}) * 1000 AS started, min(at_s + {b.V_EPOCH}) FILTER (kind = 'pageLoaded') * 1000 AS loaded,
+        max(at_s + {b.V_EPOCH}) FILTER (kind = 'pageClosed') * 1000 AS closed FROM ({_STEPS}) GROUP BY page)""",
+)
+def stream_outcomes(spark, sf):
+    """Whether pages closed in time; late events count for nothing."""
+    return drain(jobs.stream_outcomes(b.visit_stream(spark, sf).filter("copy = 0")), "outcomes").filter("page <> 'heartbeat'")
+
+
+@query("stream_in_time", f"SELECT page, count(*) AS events FROM ({_VISITS}) GROUP BY page")
+def stream_in_time(spark, sf):
+    """Events that are not late, each once, however often they are delivered."""
+    net = b.visit_stream(spark, sf).filter("kind NOT LIKE 'page%'").select("page", "seq", "ts")
+    kept = drain(jobs.stream_in_time(net, ["page", "seq"]), "in-time")
+    return kept.filter("seq >= 0").groupBy("page").agg(F.count("*").alias("events"))
 
 
 @query("stream_call_stats", ORACLES["call_stats"])

@@ -35,7 +35,7 @@ SKIPPED_TARGETS = (
 )
 
 # Levels of an async call stack that one parse reads.
-STACK_STEP = 32
+STACK_STEP = 8
 
 
 def normalize_headers(headers: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,8 @@ HEAD = rf"(?is)<head(?:\s{_INSIDE})?>.*?</head\s*>"
 # Well-formed tags first, then what a stray quote has left.
 TAG = rf"(?s)</?[a-zA-Z!?]{_INSIDE}>|</?[a-zA-Z!?][^>]*>"
 REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+USUAL = {"nbsp": "\xa0", "lt": "<", "gt": ">", "quot": '"', "amp": "&"}
+OTHER_REFERENCE = rf"&(?!(?:{'|'.join(USUAL)});){REFERENCE[1:]}"
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 BUTTON = rf"(?is)<button(?:\s{_INSIDE})?>.*?</button\s*>|<a(?:\s{_INSIDE})?>.*?</a\s*>|<input\s{_INSIDE}>"
 INPUT_KIND = r"""(?i)\stype\s*=\s*["']?(?:button|submit)"""
@@ -48,15 +51,25 @@ def decode_references(text: Column) -> Column:
     def put(done: Column, name: Column) -> Column:
         return F.coalesce(F.replace(done, F.concat(F.lit("&"), name, F.lit(";")), _character(name, names)), done)
 
-    return F.when(F.contains(text, F.lit("&")), F.aggregate(ordered, text, put)).otherwise(text)
+    # Nearly all pages use these few alone.
+    usual = text
+    for name, character in USUAL.items():
+        usual = F.replace(usual, F.lit(f"&{name};"), F.lit(character))
+    decoded = F.when(text.rlike(OTHER_REFERENCE), F.aggregate(ordered, text, put)).otherwise(usual)
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def _visible(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, SKIPPED_CONTENT, " "), HEAD, " ")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _plain(html: Column) -> Column:
-    text = decode_references(F.regexp_replace(html, TAG, " "))
+    text = _once(F.regexp_replace(html, TAG, " "), decode_references)
     return trim_space(F.regexp_replace(text, SPACE + "+", " "))
 
 

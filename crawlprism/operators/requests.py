@@ -1,6 +1,6 @@
 """Network debug events to request rows.
 
-The steps, shared by batch and streaming:
+The steps:
 
 ``number_rows``  finds, from running counts per request id, which request row each event belongs to;
 ``deliver``      sends every event to its row (a redirect also to its predecessor);
@@ -69,11 +69,19 @@ def number_rows_wide(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
     return _with_head(running_segments(mark(events), ["page", "requestId"], "seq", _numbering(), segment))
 
 
+def hash_bodies(events: DataFrame) -> DataFrame:
+    """``bodyHash`` in place of bodies, unless it is there: no exchange or state should hold bodies."""
+    if "bodyHash" in events.columns:
+        return events
+    done = F.col("kind").isin(FAILED, FINISHED)
+    hashed = F.when(done, body_hash(F.col("body"), F.coalesce("base64Encoded", F.lit(False))))
+    return events.withColumn("bodyHash", hashed).drop("body", "base64Encoded")
+
+
 def part_columns() -> list[Column]:
     """Event fields in the shape ``fold`` expects, whatever the event kind."""
     kind = F.col("kind")
     answer = F.when(kind == RESPONSE, F.col("response"))
-    done = kind.isin(FAILED, FINISHED)
     return [
         F.col("page"),
         F.col("requestId"),
@@ -92,7 +100,7 @@ def part_columns() -> list[Column]:
         F.when(
             kind == FAILED, F.coalesce(F.nullif("errorText", F.lit("")), F.lit("unknown error"))
         ).alias("failure"),
-        F.when(done, body_hash(F.col("body"), F.coalesce("base64Encoded", F.lit(False)))).alias("bodyHash"),
+        F.col("bodyHash"),
         F.col("redirectResponse"),
     ]
 
@@ -279,7 +287,7 @@ def inherit_initiators_wide(rows: DataFrame, segment: int = SEGMENT) -> DataFram
 
 def request_rows(events: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
     """F5-F8 over a batch: request rows with their final initiators, before URL and header filters."""
-    usual, hot = split_hot(events, ["page"], limit)
+    usual, hot = split_hot(hash_bodies(events), ["page"], limit)
     rows = _rows_of_pages(deliver(number_rows(usual.repartition("page"))))
     if hot is None:
         return rows
@@ -287,13 +295,6 @@ def request_rows(events: DataFrame, limit: int = HOT_GROUP, segment: int = SEGME
     return rows.unionByName(_rows_of_hot_pages(deliver(numbered), segment))
 
 
-def rows_of_parts(parts: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
-    """Request rows from stored parts (``deliver``), as a stream leaves them."""
-    usual, hot = split_hot(parts, ["page"], limit)
-    rows = _rows_of_pages(usual.repartition("page"))
-    return rows if hot is None else rows.unionByName(_rows_of_hot_pages(hot, segment))
-
-
 def _rows_of_pages(parts: DataFrame) -> DataFrame:
     return inherit_initiators(fold(settle_early(parts)))
 
@@ -359,5 +360,5 @@ def attach_responses(events: DataFrame) -> DataFrame:
 
 def merge_early_events(events: DataFrame) -> DataFrame:
     """F8: the early event each request row received, if any."""
-    settled = settle_early(deliver(number_rows(events.repartition("page")))).filter("role = 'early'")
+    settled = settle_early(deliver(number_rows(hash_bodies(events).repartition("page")))).filter("role = 'early'")
     return settled.select("page", "requestId", "row", "kind", F.col("seq").alias("early_seq"))

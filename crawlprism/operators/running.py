@@ -106,3 +106,19 @@ def running_segments(
         else:
             merged.append((F.greatest(here, past) if kind == "max" else F.least(here, past)).alias(name))
     return out.select(*df.columns, *merged)
+
+
+def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Adds ``name``, the 1-based place of each row within ``keys`` by ``order``, for groups of any size.
+
+    Rows are dealt out by range of keys and order, so a large group lies in several ranges; each range is numbered
+    for itself, and what the ranges before hold of its group is added. Rows must differ in keys or order, and have all keys.
+    """
+    dealt = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    dealt = materialize(dealt, "ranges")
+    within = Window.partitionBy(*keys, "_range").orderBy(*order)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_rows"))
+    ahead = counts.select(*keys, "_range", F.sum("_rows").over(before).alias("_ahead"))
+    placed = dealt.withColumn("_here", F.row_number().over(within)).join(ahead, [*keys, "_range"])
+    return placed.select(*df.columns, (F.col("_here") + F.coalesce("_ahead", F.lit(0))).cast("bigint").alias(name))

@@ -111,8 +111,11 @@ class Grammar:
         verbs = bare("use", "agree")
         for cookie in self.words.get("cookie", ()):
             out[cookie] = [rf"(?:^|[^\p{{L}}])(?:{verbs})[^.!?]{{0,60}}{cookie}", rf"{cookie}[^.!?]{{0,30}}[^\p{{L}}](?:{bare('use')})"]
-        whole, refused = bare("thing"), bare("refuse")
-        out[""] = [rf"(?:^|[^\p{{L}}])(?:{whole}) (?:{refused})", rf"(?:^|[^\p{{L}}])(?:{refused})\p{{L}}* (?:{whole})(?:[^\p{{L}}]|\z)"]
+        # The word for refusing, as far as it is spelt out, is always there, so it is the anchor.
+        whole = bare("thing")
+        for refused in filter(None, bare("refuse").split("|") if whole else ()):
+            both = [rf"(?:^|[^\p{{L}}])(?:{whole}) {refused}", rf"(?:^|[^\p{{L}}]){refused}\p{{L}}* (?:{whole})(?:[^\p{{L}}]|\z)"]
+            out.setdefault(re.sub(r"\\(.)", r"\1", refused), []).extend(both)
         return out
 
 

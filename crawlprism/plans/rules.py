@@ -9,18 +9,25 @@ several sites are then resolved to the first file.
 from __future__ import annotations
 
 import re
-from functools import reduce
-from itertools import islice
+import warnings
+from functools import lru_cache
 
-from pyspark.errors import IllegalArgumentException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from crawlprism.functions.urls import generalize_domain, is_valid_url, parse_rule_name, url_host, url_pattern
-from crawlprism.session import materialize
-
-# Residual patterns folded into one projection.
-PATTERN_BATCH = 100
+from crawlprism.operators.running import rank_in_groups
+from crawlprism.session import BROADCAST_ROWS, materialize
+
+# Hand-written patterns are found by stretches of this many characters; groups nest this deep where literals are looked for.
+GRAM = 4
+NESTED = 8
+# Goes before a vendor URL that is a key.
+WHOLE = "\x01"
+# Stretches of this are no good to find a pattern by.
+COMMON = "https://www. .com/ .org/ .net/ .html index.php"
 _GENERATED = r"^\^https\?://\(www\\\.\)\?((?:[a-zA-Z0-9_-]|\\\.)+)/$"
 
 # Texts of the review notes.
@@ -70,53 +77,89 @@ def _host_keys(url):
     return F.array_distinct(F.array_compact(F.array(raw, generalize_domain(raw))))
 
 
-# Named groups as browsers, and some other dialects, write them.
-_NAMED = re.compile(r"\(\?P?<([A-Za-z][A-Za-z0-9_]*)>")
+def _pieces(text: Column) -> Column:
+    """All stretches of ``GRAM`` characters of a text, each once."""
+    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
+    return F.coalesce(F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM)))), F.array().cast("array<string>"))
 
 
-def java_pattern(spark: SparkSession, pattern: str) -> str | None:
-    """A browser pattern as one that Spark's regular expressions take, or None if it is none.
+def required_literals(pattern: Column) -> Column:
+    """Strings that all texts matched by a browser pattern contain. What may be left out or stands for several
+    characters ends a string; where alternatives meet at the top, or case is ignored, there are none."""
+    gap, escaped = "\x01", "\x02"
+    p = F.regexp_replace(pattern, r"(?s)\\([^A-Za-z0-9])", f"{escaped}$1")
+    p = F.regexp_replace(p, r"\\(?:k<[^>]*>|[pP]\{[^}]*\}|x[0-9A-Fa-f]{2}|u\{[^}]*\}|u[0-9A-Fa-f]{4}|c[A-Za-z]|[0-9]+|[A-Za-z])", gap)
+    p = F.regexp_replace(p, rf"(?s)\[(?:{escaped}.|[^\]{escaped}])*\]", gap)
+    for _ in range(NESTED):
+        p = F.regexp_replace(p, rf"(?s)\((?:{escaped}.|[^(){escaped}])*\)", gap)
+    open_ = p.rlike(rf"(?s)^(?:{escaped}.|[^{escaped}])*?(?<!{escaped})[()|\[]") | pattern.rlike(rf"\(\?[a-z-]*i|[{gap}{escaped}]")
+    p = F.regexp_replace(p, rf"(?s)(?:{escaped}.|[^{escaped}])(?:[*?]|\{{[^}}]*\}})", gap)
+    found = F.regexp_extract_all(p, F.lit(rf"(?s)((?:{escaped}.|[^{gap}{escaped}.^$+*?{{}}()|\[\]\\])+)"), F.lit(1))
+    return F.when(open_, F.array().cast("array<string>")).otherwise(F.transform(found, lambda x: F.replace(x, F.lit(escaped), F.lit(""))))
 
-    The JVM's own compiler decides. Names of groups, which matching does not need, may hold characters that it
-    refuses; they are dropped.
-    """
-    for form in dict.fromkeys((pattern, _NAMED.sub("(", pattern))):
-        try:
-            spark._jvm.java.util.regex.Pattern.compile(form)
-        except IllegalArgumentException:
-            continue
-        return form
-    return None
+
+_TOKEN = re.compile(r"\\k<([\w$]+)>|\(\?P?<([A-Za-z_$][\w$]*)>|\\.|\[\^?\]|\[(?:\\.|[^\]\\])*\]|\$", re.DOTALL)
+
+
+@lru_cache(10_000)
+def browser_pattern(pattern: str) -> re.Pattern | None:
+    """A browser's regular expression, or None if it is none that can be told here."""
+
+    def put(m: re.Match) -> str:
+        if m[1] or m[2]:
+            name = (m[1] or m[2]).replace("$", "_D")
+            return f"(?P={name})" if m[1] else f"(?P<{name}>"
+        return {"[^]": r"[\s\S]", "[]": "(?!)", "$": r"\Z"}.get(m[0], m[0])
+
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            return re.compile(_TOKEN.sub(put, pattern), re.ASCII)
+    except (re.error, OverflowError, RecursionError):
+        return None
+
+
+@F.pandas_udf(BooleanType())
+def _found(text: pd.Series, pattern: pd.Series) -> pd.Series:
+    compiled = (browser_pattern(p) for p in pattern)
+    return pd.Series([bool(c and c.search(t)) for t, c in zip(text, compiled, strict=True)], dtype=bool)
+
+
+@F.pandas_udf(BooleanType())
+def _usable(pattern: pd.Series) -> pd.Series:
+    return pd.Series([browser_pattern(p) is not None for p in pattern], dtype=bool)
+
+
+def untested_patterns(rules: DataFrame) -> DataFrame:
+    """``(name, urlPattern)`` of hand-written rules whose pattern can't be used; these match nothing."""
+    hand = rules.filter("host IS NULL AND coalesce(urlPattern, '') <> ''").select("name", "urlPattern")
+    return hand.filter(~_usable("urlPattern"))
+
+
+def pattern_key(pattern: Column) -> Column:
+    """A piece of the pattern's required literals that URLs don't share by their syntax, or any piece; '' if there is none."""
+    pieces = F.array_distinct(F.flatten(F.transform(required_literals(pattern), _pieces)))
+    rare = F.filter(pieces, lambda x: ~F.contains(F.lit(COMMON), x))
+    return F.coalesce(F.try_element_at(rare, F.lit(1)), F.try_element_at(pieces, F.lit(1)), F.lit(""))
 
 
 def _match_residual(sites: DataFrame, frames: DataFrame | None, rules: DataFrame) -> DataFrame:
-    """Hand-written patterns: literal regex tests in one projection per batch, so every pattern is
-    compiled once and no site-rule pairs are formed that do not match. Patterns stream through the
-    driver a batch at a time; all batches run, however many there are."""
-    hits = []
-
-    def collect(rows: DataFrame, tests: list) -> None:
-        if tests:
-            hits.append(rows.select("file", F.explode(F.array_compact(F.array(*tests))).alias("name")))
-
-    stream = rules.select("name", "urlPattern", "inFrame", "vendorUrls").toLocalIterator()
-    while batch := list(islice(stream, PATTERN_BATCH)):
-        # An invalid pattern matches nothing.
-        compiled = [(r, java_pattern(sites.sparkSession, r.urlPattern)) for r in batch]
-        batch = [Row(**{**r.asDict(), "urlPattern": p}) for r, p in compiled if p is not None]
-        on_site, on_frame = [], []
-        for r in batch:
-            found = F.col("initialUrl").rlike(r.urlPattern) | F.col("finalUrl").rlike(r.urlPattern)
-            if r.vendorUrls:
-                found = found | F.col("initialUrl").isin(r.vendorUrls) | F.col("finalUrl").isin(r.vendorUrls)
-            on_site.append(F.when(found, F.lit(r.name)))
-            if r.inFrame:
-                on_frame.append(F.when(F.col("origin").rlike(r.urlPattern), F.lit(r.name)))
-        collect(sites, on_site)
-        if frames is not None:
-            collect(frames, on_frame)
-    none = sites.select("file", F.lit(None).cast("string").alias("name")).limit(0)
-    return reduce(DataFrame.unionByName, hits) if hits else none
+    """Hand-written patterns, by an inverted index: a pattern is tested only on texts that hold the piece it is kept
+    under, and one without any on all texts; vendor URLs are kept under themselves. The plan is the same for any
+    number of patterns."""
+    few = rules.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    same = F.transform(F.coalesce("vendorUrls", F.array().cast("array<string>")), lambda u: F.concat(F.lit(WHOLE), u))
+    keys = F.array_distinct(F.concat(F.array(pattern_key(F.col("urlPattern"))), F.array_compact(same)))
+    index = rules.filter(_usable("urlPattern")).select("name", "urlPattern", "inFrame", F.explode(keys).alias("key"))
+    urls = F.array_distinct(F.array_compact(F.array("initialUrl", "finalUrl")))
+    texts = sites.select("file", F.explode(urls).alias("text"), F.lit(False).alias("frame"))
+    if frames is not None:
+        texts = texts.unionByName(frames.filter("origin IS NOT NULL").select("file", F.col("origin").alias("text"), F.lit(True).alias("frame")))
+    named = F.when(F.col("frame"), F.lit("")).otherwise(F.concat(F.lit(WHOLE), "text"))
+    keyed = texts.select("*", F.explode(F.array_distinct(F.concat(F.array(F.lit(""), named), _pieces(F.col("text"))))).alias("key"))
+    pairs = keyed.join(F.broadcast(index) if few else index, "key").filter("NOT frame OR inFrame")
+    found = _found("text", "urlPattern") | F.col("key").startswith(WHOLE)
+    return pairs.filter(found).select("file", "name")
 
 
 def match_groups(sites: DataFrame, rules: DataFrame, frames: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -248,9 +291,11 @@ def decide_rules(buttons: DataFrame, sites: DataFrame, groups: tuple[DataFrame,
     ranges = sized.filter("r > 0").select(F.col("file").alias("_site"), "group", "_offset", "r")
     within = (F.col("_k") > F.col("_offset")) & (F.col("_k") <= F.col("_offset") + F.col("r"))
     placed = numbered.join(ranges, (F.col("file") == F.col("_site")) & within, "left")
-    by_name = F.row_number().over(Window.partitionBy("group").orderBy("name")).cast("bigint")
-    slots = group_rules.filter(in_region).select("group", by_name.alias("_n"), F.col("name").alias("existing"), "manual")
-    decided = placed.withColumn("_n", F.col("_k") - F.col("_offset")).join(slots, ["group", "_n"], "left")
+    regional = group_rules.filter(in_region).select("group", F.col("name").alias("existing"), "manual")
+    slots = rank_in_groups(regional, ["group"], ["existing"], "_n")
+    # Buttons without a slot, most of them, would all have the same null key.
+    spread = F.coalesce("group", F.concat(F.lit("\x00"), F.xxhash64("file", "selector").cast("string")))
+    decided = placed.withColumn("_n", F.col("_k") - F.col("_offset")).withColumn("group", spread).join(slots, ["group", "_n"], "left")
     decision = (
         F.when(F.col("_kept"), "kept")
         .when(F.coalesce("matched", F.lit(0)) == 0, "new")

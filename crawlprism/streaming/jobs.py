@@ -2,88 +2,69 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter
 
 from crawlprism.operators.apis import attributed_calls
 from crawlprism.operators.consent import DETECTED
-from crawlprism.operators.requests import deliver, finish, mark, rows_of_parts
+from crawlprism.operators.requests import assemble_requests, hash_bodies
 from crawlprism.operators.shred import shred
-from crawlprism.plans.progress import page_limit_ms
-
-# State of one slice of a page, as JSON: request id -> [rows opened so far, where the current chain began].
-_STATE = "ids string"
-# Slices per page. A page is short, but a page that floods the stream is still spread over tasks.
-PAGE_SLICES = 4
-_EVENT = ("requestId", "seq", "at_ms", "opens", "continues", "initiator", "event")
-_NUMBERED = ["page", "requestId", "seq", "row", "head_seq", "head_initiator", "event"]
-
-
-def _number(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Running row number and chain head per request id, continued from the state."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    ids = json.loads(state.get[0]) if state.exists else {}
-    # A micro-batch may split a group into several frames in any order.
-    events = sorted((e for b in batches for e in zip(*(b[c].tolist() for c in _EVENT), strict=True)), key=lambda e: e[1])
-    out, last_ms = [], 0
-    for rid, seq, at_ms, opens, continues, initiator, event in events:
-        row, head_seq, head_init = ids.get(rid, (0, None, None))
-        row += bool(opens)
-        if opens and (not continues or row == 1):
-            head_seq, head_init = seq, initiator
-        ids[rid] = (row, head_seq, head_init)
-        last_ms = max(last_ms, at_ms)
-        out.append((key[0], rid, seq, row, head_seq, head_init, event))
-    state.update((json.dumps(ids),))
-    state.setTimeoutTimestamp(max(last_ms + page_limit_ms(), state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame(out, columns=_NUMBERED).astype({"head_seq": "Int64"})
-
-
-def stream_requests(events: DataFrame, delay: str = "180 seconds", slices: int = PAGE_SLICES) -> DataFrame:
-    """Event stream to request parts, appended as events arrive; ``requests_of`` turns the parts
-    written so far into requests.
-
-    State per request id is three values, whatever the number of events; it expires once the
-    page can no longer send any. The delay is the longest a page may take (I6); later events
-    are dropped.
+from crawlprism.plans.progress import COLLECTOR_EXTRA_MS, MAX_LOAD_MS, page_limit_ms
+
+
+def stream_closed_pages(
+    events: DataFrame,
+    pages: DataFrame,
+    delay: str = "180 seconds",
+    max_load_ms: int = MAX_LOAD_MS,
+    extra_ms: int = COLLECTOR_EXTRA_MS,
+) -> DataFrame:
+    """The events of each request id, once its page can send no more. Write in append mode.
+
+    ``events(page, ts, requestId, …)`` is the log, ``pages(page, startedAt, finishedAt)`` has a row for each page that
+    closed. Events wait in the join's state, a row each, until their page closes or the page limit runs out; those
+    of a page that never closes, or too late, are dropped there. What joined is gathered by (page, request id) until the
+    watermark passes the closing, so events up to ``delay`` behind are in, and all ids of a page come out together.
     """
-    fields = [c for c in events.columns if c not in ("page", "requestId", "seq", "ts")]
-    slim = mark(events.withWatermark("ts", delay)).select(
-        "page",
-        F.pmod(F.xxhash64("requestId"), F.lit(slices)).alias("slice"),
-        "requestId",
-        "seq",
-        "ts",
-        F.unix_millis("ts").alias("at_ms"),
-        "opens",
-        "continues",
-        "initiator",
-        F.to_json(F.struct(*fields)).alias("event"),
-    )
-    schema = (
-        "page string, requestId string, seq bigint, row bigint, head_seq bigint, head_initiator string, event string"
-    )
-    numbered = slim.groupBy("page", "slice").applyInPandasWithState(
-        _number, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema if f.name in fields)
-    head = F.struct(F.col("head_seq").alias("seq"), F.col("head_initiator").alias("initiator"))
-    opened = numbered.withColumn("e", F.from_json("event", ddl)).select(
-        "page", "requestId", "seq", "row", "e.*", F.when(F.col("head_seq").isNotNull(), head).alias("head")
-    )
-    return deliver(mark(opened))
+    limit = page_limit_ms(max_load_ms, extra_ms)
+    e = hash_bodies(events).withWatermark("ts", delay)
+    p = pages.select(F.col("page").alias("_page"), "startedAt", "finishedAt").withWatermark("finishedAt", delay)
+    span = F.expr(f"ts <= finishedAt AND ts >= finishedAt - INTERVAL {limit} MILLISECONDS")
+    in_time = F.unix_millis("finishedAt") - F.unix_millis("startedAt") <= limit
+    own = e.join(p, (F.col("page") == F.col("_page")) & (F.col("ts") >= F.col("startedAt")) & span & in_time)
+    fields = F.struct(*[c for c in e.columns if c not in ("page", "requestId")])
+    return own.groupBy("page", "finishedAt", "requestId").agg(F.collect_list(fields).alias("events"))
+
 
+def requests_of_closed(batch: DataFrame, **kwargs) -> DataFrame:
+    """Request records, with ``finishedAt``, of the pages that one micro-batch of ``stream_closed_pages`` brought."""
+    visit = F.struct("page", "finishedAt").alias("page")
+    rows = assemble_requests(batch.select(visit, "requestId", F.inline("events")), **kwargs)
+    return rows.select("page.page", "page.finishedAt", *[c for c in rows.columns if c != "page"])
 
-def requests_of(parts: DataFrame, **kwargs) -> DataFrame:
-    """Request records from stored parts; equal to the batch result over the same events."""
-    return finish(rows_of_parts(parts), **kwargs)
+
+def stream_requests(
+    events: DataFrame, pages: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str, delay: str = "180 seconds", **kwargs
+) -> DataStreamWriter:
+    """Hands each micro-batch's finished requests to ``save(requests, batch_id)``; every page comes once, nothing is read again.
+
+    A batch that is replayed after a failure has the same id; ``save`` should overwrite what it wrote under it.
+    """
+
+    def finish(batch: DataFrame, batch_id: int) -> None:
+        # Read more than once below; without this the state would be gone through each time.
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                save(requests_of_closed(batch, **kwargs), batch_id)
+        finally:
+            batch.unpersist()
+
+    closed = stream_closed_pages(events, pages, delay)
+    return closed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(finish)
 
 
 def stream_call_stats(calls: DataFrame) -> DataFrame:
@@ -121,18 +102,22 @@ def stream_dedup_cmps(messages: DataFrame, delay: str = "10 minutes") -> DataFra
     return detected.dropDuplicatesWithinWatermark(["page", "cmp"])
 
 
-def stream_in_time(events: DataFrame, max_load_ms: int = 60_000, extra_ms: int = 60_000) -> DataFrame:
-    """The page limit as watermark delay; events behind it are late and leave stateful operators."""
-    return events.withWatermark("ts", f"{page_limit_ms(max_load_ms, extra_ms)} milliseconds")
-
+def stream_in_time(
+    events: DataFrame, keys: list[str], max_load_ms: int = MAX_LOAD_MS, extra_ms: int = COLLECTOR_EXTRA_MS
+) -> DataFrame:
+    """The log without late events and without redeliveries: the page limit is the watermark delay, so an event
+    that is further behind is dropped, and one that came before within that time (by ``keys``) too."""
+    limit = f"{page_limit_ms(max_load_ms, extra_ms)} milliseconds"
+    return events.withWatermark("ts", limit).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_outcomes(events: DataFrame, max_load_ms: int = 60_000, extra_ms: int = 60_000) -> DataFrame:
+def stream_outcomes(events: DataFrame, max_load_ms: int = MAX_LOAD_MS, extra_ms: int = COLLECTOR_EXTRA_MS) -> DataFrame:
     """One row per page once it can send no more events, with ``failed`` for pages that did not close
     in time. ``events(page, ts, kind)``; a page is a session whose gap is the page limit."""
     limit = page_limit_ms(max_load_ms, extra_ms)
     kind, at = F.col("kind"), F.unix_millis("ts")
-    per = stream_in_time(events, max_load_ms, extra_ms).groupBy("page", F.session_window("ts", f"{limit} milliseconds")).agg(
+    timely = events.withWatermark("ts", f"{limit} milliseconds")
+    per = timely.groupBy("page", F.session_window("ts", f"{limit} milliseconds")).agg(
         F.min(at).alias("started"),
         F.min(F.when(kind == "pageLoaded", at)).alias("loaded"),
         F.max(F.when(kind == "pageClosed", at)).alias("closed"),

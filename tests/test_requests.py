@@ -254,20 +254,36 @@ def test_ordinary_pages_are_shuffled_once(spark):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    """The log arrives in several micro-batches; state carries numbering across them."""
+    """The log arrives in several micro-batches; each page's requests come out once, after it closed, and only if it did."""
     events = random_events(5, n=400)
+    t0 = 1_700_000_000
+    log = frame(spark, events).withColumn("ts", F.timestamp_seconds(F.col("seq") % 170 + t0))
+    pages = sorted({r.page for r in log.select("page").distinct().collect()})
+    open_, slow, good = pages[0], pages[1], pages[2:]
+    closings = [(p, 0, 170) for p in good] + [(slow, -500, 170), ("end", 99_000, 99_000)]
+    closed = spark.createDataFrame(closings, "page string, a long, b long")
+    closed = closed.select("page", *[F.timestamp_seconds(F.col(c) + t0).alias(n) for c, n in (("a", "startedAt"), ("b", "finishedAt"))])
+    beat = log.limit(1).withColumn("page", F.lit("end")).withColumn("ts", F.timestamp_seconds(F.lit(99_000 + t0)))
     for n in range(4):
-        part = frame(spark, events[n * 100 : (n + 1) * 100]).withColumn("ts", F.timestamp_seconds(F.col("seq") + 1_700_000_000))
-        part.coalesce(1).write.parquet(str(tmp_path / "log" / f"part{n}"))
-    stream = (
-        spark.readStream.schema(schemas.event_schema())
-        .option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", True)
-        .parquet(str(tmp_path / "log"))
-    )
-    out = str(tmp_path / "parts")
-    q = jobs.stream_requests(stream, "1 hour").writeStream.option("checkpointLocation", str(tmp_path / "cp"))
-    q.trigger(availableNow=True).format("parquet").start(out).awaitTermination()
-    got = table(jobs.requests_of(spark.read.parquet(out)))
-    assert got == table(req.assemble_requests(frame(spark, events)))
-    assert got == replay_with_slots(events)
+        log.filter(F.col("seq") % 4 == n).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    beat.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    for part in (closed.filter("page <> 'end'"), closed.filter("page = 'end'")):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "pages"))
+
+    def read(name, schema):
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+
+    batches = []
+    save = lambda rows, batch: (batches.append({r.page for r in rows.select("page").collect()}), rows.write.mode("overwrite").parquet(str(tmp_path / f"out/{batch}")))
+    q = jobs.stream_requests(read("log", log.schema), read("pages", closed.schema), save, str(tmp_path / "cp"))
+    q.trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out"))
+    want = table(req.assemble_requests(frame(spark, events).filter(F.col("page").isin(good))))
+    assert table(out.drop("finishedAt")) == want and want
+    assert sum(map(len, batches)) == len(set().union(*batches)) == len(good)
+    assert open_ not in set().union(*batches)
+
+
+def test_bodies_stay_below_the_first_exchange(spark):
+    plan = req.assemble_requests(frame(spark, random_events(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan.split("Exchange hashpartitioning")[1] and "sha2" not in plan.split("Exchange hashpartitioning")[0]

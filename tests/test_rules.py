@@ -1,8 +1,13 @@
 """Consent-rule generation."""
 
+import random
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from crawlprism.operators.running import rank_in_groups
 from crawlprism.plans import rules as ru
 
 SITE = "file string, initialUrl string, finalUrl string"
@@ -114,11 +119,66 @@ def test_crawls_are_registered_once(spark, tmp_path):
     assert sinks.delete_crawl(spark, root, "c2") == ["crawls"]
 
 
-def test_many_hand_patterns_run_in_batches(spark, monkeypatch):
-    monkeypatch.setattr(ru, "PATTERN_BATCH", 3)
+def test_required_literals(spark):
+    want = {
+        r"^https?://(www\.)?shop-a\.com/": ["http", "://", "shop-a.com/"], r"ab+cd?e*fg{0,2}h": ["ab", "c", "f", "h"], r"^(?:one|two)three[^]x[a|b(]y": ["three", "x", "y"],
+        r"left|right": [], r"(?i)case": [], r"a\d+b\.c": ["a", "b.c"], r"((((a)b)c)d)e": ["e"], r"(?<n>x)\k<n>yz": ["yz"], r"a[\]b]c": ["a", "c"],
+        r"p\(q\|r": ["p(q|r"], "": [], r"(?=ahead)beh(?!x)ind": ["beh", "ind"], r"\u0041bc": ["bc"], r"open(x": [],
+    }
+    rows = spark.createDataFrame([(p,) for p in want], "p string").select("p", ru.required_literals(F.col("p")).alias("l"))
+    assert {r.p: r.l for r in rows.collect()} == want
+
+
+PATTERNS = [
+    r"^https://a[^]*b", r"(?<a_b>o)\k<a_b>", "left|right", r"\.com/$", "^https?://([a-z]+)\\.(co|com)/q", "shop[0-9]+", "(?i)ABC", "x{2,}", "/[\\w-]+/z\\b", "a", "", "(bad", "[z-a]", "s1x", "[[]", "a{b}"
+]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("ab.cxom/:12 -{}[", max_size=12), min_size=5, max_size=20), st.integers(0, 2**32))
+def test_pattern_index_against_all_pairs(spark, tails, seed):
+    """Every pattern on every URL, by brute force."""
+    draw = random.Random(seed)
+    urls = [f"https://{draw.choice(['aoo.com/', 'left.co/q', 'shop7.com', 'ABC.com/w-w/z', 's1x.com/xx'])}{t}" for t in tails]
+    sites = spark.createDataFrame([site(f"f{n}", u, urls[n - 1]) for n, u in enumerate(urls)], SITE)
+    rules = spark.createDataFrame([rule(f"r{n}", "s", host=None, urlPattern=p, inFrame=n % 2 == 0) for n, p in enumerate(PATTERNS)], RULE)
+    frames = spark.createDataFrame([(f"f{n}", urls[-n]) for n in range(len(urls))], "file string, origin string")
+    want = set()
+    for n, u in enumerate(urls):
+        for k, p in enumerate(PATTERNS):
+            found = ru.browser_pattern(p) if p else None
+            texts = [u, urls[n - 1]] + ([urls[-n]] if k % 2 == 0 else [])
+            if found and any(found.search(t) for t in texts):
+                want.add((f"f{n}", f"r{k}"))
+    assert {tuple(r) for r in ru.match_rules(sites, rules, frames).collect()} == want
+    assert {r.urlPattern for r in ru.untested_patterns(rules).collect()} == {"(bad", "[z-a]"}
+
+
+def test_browser_patterns():
+    cases = [(r"^https://a[^]*b", "https://a\n b", True), (r"(?<a_b>x)\k<a_b>", "xx", True), (r"(?<a_b>x)\k<a_b>", "xy", False), (r"a$", "a\n", False), (r"\d", "٣", False), (r"[$]", "$", True), (r"\$x", "$x", True), ("[]a", "a", False)]
+    for pattern, text, found in cases:
+        assert bool(ru.browser_pattern(pattern).search(text)) is found, (pattern, text)
+
+
+def test_plan_does_not_grow_with_patterns(spark):
     sites = spark.createDataFrame([site(f"f{n}", f"https://s{n}x.com/", f"https://s{n}x.com/") for n in range(10)], SITE)
-    rules = spark.createDataFrame([rule(f"r{n}", "s", host=None, urlPattern=f"s{n}x") for n in range(10)], RULE)
-    assert {tuple(r) for r in ru.match_rules(sites, rules).collect()} == {(f"f{n}", f"r{n}") for n in range(10)}
+    plans = []
+    for count in (10, 1000):
+        rules = spark.createDataFrame([rule(f"r{n}", "s", host=None, urlPattern=f"s{n}x") for n in range(count)], RULE)
+        found = ru.match_rules(sites, rules)
+        assert {tuple(r) for r in found.collect()} == {(f"f{n}", f"r{n}") for n in range(10)}
+        plans.append(found._jdf.queryExecution().optimizedPlan().treeString().count("\n"))
+    assert plans[0] == plans[1]
+
+
+def test_ranks_in_groups_of_any_size(spark):
+    rows = [("hot", f"n{k:05d}") for k in range(3000)] + [(f"g{k % 7}", f"m{k}") for k in range(50)] + [(None, "x")]
+    random.Random(1).shuffle(rows)
+    got = rank_in_groups(spark.createDataFrame(rows, "g string, n string"), ["g"], ["n"], "place")
+    want = {}
+    for g, n in sorted(rows, key=str):
+        want.setdefault(g, []).append(n)
+    assert {(r.g, r.n): r.place for r in got.filter("g IS NOT NULL").collect()} == {(g, n): k for g, ns in want.items() if g for k, n in enumerate(ns, 1)}
 
 
 def test_rule_table_reads_records(spark):
