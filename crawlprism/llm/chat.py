@@ -1,9 +1,9 @@
 """Reply trees to training conversations. Spark functions only.
 
 Messages name their parent; every leaf ends a branch. Branches come from self-joins that double their reach: round
-``k`` gives each message its ancestor ``2^k`` up and the score of the stretch between, and, going back down, each
-branch adds the ancestors that are ``2^k`` above what it has. A thread of a thousand turns takes ten rounds, and a
-branch one row for each of its messages. Branches are ranked by score (then length, then leaf); the chosen ones
+``k`` gives each message its ancestor ``2^k`` up and the score of the stretch between, so the last one ranks the leaves;
+going back down, each branch adds the ancestors that are ``2^k`` above what it has. A thread of a thousand turns takes
+ten rounds, written one by one, and a branch one row for each of its messages. Branches are ranked by score (then length, then leaf); the chosen ones
 are formatted.
 
 ``<|im_start|>role`` opens a turn, ``<|im_end|>`` closes it; control strings inside texts get a backslash after their
@@ -26,6 +26,8 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 # The first character of a control string, ahead of the rest: those of this template and of others in use.
 _CONTROL = r"(?=\|[^|\s]*\|>)|(?=/?s>)|(?=</?SYS>>)"
 TRAINED = "assistant"
+# Doubling joins in one plan.
+JOINS = 3
 
 
 def escape(text: Column) -> Column:
@@ -55,30 +57,29 @@ def branches(messages: DataFrame, most: int = 1) -> DataFrame:
     own = messages.select("conv", "node", "parent", "score").withColumn("conv", F.struct("conv"))
     known = known.withColumn("_c", F.struct("_c").cast(own.schema["conv"].dataType))
     good = (F.col("conv") == F.col("_c")) & (F.col("parent") == F.col("_p")) & (F.col("parent") < F.col("node"))
-    tree = materialize(own.join(known, good, "left").select("conv", "node", F.col("_p").alias("up"), F.coalesce("score", F.lit(0.0)).alias("gain")), "tree")
-    # jumps[k]: of the messages with that many above them, the one 2 ** k up and the score from the message to below it.
-    jumps = [tree.filter("up IS NOT NULL")]
-    while not jumps[-1].isEmpty():
-        last = jumps[-1]
-        above = last.select(F.col("conv").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("far"), F.col("gain").alias("more"))
-        step = last.join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")))
-        jumps.append(materialize(step.select("conv", "node", F.col("far").alias("up"), (F.col("gain") + F.col("more")).alias("gain")), "jump"))
-    jumps = jumps[:-1]
-    parents = tree.filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
-    leaves = tree.join(parents, ["conv", "node"], "left_anti").select("conv", F.col("node").alias("leaf"), "node", F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("length"))
-    for k in range(len(jumps) - 1, -1, -1):
-        leaves = leaves.join(jumps[k], ["conv", "node"], "left")
-        gone = F.when(F.col("up").isNotNull(), 1 << k).otherwise(0)
-        leaves = leaves.select("conv", "leaf", F.coalesce("up", "node").alias("node"), (F.col("sum") + F.coalesce("gain", F.lit(0.0))).alias("sum"), (F.col("length") + gone).alias("length"))
-    roots = tree.select("conv", "node", "gain")
-    leaves = leaves.join(roots, ["conv", "node"]).withColumn("score", F.col("sum") + F.col("gain"))
-    rank = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("score"), F.desc("length"), "leaf"))
+    tree = own.join(known, good, "left").select("conv", "node", F.col("_p").alias("up"), F.coalesce("score", F.lit(0.0)).alias("gain"))
+    # reach[k]: each message with the one 2 ** k above it, if there is one, and the score and number of messages below that.
+    reach = [materialize(tree.select("*", F.lit(1).cast("long").alias("hops")), "reach")]
+    while not reach[-1].filter("up IS NOT NULL").isEmpty():
+        last = reach[-1]
+        above = last.select(F.col("conv").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("far"), F.col("gain").alias("more"), F.col("hops").alias("further"))
+        step = last.join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")), "left")
+        score, hops = F.col("gain") + F.coalesce("more", F.lit(0.0)), F.col("hops") + F.coalesce("further", F.lit(0))
+        reach.append(materialize(step.select("conv", "node", F.col("far").alias("up"), score.alias("gain"), hops.alias("hops")), "reach"))
+    parents = reach[0].filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
+    leaves = reach[-1].join(parents, ["conv", "node"], "left_anti")
+    rank = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("gain"), F.desc("hops"), "node"))
     chosen = leaves.withColumn("rank", rank).filter(F.col("rank") <= most)
-    rows = materialize(chosen.select("conv", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("below")), "chosen")
-    for k in range(len(jumps) - 1, -1, -1):
-        further = rows.join(jumps[k], ["conv", "node"]).select("conv", "leaf", F.col("up").alias("node"), (F.col("below") + (1 << k)).alias("below"))
-        rows = materialize(rows.union(further), "branches")
-    return rows
+    rows = chosen.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("below"))
+    # Going back down, each message of a branch adds the one 2 ** k above it. A plan holds a few of these joins.
+    for k in range(len(reach) - 2, -1, -1):
+        jump = reach[k].filter("up IS NOT NULL").select("conv", "node", "up")
+        own, next_ = F.struct("node", "below"), F.struct(F.col("up").alias("node"), (F.col("below") + (1 << k)).alias("below"))
+        both = F.array_compact(F.array(own, F.when(F.col("up").isNotNull(), next_)))
+        rows = rows.join(jump, ["conv", "node"], "left").select("conv", "leaf", F.inline(both))
+        if k % JOINS == 0:
+            rows = materialize(rows, "branches")
+    return rows if len(reach) > 1 else materialize(rows, "branches")
 
 
 def format_branches(messages: DataFrame, rows: DataFrame) -> DataFrame:
