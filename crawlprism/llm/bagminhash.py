@@ -199,7 +199,8 @@ def classes(documents: DataFrame) -> DataFrame:
     members = materialize(members.select("band", "node", "n").join(leads, "band"), "led")
     wanted = members.select("node").distinct().join(nodes.select("node", "first"), "node")
     ids = wanted.select(F.col("first").alias("_first")).distinct()
-    sets = elements(documents.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi"))
+    texts = documents.select("doc_id", "text")
+    sets = elements(texts.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi"))
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
 
     pairs = materialize(members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
@@ -235,6 +236,7 @@ def classes(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each class, that with the least ``doc_id``; repeats of the same row are one document."""
-    kept = classes(documents).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    name = "_kept" + "_" * max(map(len, documents.columns))  # no column of the documents
+    kept = classes(documents).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
+    rows = documents.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])

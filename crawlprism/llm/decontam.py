@@ -163,5 +163,6 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found."""
-    found = broadcast_if_small(leaks(documents, benchmark).select(F.col("doc_id").alias("_leak")).distinct())
-    return documents.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    name = "_leak" + "_" * max(map(len, documents.columns))  # no column of the documents
+    found = broadcast_if_small(leaks(documents, benchmark).select(F.col("doc_id").alias(name)).distinct())
+    return documents.join(found, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -48,7 +48,7 @@ STOP_WORDS = frozenset(
     """.split()
 )
 
-DROPPED = frozenset("nav footer aside form dialog menu button select option datalist svg math object canvas audio video template map".split())
+DROPPED = frozenset("nav footer aside form dialog menu button select option datalist svg canvas audio video template map".split())
 RAW = frozenset("script style noscript iframe noembed noframes textarea title xmp head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -68,6 +68,16 @@ DROPPED_CLASSES = frozenset(
     comment comments commentlist discussion disqus replies respond toolbar hidden copyright disclaimer
     """.split()
 )
+# Inside an article these alone name a section of it, and with the others they may stand in a name of furniture.
+TOPICS = frozenset("header discussion notice notices".split())
+_INTERFACE = DROPPED_CLASSES | frozenset(
+    """
+    area bar block body bottom box btn button buttons card cards carousel center col column container content dialog feed
+    field fixed float form frame grid group home icon icons inner inline input item items js layer left link links list
+    main mobile more outer overlay page panel post posts right row section site slot small sticky strip tab tabs title
+    tools top unit view wrap wrapper
+    """.split()
+)
 _WHOLE = frozenset("html body main article".split())
 _SAYS = frozenset("has have no not with without is show hide js".split())
 
@@ -103,7 +113,8 @@ def _is_furniture(name: str, raw: str, in_article: bool) -> bool:
         parts = [p.lower() for p in _NAMES.findall(one)]
         if parts and parts[0] not in _SAYS:
             found = DROPPED_CLASSES.intersection(parts)
-            if found - {"header"} or (found and not in_article):
+            # Inside an article names tell what a section is about as well: all of the name must be of furniture.
+            if found - TOPICS and _INTERFACE.issuperset(parts) if in_article else found:
                 return True
     return False
 

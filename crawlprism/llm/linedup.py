@@ -102,7 +102,7 @@ def keys(words: np.ndarray, hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.n
 
 
 def _row_names(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return (textio.span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(33)).astype(np.int32)
+    return textio.span_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
 
 
 def _occurrences(documents: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def _occurrences(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "key", "a", "b", "again"])
 
     own = documents.select("doc_id", "text")
-    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, row int, key bigint, a int, b int, again boolean")
+    return own.mapInArrow(rows_of, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, row bigint, key bigint, a int, b int, again boolean")
 
 
 def _named(documents: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def _named(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_row_names(data, offsets))], [*names, "_row"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(rows_of, f"{types}, _row int")
+    return documents.mapInArrow(rows_of, f"{types}, _row bigint")
 
 
 def _spans(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -227,9 +227,18 @@ def repeated(documents: DataFrame) -> DataFrame:
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
-    """All rows with ``text`` freed of repeated passages, and ``n_removed`` units and ``words_removed``."""
-    keep = [c for c in documents.columns if c.lower() not in {"n_removed", "words_removed", "spans", "_row", "_id", "_name"}]
-    documents = documents.select(*keep)
+    """All rows and columns with ``text`` freed of repeated passages, and ``n_removed`` units and ``words_removed``.
+
+    Columns of these two names give way to the counts; all others are kept, whatever their names.
+    """
+    kept = [c for c in documents.columns if c.lower() not in {"n_removed", "words_removed"}]
+    inner = [{"text": "text", "doc_id": "doc_id"}.get(c, f"c{k}") for k, c in enumerate(kept)]
+    rows = _dedup(documents.select(*kept).toDF(*inner))
+    return rows.toDF(*kept, "n_removed", "words_removed")
+
+
+def _dedup(documents: DataFrame) -> DataFrame:
+    keep = documents.columns
     textio.small_batches(documents.sparkSession)
     spans = repeated(documents).withColumnsRenamed({"doc_id": "_id", "row": "_name"})
     ids = broadcast_if_small(spans.select("_id").distinct())

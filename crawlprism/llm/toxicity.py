@@ -30,6 +30,8 @@ from crawlprism.llm import textio
 
 #: Labelled texts of each class that the dictionaries and weights are learnt from.
 SAMPLE = 3000
+# Of these, windows of ordinary texts that the ordinary dictionary is trained on; its trainer holds them all.
+ORDINARY_WINDOWS = 150_000
 WINDOW = 8
 LEVEL = 6
 ORDINARY_BYTES = 65536
@@ -121,7 +123,7 @@ def learn(sample: list[tuple[bytes, int]]) -> Model | float:
     draw.shuffle(samples)
     plain = [w for t in taught[0] for w in _windows(_words(t))]
     draw.shuffle(plain)
-    ordinary, toxic = _train(ORDINARY_BYTES, plain[:150_000]), _train(TOXIC_BYTES, samples)
+    ordinary, toxic = _train(ORDINARY_BYTES, plain[:ORDINARY_WINDOWS]), _train(TOXIC_BYTES, samples)
     a, b = _compressor(ordinary or b"\n" * 8), _compressor(toxic + ordinary or b"\n" * 8)
     unseen = [(t, k) for k in (0, 1) for t in (classes[k][: third[k]] or classes[k])]
     x = np.array([features(t, a, b) for t, _ in unseen])
@@ -135,7 +137,8 @@ def training_sample(documents: DataFrame, labels: DataFrame) -> list[tuple[bytes
     drawn = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for k in (0, 1)]
     ids = drawn[0].union(drawn[1]).withColumnRenamed("doc_id", "_id")
     # The draw has 2 * SAMPLE rows at most, so it can be broadcast.
-    rows = documents.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter("text != ''").select("text", "toxic").toArrow()
+    texts = documents.select(F.col("doc_id").alias("_doc"), "text").filter("text != ''")
+    rows = texts.join(F.broadcast(ids), F.col("_doc") == F.col("_id")).select("text", "toxic").toArrow()
     pairs = dict.fromkeys(zip(rows["text"].to_pylist(), rows["toxic"].to_pylist(), strict=True))
     return [(t.encode(), k) for t, k in pairs]
 

@@ -138,3 +138,21 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (200, 200)]
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 102: 100}
+
+
+@pytest.mark.parametrize("name", ['id="related-work"', 'class="discussion"', 'class="social-history"', 'class="promotion-of-health"', 'id="share-of-gdp"', 'id="notice"'])
+def test_sections_of_an_article_keep_their_text(name):
+    text = "The social history of the country was told in many books of the time, and it was read by all."
+    page = f"<body><article><h1>T</h1><section {name}><p>{text}</p></section></article></body>"
+    assert htmltext.main_text(page) == f"T\n{text}"
+
+
+@pytest.mark.parametrize("name", ["related-posts", "comments", "comment-list", "share-buttons", "ad", "social-links", "cookie-banner", "newsletter-signup-form"])
+def test_furniture_of_an_article_goes(name):
+    text = "The history of the country was told in many books of the time, and it was read by all."
+    page = f'<body><article><h1>T</h1><p>{text}</p><div class="{name}"><p>{text} Again.</p></div></article></body>'
+    assert htmltext.main_text(page) == f"T\n{text}"
+
+
+def test_math_is_text():
+    assert htmltext.main_text("<article><p>So <math><mi>x</mi></math> is as long as the other side of the figure, which was to be shown in this part.</p></article>").startswith("So x is")
