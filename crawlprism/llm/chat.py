@@ -16,8 +16,6 @@ turns of their own; rows of equal turn come in order of role and text. A null co
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,33 +58,28 @@ def branches(messages: DataFrame, most: int = 1) -> DataFrame:
     known = known.withColumn("_c", F.struct("_c").cast(own.schema["conv"].dataType))
     good = (F.col("conv") == F.col("_c")) & (F.col("parent") == F.col("_p")) & (F.col("parent") < F.col("node"))
     tree = own.join(known, good, "left").select("conv", "node", F.col("_p").alias("up"), F.coalesce("score", F.lit(0.0)).alias("gain"))
-    # steps[k]: the messages with 2 ** k above them at least (the first has all), the one so far up if more follow, and the
-    # score and number of messages below that. A message without ``up`` is done and takes part as a target only.
-    steps, done = [materialize(tree.select("*", F.lit(1).cast("long").alias("hops")), "reach")], []
-    while True:
-        moving = steps[-1].filter("up IS NOT NULL")
-        done.append(steps[-1].filter("up IS NULL"))
-        if moving.isEmpty():
-            break
-        every = reduce(DataFrame.unionByName, done, moving)
-        above = every.select(F.col("conv").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("far"), F.col("gain").alias("more"), F.col("hops").alias("further"))
-        step = moving.join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")))
-        step = step.select("conv", "node", F.col("far").alias("up"), (F.col("gain") + F.col("more")).alias("gain"), (F.col("hops") + F.col("further")).alias("hops"))
-        steps.append(materialize(step, "reach"))
-    parents = steps[0].filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
-    leaves = reduce(DataFrame.unionByName, done).join(parents, ["conv", "node"], "left_anti")
+    # reach[k]: each message with the one 2 ** k above it, if there is one, and the score and number of messages below that.
+    reach = [materialize(tree.select("*", F.lit(1).cast("long").alias("hops")), "reach")]
+    while not reach[-1].filter("up IS NOT NULL").isEmpty():
+        last = reach[-1]
+        above = last.select(F.col("conv").alias("_c"), F.col("node").alias("_n"), F.col("up").alias("far"), F.col("gain").alias("more"), F.col("hops").alias("further"))
+        moved = last.filter("up IS NOT NULL").join(above, (F.col("conv") == F.col("_c")) & (F.col("up") == F.col("_n")))
+        moved = moved.select("conv", "node", F.col("far").alias("up"), (F.col("gain") + F.col("more")).alias("gain"), (F.col("hops") + F.col("further")).alias("hops"))
+        reach.append(materialize(moved.unionByName(last.filter("up IS NULL")), "reach"))
+    parents = reach[0].filter("up IS NOT NULL").select("conv", F.col("up").alias("node")).distinct()
+    leaves = reach[-1].join(parents, ["conv", "node"], "left_anti")
     rank = F.row_number().over(W.partitionBy("conv").orderBy(F.desc("gain"), F.desc("hops"), "node"))
     chosen = leaves.withColumn("rank", rank).filter(F.col("rank") <= most)
     rows = chosen.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("below"))
     # Going back down, each message of a branch adds the one 2 ** k above it. A plan holds a few of these joins.
-    for k in range(len(steps) - 2, -1, -1):
-        jump = steps[k].filter("up IS NOT NULL").select("conv", "node", "up")
+    for k in range(len(reach) - 2, -1, -1):
+        jump = reach[k].filter("up IS NOT NULL").select("conv", "node", "up")
         own, next_ = F.struct("node", "below"), F.struct(F.col("up").alias("node"), (F.col("below") + (1 << k)).alias("below"))
         both = F.array_compact(F.array(own, F.when(F.col("up").isNotNull(), next_)))
         rows = rows.join(jump, ["conv", "node"], "left").select("conv", "leaf", F.inline(both))
         if k % JOINS == 0:
             rows = materialize(rows, "branches")
-    return rows if len(steps) > 1 else materialize(rows, "branches")
+    return rows if len(reach) > 1 else materialize(rows, "branches")
 
 
 def format_branches(messages: DataFrame, rows: DataFrame) -> DataFrame:
