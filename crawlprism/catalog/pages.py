@@ -57,7 +57,10 @@ _R = b.REQ
     ),
 )
 def to_requests(spark, sf):
-    r = shred.to_requests(pages(spark, sf))
+    return request_columns(shred.to_requests(pages(spark, sf)))
+
+
+def request_columns(r):
     return r.select(
         "pageId", *long("requestId"), "url", "method", "type", "status", "size", "remoteIPAddress", "responseHeaders",
         "failureReason", "redirectedTo", joined("initiators").alias("initiators"), "time",
@@ -144,12 +147,20 @@ _EXPIRES = f"""CASE WHEN ({_K['expires']}) <> -1 THEN ',"expires":' || CAST(CAST
     ),
 )
 def to_cookies(spark, sf):
-    return shred.to_cookies(pages(spark, sf)).select("pageId", *long("cookieId"), "cookie")
+    return cookie_columns(shred.to_cookies(pages(spark, sf)))
+
+
+def cookie_columns(c):
+    return c.select("pageId", *long("cookieId"), "cookie")
 
 
 @query("to_targets", b.flat(f'{b.PAGE_ID} AS "pageId", i AS "targetId", {b.TARGET["url"]} AS url, {b.TARGET["type"]} AS type', b.N_TARGETS))
 def to_targets(spark, sf):
-    return shred.to_targets(pages(spark, sf)).select("pageId", *long("targetId"), "url", "type")
+    return target_columns(shred.to_targets(pages(spark, sf)))
+
+
+def target_columns(t):
+    return t.select("pageId", *long("targetId"), "url", "type")
 
 
 # --- summary ---------------------------------------------------------------------------------------

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from crawlprism.catalog import bridge as b
 from crawlprism.catalog import consent as cq
-from crawlprism.catalog.register import query
+from crawlprism.catalog import pages as pq
+from crawlprism.catalog.register import ORACLES, query
 from crawlprism.operators import shred
 from crawlprism.operators.domains import SuffixRules
 from crawlprism.plans import rules as ru
@@ -106,13 +107,42 @@ def _count_tables(spark, root):
 @query("write_crawl_tables", _TABLE_COUNTS)
 def write_crawl_tables(spark, sf):
     """Loads the crawl twice under two ids, deletes one and counts what is left."""
+    return _count_tables(spark, _loaded(spark, sf))
+
+
+def _loaded(spark, sf):
     root = shared_dir(spark, "tables")
     docs = b.documents(spark, sf)
     for crawl in ("c1", "2024-01-01T00:00:00.000Z-host"):
         sinks.create_crawl(spark, root, crawl, "name", "GB")
         sinks.write_crawl_tables(shred.shred(docs, crawl), root)
     sinks.delete_crawl(spark, root, "2024-01-01T00:00:00.000Z-host")
-    return _count_tables(spark, root)
+    return root
+
+
+@query("loaded_requests", ORACLES["to_requests"])
+def loaded_requests(spark, sf):
+    """What the request table holds after both loads and the deletion."""
+    return pq.request_columns(spark.read.parquet(f"{_loaded(spark, sf)}/requests"))
+
+
+@query("loaded_cookies", ORACLES["to_cookies"])
+def loaded_cookies(spark, sf):
+    return pq.cookie_columns(spark.read.parquet(f"{_loaded(spark, sf)}/cookies"))
+
+
+@query("loaded_targets", ORACLES["to_targets"])
+def loaded_targets(spark, sf):
+    return pq.target_columns(spark.read.parquet(f"{_loaded(spark, sf)}/targets"))
+
+
+@query("create_crawl", """SELECT 'crawl-' || CAST(r_regionkey AS STRING) AS "crawlId", r_name AS name, upper(substr(r_name, 1, 2)) AS region FROM region""")
+def create_crawl(spark, sf):
+    """A crawl for each region, all registered twice, and what ``crawls`` then holds."""
+    root = shared_dir(spark, "crawls")
+    for r in 2 * b.spark_sql(spark, sf, "SELECT r_regionkey AS k, r_name AS name FROM $region").collect():
+        sinks.create_crawl(spark, root, f"crawl-{r.k}", r["name"], r["name"][:2].upper())
+    return spark.read.parquet(f"{root}/crawls").select("crawlId", "name", "region")
 
 
 @query("split_screenshots", f"SELECT CAST({b.K} AS STRING) || '.jpg' AS path, 'img' || CAST({b.K} AS STRING) AS content FROM orders WHERE {b.VALID} AND {b.K} % 5 = 0")

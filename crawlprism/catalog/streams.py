@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crawlprism import registry
 from crawlprism.catalog import bridge as b
 from crawlprism.catalog import network as nq
+from crawlprism.catalog import pages as pq
 from crawlprism.catalog.register import ORACLES, query
 from crawlprism.catalog.storage import _TABLE_COUNTS, _count_tables
 from crawlprism.session import shared_dir
@@ -61,7 +62,7 @@ _STEPS = f"""SELECT page, visit, kind, at_s FROM ({b.oracle(b.VISIT_STEPS)})
 )
 def stream_outcomes(spark, sf):
     """Whether pages closed in time; late events count for nothing."""
-    return drain(jobs.stream_outcomes(b.visit_stream(spark, sf).filter("copy = 0")), "outcomes").filter("page <> 'heartbeat'")
+    return drain(jobs.stream_outcomes(b.visit_stream(spark, sf).filter("copy = 0")), "outcomes").filter("page <> 'heartbeat'").drop("batch")
 
 
 @query("stream_in_time", f"SELECT page, count(*) AS events FROM ({_VISITS}) GROUP BY page")
@@ -94,6 +95,16 @@ def stream_load(spark, sf):
     return _count_tables(spark, root)
 
 
+@query("stream_loaded_requests", ORACLES["to_requests"])
+def stream_loaded_requests(spark, sf):
+    """The request table after a load whose batches were all replayed, as after the loss of its checkpoint."""
+    root = shared_dir(spark, "loaded")
+    for attempt in ("first", "replay"):
+        docs = b.document_source(spark, sf, b.stream_sql).filter("valid")
+        jobs.stream_load(docs, root, "c1", shared_dir(spark, f"load-{attempt}")).trigger(availableNow=True).start().awaitTermination()
+    return pq.request_columns(spark.read.parquet(f"{root}/requests"))
+
+
 @query("stream_dedup_cmps", f"SELECT DISTINCT page, cmp FROM ({b.oracle(b.MESSAGES)}) WHERE type = 'cmpDetected'")
 def stream_dedup_cmps(spark, sf):
     return drain(jobs.stream_dedup_cmps(b.messages(spark, sf, b.stream_sql), "400 days"), "cmps").select("page", "cmp")

@@ -44,12 +44,13 @@ def selection_changes(changes: DataFrame) -> DataFrame:
 
 def corpus_prepare(corpus: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows with a valid label, most frequent first. ``limit`` takes rows in corpus order
-    (column ``row`` where the source has one)."""
+    (column ``row`` where the source has one, else the order of the result, so that runs agree)."""
     rows = corpus.withColumn("label", F.lower(trim_space(F.coalesce("label", F.lit(""))))).filter(
         F.col("label").isin(*LABELS)
     )
     if limit is not None:
-        rows = (rows.orderBy("row") if "row" in rows.columns else rows).limit(limit)
+        order = ["row"] if "row" in rows.columns else [F.desc("occurences"), "button_text", "label"]
+        rows = rows.orderBy(*order).limit(limit)
     return rows.orderBy(F.desc("occurences"), "button_text")
 
 

@@ -358,7 +358,12 @@ def attach_responses(events: DataFrame) -> DataFrame:
     )
 
 
-def merge_early_events(events: DataFrame) -> DataFrame:
+def merge_early_events(events: DataFrame, limit: int = HOT_GROUP, segment: int = SEGMENT) -> DataFrame:
     """F8: the early event each request row received, if any."""
-    settled = settle_early(deliver(number_rows(hash_bodies(events).repartition("page")))).filter("role = 'early'")
+    usual, hot = split_hot(hash_bodies(events), ["page"], limit)
+    settled = settle_early(deliver(number_rows(usual.repartition("page"))))
+    if hot is not None:
+        numbered = materialize(number_rows_wide(hot, segment), "numbered-events")
+        settled = settled.unionByName(settle_early_wide(deliver(numbered)))
+    settled = settled.filter("role = 'early'")
     return settled.select("page", "requestId", "row", "kind", F.col("seq").alias("early_seq"))

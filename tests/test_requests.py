@@ -248,6 +248,12 @@ def test_random_logs(spark, limit):
     assert table(req.assemble_requests(frame(spark, events), limit=limit, segment=7)) == replay_with_slots(events)
 
 
+def test_early_events_of_hot_pages(spark):
+    events = frame(spark, random_events(7))
+    found = [sorted(map(tuple, req.merge_early_events(events, limit, 7).collect())) for limit in (10_000, 150, 0)]
+    assert found[0] == found[1] == found[2] and found[0]
+
+
 def test_ordinary_pages_are_shuffled_once(spark):
     plan = req.assemble_requests(frame(spark, random_events(1)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
