@@ -16,7 +16,7 @@ from crawlprism.operators import detection as det
 from crawlprism.operators import shred
 from crawlprism.patterns import default_patterns
 from crawlprism.plans import rules as ru
-from crawlprism.session import materialize
+from crawlprism.session import materialize, shared_dir
 
 P = default_patterns()
 MSG = b.oracle(b.MESSAGES)
@@ -439,6 +439,15 @@ def score_texts(spark, sf):
     return registry.score_texts(labels, "label", lambda s: s.str.len() > 12, "boolean")
 
 
+@query("verdict_store", f"SELECT label AS text, min(length(label) > 12) AS verdict FROM (SELECT {_CLEAN} AS label FROM ({b.O_BUTTONS})) GROUP BY label")
+def verdict_store(spark, sf):
+    labels = buttons(spark, sf).select("page", tx.clean_button_text(F.col("text")).alias("label"))
+    store = shared_dir(spark, "verdicts")
+    registry.judge_into_store(labels, "label", lambda s: s.str.len() > 12, store, "boolean")
+    # The second run meets only known texts, so its judge, which says the opposite, changes nothing.
+    return registry.judge_into_store(labels, "label", lambda s: s.str.len() <= 12, store, "boolean")
+
+
 # --- consent rules ------------------------------------------------------------------------------------------
 
 REGION = "GB"

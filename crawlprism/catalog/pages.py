@@ -350,6 +350,51 @@ def flat_buttons(spark, sf):
     return h.flat_buttons(_odd_pages(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+# Roles, classes, disabled and hidden elements, containers and popups, which the tables lack.
+_WIDGETS = """<div class="wrap"><div role="button">Accept <div>all</div></div><span class="x button-big" disabled>Off</span><a class="button"><span role="button">In &amp; out</span></a></div><div style="display: none"><button>Gone</button></div><div id="p" style="color:red; position:fixed"><p>We use cookies</p><input type="button" value="Settings"><button hidden>No</button><button>Refuse<a href="#">More</button></div><section style="position: sticky"><div style="position:fixed">Inner</div> outer</section>"""
+
+
+def _widget_pages(spark, sf):
+    return b.spark_sql(spark, sf, "SELECT page_id, url, html FROM $pages").withColumn("html", F.concat(F.lit(_WIDGETS), "html"))
+
+
+# The checking engine finds the end of an element as the first row after it with a lower count of open elements.
+_TOKENS = f"""t AS MATERIALIZED (SELECT page_id, unnest(l) AS raw, CAST(unnest(range(0, len(l))) AS INT) AS pos
+    FROM (SELECT page_id, regexp_extract_all({_strip("html")}, {_regex(h.TAG + "|[^<]+|<")}) AS l FROM (SELECT page_id, {q.lit(_WIDGETS)} || html AS html FROM pages))),
+n AS (SELECT *, lower(regexp_extract(raw, '^</?([a-zA-Z][^\\s/>]*)', 1)) AS name, raw LIKE '</%' AS closes FROM t),
+f AS (SELECT *, name <> '' AND NOT closes AND (name IN ('a', 'button') OR contains(raw, 'role="button"') OR contains(raw, 'type="button"') OR regexp_matches(raw, 'class="[^"]*button')) AS button,
+    regexp_matches(raw, 'position: ?(fixed|sticky)') AND name <> '' AS popup, contains(raw, ' disabled') AND name <> '' AS disabled,
+    name <> '' AND (contains(raw, ' hidden>') OR contains(raw, 'display: none')) AS hides,
+    CASE WHEN name = '' AND NOT starts_with(raw, '<') THEN raw END AS text,
+    sum(CASE WHEN name IN ('', 'a', 'button', 'input') THEN 0 WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos) AS open FROM n),
+s AS MATERIALIZED (SELECT o.page_id, o.pos, any_value(o.name) AS name, any_value(o.raw) AS raw, bool_or(o.button) AS button, bool_or(o.popup) AS popup, bool_or(o.disabled) AS disabled, bool_or(o.hides) AS hides,
+    CASE WHEN any_value(o.name) = 'input' THEN o.pos + 1 ELSE coalesce(min(c.pos), 2147483647) END AS stop
+    FROM f o LEFT JOIN f c ON o.page_id = c.page_id AND o.name = c.name AND c.pos > o.pos AND (o.name IN ('a', 'button') OR c.open < o.open) WHERE o.button OR o.popup OR o.hides GROUP BY o.page_id, o.pos),
+x AS (SELECT page_id, pos, text FROM f WHERE text IS NOT NULL),
+v AS MATERIALIZED (SELECT *, EXISTS (SELECT 1 FROM s g WHERE g.page_id = s.page_id AND g.hides AND g.pos <= s.pos AND s.pos < g.stop) AS unseen,
+    EXISTS (SELECT 1 FROM s g WHERE g.page_id = s.page_id AND g.button AND g.pos > s.pos AND g.pos < s.stop) AS holds_button,
+    EXISTS (SELECT 1 FROM s g WHERE g.page_id = s.page_id AND g.popup AND g.pos > s.pos AND g.pos < s.stop) AS holds_popup FROM s),
+w AS (SELECT v.page_id, v.pos, any_value(v.name) AS name, any_value(v.raw) AS raw, coalesce({_plain("string_agg(x.text, ' ' ORDER BY x.pos)")}, '') AS text
+    FROM v LEFT JOIN x ON x.page_id = v.page_id AND x.pos > v.pos AND x.pos < v.stop AND NOT EXISTS (SELECT 1 FROM s g WHERE g.page_id = x.page_id AND g.hides AND g.pos < x.pos AND x.pos < g.stop) GROUP BY v.page_id, v.pos),
+buttons AS (SELECT v.page_id, v.pos, CASE WHEN v.name = 'input' THEN regexp_extract(v.raw, 'value="([^"]*)"', 1) ELSE w.text END AS text,
+    (SELECT p.pos FROM v p WHERE p.page_id = v.page_id AND p.popup AND NOT p.holds_popup AND p.pos < v.pos AND v.pos < p.stop) AS popup
+    FROM v JOIN w USING (page_id, pos) WHERE v.button AND NOT v.holds_button AND NOT v.disabled AND NOT v.unseen)"""
+
+
+@query("button_elements", f"WITH {_TOKENS} SELECT page_id, pos, text, popup FROM buttons WHERE text <> ''")
+def button_elements(spark, sf):
+    return h.button_elements(_widget_pages(spark, sf))
+
+
+@query(
+    "popup_elements",
+    f"""WITH {_TOKENS} SELECT v.page_id, v.pos, w.text, coalesce((SELECT string_agg(b.text, '|' ORDER BY b.pos) FROM buttons b WHERE b.page_id = v.page_id AND b.popup = v.pos AND b.text <> ''), '') AS buttons
+    FROM v JOIN w USING (page_id, pos) WHERE v.popup AND NOT v.holds_popup AND NOT v.unseen""",
+)
+def popup_elements(spark, sf):
+    return h.popup_elements(_widget_pages(spark, sf)).withColumn("buttons", F.array_join("buttons", "|"))
+
+
 @query("limit_text", "SELECT doc_id, substr(text, 1, 150000) AS text FROM documents")
 def limit_text(spark, sf):
     return b.spark_sql(spark, sf, "SELECT doc_id, text FROM $documents").select("doc_id", tx.limit_text(F.col("text")).alias("text"))

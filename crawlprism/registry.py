@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlprism.functions.urls import url_host
@@ -86,6 +86,32 @@ def score_texts(
     return texts.mapInPandas(judge, f"text string, verdict {verdict_type}")
 
 
+def read_verdicts(spark: SparkSession, store: str, verdict_type: str = "string") -> DataFrame:
+    """The stored ``(text, verdict)``, each text once: where runs overlapped, the first verdict holds."""
+    schema = f"text string, verdict {verdict_type}, judgedAt timestamp"
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    rows = spark.read.schema(schema).parquet(store) if known else spark.createDataFrame([], schema)
+    # The verdict itself breaks ties, so that all reads agree.
+    return rows.groupBy("text").agg(F.min(F.struct("judgedAt", "verdict"))["verdict"].alias("verdict"))
+
+
+def judge_into_store(
+    df: DataFrame, text: str, fn: Callable[[pd.Series], pd.Series], store: str, verdict_type: str = "string", tasks: int | None = None
+) -> DataFrame:
+    """Judges the texts that no run before has judged, adds them to the store and returns the whole store.
+
+    Popular texts shrink to one row before the exchange. A text without a verdict is not stored and is asked
+    again by the next run. The files of a run appear when all of its verdicts are there; a failed run leaves none.
+    """
+    spark = df.sparkSession
+    texts = df.select(F.col(text).alias("text")).filter("text IS NOT NULL").distinct()
+    unseen = texts.join(read_verdicts(spark, store, verdict_type).select("text"), "text", "left_anti")
+    judged = score_texts(unseen, "text", fn, verdict_type, tasks).filter("verdict IS NOT NULL")
+    judged.withColumn("judgedAt", F.current_timestamp()).write.mode("append").parquet(store)
+    return read_verdicts(spark, store, verdict_type)
+
+
 def url_filter(df: DataFrame, predicate: Callable[[Column], Column], url: str = "url") -> DataFrame:
     """Keeps rows whose URL passes a caller's predicate."""
     return df.filter(predicate(F.col(url)))

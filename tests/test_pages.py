@@ -288,6 +288,59 @@ def test_html_text_and_buttons(spark):
     assert [r.text for r in html.flat_buttons(pages).orderBy("pos").collect()] == ["One", "Two", "Send", "Inner"]
 
 
+def test_button_elements(spark):
+    docs = [
+        (1, HTML),
+        (2, """<div class="my-button">A<div class="x">B</div></div><DIV ROLE='button' title="a > role=none">C &lt; D</DIV><p title='role="button"'>no</p>"""),
+        (3, """<a class=button><span role="button">in</span></a><button disabled>off</button><input type=BUTTON value=" Go "><input type=text value=q><button hidden>h</button>"""),
+        (4, """</div></div><div role=button>1 < 2<div>x</div></div> after <button>first<button>second"""),
+        (5, """<div style="visibility:hidden"><div><button>x</button></div></div><button style="opacity: 0">y</button><button style="opacity: 0.5">z</button>"""),
+        (6, ""),
+        (7, None),
+        (None, "<a>k</a>"),
+    ]
+    rows = html.button_elements(spark.createDataFrame(docs, "page_id bigint, html string")).orderBy("page_id", "pos").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.page_id, []).append(r.text)
+    assert got == {1: ["One", "Accept all", "No", "Send", "Inner"], 2: ["A B", "C < D"], 3: ["in", "Go"], 4: ["1 < 2 x", "first", "second"], 5: ["z"]}
+
+
+def test_popup_elements(spark):
+    rows = html.popup_elements(spark.createDataFrame([(1, HTML), (2, None)], "page_id bigint, html string")).collect()
+    assert [(r.text, r.buttons) for r in rows] == [("We use cookies Accept all No Inner", ["Accept all", "No", "Send", "Inner"])]
+
+
+def test_button_elements_against_a_tree(spark):
+    from random import Random
+    from xml.etree import ElementTree as tree
+
+    draw, docs, want = Random(5), [], {}
+
+    def build(depth):
+        tag = draw.choice(["div", "span", "p", "em"])
+        role = draw.choice(["", "", ' role="button"', ' class="a button-b"', ' role="button" disabled="1"'])
+        inner = "".join(build(depth + 1) if draw.random() < 0.6 else f" w{draw.randrange(99)} " for _ in range(draw.randrange(4))) if depth < 6 else "leaf"
+        return f"<{tag}{role}>{inner}</{tag}>"
+
+    like = lambda e: e.get("role") == "button" or "button" in e.get("class", "")
+    for k in range(60):
+        doc = "<main>" + "".join(build(0) for _ in range(4)) + "</main>"
+        docs.append((k, doc))
+        found = [e for e in tree.fromstring(doc).iter() if like(e) and not any(like(x) for x in e.iter() if x is not e)]
+        want[k] = [t for e in found if e.get("disabled") is None and (t := " ".join(" ".join(e.itertext()).split()))]
+    rows = html.button_elements(spark.createDataFrame(docs, "page_id bigint, html string").repartition(3)).orderBy("page_id", "pos").collect()
+    got = {k: [] for k in want}
+    for r in rows:
+        got[r.page_id].append(r.text)
+    assert got == want and sum(map(len, want.values())) > 100
+
+
+def test_elements_use_one_exchange(spark):
+    plan = html.button_elements(spark.createDataFrame([(1, HTML)], "page_id bigint, html string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_html_references_and_quotes(spark):
     doc = """<p title='a > b'>caf&#233; &#x1F600; &amp;lt; &unknown; &eacute;</p><button><span>Reject</span> all</button><a href=/x>y</a><b title="open>z"""
     row = spark.createDataFrame([(1, "u", doc)], "page_id bigint, url string, html string")
@@ -308,6 +361,28 @@ def test_links(spark):
     assert [r.href for r in html.page_links(pages).orderBy("pos").collect()] == ["/one", "/two", "#"]
 
 
+def test_verdict_store_asks_once(spark, tmp_path):
+    store, asked = f"{tmp_path}/verdicts", f"{tmp_path}/asked"
+    import pathlib
+
+    pathlib.Path(asked).mkdir()
+
+    def judge(texts):
+        for t in texts:
+            with open(f"{asked}/{t}", "a") as f:
+                f.write("x")
+        return texts.map(lambda t: None if t == "unsure" else len(t) > 2)
+
+    df = lambda *texts: spark.createDataFrame([(t,) for t in texts], "label string")
+    assert registry.judge_into_store(df(), "label", judge, store, "boolean").count() == 0
+    first = registry.judge_into_store(df("ok", "ok", "yes", None, "unsure"), "label", judge, store, "boolean", tasks=2)
+    assert {(r.text, r.verdict) for r in first.collect()} == {("ok", False), ("yes", True)}
+    second = registry.judge_into_store(df("ok", "yes", "new", "unsure"), "label", judge, store, "boolean")
+    assert {(r.text, r.verdict) for r in second.collect()} == {("ok", False), ("yes", True), ("new", True)}
+    calls = {p.name: len(p.read_text()) for p in pathlib.Path(asked).iterdir()}
+    assert calls == {"ok": 1, "yes": 1, "new": 1, "unsure": 2}
+
+
 def test_registry(spark):
     pages = spark.createDataFrame([(1,), (2,)], "page int")
     registry.register_section("sq", lambda p: p.filter("page = 1").select("page", (F.col("page") * 10).alias("value")))
