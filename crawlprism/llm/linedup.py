@@ -1,18 +1,17 @@
 """Removal of passages that repeat across the corpus, by content-defined chunks of lines.
 
-A text's lines are split after sentence ends into units. A unit closes a chunk if it has ``LONG`` words or more,
-or if its own hash says so (15 times in 16 if it has ``LEAST_KEY`` words or more, else once in 16). There is no rolling
-hash over several units, so most chunks are one sentence. Those boundaries depend on nothing outside the unit: an
-inserted or lost line moves no boundary but its own. The split after ``MOST_UNITS`` units does move with lines before
-it, and a passage of short units with no boundary inside, between other short units, matches no key. Where a shared passage begins
-or ends inside a chunk, the other texts share only the tail or head of that chunk, so a chunk's heads and tails
-count as chunks too.
-
-A chunk that occurs more than once stays at its first place, in order of ``doc_id`` and position, and is marked
-elsewhere, once all its occurrences have proved equal byte by byte. Runs of marked units are removed if they have
-``LEAST_WORDS`` words or more; shorter ones (titles, licence lines) stay. The units of a run may occur in different
-places: no one earlier text need hold the run as a whole. Sizes are in words between white space and sentence ends are
-``.!?`` only, so repeats in scripts without spaces, or inside a long line without such ends, are not found.
+A text's lines are split after sentence ends into units. A rolling hash runs over the units' hashes: at each unit it
+covers as many units as make ``LEAST_WORDS`` words. Of the positions that begin within ``WINDOW`` words of each
+other the one with the least hash begins a chunk. All that depends on nothing but the units covered, so lines put in
+or taken out elsewhere move no chunk, and an aligned passage of ``WINDOW + 2 * LEAST_WORDS`` words (60 or so) always
+holds a chunk of its own, wherever it stands; most of 50 words do. A unit of ``LEAST_WORDS`` words is a chunk by itself.
+
+A chunk that occurs more than once stays at its first place, in order of ``doc_id`` and position, and is removed
+elsewhere, once all its occurrences have proved equal byte by byte. So each chunk that goes is held whole by one
+earlier text. Chunks of one passage overlap or touch. What the passage has before its first chunk and after its last
+goes too, as far as the units agree one by one (64-bit hashes) with those at the same place of that earlier text.
+Repeats of fewer than ``LEAST_WORDS`` words (titles, licence lines) stay. Sizes are in words between white space and
+sentence ends are ``.!?`` only: repeats in scripts without spaces, or inside a long line without such ends, are not found.
 
 Null and empty texts have no units and stay as they are. A row whose ``doc_id`` is null comes after all others.
 Rows that share a ``doc_id`` are one place: none loses what it shares with another of them.
@@ -25,18 +24,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlprism.llm import textio
 from crawlprism.session import broadcast_if_small, materialize
 
-LONG = 25
+# Words of a chunk, and of the shortest repeat that is removed.
 LEAST_WORDS = 25
-# Heads and tails shorter than this are no evidence of a shared passage.
-LEAST_KEY = 8
-# Longest chunk.
-MOST_UNITS = 16
+# Positions of which one begins a chunk lie within so many words.
+WINDOW = 13
+# Words looked at on either side of a chunk for the rest of its passage; more than a passage can have there.
+AROUND = 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ENDS = np.zeros(256, bool)
@@ -62,43 +61,29 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return s, e, close - open_ + 1, textio.span_hashes(data, s, e), np.searchsorted(open_, first)
 
 
-def chunks(words: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each unit the index of its chunk's first unit."""
-    close = (words >= LEAST_KEY) & ((textio.mix(hashes + _STEP) & np.uint64(15)) != 0)
-    close |= (words >= LONG) | ((textio.mix(hashes + _STEP) & np.uint64(15)) == 0)
-    begins = np.zeros(len(hashes) + 1, bool)
-    begins[1:] = close
-    total = np.concatenate([[0], np.cumsum(words)])
-    # What is left at the end of a text joins the chunk before, if it is too short for a key.
-    at = np.flatnonzero(begins)
-    end = first[1:][np.diff(first) > 0]
-    last = at[np.maximum(np.searchsorted(at, end, "left") - 1, 0)] if len(at) else np.zeros(len(end), int)
-    begins[last[(last < end) & (total[end] - total[last] < LEAST_KEY)]] = False
-    begins[first] = True
-    at = np.flatnonzero(begins[:-1])
-    chunk = np.repeat(at, np.diff(np.concatenate([at, [len(hashes)]])))
-    # Where no unit of many closes a chunk, one ends all the same, so that heads and tails stay in proportion.
-    return chunk + (np.arange(len(chunk)) - chunk) // MOST_UNITS * MOST_UNITS
-
-
-def keys(words: np.ndarray, hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first unit and last unit of each chunk, of its heads and of its tails, ``LEAST_KEY`` words long at least."""
+def chunks(words: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rolling hash, first unit and the unit after the last of each chunk, in order."""
     n = len(hashes)
-    if not n:
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none
-    begin = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
-    size = np.diff(np.concatenate([begin, [n]]))
-    end = np.repeat(begin + size, size)
     total = np.concatenate([[0], np.cumsum(words)])
     power, inverse = textio._powers(n + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n], dtype=np.uint64)])
-    unit = np.arange(n)
-    a = np.concatenate([chunk, unit[unit > chunk]])  # heads, the whole among them, then tails
-    b = np.concatenate([unit + 1, end[unit > chunk]])
-    enough = total[b] - total[a] >= LEAST_KEY
-    a, b = a[enough], b[enough]
-    return textio.mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64) * _STEP), a, b
+    stop = np.repeat(first[1:], np.diff(first))
+    a = np.arange(n)
+    b = np.searchsorted(total, total[:n] + LEAST_WORDS)
+    fits = b <= stop
+    b = np.minimum(b, n)
+    key = textio.mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64) * _STEP)
+    # The least hash of each window; equal hashes are equal units, of which the first is taken.
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    rank = np.where(fits, key, none)
+    reach = np.minimum(np.searchsorted(total, total[:n] + WINDOW), stop) - a
+    best, least = a.copy(), rank.copy()
+    for k in range(1, int(reach.max(initial=0))):
+        at = np.flatnonzero(reach > k)
+        at = at[rank[at + k] < least[at]]
+        best[at], least[at] = at + k, rank[at + k]
+    begins = np.unique(best[least < none])
+    return key[begins], begins, b[begins]
 
 
 def _row_names(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -114,9 +99,7 @@ def _occurrences(documents: DataFrame) -> DataFrame:
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):
             _, _, words, hashes, first = units(data, offsets)
-            key, a, b = keys(words, hashes, chunks(words, hashes, first))
-            order = np.argsort(a, kind="stable")
-            key, a, b = key[order], a[order], b[order]
+            key, a, b = chunks(words, hashes, first)
             text = np.searchsorted(first, a, "right") - 1
             own = textio.mix(key + textio.mix(text.astype(np.uint64) + _STEP))
             order = np.argsort(own, kind="stable")
@@ -157,34 +140,72 @@ def _spans(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(batch.num_rows), sizes), part("key"), part("a").astype(np.int64), part("b").astype(np.int64), part("cut").astype(bool)
 
 
-def _widest(spans: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Which spans to compare: those that stay, and those to remove that lie in no other to remove."""
-    text, _, a, b, cut = spans
-    on = ~cut
-    at = np.flatnonzero(cut)
-    at = at[np.lexsort((-b[at], a[at], text[at]))]
-    reach, last = -1, -1
-    for k in at:
-        if text[k] != last:
-            last, reach = text[k], -1
-        if b[k] > reach:
-            on[k], reach = True, b[k]
-    return on
+def _edges(text: np.ndarray, a: np.ndarray, b: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which chunks to remove have none to remove right before them, and which none right after."""
+    order = np.lexsort((a, ~cut, text))
+    text, a, b, cut = text[order], a[order], b[order], cut[order]
+    apart = np.ones(len(a) + 1, bool)
+    apart[1:-1] = (text[1:] != text[:-1]) | (a[1:] > b[:-1]) | ~cut[1:]
+    left, right = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    left[order], right[order] = apart[:-1] & cut, apart[1:] & cut
+    return left, right
 
 
-def _bytes_of_keys(rows: DataFrame) -> DataFrame:
-    """``(key, body)``: the bytes of the spans, their units joined by line breaks."""
+def _evidence(rows: DataFrame) -> DataFrame:
+    """``(key, body, doc_id, row, a, b, cut, before, after)`` for each shared chunk: its bytes, its units joined by line
+    breaks, and the hashes of the units before it (nearest first) and after it, ``AROUND`` words of each.
+
+    Those are null where a neighbouring chunk is removed as well.
+    """
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):
-            s, e, _, _, first = units(data, offsets)
-            spans = _spans(batch)
-            text, key, a, b, _ = (x[_widest(spans)] for x in spans)
-            raw = data.tobytes()
-            body = [b"\n".join(raw[i:j] for i, j in zip(s[u:v], e[u:v], strict=True)) for u, v in zip(first[text] + a, first[text] + b, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(body, pa.binary())], ["key", "body"])
+            s, e, words, hashes, first = units(data, offsets)
+            text, key, a, b, cut = _spans(batch)
+            left, right = _edges(text, a, b, cut)
+            u, v = first[text] + a, first[text] + b
+            total = np.concatenate([[0], np.cumsum(words)])
+            lo = np.maximum(first[text], np.searchsorted(total, total[u] - AROUND, "right") - 1)
+            hi = np.minimum(first[text + 1], np.searchsorted(total, total[v] + AROUND))
+            raw, signed = data.tobytes(), hashes.view(np.int64)
+            body = [b"\n".join(raw[i:j] for i, j in zip(s[x:y], e[x:y], strict=True)) for x, y in zip(u, v, strict=True)]
+            before = [signed[x:y][::-1] if on else None for x, y, on in zip(lo, u, left | ~cut, strict=True)]
+            after = [signed[x:y] if on else None for x, y, on in zip(v, hi, right | ~cut, strict=True)]
+            columns = [
+                pa.array(key),
+                pa.array(body, pa.binary()),
+                batch.column("doc_id").take(pa.array(text)),
+                batch.column("_row").take(pa.array(text)),
+                pa.array(a.astype(np.int32)),
+                pa.array(b.astype(np.int32)),
+                pa.array(cut),
+                pa.array(before, pa.list_(pa.int64())),
+                pa.array(after, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "body", "doc_id", "row", "a", "b", "cut", "before", "after"])
+
+    own = rows.select("doc_id", "_row", "text", "spans")
+    types = f"key bigint, body binary, doc_id {own.schema['doc_id'].dataType.simpleString()}, row bigint, a int, b int, cut boolean, before array<bigint>, after array<bigint>"
+    return own.mapInArrow(rows_of, types)
+
+
+def _agreeing(own: str, other: str) -> Column:
+    """How many items two lists share from their starts on; none if one is null."""
+    same = F.zip_with(own, other, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    stop = F.array_position(same, False)
+    return F.coalesce(F.when(stop > 0, stop - 1).otherwise(F.size(same)), F.lit(0)).cast("int")
+
 
-    return rows.select("text", "spans").mapInArrow(rows_of, "key bigint, body binary")
+def _passages(evidence: DataFrame) -> DataFrame:
+    """``(_id, _name, more)``: for each text its chunks at the edge of a passage, as far as the earlier text agrees."""
+    place = F.struct("doc_id", "row", "a")
+    first = evidence.filter("NOT cut").groupBy("key").agg(F.min_by(F.struct("before", "after"), place).alias("at"))
+    first = first.select(F.col("key").alias("_key"), F.col("at.before").alias("_before"), F.col("at.after").alias("_after"))
+    edges = evidence.filter("cut AND (before IS NOT NULL OR after IS NOT NULL)").drop("body").join(first, F.col("key") == F.col("_key"))
+    wider = edges.select("doc_id", "row", "key", "a", "b", _agreeing("before", "_before").alias("l"), _agreeing("after", "_after").alias("r"))
+    span = F.struct("key", (F.col("a") - F.col("l")).alias("a"), (F.col("b") + F.col("r")).alias("b"), F.lit(True).alias("cut"))
+    wider = wider.filter("l > 0 OR r > 0")
+    return wider.groupBy(F.col("doc_id").alias("_to"), F.col("row").alias("_as")).agg(F.collect_list(span).alias("more"))
 
 
 def remove(data: np.ndarray, offsets: np.ndarray, spans: tuple[np.ndarray, ...]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -245,12 +266,17 @@ def _dedup(documents: DataFrame) -> DataFrame:
     own = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = _named(documents.join(ids, own, "left_semi"))
     same = own & (F.col("_row") == F.col("_name"))
-    bodies = _bytes_of_keys(rows.join(spans, same))
-    differ = bodies.distinct().groupBy("key").agg(F.count("*").alias("bodies")).filter("bodies > 1").select("key")
+    evidence = materialize(_evidence(rows.join(spans, same)), "evidence")
+    differ = evidence.select("key", "body").distinct().groupBy("key").agg(F.count("*").alias("bodies")).filter("bodies > 1").select("key")
     false = materialize(differ, "collisions")
     if not false.isEmpty():
         flat = spans.select("_id", "_name", F.inline("spans")).join(false, "key", "left_anti")
         spans = flat.groupBy("_id", "_name").agg(F.collect_list(F.struct("key", "a", "b", "cut")).alias("spans"))
+        evidence = evidence.join(false, "key", "left_anti")
+    more = _passages(evidence)
+    spans = spans.join(more, F.col("_id").eqNullSafe(F.col("_to")) & (F.col("_name") == F.col("_as")), "left")
+    every = F.concat("spans", F.coalesce("more", F.array().cast(spans.schema["spans"].dataType)))
+    spans = spans.select("_id", "_name", every.alias("spans"))
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in textio.pieces(batches):

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,57 @@ def test_line_dedup_removes_shared_passages(spark):
     assert kept == set(texts) - {9}
 
 
+def lines(draw, least):
+    """Lines of 1 to 24 random words, of ``least`` words in all or more."""
+    out, n = [], 0
+    while n < least:
+        k = draw.randint(1, 25)
+        out.append(" ".join("w" + str(draw.randint(10**6)) for _ in range(k)))
+        n += k
+    return out
+
+
+def test_line_chunks_do_not_shift():
+    draw = np.random.RandomState(3)
+    for _ in range(300):
+        passage, found = lines(draw, linedup.WINDOW + 2 * linedup.LEAST_WORDS), []
+        for _ in range(2):
+            before = lines(draw, draw.randint(0, 90))
+            data, offsets = textio.texts(pa.array(["\n".join([*before, *passage, *lines(draw, draw.randint(0, 90))])]))
+            _, _, words, hashes, first = linedup.units(data, offsets)
+            key, a, b = linedup.chunks(words, hashes, first)
+            assert all(words[x:y].sum() >= linedup.LEAST_WORDS > words[x : y - 1].sum() for x, y in zip(a, b, strict=True))
+            inside = (a >= len(before)) & (b <= len(before) + len(passage))
+            found.append(set(key[inside].tolist()))
+        assert found[0] & found[1]
+
+
+def test_line_dedup_cuts_passages_out_exactly(spark):
+    draw = np.random.RandomState(8)
+    shared = [lines(draw, 63) for _ in range(6)]
+    shared.append(["five short words a line" + str(k) for k in range(14)])
+    texts, want, seen = {}, {}, set()
+    for i in range(40):
+        all_, left = [], []
+        for k in draw.permutation(len(shared))[:3]:
+            own = lines(draw, 40)
+            all_ += own + shared[k]
+            left += own + (shared[k] if k not in seen else [])
+            seen.add(k)
+        texts[i], want[i] = "\n".join(all_), "\n".join(left)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.text for r in linedup.dedup_lines(rows).collect()}
+    assert got == want
+
+
+def test_line_dedup_wants_one_earlier_text(spark):
+    lone = passages(8, 40)
+    texts = [(k, "\n".join([*passages(3, 50 + k), lone[k], *passages(3, 70 + k)])) for k in range(8)]
+    texts.append((9, "\n".join([*passages(3, 90), *lone, *passages(3, 91)])))
+    got = linedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {(r.doc_id, r.text) for r in got.collect()} == set(texts)
+
+
 def test_line_dedup_awkward(docs):
     got = linedup.keep_texts(docs)
     assert got.columns == docs.columns
