@@ -36,6 +36,9 @@ LEAST_WORDS = 25
 WINDOW = 13
 # Words looked at on either side of a chunk for the rest of its passage; more than a passage can have there.
 AROUND = 64
+# A chunk with more than this share of all shared places is dealt to ``PARTS`` parts; there are at most ``1 / HOT`` such.
+HOT = 1 / 4096
+PARTS = 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ENDS = np.zeros(256, bool)
@@ -196,12 +199,12 @@ def _agreeing(own: str, other: str) -> Column:
     return F.coalesce(F.when(stop > 0, stop - 1).otherwise(F.size(same)), F.lit(0)).cast("int")
 
 
-def _passages(evidence: DataFrame) -> DataFrame:
+def _passages(evidence: DataFrame, hot: DataFrame) -> DataFrame:
     """``(_id, _name, more)``: for each text its chunks at the edge of a passage, as far as the earlier text agrees."""
     place = F.struct("doc_id", "row", "a")
     first = evidence.filter("NOT cut").groupBy("key").agg(F.min_by(F.struct("before", "after"), place).alias("at"))
-    first = first.select(F.col("key").alias("_key"), F.col("at.before").alias("_before"), F.col("at.after").alias("_after"))
-    edges = evidence.filter("cut AND (before IS NOT NULL OR after IS NOT NULL)").drop("body").join(first, F.col("key") == F.col("_key"))
+    first = first.select("key", F.col("at.before").alias("_before"), F.col("at.after").alias("_after"))
+    edges = _join_by_key(evidence.filter("cut AND (before IS NOT NULL OR after IS NOT NULL)").drop("body"), first, hot)
     wider = edges.select("doc_id", "row", "key", "a", "b", _agreeing("before", "_before").alias("l"), _agreeing("after", "_after").alias("r"))
     span = F.struct("key", (F.col("a") - F.col("l")).alias("a"), (F.col("b") + F.col("r")).alias("b"), F.lit(True).alias("cut"))
     wider = wider.filter("l > 0 OR r > 0")
@@ -237,14 +240,29 @@ def remove(data: np.ndarray, offsets: np.ndarray, spans: tuple[np.ndarray, ...])
     return out, gone, lost
 
 
-def repeated(documents: DataFrame) -> DataFrame:
-    """``(doc_id, row, spans)``: for each text the spans that occur elsewhere; ``cut`` where that is earlier."""
+def _join_by_key(rows: DataFrame, side: DataFrame, hot: DataFrame) -> DataFrame:
+    """Inner join by ``key``, which ``side`` holds once; the rows of a hot key meet copies of its side in many tasks."""
+    # At most 1 / HOT keys, by the share that makes them hot.
+    mark = F.broadcast(hot.select(F.col("key").alias("_hot")))
+    is_hot = F.col("_hot").isNotNull()
+    part = F.when(is_hot, F.pmod(F.xxhash64("doc_id", "row"), F.lit(PARTS))).otherwise(0).cast("int")
+    dealt = rows.join(mark, F.col("key") == F.col("_hot"), "left").withColumn("_part", part).drop("_hot")
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = side.join(mark, F.col("key") == F.col("_hot"), "left").withColumn("_part", F.explode(parts)).drop("_hot")
+    return dealt.join(copies, ["key", "_part"]).drop("_part")
+
+
+def repeated(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, row, spans)``: for each text the chunks that occur elsewhere, ``cut`` where that is earlier; and the hot keys."""
     found = _occurrences(documents)
-    first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("uses")).filter("uses > 1").select("key", "first")
+    counts = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("uses")).filter("uses > 1")
+    first = materialize(counts, "chunks")
+    places = first.agg(F.sum("uses")).first()[0] or 0
+    hot = materialize(first.filter(F.col("uses") > places * HOT).select("key"), "hot-chunks")
     later = F.col("again") | F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
-    spans = found.join(first, "key").withColumn("cut", later)
+    spans = _join_by_key(found, first.select("key", "first"), hot).withColumn("cut", later)
     by_text = spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("key", "a", "b", "cut")).alias("spans"))
-    return materialize(by_text, "spans")
+    return materialize(by_text, "spans"), hot
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -261,7 +279,8 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
 def _dedup(documents: DataFrame) -> DataFrame:
     keep = documents.columns
     textio.small_batches(documents.sparkSession)
-    spans = repeated(documents).withColumnsRenamed({"doc_id": "_id", "row": "_name"})
+    spans, hot = repeated(documents)
+    spans = spans.withColumnsRenamed({"doc_id": "_id", "row": "_name"})
     ids = broadcast_if_small(spans.select("_id").distinct())
     own = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = _named(documents.join(ids, own, "left_semi"))
@@ -273,7 +292,7 @@ def _dedup(documents: DataFrame) -> DataFrame:
         flat = spans.select("_id", "_name", F.inline("spans")).join(false, "key", "left_anti")
         spans = flat.groupBy("_id", "_name").agg(F.collect_list(F.struct("key", "a", "b", "cut")).alias("spans"))
         evidence = evidence.join(false, "key", "left_anti")
-    more = _passages(evidence)
+    more = _passages(evidence, hot)
     spans = spans.join(more, F.col("_id").eqNullSafe(F.col("_to")) & (F.col("_name") == F.col("_as")), "left")
     every = F.concat("spans", F.coalesce("more", F.array().cast(spans.schema["spans"].dataType)))
     spans = spans.select("_id", "_name", every.alias("spans"))
