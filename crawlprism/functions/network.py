@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,8 +34,10 @@ SKIPPED_TARGETS = (
     "browser_ui",
 )
 
-# Levels of an async call stack that one parse reads.
+# Levels of an async call stack that one parse reads: the first parse, and each that goes on from there. A parse
+# copies what lies above its levels, so few wide ones keep the work of a deep stack near linear.
 STACK_STEP = 8
+DEEP_STEP = 32
 
 
 def normalize_headers(headers: Column) -> Column:
@@ -82,46 +84,56 @@ def body_hash(body: Column, is_base64: Column) -> Column:
     return F.sha2(F.when(is_base64, text).otherwise(body), 256)
 
 
-def _stack_type() -> T.StructType:
-    """``STACK_STEP`` levels of a call stack; what lies above them stays JSON text."""
+def _stack_type(levels: int) -> T.StructType:
+    """That many levels of a call stack; what lies above them stays JSON text."""
     frames = T.StructField("callFrames", T.ArrayType(T.StructType([T.StructField("url", T.StringType())])))
     stack: T.DataType = T.StringType()
-    for _ in range(STACK_STEP):
+    for _ in range(levels):
         stack = T.StructType([frames, T.StructField("parent", stack)])
     return stack
 
 
-def _levels(stack: Column) -> tuple[Column, Column]:
+def _levels(stack: Column, levels: int) -> tuple[Column, Column]:
     """Call-frame URLs of the levels of a parsed stack, outwards, and the JSON of the level after."""
     urls, node = [], stack
-    for _ in range(STACK_STEP):
+    for _ in range(levels):
         urls.append(F.coalesce(node["callFrames"]["url"], F.array().cast("array<string>")))
         node = node["parent"]
     return F.concat(*urls), node
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a lambda variable, as the lambdas around keep Spark from seeing
+    that the parses are the same."""
+    return F.transform(F.array(value), use)[0]
+
+
 def flatten_initiators(initiator_json: Column) -> Column:
     """Initiator URL, then call-frame URLs outwards through the parents; distinct, in order.
 
     The JSON is parsed once into ``STACK_STEP`` levels, each a plain field path. The rare deeper stack is parsed on
-    from there, as often as it has parents for, so no depth is left out.
+    from there by ``DEEP_STEP`` levels, as often as it has parents for, so no depth is left out.
     """
-    parsed = F.from_json(initiator_json, T.StructType([T.StructField("url", T.StringType()), T.StructField("stack", _stack_type())]))
-    near, rest = _levels(parsed["stack"])
-    rounds = F.sequence(F.lit(1), F.ceil(F.regexp_count(rest, F.lit('"parent"')) / STACK_STEP).cast("int") + 1)
+    none = F.array().cast("array<string>")
 
     def further(done: Column, _: Column) -> Column:
         def read(stack: Column) -> Column:
-            urls, after = _levels(stack)
+            urls, after = _levels(stack, DEEP_STEP)
             return F.struct(F.concat(done["urls"], urls).alias("urls"), after.alias("rest"))
 
-        # Bound as a lambda variable, the stack is parsed once rather than once per level.
-        return F.transform(F.array(F.from_json(done["rest"], _stack_type())), read)[0]
+        return _once(F.from_json(done["rest"], _stack_type(DEEP_STEP)), read)
 
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("urls"), rest.alias("rest"))
-    far = F.when(rest.isNull(), none).otherwise(F.aggregate(rounds, start, further, lambda done: done["urls"]))
-    urls = F.concat(F.array(parsed["url"]), near, F.coalesce(far, none))
+    def far(rest: Column) -> Column:
+        rounds = F.sequence(F.lit(1), F.ceil(F.regexp_count(rest, F.lit('"parent"')) / DEEP_STEP).cast("int") + 1)
+        start = F.struct(none.alias("urls"), rest.alias("rest"))
+        return F.when(rest.isNull(), none).otherwise(F.aggregate(rounds, start, further, lambda done: done["urls"]))
+
+    def read_all(parsed: Column) -> Column:
+        near, rest = _levels(parsed["stack"], STACK_STEP)
+        return F.concat(F.array(parsed["url"]), near, F.coalesce(_once(rest, far), none))
+
+    whole = T.StructType([T.StructField("url", T.StringType()), T.StructField("stack", _stack_type(STACK_STEP))])
+    urls = _once(F.from_json(initiator_json, whole), read_all)
     return F.array_distinct(F.filter(urls, lambda u: u.isNotNull() & (u != "")))
 
 

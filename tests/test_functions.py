@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from crawlprism.catalog import bridge
 from crawlprism.functions import network as net
 from crawlprism.functions import scripts, text, urls
 
@@ -147,3 +148,36 @@ def test_clean_button_text(spark, raw, want):
 @pytest.mark.parametrize(("raw", "want"), [("12", 12), (" 7x", 7), ("-3", -3), ("x1", None), ("", None), ("1.9", 1)])
 def test_leading_int(spark, raw, want):
     assert one(spark, text.leading_int(F.col("t")), t=raw) == want
+
+
+def test_initiators_are_parsed_once_a_step(spark):
+    """Each parse of a stack stands once in the plan, not once for every level read from it."""
+    df = spark.createDataFrame([(None,)], "j string").select(net.flatten_initiators(F.col("j")).alias("u"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 2
+
+
+def test_deep_initiators_are_whole(spark):
+    """Depths around the steps of the parse, and far beyond them."""
+    levels = (0, 1, net.STACK_STEP, net.STACK_STEP + 1, net.STACK_STEP + net.DEEP_STEP, net.STACK_STEP + net.DEEP_STEP + 1, 300)
+
+    def stack(n):
+        return "".join('{"callFrames":[{"url":"u%d"}],"parent":' % i for i in range(n)) + '{"callFrames":[]}' + "}" * n
+
+    df = spark.createDataFrame([(n, '{"url":"top","stack":%s}' % stack(n)) for n in levels], "n int, j string")
+    for row in df.select("n", net.flatten_initiators(F.col("j")).alias("u")).collect():
+        assert row.u == ["top", *(f"u{i}" for i in range(row.n))]
+
+
+def test_rows_of_one_row_group_are_spread(spark, tmp_path):
+    """A file whose splits outnumber the cores but whose rows all lie in one row group."""
+    path = str(tmp_path / "customer.parquet")
+    spark.range(0, 30_000, 1, 1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        table = spark.read.parquet(path)
+        assert table.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert "REPARTITION" in bridge._spread_hint(table)
+        assert "REPARTITION(30)" in bridge._spread_hint(table, 1000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
