@@ -79,6 +79,16 @@ def pick(expr: str, values: list[str] | tuple[str, ...]) -> str:
     return f"CASE ({expr}) % {len(values)} {arms} END"
 
 
+_PICKED = re.compile(r"CASE (\((?:[^()]|\([^()]*\))*\)) % (\d+)((?: WHEN \d+ THEN '[^']*')+) END")
+
+
+def indexed(sql: str) -> str:
+    """Spark: ``pick`` as one look-up in a constant list. Inside the lambdas of nested records nothing is compiled, and
+    a CASE computes its position anew for each arm."""
+    values = lambda m: ", ".join(re.findall(r"'[^']*'", m[3]))
+    return _PICKED.sub(lambda m: f"get(array({values(m)}), CAST({m[1]} % {m[2]} AS INT))", sql)
+
+
 def s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
 
@@ -265,11 +275,13 @@ def documents_of_orders() -> str:
             "cookiepopups": f"CASE WHEN ({N_CMPS}) IS NOT NULL THEN named_struct('cmps', {_listed(N_CMPS, cmp_)}, 'performance', {_listed(N_PERF, perf)}, 'scrapedFrames', array({frame})) END",
         }.items()}
     )
-    return f"""
-SELECT {K} AS file, {VALID} AS valid, CASE WHEN {VALID} THEN {INITIAL} END AS initialUrl, CASE WHEN {VALID} THEN {FINAL} END AS finalUrl,
+    # The final URL stands in every request; it is put together once for a page.
+    data = data.replace(FINAL, "_final")
+    return indexed(f"""
+SELECT {K} AS file, {VALID} AS valid, CASE WHEN {VALID} THEN {INITIAL} END AS initialUrl, CASE WHEN {VALID} THEN _final END AS finalUrl,
   {VALID} AND {TIMEOUT} AS timeout, CASE WHEN {VALID} THEN {STARTED} END AS testStarted, CASE WHEN {VALID} THEN {FINISHED} END AS testFinished,
   {data} AS data
-FROM $orders"""
+FROM (SELECT *, {FINAL} AS _final FROM $orders)""")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,3 +181,12 @@ def test_rows_of_one_row_group_are_spread(spark, tmp_path):
         assert "REPARTITION(30)" in bridge._spread_hint(table, 1000)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_picks_are_look_ups_in_documents(spark):
+    """The list look-up gives what the CASE gives, and each page puts its final URL together once."""
+    case = bridge.pick("(id * 2) + 1", ("a", "b c", "d", ".co.uk"))
+    rows = spark.range(0, 20).selectExpr(f"{case} AS x", f"{bridge.indexed(case)} AS y").collect()
+    assert "CASE" not in bridge.indexed(case) and all(r.x == r.y for r in rows)
+    assert bridge.documents_of_orders().count(bridge.indexed(bridge.FINAL)) == 1
+    assert bridge.TASK_ROWS["orders"] <= 100_000
