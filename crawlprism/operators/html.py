@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlprism.functions.text import SPACE, trim_space
+from crawlprism.session import repartition_bounded
 
 # Elements whose content is not text.
 SKIPPED_TAGS = (
@@ -43,6 +44,9 @@ HIDDEN_STYLE = r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden|opa
 POPUP_STYLE = r"(?i)(?:^|;)\s*position\s*:\s*(?:fixed|sticky)"
 _LAST = 2**31 - 1
 
+# Characters of HTML whose tags and texts one task sorts.
+TASK_CHARS = 8_000_000
+
 
 def _character(reference: Column, names: Column) -> Column:
     """The character of a reference's name; null if there is none."""
@@ -146,7 +150,9 @@ def elements(pages: DataFrame) -> DataFrame:
         yes(get("hidden").isNotNull() | get("style").rlike(HIDDEN_STYLE)).alias("hidden"),
         F.when(presses, get("value")).alias("value"),
         F.when((F.col("name") == "") & ~raw.rlike("(?s)^<[/!?]"), raw).alias("text"),
-    ).repartition("page_id")
+    )
+    chars = pages.agg(F.coalesce(F.sum(F.length("html")), F.lit(0))).first()[0]
+    rows = repartition_bounded(rows, "page_id", chars, TASK_CHARS)
     # Depth counts inside one name; a name that can't hold itself has one depth, so the next start closes it too.
     step = F.when(F.col("name").isin("", *UNNESTED_TAGS), 0).when(F.col("starts"), 1).otherwise(-1)
     depth = F.sum(step).over(Window.partitionBy("page_id", "name").orderBy("pos")) + F.when(step == -1, 1).otherwise(0)

@@ -448,3 +448,13 @@ def test_stream_load_replays_without_duplicates(spark, crawl, tmp_path):
         jobs.stream_load(stream, root, "k", str(tmp_path / attempt)).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(f"{root}/requests").count() == 5
     assert spark.read.parquet(f"{root}/pages").count() == 3
+
+
+def test_tasks_hold_bounded_html(spark, monkeypatch):
+    """Beyond a task's share of HTML the tasks grow in number, with the same buttons."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(40).localCheckpoint()
+    usual = sorted(map(str, html.button_elements(pages).collect()))
+    monkeypatch.setattr(html, "TASK_CHARS", 1000)
+    dealt = html.button_elements(pages)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, dealt.collect())) == usual
