@@ -293,3 +293,16 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_bodies_stay_below_the_first_exchange(spark):
     plan = req.assemble_requests(frame(spark, random_events(1)))._jdf.queryExecution().executedPlan().toString()
     assert "sha2" in plan.split("Exchange hashpartitioning")[1] and "sha2" not in plan.split("Exchange hashpartitioning")[0]
+
+
+def test_tasks_hold_bounded_events(spark, monkeypatch):
+    """Beyond a task's share of events the tasks grow in number, with the same rows."""
+    from crawlprism.catalog import bridge
+
+    events = bridge.net_events(spark, "/root/testdata/sf0.001")
+    usual = sorted(map(str, req.stitch_redirects(events).collect()))
+    monkeypatch.setattr(req, "TASK_EVENTS", 20)
+    dealt = req.stitch_redirects(events)
+    assert "REPARTITION_BY_NUM, " in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(page") == 1
+    assert sorted(map(str, dealt.collect())) == usual
