@@ -378,6 +378,10 @@ WHERE NOT (kind = 'pageClosed' AND {V_NEVER})
 """
 
 
+# Rows of one file of the log, so of one task that writes or reads it.
+FILE_ROWS = 200_000
+
+
 def _visit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Network events and page steps of all visits, with the part of the log that each arrives in."""
     extra = spark_sql(spark, sf_dir, _bt(VISIT_EVENTS)).select("seq", F.col("page").alias("visit_page"), "at_s", "late", "twice")
@@ -396,16 +400,23 @@ def _visit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The visit log as a stream that takes one part after the other: each part is a file, newer than the one before."""
+    """The visit log as a stream that takes one part after the other: each part has the same number of files, newer than
+    those of the one before."""
     log = staged(spark, sf_dir, "visit-log", _visit_log)
     key = (spark.sparkContext.applicationId, sf_dir, "visit-parts")
     if key not in _STAGED:
         folder = shared_dir(spark, "visit-parts")
+        largest = log.groupBy("part").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        files = -(-largest // FILE_ROWS)
+        none = spark.createDataFrame([], log.schema)
         for part in range(V_PARTS + 2):
-            log.filter(F.col("part") == part).repartition(1).write.mode("append").parquet(folder)
-        _STAGED[key] = (folder, log.schema)
-    folder, schema = _STAGED[key]
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            log.filter(F.col("part") == part).repartition(files).write.mode("append").parquet(folder)
+            # A part of fewer rows than files: the next part must not begin in its batch.
+            while len(spark.read.schema(log.schema).parquet(folder).inputFiles()) < files * (part + 1):
+                none.write.mode("append").parquet(folder)
+        _STAGED[key] = (folder, log.schema, files)
+    folder, schema, files = _STAGED[key]
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 # --- script-API calls: events --------------------------------------------------------------

@@ -306,3 +306,21 @@ def test_tasks_hold_bounded_events(spark, monkeypatch):
     assert "REPARTITION_BY_NUM, " in dealt._jdf.queryExecution().executedPlan().toString()
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(page") == 1
     assert sorted(map(str, dealt.collect())) == usual
+
+
+def test_parts_of_the_visit_log_have_equal_file_counts(spark, monkeypatch):
+    """However many files a part takes, a batch holds one part, the late one of few rows too."""
+    from pyspark.sql import functions as F
+
+    from crawlprism.catalog import bridge
+
+    monkeypatch.setattr(bridge, "FILE_ROWS", 200)
+    monkeypatch.setattr(bridge, "_STAGED", {})
+    bridge.visit_stream(spark, "/root/testdata/sf0.001")
+    folder, schema, files = bridge._STAGED[(spark.sparkContext.applicationId, "/root/testdata/sf0.001", "visit-parts")]
+    rows = spark.read.schema(schema).parquet(folder)
+    assert files > 1 and len(rows.inputFiles()) == files * (bridge.V_PARTS + 2)
+    held = rows.groupBy("part").agg(F.countDistinct("_metadata.file_path").alias("n"), F.max("_metadata.file_modification_time").alias("last"), F.min("_metadata.file_modification_time").alias("first"))
+    held = sorted(held.collect())
+    assert all(r.n <= files for r in held) and all(a.last <= b.first for a, b in zip(held, held[1:]))
+    assert rows.count() == bridge.staged(spark, "/root/testdata/sf0.001", "visit-log", None).count()
