@@ -284,9 +284,13 @@ SELECT {K} AS file, {VALID} AS valid, CASE WHEN {VALID} THEN {INITIAL} END AS in
 FROM (SELECT *, {FINAL} AS _final FROM $orders)""")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged page documents: every query reads its own columns of them."""
-    return staged(spark, sf_dir, "documents", document_source)
+def documents(spark: SparkSession, sf_dir: str, *sections: str) -> DataFrame:
+    """Staged page documents: every query reads its own columns of them. With ``sections``, documents that hold only
+    these are staged, unless whole ones are: building and storing all sections costs many times one of them."""
+    if not sections or (spark.sparkContext.applicationId, sf_dir, "documents") in _STAGED:
+        return staged(spark, sf_dir, "documents", document_source)
+    some = F.struct(*[F.col(f"data.{s}") for s in sections])
+    return staged(spark, sf_dir, "-".join(("documents", *sections)), lambda *at: document_source(*at).withColumn("data", some))
 
 
 def document_source(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:

@@ -19,8 +19,8 @@ from crawlprism.plans import summary as sm
 K = b.K
 
 
-def pages(spark, sf):
-    return shred.loadable(b.documents(spark, sf), "c1")
+def pages(spark, sf, *sections):
+    return shred.loadable(b.documents(spark, sf, *sections), "c1")
 
 
 def long(*names):
@@ -57,7 +57,7 @@ _R = b.REQ
     ),
 )
 def to_requests(spark, sf):
-    return request_columns(shred.to_requests(pages(spark, sf)))
+    return request_columns(shred.to_requests(pages(spark, sf, "requests")))
 
 
 def request_columns(r):
@@ -89,7 +89,7 @@ _C = b.CMP
     ),
 )
 def to_cmps(spark, sf):
-    c = shred.to_cmps(pages(spark, sf)).drop("crawlId")
+    c = shred.to_cmps(pages(spark, sf, "cookiepopups")).drop("crawlId")
     for name in ("errors", "patterns", "snippets"):
         c = c.withColumn(name, joined(name))
     return c
@@ -109,7 +109,7 @@ _PERF = f"""(VALUES ('filterCMPs'), ('detectHeuristics'), ('heuristicDetector'),
     ),
 )
 def to_performance(spark, sf):
-    return shred.to_performance(pages(spark, sf)).drop("crawlId")
+    return shred.to_performance(pages(spark, sf, "cookiepopups")).drop("crawlId")
 
 
 def _apis_json() -> str:
@@ -119,7 +119,7 @@ def _apis_json() -> str:
 
 @query("to_api_call_stats", b.flat(f'{b.PAGE_ID} AS "pageId", {b.SOURCE} AS source, {_apis_json()} AS stats', b.N_SOURCES))
 def to_api_call_stats(spark, sf):
-    return shred.to_api_call_stats(pages(spark, sf)).drop("crawlId")
+    return shred.to_api_call_stats(pages(spark, sf, "apis")).drop("crawlId")
 
 
 @query(
@@ -130,7 +130,7 @@ def to_api_call_stats(spark, sf):
     ),
 )
 def to_api_saved_calls(spark, sf):
-    c = shred.to_api_saved_calls(pages(spark, sf))
+    c = shred.to_api_saved_calls(pages(spark, sf, "apis"))
     return c.select("pageId", *long("callId"), "source", "description", joined("arguments").alias("arguments"))
 
 
@@ -147,7 +147,7 @@ _EXPIRES = f"""CASE WHEN ({_K['expires']}) <> -1 THEN ',"expires":' || CAST(CAST
     ),
 )
 def to_cookies(spark, sf):
-    return cookie_columns(shred.to_cookies(pages(spark, sf)))
+    return cookie_columns(shred.to_cookies(pages(spark, sf, "cookies")))
 
 
 def cookie_columns(c):
@@ -156,7 +156,7 @@ def cookie_columns(c):
 
 @query("to_targets", b.flat(f'{b.PAGE_ID} AS "pageId", i AS "targetId", {b.TARGET["url"]} AS url, {b.TARGET["type"]} AS type', b.N_TARGETS))
 def to_targets(spark, sf):
-    return target_columns(shred.to_targets(pages(spark, sf)))
+    return target_columns(shred.to_targets(pages(spark, sf, "targets")))
 
 
 def target_columns(t):

@@ -423,6 +423,20 @@ def test_outcomes(spark):
     assert progress.events_in_time(e, out).count() == 3
 
 
+@pytest.mark.parametrize("section, fields", [("cookiepopups", "performance"), ("elements", "present")])
+def test_documents_of_some_sections(spark, monkeypatch, section, fields):
+    """Only the sections that a query reads are built and stored, with the rows that whole documents have."""
+    from crawlprism.catalog import bridge
+
+    monkeypatch.setattr(bridge, "_STAGED", {})
+    sf = "/root/testdata/sf0.001"
+    some = bridge.documents(spark, sf, section)
+    assert some.schema["data"].dataType.names == [section]
+    rows = lambda df: sorted(map(str, df.select("file", "valid", "finalUrl", f"data.{section}.{fields}").collect()))
+    assert rows(some) == rows(bridge.documents(spark, sf))
+    assert len(bridge.documents(spark, sf, section).schema["data"].dataType.names) > 1
+
+
 def test_stream_outcomes(spark, tmp_path):
     from crawlprism.streaming import jobs
 
