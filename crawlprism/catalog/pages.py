@@ -72,7 +72,7 @@ def request_columns(r):
     f"""SELECT {b.PAGE_ID} AS "pageId", 'a|b' || CAST({K} % 3 AS STRING) AS present, 'a' AS visible FROM orders WHERE {b.VALID} AND {K} % 3 = 0""",
 )
 def to_elements(spark, sf):
-    e = shred.to_elements(pages(spark, sf))
+    e = shred.to_elements(pages(spark, sf, "elements"))
     return e.select("pageId", joined("present").alias("present"), joined("visible").alias("visible"))
 
 
