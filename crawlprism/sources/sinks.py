@@ -76,10 +76,14 @@ def split_screenshots(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFram
     return slim, images
 
 
+# Lines of one compressed file, which one task reads as a whole.
+FILE_LINES = 100_000
+
+
 def write_page_json(docs: DataFrame, folder: str) -> DataFrame:
-    """Page documents as JSON lines and images beside them; returns the image table."""
+    """Page documents as gzipped JSON lines and images beside them; returns the image table."""
     slim, images = split_screenshots(docs, f"{folder}/screenshots")
-    slim.write.mode("overwrite").json(f"{folder}/pages")
+    slim.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).json(f"{folder}/pages")
     images.write.mode("overwrite").parquet(f"{folder}/screenshots")
     return images
 

@@ -423,6 +423,17 @@ def test_outcomes(spark):
     assert progress.events_in_time(e, out).count() == 3
 
 
+def test_page_json_is_small(spark, crawl, tmp_path, monkeypatch):
+    """Page documents are stored compressed, in files of few lines, and read back whole."""
+    monkeypatch.setattr(sinks, "FILE_LINES", 2)
+    docs = crawl.filter("valid").coalesce(1)
+    sinks.write_page_json(docs, str(tmp_path))
+    files = list((tmp_path / "pages").glob("part-*"))
+    assert len(files) == 2 and all(f.name.endswith(".json.gz") for f in files)
+    back = scans.scan_page_lines(spark, str(tmp_path / "pages"))
+    assert {(r.file, r.valid) for r in back.collect()} == {(n, True) for n in DOCS}
+
+
 @pytest.mark.parametrize("section, fields", [("cookiepopups", "performance"), ("elements", "present")])
 def test_documents_of_some_sections(spark, monkeypatch, section, fields):
     """Only the sections that a query reads are built and stored, with the rows that whole documents have."""
