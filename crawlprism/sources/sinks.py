@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlprism.operators.shred import FACT_TABLES, shred
-from crawlprism.session import materialize
+from crawlprism.session import materialize, small_splits
 from crawlprism.sources.scans import scan_crawl
 
 
@@ -21,11 +21,12 @@ def _replace_crawl(df: DataFrame, path: str) -> None:
 def write_crawl_tables(tables: Mapping[str, DataFrame], root: str, sort: bool = True) -> None:
     """B1: stores the fact tables of a crawl below ``root/<table>/crawlId=…``.
 
-    Rows are ordered by page inside each file, so page look-ups skip row groups.
+    Rows are ordered by page inside each file, so page look-ups skip row groups. What a task sorts is bounded by its split.
     """
     for name, df in tables.items():
         out = df.sortWithinPartitions("pageId") if sort and "pageId" in df.columns else df
-        _replace_crawl(out, f"{root}/{name}")
+        with small_splits(df.sparkSession):
+            _replace_crawl(out, f"{root}/{name}")
 
 
 def create_crawl(spark: SparkSession, root: str, crawl_id: str, name: str = "", region: str = "") -> None:

@@ -423,6 +423,21 @@ def test_outcomes(spark):
     assert progress.events_in_time(e, out).count() == 3
 
 
+def test_table_writers_sort_small_splits(spark, crawl, tmp_path, monkeypatch):
+    """However much a read packs into one task, a writer's tasks take and sort a bounded share; the setting is put back."""
+    from crawlprism import session
+
+    key, staged = "spark.sql.files.maxPartitionBytes", str(tmp_path / "staged")
+    for _ in range(6):
+        crawl.filter("valid").coalesce(1).write.mode("append").parquet(staged)
+    usual = spark.conf.get(key)
+    monkeypatch.setattr(session, "SPLIT_BYTES", 1 << 20)
+    sinks.write_crawl_tables(shred.shred(spark.read.parquet(staged), "k"), str(tmp_path))
+    assert len(list((tmp_path / "pages").glob("crawlId=k/part-*"))) == 6
+    assert spark.read.parquet(f"{tmp_path}/requests").count() == 30
+    assert spark.conf.get(key) == usual
+
+
 def test_page_json_is_small(spark, crawl, tmp_path, monkeypatch):
     """Page documents are stored compressed, in files of few lines, and read back whole."""
     monkeypatch.setattr(sinks, "FILE_LINES", 2)
