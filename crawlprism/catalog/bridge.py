@@ -60,13 +60,14 @@ def spark_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def stream_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """The same over a streaming read of the (single) table."""
+    """The same over a streaming read of the (single) table; the rows of a batch are spread like those of the table."""
     name = T.search(text)[1]
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     table = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     view = f"stream_{name}"
     table.createOrReplaceTempView(view)
-    return spark.sql(T.sub(view, text))
+    hint = _hint(spark, f"{sf_dir}/{name}.parquet", name) if name in TASK_ROWS else ""
+    return spark.sql(T.sub(f"(SELECT {hint} * FROM {view})" if hint else view, text))
 
 
 def oracle(text: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from crawlprism.operators.consent import DETECTED
 from crawlprism.operators.requests import assemble_requests, hash_bodies
 from crawlprism.operators.shred import shred
 from crawlprism.plans.progress import COLLECTOR_EXTRA_MS, MAX_LOAD_MS, page_limit_ms
+from crawlprism.session import drop_dir, small_splits
 
 
 def stream_closed_pages(
@@ -80,18 +82,23 @@ def stream_progress(pages: DataFrame, delay: str = "10 minutes", at: str = "fini
 
 def stream_load(pages: DataFrame, root: str, crawl_id: str, checkpoint: str):
     """I4: shreds every micro-batch into the fact tables. A batch overwrites its own ``batch`` partition,
-    so a replay after a failure leaves no duplicates."""
+    so a replay after a failure leaves no duplicates.
+
+    The batch is kept as Parquet below ``root`` while its tables are written: each reads its own section, which a cache of
+    whole pages would not allow."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark, path = batch.sparkSession, f"{root}/_batch-{uuid.uuid4().hex}"
         try:
-            for name, df in shred(batch, crawl_id).items():
-                out = df.withColumn("batch", F.lit(batch_id)).sortWithinPartitions("pageId")
-                out.write.partitionBy("crawlId", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
-                    f"{root}/{name}"
-                )
+            batch.write.parquet(path)
+            with small_splits(spark):
+                for name, df in shred(spark.read.schema(batch.schema).parquet(path), crawl_id).items():
+                    out = df.withColumn("batch", F.lit(batch_id)).sortWithinPartitions("pageId")
+                    out.write.partitionBy("crawlId", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
+                        f"{root}/{name}"
+                    )
         finally:
-            batch.unpersist()
+            drop_dir(spark, path)
 
     return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
 

@@ -490,6 +490,19 @@ def test_stream_load_replays_without_duplicates(spark, crawl, tmp_path):
     assert spark.read.parquet(f"{root}/pages").count() == 3
 
 
+def test_stream_load_stores_its_batch(spark, crawl, tmp_path, monkeypatch):
+    """Tables are cut from a stored batch, of which nothing is left afterwards."""
+    from crawlprism.streaming import jobs
+
+    folder, root, seen = str(tmp_path / "in"), tmp_path / "out", []
+    crawl.filter("valid").write.parquet(folder)
+    monkeypatch.setattr(jobs, "shred", lambda pages, crawl_id: seen.extend(pages.inputFiles()) or shred.shred(pages, crawl_id))
+    stream = spark.readStream.schema(crawl.schema).parquet(folder)
+    jobs.stream_load(stream, str(root), "k", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert seen and all("/_batch-" in f for f in seen)
+    assert not list(root.glob("_batch-*")) and spark.read.parquet(f"{root}/requests").count() == 5
+
+
 def test_tasks_hold_bounded_html(spark, monkeypatch):
     """Beyond a task's share of HTML the tasks grow in number, with the same buttons."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(40).localCheckpoint()
