@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlprism.operators.shred import with_key
 from crawlprism.session import materialize, shared_dir
 
 T = re.compile(r"\$(\w+)")
@@ -206,14 +207,12 @@ PERF_URL = f"CASE {K} % 3 WHEN 0 THEN 'https://f' || {s(f'{K} % 9')} || '.com/x'
 PERF_VALUE = f"CAST({K} % 10 + 1 AS DOUBLE)"
 
 
-def _listed(n: str, element: str) -> str:
-    """Spark: array of ``n`` elements, null for a null count."""
-    return f"CASE WHEN ({n}) IS NULL THEN NULL WHEN ({n}) = 0 THEN filter(array({element_of(element)}), x -> FALSE) ELSE transform(sequence(0L, ({n}) - 1), i -> {element}) END"
-
-
-def element_of(element: str) -> str:
-    """The element with index 0, to give an empty array its type."""
-    return re.sub(r"\bi\b", "0L", element)
+def _listed(n: str, most: int, element: str, var: str = "i") -> str:
+    """Spark: array of ``n`` elements, at most ``most``, null for a null count. The elements are written out, as Spark
+    compiles nothing inside the lambda of a ``transform``. The ``filter`` of an empty list, which is not compiled either,
+    keeps the rest out of a single method that would be too long for the JVM to compile."""
+    each = [f"CASE WHEN ({n}) > {k} THEN {re.sub(rf'\b{var}\b', f'{k}L', element)} END" for k in range(most)]
+    return f"CASE WHEN ({n}) = 0 THEN filter(array({each[0]}), x -> FALSE) ELSE slice(array({', '.join(each)}), 1, CAST({n} AS INT)) END"
 
 
 def _struct(fields: dict[str, str]) -> str:
@@ -238,7 +237,7 @@ def documents_of_orders() -> str:
             "session": COOKIE["session"], "sameSite": "'Lax'",
         }
     )
-    calls = f"map_from_entries(transform(sequence(0L, {N_API} - 1), j -> named_struct('k', {API}, 'v', {K} % 5 + j + 1)))"
+    calls = f"map_from_entries({_listed(N_API, 4, _struct({'k': API, 'v': f'{K} % 5 + j + 1'}), 'j')})"
     saved = _struct({"source": SOURCE, "description": "'Document.cookie setter'", "arguments": SAVED_ARGS})
     cmp_ = _struct(
         {
@@ -266,14 +265,14 @@ def documents_of_orders() -> str:
     # Each section is its own expression, so a query computes only those it reads.
     data = _struct({name: f"CASE WHEN {VALID} THEN {x} END" for name, x in
         {
-            "requests": _listed(N_REQ, req),
-            "cookies": _listed(N_COOKIES, cookie),
-            "targets": _listed(N_TARGETS, _struct(TARGET)),
-            "apis": f"CASE WHEN ({N_SOURCES}) IS NOT NULL THEN named_struct('callStats', map_from_entries({_listed(N_SOURCES, _struct({'k': SOURCE, 'v': calls}))}), 'savedCalls', {_listed(N_SAVED, saved)}) END",
+            "requests": _listed(N_REQ, 6, req),
+            "cookies": _listed(N_COOKIES, 3, cookie),
+            "targets": _listed(N_TARGETS, 2, _struct(TARGET)),
+            "apis": f"CASE WHEN ({N_SOURCES}) IS NOT NULL THEN named_struct('callStats', map_from_entries({_listed(N_SOURCES, 2, _struct({'k': SOURCE, 'v': calls}))}), 'savedCalls', {_listed(N_SAVED, 1, saved)}) END",
             "elements": f"CASE WHEN {K} % 3 = 0 THEN named_struct('present', array('a', 'b' || {s(f'{K} % 3')}), 'visible', array('a')) END",
             "screenshots": f"CASE WHEN {K} % 5 = 0 THEN base64(CAST('img' || {s(K)} AS BINARY)) END",
             "trace": "CAST(NULL AS STRUCT<traceEvents:ARRAY<STRUCT<name:STRING,cat:STRING,ph:STRING,ts:BIGINT,args:MAP<STRING,STRING>>>>)",
-            "cookiepopups": f"CASE WHEN ({N_CMPS}) IS NOT NULL THEN named_struct('cmps', {_listed(N_CMPS, cmp_)}, 'performance', {_listed(N_PERF, perf)}, 'scrapedFrames', array({frame})) END",
+            "cookiepopups": f"CASE WHEN ({N_CMPS}) IS NOT NULL THEN named_struct('cmps', {_listed(N_CMPS, 2, cmp_)}, 'performance', {_listed(N_PERF, 1, perf)}, 'scrapedFrames', array({frame})) END",
         }.items()}
     )
     # The final URL stands in every request; it is put together once for a page.
@@ -289,11 +288,16 @@ def documents(spark: SparkSession, sf_dir: str, *sections: str) -> DataFrame:
     """Staged page documents: every query reads its own columns of them. With ``sections``, documents that hold only
     these are staged, unless whole ones are: building and storing all sections costs many times one of them."""
     if not sections or (spark.sparkContext.applicationId, sf_dir, "documents") in _STAGED:
-        return staged(spark, sf_dir, "documents", document_source)
+        return keyed_documents(spark, sf_dir).drop("pageId")
     some = F.struct(*[F.col(f"data.{s}") for s in sections])
     return staged(spark, sf_dir, "-".join(("documents", *sections)), lambda *at: document_source(*at).withColumn("data", some))
 
 
+def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged page documents with their page key, as ``stage_crawl`` stores them."""
+    return staged(spark, sf_dir, "documents", lambda *at: with_key(document_source(*at)))
+
+
 def document_source(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
     """Nested page documents, one per order. A narrow projection: nothing is grouped."""
     return run(spark, sf_dir, documents_of_orders())

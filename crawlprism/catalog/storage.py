@@ -112,7 +112,7 @@ def write_crawl_tables(spark, sf):
 
 def _loaded(spark, sf):
     root = shared_dir(spark, "tables")
-    docs = b.documents(spark, sf)
+    docs = b.keyed_documents(spark, sf)
     for crawl in ("c1", "2024-01-01T00:00:00.000Z-host"):
         sinks.create_crawl(spark, root, crawl, "name", "GB")
         sinks.write_crawl_tables(shred.shred(docs, crawl), root)

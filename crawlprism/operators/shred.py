@@ -35,6 +35,11 @@ def _list(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.array().cast("array<string>"))
 
 
+def with_key(pages: DataFrame) -> DataFrame:
+    """Pages with their key, to be stored with them: nine fact tables then read it instead of computing it each."""
+    return pages.withColumn("pageId", page_id(F.col("initialUrl")))
+
+
 def loadable(pages: DataFrame, crawl_id: str) -> DataFrame:
     """Pages that can be stored: they have an initial URL."""
     return pages.filter(F.coalesce("initialUrl", F.lit("")) != "").withColumn("crawlId", F.lit(crawl_id))
@@ -42,7 +47,9 @@ def loadable(pages: DataFrame, crawl_id: str) -> DataFrame:
 
 def _keyed(p: DataFrame, *columns: str | Column) -> DataFrame:
     """The given columns with the page key. The key is computed behind the projection, so that a
-    columnar scan reads nothing of the document but these columns."""
+    columnar scan reads nothing of the document but these columns; a stored key (``with_key``) is read instead."""
+    if "pageId" in p.columns:
+        return p.select("crawlId", "pageId", "initialUrl", *columns)
     return p.select("crawlId", "initialUrl", *columns).withColumn("pageId", page_id(F.col("initialUrl")))
 
 

@@ -8,7 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlprism.operators.shred import FACT_TABLES, shred
+from crawlprism.operators.shred import FACT_TABLES, shred, with_key
 from crawlprism.session import materialize, small_splits
 from crawlprism.sources.scans import scan_crawl
 
@@ -36,8 +36,8 @@ def create_crawl(spark: SparkSession, root: str, crawl_id: str, name: str = "",
 
 
 def stage_crawl(spark: SparkSession, folder: str) -> DataFrame:
-    """Page files parsed once into Parquet. Reports and fact tables then read single columns of it."""
-    return materialize(scan_crawl(spark, folder), "parsed-pages")
+    """Page files parsed once into Parquet, with the page key. Reports and fact tables then read single columns of it."""
+    return materialize(with_key(scan_crawl(spark, folder)), "parsed-pages")
 
 
 def load_crawl(spark: SparkSession, folder: str, root: str, crawl_id: str, name: str = "", region: str = "") -> None:

@@ -511,3 +511,29 @@ def test_tasks_hold_bounded_html(spark, monkeypatch):
     dealt = html.button_elements(pages)
     assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, dealt.collect())) == usual
+
+
+def test_stored_page_keys_are_read(spark, crawl, tmp_path):
+    """Pages stored with their key give the same tables, none of which computes the key again."""
+    plain, path = crawl.filter("valid"), str(tmp_path / "keyed")
+    shred.with_key(plain).write.parquet(path)
+    want = shred.shred(plain, "k")
+    for table, df in shred.shred(spark.read.parquet(path), "k").items():
+        assert "sha1" not in df._jdf.queryExecution().executedPlan().toString(), table
+        assert sorted(map(str, df.collect())) == sorted(map(str, want[table].collect())), table
+
+
+def test_load_stores_page_keys(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(DOCS["a.json"]))
+    assert sinks.stage_crawl(spark, str(tmp_path)).select("pageId").first()[0].startswith("a.com_")
+
+
+def test_document_lists_are_compiled(spark):
+    """Page documents are built without a ``transform``, whose lambda Spark interprets; null and empty lists stay apart."""
+    from crawlprism.catalog import bridge
+
+    docs = bridge.document_source(spark, "/root/testdata/sf0.001")
+    assert "transform(" not in docs._jdf.queryExecution().optimizedPlan().toString()
+    sizes = docs.filter("valid").selectExpr("size(data.requests) <=> CAST(IF(file % 37 = 0, NULL, file % 7) AS INT) AS same", "file % 37 = 0 AS none", "file % 7 = 0 AS empty")
+    assert {(r.same, r.none, r.empty) for r in sizes.collect()} >= {(True, True, False), (True, False, True), (True, False, False)}
+    assert sizes.filter("NOT same").isEmpty()
