@@ -18,13 +18,16 @@ from crawlprism.sources import scans, sinks
 
 @query("scan_crawl", """SELECT page_id AS doc, CASE WHEN page_id % 5 <> 0 THEN url END AS "initialUrl", page_id % 5 <> 0 AS valid FROM pages""")
 def scan_crawl(spark, sf):
-    """One JSON document per file, written as one partition folder each; every fifth file is cut short."""
+    """One JSON document per file, all in one folder; every fifth file is cut short."""
     folder = shared_dir(spark, "crawl")
     p = b.spark_sql(spark, sf, "SELECT page_id AS doc, url AS initialUrl FROM $pages")
     whole = F.to_json(F.struct("initialUrl"))
-    text = p.select("doc", F.when(F.col("doc") % 5 == 0, F.substring(whole, 1, 15)).otherwise(whole).alias("value"))
-    text.write.partitionBy("doc").text(folder)
-    return scans.scan_crawl(spark, folder, glob="*.txt").select(F.col("doc").cast("bigint").alias("doc"), "initialUrl", "valid")
+    text = F.when(F.col("doc") % 5 == 0, F.substring(whole, 1, 15)).otherwise(whole)
+    # The number keeps pages of one id apart.
+    name = F.concat_ws("-", F.coalesce(F.col("doc").cast("string"), F.lit("none")), F.monotonically_increasing_id())
+    sinks.write_files(p.select(F.concat(name, F.lit(".json")).alias("file"), text.alias("value")), folder)
+    doc = F.nullif(F.regexp_extract("file", r"^(-?\d+)-", 1), F.lit("")).cast("bigint")
+    return scans.scan_crawl(spark, folder).select(doc.alias("doc"), "initialUrl", "valid")
 
 
 @query(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from crawlprism.operators.shred import FACT_TABLES, shred, with_key
@@ -89,6 +90,27 @@ def write_page_json(docs: DataFrame, folder: str) -> DataFrame:
     return images
 
 
+def write_files(texts: DataFrame, folder: str) -> None:
+    """One file per row (``file, value``) in one folder; names must be distinct, so that a repeated task replaces its own files.
+
+    Tasks write the files themselves, by a file system that pyarrow knows. Spark's writer names its files, so a row would
+    need a folder of its own; it also makes a checksum file each and, on local disks, starts a process for each of both.
+    """
+    spark = texts.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    uri = fs.makeQualified(path).toUri().toString()
+
+    def save(rows: Iterator[Row]) -> None:
+        store, root = FileSystem.from_uri(uri)
+        for r in rows:
+            with store.open_output_stream(f"{root}/{r.file}") as out:
+                out.write(r.value.encode())
+
+    texts.select("file", "value").foreachPartition(save)
+
+
 def write_button_corpus(corpus: DataFrame, path: str) -> None:
     """CSV with header, most frequent first. Range-sorted files concatenate in order."""
     rows = corpus.filter("occurences >= 1").select("button_text", "occurences", F.coalesce("label", F.lit("")).alias("label"))

@@ -537,3 +537,15 @@ def test_document_lists_are_compiled(spark):
     sizes = docs.filter("valid").selectExpr("size(data.requests) <=> CAST(IF(file % 37 = 0, NULL, file % 7) AS INT) AS same", "file % 37 = 0 AS none", "file % 7 = 0 AS empty")
     assert {(r.same, r.none, r.empty) for r in sizes.collect()} >= {(True, True, False), (True, False, True), (True, False, False)}
     assert sizes.filter("NOT same").isEmpty()
+
+
+def test_page_files_lie_in_one_folder(spark, tmp_path, monkeypatch):
+    """A file for each page, without a folder for each; pages of one id, and pages without one, stay apart."""
+    from crawlprism.catalog import storage
+
+    rows = [(1, "http://a.com/"), (1, "http://ä.com/"), (5, "http://c.com/"), (7, None), (None, "http://d.com/")]
+    spark.createDataFrame(rows, "page_id bigint, url string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(storage, "shared_dir", lambda spark, name: str(tmp_path / name))
+    got = {(r.doc, r.initialUrl, r.valid) for r in storage.scan_crawl(spark, str(tmp_path)).collect()}
+    assert got == {(k, url if k != 5 else None, k != 5) for k, url in rows}
+    assert len(list((tmp_path / "crawl").glob("*.json"))) == len(rows) and not any(f.is_dir() for f in (tmp_path / "crawl").iterdir())
