@@ -298,6 +298,13 @@ def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "documents", lambda *at: with_key(document_source(*at)))
 
 
+def documents_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole page documents for a query that reads them once, to store them itself: staged ones only where they are there."""
+    if (spark.sparkContext.applicationId, sf_dir, "documents") in _STAGED:
+        return documents(spark, sf_dir)
+    return document_source(spark, sf_dir)
+
+
 def document_source(spark: SparkSession, sf_dir: str, run=spark_sql) -> DataFrame:
     """Nested page documents, one per order. A narrow projection: nothing is grouped."""
     return run(spark, sf_dir, documents_of_orders())

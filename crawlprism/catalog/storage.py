@@ -36,10 +36,11 @@ def scan_crawl(spark, sf):
     CAST(sum(CASE WHEN {b.VALID} THEN coalesce({b.N_COOKIES}, 0) END) AS BIGINT) AS cookies FROM orders""",
 )
 def scan_page_lines(spark, sf):
+    """Page documents as packed lines, which are read back; lines of broken files are cut short."""
     folder = shared_dir(spark, "lines")
-    docs = b.documents(spark, sf).withColumn("file", F.col("file").cast("string"))
+    docs = b.documents_once(spark, sf).withColumn("file", F.col("file").cast("string"))
     line = F.to_json(F.struct(*[c for c in docs.columns if c != "valid"]))
-    docs.select(F.when(F.col("valid"), line).otherwise(F.lit('{"file": "x", "data": [')).alias("value")).write.text(folder)
+    sinks.write_lines(docs.select(F.when(F.col("valid"), line).otherwise(F.lit('{"file": "x", "data": [')).alias("value")), folder)
     back = scans.scan_page_lines(spark, folder)
     size = lambda c: F.sum(F.when(F.col("valid"), F.coalesce(F.size(c), F.lit(0)))).cast("bigint")
     return back.agg(

@@ -90,6 +90,11 @@ def write_page_json(docs: DataFrame, folder: str) -> DataFrame:
     return images
 
 
+def write_lines(lines: DataFrame, folder: str) -> None:
+    """Lines of text (``value``), gzipped, at most ``FILE_LINES`` a file."""
+    lines.select("value").write.option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).text(folder)
+
+
 def write_files(texts: DataFrame, folder: str) -> None:
     """One file per row (``file, value``) in one folder; names must be distinct, so that a repeated task replaces its own files.
 

@@ -549,3 +549,23 @@ def test_page_files_lie_in_one_folder(spark, tmp_path, monkeypatch):
     got = {(r.doc, r.initialUrl, r.valid) for r in storage.scan_crawl(spark, str(tmp_path)).collect()}
     assert got == {(k, url if k != 5 else None, k != 5) for k, url in rows}
     assert len(list((tmp_path / "crawl").glob("*.json"))) == len(rows) and not any(f.is_dir() for f in (tmp_path / "crawl").iterdir())
+
+
+def test_page_lines_are_small(spark, tmp_path, monkeypatch):
+    """Packed pages are stored compressed, in files of few lines, and no second copy of the documents is stored for them."""
+    from crawlprism.catalog import bridge, storage
+
+    monkeypatch.setattr(bridge, "_STAGED", {})
+    monkeypatch.setattr(sinks, "FILE_LINES", 300)
+    monkeypatch.setattr(storage, "shared_dir", lambda spark, name: str(tmp_path / name))
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    got = storage.scan_page_lines(spark, sf).first()
+    assert not bridge._STAGED
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert all(f.name.endswith(".txt.gz") for f in files) and len(files) >= orders.count() / 300
+    assert spark.read.text(str(tmp_path / "lines")).count() == got.pages == orders.count()
+    assert got.validFiles == orders.filter("o_orderkey % 101 <> 0").count()
+    bridge.documents(spark, sf)
+    monkeypatch.setattr(storage, "shared_dir", lambda spark, name: str(tmp_path / "again" / name))
+    assert storage.scan_page_lines(spark, sf).first() == got
