@@ -100,6 +100,109 @@ def test_quality_keeps_columns(docs):
     assert {r.doc_id for r in kept.select("doc_id").collect()} <= {4, 5, 6, 7}
 
 
+def symbols_of(texts):
+    """The prefix code of the texts' code points as a dictionary."""
+    counts = Counter("".join(texts))
+    points, lengths, rows = quality.prefix_code(np.array([ord(c) for c in counts]), np.array(list(counts.values())))
+    return {chr(p): tuple(int(s) for s in r[:n]) for p, n, r in zip(points, lengths, rows, strict=True)}
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 31, 32, 61, 62, 700])
+def test_prefix_code_loses_nothing(kinds):
+    """No word begins another, symbol 0 is left free, and code points that occur more often have no longer words."""
+    counts = np.array([1 + 3 * (k % 7) ** 4 for k in range(kinds)])
+    points, lengths, rows = quality.prefix_code(np.arange(kinds)[::-1] + 40, counts[::-1])
+    words = [tuple(r[:n]) for n, r in zip(lengths, rows, strict=True)]
+    assert list(points) == list(range(40, 40 + kinds)) and len(set(words)) == kinds
+    assert all(w and min(w) > 0 and max(w) < 32 for w in words)
+    assert not any(w[:k] in set(words) for w in words for k in range(1, len(w)))
+    assert all(lengths[a] <= lengths[b] for a in range(kinds) for b in range(kinds) if counts[a] > counts[b])
+
+
+SCRIPTS = ["", "a", "Ab", "é", "Привет, мир! Как дела?", "данные и ещё данные", "你好世界 你好", "AB ab 12 34 \U0001f600 a\nb", "the the then", "x" * 30]
+
+
+def test_grams_hold_every_symbol_of_every_text(spark):
+    raw = [t.encode() for t in SCRIPTS]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    points, begin = quality.code_points(data, offsets)
+    assert ["".join(map(chr, points[a:b])) for a, b in zip(begin[:-1], begin[1:], strict=True)] == SCRIPTS
+    code = symbols_of(SCRIPTS)
+    rows = [(t, "en") for t in [*SCRIPTS, None]]
+    got = {r.gram: r.c for r in quality.gram_counts(spark.createDataFrame(rows, "text string, lang string")).collect()}
+    want = Counter()
+    for t in SCRIPTS:
+        stream = [0] * (quality.ORDER - 1) + [s for c in t for s in code[c]]
+        for k in range(len(stream) - quality.ORDER + 1):
+            gram = 0
+            for s in stream[k : k + quality.ORDER]:
+                gram = gram << quality.BITS | s
+            want[gram] += 1
+    assert got == want
+
+
+def brute_force_perplexities(texts):
+    code, order = symbols_of(texts), quality.ORDER
+    streams = [[0] * (order - 1) + [s for c in t for s in code[c]] for t in texts]
+    tables = {order: Counter(tuple(s[k : k + order]) for s in streams for k in range(len(s) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        tables[n] = Counter(g[1:] for g in tables[n + 1])
+    after, discounts = {}, {}
+    for n, table in tables.items():
+        n1, n2, n3, n4 = (max(1, sum(c == k for c in table.values())) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        discounts[n] = [0] + [min(max(x, 0.05), k) for k, x in ((0.95, 1 - 2 * y * n2 / n1), (1.9, 2 - 3 * y * n3 / n2), (2.8, 3 - 4 * y * n4 / n3))]
+        for g, c in table.items():
+            after.setdefault((n, g[:-1]), []).append(c)
+
+    def p(g):
+        if not g:
+            return 1 / 32
+        seen, d = after.get((len(g), g[:-1])), discounts[len(g)]
+        if not seen:
+            return p(g[1:])
+        c = tables[len(g)][g]
+        return (c - d[min(c, 3)]) / sum(seen) + sum(d[min(x, 3)] for x in seen) / sum(seen) * p(g[1:])
+
+    grams = [[tuple(s[k : k + order]) for k in range(len(s) - order + 1)] for s in streams]
+    return [-sum(math.log10(p(g)) for g in own) / len(t) if t else None for t, own in zip(texts, grams, strict=True)]
+
+
+def test_perplexity_against_brute_force(spark, monkeypatch):
+    """Also where tasks give counts on early, and hold one of many parts of the model at a time."""
+    texts = [*SCRIPTS, *[" ".join(words(LONG)[k : k + 40]) for k in range(0, 400, 40)]]
+    rows = [(k, t, "en") for k, t in enumerate(texts)] + [(len(texts), None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    want = dict(enumerate([*brute_force_perplexities(texts), None]))
+    for small in (False, True):
+        if small:
+            for name, n in (("GATHERED", 100), ("HELD", 50), ("PART", 64), ("BLOCK", 300)):
+                monkeypatch.setattr(quality, name, n)
+            monkeypatch.setattr(textio, "BATCH_ROWS", 2)
+            usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+            parts = quality.model_parts(quality.gram_counts(docs))
+            assert len(parts) > 5 and all(a < b for a, b in parts) and all(x[1] <= y[0] for x, y in zip(parts, parts[1:], strict=False))
+        got = {r.doc_id: r.log_ppl for r in quality.verdicts(docs, ["doc_id"]).collect()}
+        assert got.keys() == want.keys()
+        for k, x in want.items():
+            assert (got[k] is None) if x is None else math.isclose(got[k], x, rel_tol=1e-5), (small, k)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуф", "αβγδεζηθικλμνξοπρστυ", "ابتثجحخدذرزسشصضطظعغف"])
+def test_quality_rejects_other_letters_of_the_same_length(spark, letters):
+    """Letters exchanged for others of the same script, case and byte length."""
+    draw = np.random.RandomState(4)
+    syllables = [letters[a] + letters[b] for a, b in zip(range(0, 10), range(10, 20), strict=True)]
+    known = ["".join(draw.choice(syllables, draw.randint(1, 4))) for _ in range(200)]
+    plain = [(i, " ".join(draw.choice(known, 400)), "xx") for i in range(1, 60)]
+    odd = "".join(c if c == " " else letters[draw.randint(20)] for c in " ".join(draw.choice(known, 400)))
+    docs = spark.createDataFrame([(0, odd, "xx"), *plain], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r.kept for r in quality.verdicts(docs, ["doc_id"]).filter("not base_failed").collect()}
+    assert not rows[0] and all(v for k, v in rows.items() if k) and len(rows) == 60
+
+
 def passages(n, seed):
     draw = np.random.RandomState(seed)
     return [" ".join("w" + str(draw.randint(10**6)) for _ in range(12)) + "." for _ in range(n)]
